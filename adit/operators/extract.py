@@ -67,15 +67,19 @@ def sections(docs: DataFrame, markers: list[tuple[str, str]], keep: list[str] |
     """
     cols = _keep(docs, keep, "text")
     marker = "|".join(tx._literal(m) for m, _ in markers)
-    blocks = split_blocks(docs, marker, cols)
     chain = None
     for literal, state in markers:
-        hit = F.col("head").contains(literal)
+        hit = F.col("_head").contains(literal)
         chain = F.when(hit, F.lit(state)) if chain is None else chain.when(hit, F.lit(state))
-    labelled = blocks.select(*cols, "block_no", chain.alias("state"), "body").where(F.col("state").isNotNull())
-    return labelled.select(
-        *cols, "block_no", "state", F.posexplode(F.split("body", "\n", -1)).alias("line_no", "line")
+    blocks = docs.select(*cols, F.posexplode(line_blocks(F.col("text"), marker)).alias("block_no", "_block"))
+    inside = (
+        blocks.where("block_no > 0")
+        .withColumn("_head", F.substring_index("_block", "\n", 1))
+        .select(*cols, "block_no", chain.alias("state"), F.split("_block", "\n", -1).alias("_lines"))
+        .where(F.col("state").isNotNull())
     )
+    rest = F.slice("_lines", 2, F.size("_lines"))
+    return inside.select(*cols, "block_no", "state", F.posexplode(rest).alias("line_no", "line"))
 
 
 TIME_MARK = r"\d{2}:\d{2}:\d{2}|\d+\s*ч\s*\d+\s*мин"

@@ -124,7 +124,7 @@ def semantic_facts(vectors: DataFrame, centroids: DataFrame, min_cos: float = 0.
         part = sides.where(F.pmod(F.hash("hypotesis_id"), F.lit(passes)) == i)
         packed = part.agg(F.collect_list(F.struct("hypotesis_id", "unit")).alias("c")).scalar()
         cosines = F.transform(
-            packed,
+            "_c",
             lambda c: F.struct(
                 c["hypotesis_id"].alias("hypotesis_id"),
                 (_dot(F.col("vec"), c["unit"]) / F.nullif(F.col("_norm"), F.lit(0.0))).alias("similarity"),
@@ -132,6 +132,7 @@ def semantic_facts(vectors: DataFrame, centroids: DataFrame, min_cos: float = 0.
         )
         near = (
             vectors.withColumn("_norm", _norm(F.col("vec")))
+            .withColumn("_c", packed)
             .withColumn("_near", F.filter(cosines, lambda c: c["similarity"] > min_cos))
             .select(*vectors.columns, F.inline("_near"))
         )
