@@ -36,7 +36,7 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 def sql_round(expr: str, digits: int) -> str:
     """DuckDB rounding of a double on its shortest decimal form, half away from zero, as Spark rounds."""
-    return f"(CAST(round(CAST(CAST(({expr}) AS VARCHAR) AS DECIMAL(38,17)), {digits}) AS DOUBLE) + 0.0)"
+    return f"(CAST(round(CAST(CAST(({expr}) AS VARCHAR) AS DECIMAL(38,26)), {digits}) AS DOUBLE) + 0.0)"
 
 
 def sql_plain(expr: str, digits: int = 4) -> str:
