@@ -71,7 +71,8 @@ def truncate(c: Column, limit: int, marker: str = "") -> Column:
 
 def first_match(c: Column, patterns: list[str], group: int = 1) -> Column:
     """The captured group of the first pattern that hits anything."""
-    return F.coalesce(*[blank_to_null(F.regexp_extract(c, p, group)) for p in patterns])
+    hits = [F.nullif(F.regexp_extract(c, p, group), F.lit("")) for p in patterns]
+    return strip(F.coalesce(*hits) if len(hits) > 1 else hits[0])
 
 
 def all_matches(c: Column, patterns: list[str], group: int = 1) -> Column:
