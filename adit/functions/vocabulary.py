@@ -101,16 +101,17 @@ POSITIONS = (
     "ВГСЧ",
 )
 
-# Chronology event types and their words, first type with a hit wins.
+# Chronology event types and their words, first type with a hit wins. Texts are folded to lower
+# case before the words are looked up, so abbreviations in capitals do not count.
 EVENT_TYPES = (
     ("сообщение о пожаре", ("горит", "пожар", "огонь", "загорание", "пламя")),
     ("взрыв", ("взрыв", "хлопок", "ударная волна", "бабах")),
     ("отключение энергии", ("энергию выбило", "свет погас", "отключили", "фидер")),
     ("эвакуация", ("выходите", "уходите", "эвакуация", "бегите", "дуйте")),
     ("задымление", ("дым", "задымление", "смог", "видимость")),
-    ("превышение газа", ("превышение", "газ", "метан", "ППМК", "CH4", "СО")),
+    ("превышение газа", ("превышение", "газ", "метан")),
     ("сейсмическое событие", ("толчок", "сейсмическое")),
-    ("вызов помощи", ("вызываю", "план вводить", "ВГСЧ", "помощь")),
+    ("вызов помощи", ("вызываю", "план вводить", "помощь")),
     ("локализация очага", ("за секцией", "очаг", "секция", "видно")),
     ("тушение", ("тушим", "огнетушитель", "затушить", "вода")),
 )

@@ -40,18 +40,20 @@ def to_sentences(docs: DataFrame, min_len: int = 20, keep: list[str] | None = No
     return docs.select(*cols, F.posexplode(sentences_of(F.col("text"), min_len)).alias("pos", "sentence"))
 
 
-def line_blocks(text: Column, marker: str) -> Column:
+def line_blocks(text: Column, marker: str, anchored: bool = False) -> Column:
     """The text cut in front of every line matching `marker` (a regex for part of one line, without groups).
 
-    The first element is whatever precedes the first marker; each later one starts with its marker line.
+    The first element is whatever precedes the first marker; each later one starts with its marker line. An
+    anchored marker must stand at the start of its line.
     """
-    return F.split(F.concat(F.lit("\n"), text), rf"\n(?=[^\n]*?(?:{marker}))", -1)
+    lead = "" if anchored else r"[^\n]*?"
+    return F.split(F.concat(F.lit("\n"), text), rf"\n(?={lead}(?:{marker}))", -1)
 
 
-def split_blocks(docs: DataFrame, marker: str, keep: list[str] | None = None) -> DataFrame:
+def split_blocks(docs: DataFrame, marker: str, keep: list[str] | None = None, anchored: bool = False) -> DataFrame:
     """One row per marked block: `block_no` from 1, `head` (the marker line) and `body` (the lines after it)."""
     cols = _keep(docs, keep, "text")
-    found = docs.select(*cols, F.posexplode(line_blocks(F.col("text"), marker)).alias("block_no", "_block"))
+    found = docs.select(*cols, F.posexplode(line_blocks(F.col("text"), marker, anchored)).alias("block_no", "_block"))
     return found.where("block_no > 0").select(
         *cols,
         "block_no",
@@ -198,10 +200,10 @@ def numbered_items(lines: DataFrame, keep: list[str] | None = None) -> DataFrame
 
 
 def bullet_facts(blocks: DataFrame, text: str = "body", min_len: int = 10, keep: list[str] | None = None) -> DataFrame:
-    """`- fact` items of a block (continuation lines belong to the item above), at least `min_len` long."""
+    """`- fact` items of a block, at least `min_len` long. Lines below an item continue it up to a blank line."""
     cols = _keep(blocks, keep, text)
     parts = F.split(F.concat(F.lit("\n"), F.col(text)), r"\n\s*[-•]\s+", -1)
-    facts = F.transform(F.slice(parts, 2, F.size(parts)), tx.strip)
+    facts = F.transform(F.slice(parts, 2, F.size(parts)), lambda x: tx.strip(F.regexp_replace(x, r"(?s)\n\s*\n.*$", "")))
     return blocks.select(*cols, F.posexplode(facts).alias("fact_no", "fact")).where(F.length("fact") >= min_len)
 
 

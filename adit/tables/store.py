@@ -10,6 +10,7 @@ leaves the table as it was. One writer per table at a time.
 from __future__ import annotations
 
 import time
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -31,6 +32,7 @@ CHANGE_POINT_ACTIONS = ("SAVE", "INSERT", "DELETE", "ROLLBACK")
 class Snapshot:
     snapshot_id: int
     versions: tuple[int, ...]
+    row_count: int
 
 
 class SnapshotTable:
@@ -52,8 +54,8 @@ class SnapshotTable:
         return folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(folder)
 
     def current(self) -> Snapshot | None:
-        """Newest commit; the manifest has one small row per commit."""
-        return self._snapshot(self.manifest().orderBy(F.desc("committed_at"), F.desc("snapshot_id")).first())
+        """Newest commit; the manifest has one small row per commit and ids only grow."""
+        return self._snapshot(self.manifest().orderBy(F.desc("snapshot_id")).first())
 
     def at(self, snapshot_id: int) -> Snapshot:
         found = self._snapshot(self.manifest().where(F.col("snapshot_id") == snapshot_id).first())
@@ -63,20 +65,19 @@ class SnapshotTable:
 
     @staticmethod
     def _snapshot(row) -> Snapshot | None:
-        return None if row is None else Snapshot(row["snapshot_id"], tuple(row["versions"]))
+        return None if row is None else Snapshot(row["snapshot_id"], tuple(row["versions"]), row["row_count"])
 
-    def _commit(self, operation: str, versions: list[int], parent: int | None, rows: int) -> int:
-        newest = self.manifest().agg(F.max("snapshot_id")).first()[0] if self.exists() else None
-        snapshot_id = 0 if newest is None else newest + 1
-        entry = self.spark.range(1).select(
+    def _commit(self, operation: str, versions: list[int], head: Snapshot | None, rows: int) -> int:
+        snapshot_id = 0 if head is None else head.snapshot_id + 1
+        entry = self.spark.range(1, numPartitions=1).select(
             F.lit(snapshot_id).cast("bigint").alias("snapshot_id"),
-            F.lit(parent).cast("bigint").alias("parent_id"),
+            F.lit(None if head is None else head.snapshot_id).cast("bigint").alias("parent_id"),
             F.current_timestamp().alias("committed_at"),
             F.lit(operation).alias("operation"),
             F.array(*[F.lit(v) for v in versions]).cast("array<bigint>").alias("versions"),
             F.lit(rows).cast("bigint").alias("row_count"),
         )
-        entry.coalesce(1).write.mode("append").parquet(f"{self.path}/_manifest")
+        entry.write.mode("append").parquet(f"{self.path}/_manifest")
         return snapshot_id
 
     # ---- data ----
@@ -112,24 +113,21 @@ class SnapshotTable:
         writer.parquet(f"{self.path}/data/v={version}")
         return version, watch.get["n"]
 
-    def _rows(self) -> int:
-        return self.manifest().orderBy(F.desc("committed_at"), F.desc("snapshot_id")).first()["row_count"]
-
     def append(self, df: DataFrame, operation: str = "INSERT") -> int:
         """Add rows: one new folder, nothing is rewritten."""
         self.create()
-        snap, before = self.current(), self._rows()
+        head = self.current()
         version, added = self._write(df)
-        return self._commit(operation, [*snap.versions, version], snap.snapshot_id, before + added)
+        return self._commit(operation, [*head.versions, version], head, head.row_count + added)
 
     def replace(self, df: DataFrame) -> int | None:
         """Full refresh; an empty input leaves the table as it is."""
         self.create()
         if df.isEmpty():
             return None
-        parent = self.current().snapshot_id
+        head = self.current()
         version, rows = self._write(df)
-        return self._commit("REPLACE", [version], parent, rows)
+        return self._commit("REPLACE", [version], head, rows)
 
     def _touched(self, rows: DataFrame, keys: DataFrame, key: str) -> list[int]:
         """Folders holding any of the keys; reads the key column only."""
@@ -142,11 +140,10 @@ class SnapshotTable:
         `updates`: the key (one row per key), new values, and `changed array<string>` naming the columns that
         a row really changes (a null new value is a value). Unknown keys are ignored; the key never changes.
         """
-        snap, before = self.current(), self._rows()
-        rows = self._read(snap.versions)
-        touched = self._touched(rows, updates, key)
+        head = self.current()
+        touched = self._touched(self._read(head.versions), updates, key)
         if not touched:
-            return snap.snapshot_id
+            return head.snapshot_id
         edits = updates.select(
             F.col(key).alias("_key"), "changed", *[F.col(c).alias(f"_new_{c}") for c in updates.columns if c not in (key, "changed")]
         )
@@ -161,42 +158,40 @@ class SnapshotTable:
             ]
         )
         version, _ = self._write(merged)
-        kept = [v for v in snap.versions if v not in touched]
-        return self._commit(operation, [*kept, version], snap.snapshot_id, before)
+        kept = [v for v in head.versions if v not in touched]
+        return self._commit(operation, [*kept, version], head, head.row_count)
 
     def delete_by_key(self, key: str, keys: DataFrame) -> int:
-        snap, before = self.current(), self._rows()
-        rows = self._read(snap.versions)
-        touched = self._touched(rows, keys, key)
+        head = self.current()
+        touched = self._touched(self._read(head.versions), keys, key)
         if not touched:
-            return snap.snapshot_id
+            return head.snapshot_id
         affected = self._read(touched).drop("v")
         version, left = self._write(affected.join(keys.select(key), key, "left_anti"))
         gone = affected.count() - left
-        kept = [v for v in snap.versions if v not in touched]
-        return self._commit("DELETE", [*kept, version], snap.snapshot_id, before - gone)
+        kept = [v for v in head.versions if v not in touched]
+        return self._commit("DELETE", [*kept, version], head, head.row_count - gone)
 
     # ---- history ----
 
     def list_snapshots(self, limit: int = 20) -> DataFrame:
-        return self.manifest().orderBy(F.desc("committed_at"), F.desc("snapshot_id")).limit(limit)
+        return self.manifest().orderBy(F.desc("snapshot_id")).limit(limit)
 
     def latest_snapshot(self) -> DataFrame:
         """The newest snapshot id, as a one-row frame; null for a table without commits."""
-        return self.manifest().agg(F.max_by("snapshot_id", F.struct("committed_at", "snapshot_id")).alias("snapshot_id"))
+        return self.manifest().agg(F.max("snapshot_id").alias("snapshot_id"))
 
     def rollback(self, snapshot_id: int) -> int:
         """Make an old snapshot current again, as a new commit."""
         target = self.at(snapshot_id)
-        rows = self.manifest().where(F.col("snapshot_id") == snapshot_id).first()["row_count"]
-        return self._commit("ROLLBACK", list(target.versions), self.current().snapshot_id, rows)
+        return self._commit("ROLLBACK", list(target.versions), self.current(), target.row_count)
 
 
 def create_tables(spark: SparkSession, root: str) -> dict[str, SnapshotTable]:
     """All fixed tables, created empty where absent."""
     tables = {name: SnapshotTable(spark, root, name) for name in TABLE_COLUMNS}
-    for table in tables.values():
-        table.create()
+    with ThreadPoolExecutor(8) as pool:
+        list(pool.map(lambda t: t.create(), tables.values()))
     return tables
 
 
@@ -244,7 +239,7 @@ def log_change(
     spark: SparkSession, path: str, table: str, user_id: int, user: str, action: str,
     before: int | None, after: int | None, details: str,
 ) -> None:
-    entry = spark.range(1).select(
+    entry = spark.range(1, numPartitions=1).select(
         F.lit(table).alias("table_name"),
         F.lit(user_id).cast("bigint").alias("user_id"),
         F.lit(user).alias("username"),
@@ -254,7 +249,7 @@ def log_change(
         F.lit(after).cast("bigint").alias("snapshot_after"),
         F.lit(details).alias("details"),
     )
-    entry.coalesce(1).write.mode("append").parquet(path)
+    entry.write.mode("append").parquet(path)
 
 
 def read_change_log(spark: SparkSession, path: str) -> DataFrame:
