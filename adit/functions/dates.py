@@ -31,7 +31,8 @@ def month_number(name: Column) -> Column:
 
 
 def _read(c: Column, pattern: str, layout: str) -> Column:
-    return F.try_to_date(F.regexp_extract(c, pattern, 0), layout)
+    # An empty hit becomes null first: parsing an empty text would raise and catch an error for every row.
+    return F.try_to_date(F.nullif(F.regexp_extract(c, pattern, 0), F.lit("")), layout)
 
 
 def _dotted(c: Column, anchor: str = "") -> Column:
@@ -46,7 +47,7 @@ def _dotted(c: Column, anchor: str = "") -> Column:
 def _worded(c: Column, anchor: str = "") -> Column:
     pattern = anchor + WORDED
     day, name, year = (F.regexp_extract(c, pattern, g) for g in (1, 2, 3))
-    return F.try_to_date(F.concat_ws("-", year, month_number(name), day), "yyyy-M-d")
+    return F.when(year != "", F.try_to_date(F.concat(year, F.lit("-"), month_number(name), F.lit("-"), day), "yyyy-M-d"))
 
 
 def parse_date(c: Column) -> Column:

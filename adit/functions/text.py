@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Every code point that counts as white space in Unicode text; Java's \s alone is ASCII only.
-SPACE = r"[\s\x0B\x1C-\x1F\x85\u00A0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]"
+# White space in Unicode text, as a regex class and as the characters themselves; Java's \\s is ASCII only.
+SPACE = r"[\p{IsWhite_Space}\x1C-\x1F]"
+SPACES = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
 
 
 def strip(c: Column) -> Column:
-    """Remove white space of any kind from both ends."""
-    return F.regexp_replace(c, f"^{SPACE}+|{SPACE}+$", "")
+    """Remove white space of any kind from both ends; only the ends are looked at."""
+    return F.btrim(c, F.lit(SPACES))
 
 
 def blank_to_null(c: Column) -> Column:
@@ -50,18 +51,16 @@ def split_name(c: Column) -> Column:
 
 
 def table_cells(line: Column, separator: str = r"\|") -> Column:
-    """Cells of a table line. Border separators are dropped, so positions agree between header and rows."""
-    bare = F.regexp_replace(line, f"^{SPACE}*{separator}?{SPACE}*|{SPACE}*{separator}?{SPACE}*$", "")
-    return F.split(bare, f"{SPACE}*{separator}{SPACE}*", -1)
+    """Cells of a table line, untrimmed. One border separator is dropped at each end, so positions agree
+    between header and rows whether or not a line has borders."""
+    return F.split(F.regexp_replace(strip(line), f"^{separator}|{separator}$", ""), separator, -1)
 
 
 def split_table_line(line: Column, separator: str = r"\|") -> Column:
     """Cells of a table line with all empty cells at both ends removed."""
     edge = f"(?:{SPACE}|{separator})+"
     bare = F.regexp_replace(line, f"^{edge}|{edge}$", "")
-    return F.when(bare == "", F.array().cast("array<string>")).otherwise(
-        F.split(bare, f"{SPACE}*{separator}{SPACE}*", -1)
-    )
+    return F.when(bare == "", F.array().cast("array<string>")).otherwise(F.transform(F.split(bare, separator, -1), strip))
 
 
 def truncate(c: Column, limit: int, marker: str = "") -> Column:

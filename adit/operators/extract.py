@@ -170,7 +170,7 @@ def pipe_table(docs: DataFrame, layout: TableLayout, keep: list[str] | None = No
         *cols,
         "table_no",
         "row_no",
-        *[F.nullif(F.try_element_at("_cells", F.col(f"_at_{n}")), F.lit("")).alias(n) for n in layout.names],
+        *[tx.blank_to_null(F.try_element_at("_cells", F.col(f"_at_{n}"))).alias(n) for n in layout.names],
     )
 
 

@@ -56,8 +56,11 @@ def ingest(spark: SparkSession, docs: DataFrame, root: str, run_ts: str, tables:
         mine = routed.where(F.col("target") == table)
         if mine.isEmpty():
             return None
-        rows = materialize(run_job(table, mine, with_ids=True), table)
-        SnapshotTable(spark, root, table).append(rows)
+        store = SnapshotTable(spark, root, table)
+        store.create()
+        # Ids go on from the rows already stored.
+        rows = materialize(run_job(table, mine, with_ids=True, start=store.current().row_count), table)
+        store.append(rows)
         counts = rows.groupBy("source_file").agg(F.count("*").alias("records"))
         files = mine.select("source_file").distinct().join(counts, "source_file", "left")
         return files.select("source_file", F.lit(table).alias("table_name"), F.coalesce("records", F.lit(0)).alias("records"))

@@ -178,8 +178,11 @@ FACT_PLACES = [
 def _violations(fact: Column) -> Column:
     """For each word that occurs, the first sentence holding it; at most three."""
     parts = F.transform(F.split(fact, "[.!?]", -1), T.strip)
-    found = [F.try_element_at(F.filter(parts, lambda s, w=w: F.lower(s).contains(w)), F.lit(1)) for w in V.VIOLATION_WORDS]
-    hits = F.slice(F.array_compact(F.array(*found)), 1, 3)
+
+    def first_with(word: str) -> Column:
+        return F.try_element_at(F.filter(parts, lambda s: F.lower(s).contains(word)), F.lit(1))
+
+    hits = F.slice(F.array_compact(F.array(*[first_with(w) for w in V.VIOLATION_WORDS])), 1, 3)
     return F.nullif(F.array_join(hits, "; "), F.lit(""))
 
 

@@ -42,7 +42,7 @@ def register_extractor(table: str, *layouts: tuple[str, tuple[str, ...], Layout]
     return JOBS[table]
 
 
-def run_job(table: str, docs: DataFrame, with_ids: bool = False) -> DataFrame:
+def run_job(table: str, docs: DataFrame, with_ids: bool = False, start: int = 0) -> DataFrame:
     """Rows of one table, conformed to its schema, from documents of any of its layouts.
 
     Documents that already carry a `layout` column (as landed by the ingest plan, partitioned by it) are
@@ -55,7 +55,7 @@ def run_job(table: str, docs: DataFrame, with_ids: bool = False) -> DataFrame:
     ]
     rows = union_by_name(parts)
     if with_ids:
-        rows = number_rows(rows, table)
+        rows = number_rows(rows, table, start)
     return conform(rows, table)
 
 

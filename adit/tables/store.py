@@ -80,6 +80,9 @@ class SnapshotTable:
         entry.write.mode("append").parquet(f"{self.path}/_manifest")
         return snapshot_id
 
+    def has_commit(self, operation: str) -> bool:
+        return not self.manifest().where(F.col("operation") == operation).isEmpty()
+
     # ---- data ----
 
     def create(self) -> None:

@@ -16,9 +16,6 @@ from suite.measures import KEY, sensor
 
 # ---- sources -----------------------------------------------------------------------------------------------
 
-CSV_LINES = 20_000
-
-
 def written_documents(spark, sf):
     """The driver's documents as plain text files below one folder per language."""
     folder = scratch_path(spark, "documents")
@@ -55,9 +52,6 @@ def scan_documents(spark, sf):
     )
 
 
-_CYR_SQL = "translate(text, 'abcdefghijklmnopqrstuvwxyz', 'абцдефгхийклмнопярстужвьызъ')"
-
-
 def cyrillic(c):
     """Latin letters as Cyrillic ones, other letters and marks dropped."""
     plain = F.regexp_replace(c, r"[^\x00-\x7F]", "")
@@ -289,7 +283,12 @@ def replace_table(spark, sf):
     return table.read()
 
 
-@query("create_tables")
+@query(
+    "create_tables",
+    " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, " + ("count(*)" if name == "incident_description" else "count(*) * 0") + " AS rows FROM orders" for name in TABLE_COLUMNS
+    ),
+)
 def create_tables(spark, sf):
     """All fixed tables created, the incident list of the driver's orders inserted, and every table counted."""
     tables = store.create_tables(spark, scratch_path(spark, "lake"))
@@ -301,84 +300,95 @@ def create_tables(spark, sf):
 
 # ---- edits, snapshots, audit -------------------------------------------------------------------------------
 
-NATION_SCHEMA = "n_nationkey int, n_name string, n_regionkey int"
+PERSON_SCHEMA = "id bigint, name string, nation int"
 
 
-def edited_nations(spark, sf):
-    """A versioned copy of the orders table's customers' nations after an insert, a batch save and a delete."""
-    table = _table(spark, "nation_log", NATION_SCHEMA)
+def people(spark, sf):
+    return load(spark, sf, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_nationkey").alias("nation"))
+
+
+def edited_people(spark, sf):
+    """A versioned copy of the customers after two inserts (snapshots 1, 2), a batch save (3) and a delete (4)."""
+    table = _table(spark, "people", PERSON_SCHEMA)
     log = scratch_path(spark, "change_log")
     user = store.AuditedTable(table, log, "expert", "EXPERT", 7)
-    nation = load(spark, sf, "nation")
+    rows = people(spark, sf)
     table.create()
-    user.insert_rows(nation)
-    user.insert_rows(nation.select((F.col("n_nationkey") + 100).alias("n_nationkey"), F.lower("n_name").alias("n_name"), "n_regionkey"))
-    edits = nation.select(
-        "n_nationkey",
-        F.when(F.col("n_nationkey") % 2 == 0, F.concat(F.col("n_name"), F.lit("*"))).alias("n_name"),
-        F.lit(None).cast("int").alias("n_regionkey"),
-        F.when(F.col("n_nationkey") % 2 == 0, F.array(F.lit("n_name"))).otherwise(F.array(F.lit("n_regionkey"))).alias("changed"),
-    ).where("n_nationkey % 3 = 0")
-    user.save_rows("n_nationkey", edits)
-    user.delete_rows("n_nationkey", nation.where("n_nationkey % 5 = 0").select("n_nationkey"))
+    user.insert_rows(rows)
+    user.insert_rows(rows.select((-1 - F.col("id")).alias("id"), F.lower("name").alias("name"), "nation"))
+    even = F.col("id") % 2 == 0
+    edits = rows.where("id % 3 = 0").select(
+        "id",
+        F.when(even, F.concat(F.col("name"), F.lit("*"))).alias("name"),
+        F.lit(None).cast("int").alias("nation"),
+        F.when(even, F.array(F.lit("name"))).otherwise(F.array(F.lit("nation"))).alias("changed"),
+    )
+    user.save_rows("id", edits)
+    user.delete_rows("id", rows.where("id % 5 = 0").select("id"))
     return table, user, log
 
 
-_SAVED_SQL = """SELECT n_nationkey, CASE WHEN n_nationkey % 6 = 0 THEN n_name || '*' ELSE n_name END AS n_name,
-    CASE WHEN n_nationkey % 6 = 3 THEN NULL ELSE n_regionkey END AS n_regionkey FROM nation"""
-_INSERTED_SQL = "SELECT n_nationkey + 100 AS n_nationkey, lower(n_name) AS n_name, n_regionkey FROM nation"
+_PEOPLE_SQL = "SELECT c_custkey AS id, c_name AS name, c_nationkey AS nation FROM customer"
+_SAVED_SQL = """SELECT c_custkey AS id, CASE WHEN c_custkey % 6 = 0 THEN c_name || '*' ELSE c_name END AS name,
+    CASE WHEN c_custkey % 6 = 3 THEN NULL ELSE c_nationkey END AS nation FROM customer"""
+_INSERTED_SQL = "SELECT -1 - c_custkey AS id, lower(c_name) AS name, c_nationkey AS nation FROM customer"
 
 
-@query("insert_rows", f"SELECT * FROM nation UNION ALL {_INSERTED_SQL}")
+@query("insert_rows", f"{_PEOPLE_SQL} UNION ALL {_INSERTED_SQL}")
 def insert_rows(spark, sf):
-    table, _, _ = edited_nations(spark, sf)
+    table, _, _ = edited_people(spark, sf)
     return table.read(2)
 
 
 @query("update_by_key", f"{_SAVED_SQL} UNION ALL {_INSERTED_SQL}")
 def update_by_key(spark, sf):
-    table, _, _ = edited_nations(spark, sf)
+    table, _, _ = edited_people(spark, sf)
     return table.read(3)
 
 
-@query("delete_by_key", f"SELECT * FROM ({_SAVED_SQL}) WHERE n_nationkey % 5 <> 0 UNION ALL {_INSERTED_SQL}")
+@query("delete_by_key", f"SELECT * FROM ({_SAVED_SQL}) WHERE id % 5 <> 0 UNION ALL {_INSERTED_SQL}")
 def delete_by_key(spark, sf):
-    table, _, _ = edited_nations(spark, sf)
+    table, _, _ = edited_people(spark, sf)
     return table.read()
 
 
-@query("rollback", f"SELECT * FROM nation UNION ALL {_INSERTED_SQL}")
+@query("rollback", f"{_PEOPLE_SQL} UNION ALL {_INSERTED_SQL}")
 def rollback(spark, sf):
-    table, user, log = edited_nations(spark, sf)
+    table, user, log = edited_people(spark, sf)
     store.AuditedTable(table, log, "admin", "ADMIN", 1).rollback(2)
     return table.read()
 
 
+_N = "(SELECT count(*) AS n, count(*) FILTER (c_custkey % 5 = 0) AS gone FROM customer)"
+
+
 @query(
     "list_snapshots",
-    """SELECT * FROM (VALUES (4, 3, 'DELETE', 45), (3, 2, 'SAVE', 50), (2, 1, 'INSERT', 50), (1, 0, 'INSERT', 25), (0, NULL, 'CREATE', 0)) t(snapshot_id, parent_id, operation, row_count)
-       WHERE EXISTS (SELECT 1 FROM nation)""",
+    f"""SELECT 4 AS snapshot_id, 3 AS parent_id, 'DELETE' AS operation, 2 * n - gone AS row_count FROM {_N} UNION ALL SELECT 3, 2, 'SAVE', 2 * n FROM {_N}
+        UNION ALL SELECT 2, 1, 'INSERT', 2 * n FROM {_N} UNION ALL SELECT 1, 0, 'INSERT', n FROM {_N} UNION ALL SELECT 0, NULL, 'CREATE', 0 FROM {_N}""",
 )
 def list_snapshots(spark, sf):
-    table, _, _ = edited_nations(spark, sf)
+    table, _, _ = edited_people(spark, sf)
     return table.list_snapshots(10).select("snapshot_id", "parent_id", "operation", "row_count")
 
 
-@query("latest_snapshot", "SELECT CAST(4 AS BIGINT) AS snapshot_id, count(*) * 2 - 5 AS rows FROM nation")
+@query("latest_snapshot", f"SELECT CAST(4 AS BIGINT) AS snapshot_id, 2 * n - gone AS row_count FROM {_N}")
 def latest_snapshot(spark, sf):
-    table, _, _ = edited_nations(spark, sf)
-    rows = table.read().agg(F.count("*").alias("rows"))
-    return table.latest_snapshot().join(rows, F.lit(True))
+    table, _, _ = edited_people(spark, sf)
+    return table.latest_snapshot().join(table.manifest().select("snapshot_id", "row_count"), "snapshot_id")
 
 
 @query(
     "change_log",
-    """SELECT * FROM (VALUES ('INSERT', 0, 1), ('INSERT', 1, 2), ('SAVE', 2, 3), ('DELETE', 3, 4), ('ROLLBACK', 4, 5)) t(action, snapshot_before, snapshot_after)""",
+    f"""SELECT 'INSERT' AS action, 0 AS snapshot_before, 1 AS snapshot_after, n AS rows_after FROM {_N} UNION ALL SELECT 'INSERT', 1, 2, 2 * n FROM {_N} UNION ALL SELECT 'SAVE', 2, 3, 2 * n FROM {_N}
+        UNION ALL SELECT 'DELETE', 3, 4, 2 * n - gone FROM {_N} UNION ALL SELECT 'ROLLBACK', 4, 5, n FROM {_N}""",
 )
 def change_log(spark, sf):
-    table, _, log = edited_nations(spark, sf)
+    """The log of all edits and a rollback, with the table size each left behind."""
+    table, _, log = edited_people(spark, sf)
     store.AuditedTable(table, log, "admin", "ADMIN", 1).rollback(1)
-    return store.read_change_log(spark, log).select("action", "snapshot_before", "snapshot_after")
+    sizes = table.manifest().select(F.col("snapshot_id").alias("snapshot_after"), F.col("row_count").alias("rows_after"))
+    return store.read_change_log(spark, log).select("action", "snapshot_before", "snapshot_after").join(sizes, "snapshot_after")
 
 
 _ACTION_SQL = "CASE event_type WHEN 'click' THEN 'SAVE' WHEN 'view' THEN 'UPDATE' WHEN 'purchase' THEN 'INSERT' WHEN 'error' THEN 'DELETE' ELSE 'ROLLBACK' END"
