@@ -8,12 +8,15 @@ from pyspark.sql import functions as F
 from adit.functions import vocabulary as V
 
 
-def classify(c: Column, classes, default: Column | str | None = None) -> Column:
-    """Label of the first (word, label) pair whose word occurs in the text, ignoring case."""
-    folded = F.lower(c)
+def classify(c: Column, classes, default: Column | str | None = None, folded: bool = False) -> Column:
+    """Label of the first (word, label) pair whose word occurs in the text, ignoring case.
+
+    `folded` says that the text is in lower case already.
+    """
+    text = c if folded else F.lower(c)
     chain = None
     for word, label in classes:
-        hit = folded.contains(word.lower())
+        hit = text.contains(word.lower())
         chain = F.when(hit, label) if chain is None else chain.when(hit, label)
     return chain.otherwise(default if isinstance(default, Column) else F.lit(default))
 
@@ -23,9 +26,9 @@ def classify_groups(c: Column, groups) -> Column:
     return classify(c, [(word, label) for label, words in groups for word in words])
 
 
-def first_word(c: Column, words) -> Column:
+def first_word(c: Column, words, folded: bool = False) -> Column:
     """The first word of the list (in list order) that occurs in the text."""
-    return classify(c, [(w, w) for w in words])
+    return classify(c, [(w, w) for w in words], folded=folded)
 
 
 def equipment_class(name: Column) -> Column:

@@ -87,10 +87,10 @@ def distinct_text(values: Column, limit: int | None = None, separator: str = ";
     return F.nullif(F.array_join(kept, separator), F.lit(""))
 
 
-def contains_any(c: Column, words: list[str] | tuple[str, ...]) -> Column:
+def contains_any(c: Column, words: list[str] | tuple[str, ...], folded: bool = False) -> Column:
     """True when the lower-cased text holds any of the words."""
     alternatives = "|".join(_literal(w.lower()) for w in words)
-    return F.lower(c).rlike(alternatives)
+    return (c if folded else F.lower(c)).rlike(alternatives)
 
 
 def _literal(word: str) -> str:

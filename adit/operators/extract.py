@@ -151,7 +151,7 @@ def pipe_table(docs: DataFrame, layout: TableLayout, keep: list[str] | None = No
     named = lines.select(
         *cols,
         "table_no",
-        F.transform(tx.table_cells(F.col("_lines")[0]), lambda h: classify(h, pairs)).alias("_names"),
+        F.transform(tx.table_cells(F.lower(F.col("_lines")[0])), lambda h: classify(h, pairs, folded=True)).alias("_names"),
         F.filter(
             F.slice("_lines", 2, F.size("_lines")), lambda x: is_table_row(x, layout.skip_words)
         ).alias("_rows"),

@@ -76,24 +76,18 @@ def keyword_facts(sentences: DataFrame, hypotheses) -> DataFrame:
 
     The word list is fixed, so it becomes an expression: no pairing of sentences with words.
     """
-    sentence = F.col("sentence")
     every_word = [w for _, words in hypotheses for w in words]
-    hits = F.array_compact(
-        F.array(
-            *[
-                F.when(
-                    first_word(sentence, words).isNotNull(),
-                    F.struct(
-                        F.lit(hid).alias("hypotesis_id"),
-                        F.lit(rank).alias("hyp_rank"),
-                        first_word(sentence, words).alias("keyword"),
-                    ),
-                )
-                for rank, (hid, words) in enumerate(hypotheses)
-            ]
-        )
+    folded = sentences.withColumn("_folded", F.lower("sentence")).where(tx.contains_any(F.col("_folded"), every_word, folded=True))
+    words_found = folded.select(
+        "*", *[first_word(F.col("_folded"), words, folded=True).alias(f"_word_{i}") for i, (_, words) in enumerate(hypotheses)]
+    )
+    hits = F.array(
+        *[
+            F.struct(F.lit(hid).alias("hypotesis_id"), F.lit(i).alias("hyp_rank"), F.col(f"_word_{i}").alias("keyword"))
+            for i, (hid, _) in enumerate(hypotheses)
+        ]
     )
-    return sentences.where(tx.contains_any(sentence, every_word)).select("*", F.inline(hits))
+    return words_found.select(*sentences.columns, F.inline(F.filter(hits, lambda h: h["keyword"].isNotNull())))
 
 
 CENTROIDS_PER_PASS = 256

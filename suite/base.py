@@ -7,6 +7,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from adit.session import spread
+
 
 @dataclass(frozen=True)
 class Query:
@@ -34,6 +36,11 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 
+def load_spread(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """The same for queries that are all text work: a table in few splits is spread over the cores."""
+    return spread(load(spark, sf_dir, table))
+
+
 def sql_round(expr: str, digits: int) -> str:
     """DuckDB rounding of a double on its shortest decimal form, half away from zero, as Spark rounds."""
     return f"(CAST(round(CAST(CAST(({expr}) AS VARCHAR) AS DECIMAL(38,26)), {digits}) AS DOUBLE) + 0.0)"

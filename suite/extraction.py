@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from adit.functions import text as T
 from adit.operators import extract as X
 from adit.operators import routing as R
-from suite.base import load, query
+from suite.base import load, load_spread, query
 
 # Word lists for the driver's invented prose.
 EVENT_WORDS = ("eau", "sch", "ción", "tion")
@@ -34,7 +34,7 @@ def sql_sentences(min_len: int, source: str = "documents", key: str = "doc_id",
 
 
 def documents(spark, sf):
-    return load(spark, sf, "documents").select("doc_id", "text")
+    return load_spread(spark, sf, "documents").select("doc_id", "text")
 
 
 @query("lines", f"WITH {SQL_LINES} SELECT doc_id, line_no, md5(line) AS h FROM lines")
@@ -109,7 +109,7 @@ def pipe_table(spark, sf):
 )
 def table_row_filter(spark, sf):
     text = F.replace(F.replace("html", F.lit("<"), F.lit("\n|")), F.lit(">"), F.lit("|"))
-    rows = X.to_lines(load(spark, sf, "pages").select("page_id", text.alias("text")))
+    rows = X.to_lines(load_spread(spark, sf, "pages").select("page_id", text.alias("text")))
     return (
         rows.where(X.is_table_row(F.col("line"), ("div",)))
         .groupBy("page_id")
@@ -134,7 +134,7 @@ PAGE_FIELDS = {
          FROM pages""",
 )
 def first_match(spark, sf):
-    return X.labelled_fields(load(spark, sf, "pages").select("page_id", F.col("html").alias("text")), PAGE_FIELDS)
+    return X.labelled_fields(load_spread(spark, sf, "pages").select("page_id", F.col("html").alias("text")), PAGE_FIELDS)
 
 
 @query(
@@ -144,7 +144,7 @@ def first_match(spark, sf):
         SELECT page_id, match, CAST(row_number() OVER (PARTITION BY page_id ORDER BY min(i)) - 1 AS BIGINT) AS pos FROM u GROUP BY page_id, match""",
 )
 def all_matches(spark, sf):
-    pages = load(spark, sf, "pages").select("page_id", F.col("html").alias("text"))
+    pages = load_spread(spark, sf, "pages").select("page_id", F.col("html").alias("text"))
     return X.all_matches(pages, [r'href="([^"]+)"', r"<([a-z0-9]+)[ >]"]).select(
         "page_id", "match", F.col("pos").cast("bigint")
     )
@@ -158,7 +158,7 @@ def all_matches(spark, sf):
 )
 def split_blocks(spark, sf):
     text = F.replace("html", F.lit("<li>"), F.lit("\n<li>"))
-    blocks = X.split_blocks(load(spark, sf, "pages").select("page_id", text.alias("text")), "<li>")
+    blocks = X.split_blocks(load_spread(spark, sf, "pages").select("page_id", text.alias("text")), "<li>")
     joined = F.concat("head", F.when(F.col("body") != "", F.concat(F.lit("\n"), "body")).otherwise(F.lit("")))
     return blocks.select(
         "page_id",
@@ -292,7 +292,7 @@ _RULES_SQL = """routed AS (
 
 def page_files(spark, sf):
     bare = F.regexp_replace(F.lower(F.regexp_replace("url", "^[a-z]+://", "")), "[?#].*$", "")
-    return load(spark, sf, "pages").select(
+    return load_spread(spark, sf, "pages").select(
         "page_id", F.concat(bare, F.when(F.col("page_id") % 9 == 0, "?ref=x").otherwise("")).alias("file_name")
     )
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from adit.plans import measurements, narrative, registers  # noqa: F401  (they register the jobs)
 from adit.plans.registry import run_job
+from adit.session import spread
 from suite.base import load, query, sql_plain, sql_round
 
 
@@ -23,7 +24,7 @@ def text(*lines):
 
 
 def docs(rows, key, name, body):
-    return rows.select(key.cast("string").alias("incident_id"), name.alias("source_file"), body.alias("text"))
+    return spread(rows).select(key.cast("string").alias("incident_id"), name.alias("source_file"), body.alias("text"))
 
 
 def pick(*options):

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from adit.functions import measures as M
 from adit.operators import joins, metrics
-from suite.base import load, query, sql_plain, sql_round
+from suite.base import load, load_spread, query, sql_plain, sql_round
 from suite.relational import DAY
 
 # ---- telemetry ---------------------------------------------------------------------------------------------
@@ -104,7 +104,7 @@ SQL_CONCLUSION = f"""coalesce(nullif(concat_ws('; ',
 @query("gas_conclusion", f"WITH {SQL_AIR}, {SQL_RATIOS} SELECT {_KEY}, {SQL_CONCLUSION} AS conclusion FROM ratios")
 def gas_conclusion(spark, sf):
     said = M.gas_conclusion(F.col("ch4"), F.col("o2"), F.col("r1"), F.col("r2"), F.col("r3"))
-    return with_ratios(air(load(spark, sf, "lineitem"))).select(*KEY, said.alias("conclusion"))
+    return with_ratios(air(load_spread(spark, sf, "lineitem"))).select(*KEY, said.alias("conclusion"))
 
 
 @query("gas_anomaly", f"SELECT {_KEY}, CASE WHEN l_discount * 20 >= 1.0 THEN 1 ELSE 0 END AS anomaly FROM lineitem")

@@ -8,7 +8,7 @@ from adit.operators import access, aggregates, joins, merge, ordered
 from adit.operators import extract as X
 from adit.functions import numbers as N
 from adit.functions import text as T
-from suite.base import load, query, sql_round
+from suite.base import load, load_spread, query
 from suite.extraction import HYPOTHESES, documents, sql_sentences
 
 # ---- joins -------------------------------------------------------------------------------------------------
@@ -385,7 +385,7 @@ def cap_per_group(spark, sf):
 )
 def truncate_text(spark, sf):
     text = F.col("text")
-    return load(spark, sf, "documents").select(
+    return load_spread(spark, sf, "documents").select(
         "doc_id", F.md5(T.truncate(text, 500)).alias("short"), F.md5(T.truncate(text, 120, "...")).alias("marked")
     )
 
@@ -426,7 +426,7 @@ def dedupe_first(spark, sf):
         SELECT doc_id, md5(string_agg(x, '; ' ORDER BY i)) AS words FROM f GROUP BY doc_id""",
 )
 def array_distinct(spark, sf):
-    return load(spark, sf, "documents").select("doc_id", F.md5(T.distinct_text(F.split("text", " ", -1))).alias("words")).where(
+    return load_spread(spark, sf, "documents").select("doc_id", F.md5(T.distinct_text(F.split("text", " ", -1))).alias("words")).where(
         F.col("words").isNotNull()
     )
 

@@ -8,7 +8,7 @@ from adit.functions import classify as C
 from adit.functions import dates as D
 from adit.functions import numbers as N
 from adit.functions import text as T
-from suite.base import load, query, sql_round
+from suite.base import load, load_spread, query, sql_round
 
 SPACE = r"[\s\x0B\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 
@@ -20,7 +20,7 @@ def sql_clean(expr: str) -> str:
 @query("clean_text", f"SELECT doc_id, md5({sql_clean('text')}) AS h, length({sql_clean('text')}) AS n FROM documents")
 def clean_text(spark, sf):
     clean = T.clean_whitespace(F.col("text"))
-    return load(spark, sf, "documents").select("doc_id", F.md5(clean).alias("h"), F.length(clean).cast("bigint").alias("n"))
+    return load_spread(spark, sf, "documents").select("doc_id", F.md5(clean).alias("h"), F.length(clean).cast("bigint").alias("n"))
 
 
 _special = sql_clean(rf"regexp_replace(text, '[^а-яА-Яa-zA-Z0-9\.\s\x0B\x1C-\x1F\x{{85}}\x{{A0}}\x{{1680}}\x{{2000}}-\x{{200A}}\x{{2028}}\x{{2029}}\x{{202F}}\x{{205F}}\x{{3000}}]', '', 'g')")
@@ -30,7 +30,7 @@ _letters = sql_clean(r"regexp_replace(text, '[^а-яА-Яa-zA-Z\s\x0B\x1C-\x1F\x
 @query("strip_special", f"SELECT doc_id, md5({_special}) AS kept, md5({_letters}) AS letters FROM documents")
 def strip_special(spark, sf):
     text = F.col("text")
-    return load(spark, sf, "documents").select(
+    return load_spread(spark, sf, "documents").select(
         "doc_id",
         F.md5(T.strip_special(text)).alias("kept"),
         F.md5(T.strip_special(text, keep_dots=False, keep_digits=False)).alias("letters"),
@@ -39,7 +39,7 @@ def strip_special(spark, sf):
 
 @query("fold_case", "SELECT doc_id, md5(coalesce(replace(lower(text), 'ё', 'е'), '')) AS h FROM documents")
 def fold_case(spark, sf):
-    return load(spark, sf, "documents").select("doc_id", F.md5(T.fold_case(F.col("text"))).alias("h"))
+    return load_spread(spark, sf, "documents").select("doc_id", F.md5(T.fold_case(F.col("text"))).alias("h"))
 
 
 @query(
@@ -51,7 +51,7 @@ def fold_case(spark, sf):
 )
 def extract_numbers(spark, sf):
     text = F.col("text")
-    return load(spark, sf, "documents").select(
+    return load_spread(spark, sf, "documents").select(
         "doc_id",
         F.size(N.extract_numbers(text)).cast("bigint").alias("n"),
         N.first_number(text).alias("first_number"),
@@ -67,7 +67,7 @@ _brackets = sql_clean(r"regexp_replace(regexp_replace(text, '\([^)]*\)', '', 'g'
 @query("drop_brackets", f"SELECT doc_id, md5({_brackets}) AS h, length({_brackets}) AS n FROM documents")
 def drop_brackets(spark, sf):
     bare = T.drop_brackets(F.col("text"))
-    return load(spark, sf, "documents").select("doc_id", F.md5(bare).alias("h"), F.length(bare).cast("bigint").alias("n"))
+    return load_spread(spark, sf, "documents").select("doc_id", F.md5(bare).alias("h"), F.length(bare).cast("bigint").alias("n"))
 
 
 @query(
@@ -132,7 +132,7 @@ def to_int(spark, sf):
         .when(key % 3 == 1, F.concat(F.lit("от -"), cust, F.lit(" м")))
         .otherwise("чел.")
     )
-    return load(spark, sf, "orders").select("o_orderkey", N.to_int(written).alias("v"))
+    return load_spread(spark, sf, "orders").select("o_orderkey", N.to_int(written).alias("v"))
 
 
 def written_date(stamp, kind):
@@ -154,7 +154,7 @@ def written_date(stamp, kind):
 )
 def parse_date(spark, sf):
     written = written_date(F.col("o_orderdate"), F.col("o_orderkey") % 5)
-    return load(spark, sf, "orders").select(
+    return load_spread(spark, sf, "orders").select(
         "o_orderkey",
         D.iso_date(written).alias("iso"),
         D.is_date(written).cast("int").alias("is_date"),
@@ -175,7 +175,7 @@ def parse_timestamp(spark, sf):
         .when(kind == 2, F.date_format(ts, "HH:mm:ss"))
         .otherwise(F.date_format(ts, "dd.MM.yyyy HH:mm"))
     )
-    return load(spark, sf, "events").select("event_id", D.iso_timestamp(written).alias("stamp"))
+    return load_spread(spark, sf, "events").select("event_id", D.iso_timestamp(written).alias("stamp"))
 
 
 @query(
@@ -185,7 +185,7 @@ def parse_timestamp(spark, sf):
 def extract_date(spark, sf):
     kind = F.col("o_orderkey") % 3
     inside = F.concat(F.lit("Заказ "), F.col("o_orderpriority"), F.lit(" от "), written_date(F.col("o_orderdate"), kind), F.lit(" года"))
-    return load(spark, sf, "orders").select("o_orderkey", F.date_format(D.extract_date(inside), "yyyy-MM-dd").alias("iso"))
+    return load_spread(spark, sf, "orders").select("o_orderkey", F.date_format(D.extract_date(inside), "yyyy-MM-dd").alias("iso"))
 
 
 @query(
@@ -196,7 +196,7 @@ def extract_date(spark, sf):
          || ' ' || year(ts) || ' г. ' || strftime(ts, '%H:%M:%S') AS full_text FROM events""",
 )
 def format_date_text(spark, sf):
-    return load(spark, sf, "events").select(
+    return load_spread(spark, sf, "events").select(
         "event_id",
         D.format_date_text(F.col("ts")).alias("day_text"),
         D.format_date_text(F.col("ts"), with_time=True).alias("full_text"),
@@ -212,7 +212,7 @@ def shift_class(spark, sf):
     written = (
         F.when(kind == 0, "Первая").when(kind == 1, "2 смена").when(kind == 2, "3-я").when(kind == 3, "ЧЕТВЕРТАЯ").when(kind == 4, "ночная").otherwise("")
     )
-    return load(spark, sf, "orders").select("o_orderkey", C.shift_class(written).alias("shift"))
+    return load_spread(spark, sf, "orders").select("o_orderkey", C.shift_class(written).alias("shift"))
 
 
 @query(
@@ -231,7 +231,7 @@ def classify_text(spark, sf):
 )
 def unit_lookup(spark, sf):
     kind = C.classify(F.col("event_type"), (("click", "CH4"), ("view", "CO"), ("purchase", "SPEED"), ("error", "PRESSURE")))
-    return load(spark, sf, "events").select("event_id", C.unit_of(kind).alias("unit"))
+    return load_spread(spark, sf, "events").select("event_id", C.unit_of(kind).alias("unit"))
 
 
 @query(
@@ -242,7 +242,7 @@ def unit_lookup(spark, sf):
 def yes_no_flag(spark, sf):
     status = F.col("o_orderstatus")
     written = F.when(status == "F", "Да").when(status == "O", " не выполнено ").otherwise("?")
-    return load(spark, sf, "orders").select(
+    return load_spread(spark, sf, "orders").select(
         "o_orderkey", C.yes_no(written, default=1).alias("done"), C.yes_no(written, default=0).alias("spray")
     )
 
@@ -297,4 +297,4 @@ def query_target(spark, sf):
     sql = F.when(F.col("o_orderkey") % 4 == 3, "SHOW TABLES").otherwise(
         F.concat(F.lit("select a, b\nFROM  "), table, F.lit(" WHERE x = "), F.col("o_orderkey").cast("string"))
     )
-    return load(spark, sf, "orders").select("o_orderkey", target(sql).alias("target"))
+    return load_spread(spark, sf, "orders").select("o_orderkey", target(sql).alias("target"))

@@ -11,7 +11,7 @@ from adit.schemas import TABLE_COLUMNS
 from adit.session import scratch_path
 from adit.sources import delimited, events, files, records
 from adit.tables import catalog, conform, store
-from suite.base import load, query
+from suite.base import load, load_spread, query
 from suite.measures import KEY, sensor
 
 # ---- sources -----------------------------------------------------------------------------------------------
@@ -68,7 +68,7 @@ def decode_text(spark, sf):
     as_latin = "".join(chr(letter.encode("windows-1251")[0]) for letter in letters)
     single = F.encode(F.translate(cyrillic(F.col("text")), letters, as_latin), "ISO-8859-1")
     content = F.when(F.col("doc_id") % 2 == 0, F.encode("text", "UTF-8")).otherwise(single)
-    return load(spark, sf, "documents").select("doc_id", F.md5(files.decode_text(content)).alias("h"))
+    return load_spread(spark, sf, "documents").select("doc_id", F.md5(files.decode_text(content)).alias("h"))
 
 
 _CSV_SQL = r"""SELECT event_id, CASE event_id % 2 WHEN 0 THEN strftime(ts, '%Y-%m-%d %H:%M:%S') ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S') END AS record_dttm,
