@@ -17,6 +17,9 @@ from adit.functions.classify import classify
 
 RULER = r"^[\s|=*:+-]*$"
 
+# Arrays are exploded with the outer form and null pieces dropped afterwards: for the inner form the optimizer
+# adds a "not empty" filter that would cut the whole text a second time.
+
 
 def _keep(df: DataFrame, keep: list[str] | None, *dropped: str) -> list[str]:
     return list(keep) if keep is not None else [c for c in df.columns if c not in dropped]
@@ -25,7 +28,7 @@ def _keep(df: DataFrame, keep: list[str] | None, *dropped: str) -> list[str]:
 def to_lines(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """One row per line, numbered from 0."""
     cols = _keep(docs, keep, "text")
-    return docs.select(*cols, F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
+    return docs.select(*cols, F.posexplode_outer(F.split("text", "\n", -1)).alias("line_no", "line")).where("line is not null")
 
 
 def sentences_of(text: Column, min_len: int) -> Column:
@@ -37,7 +40,8 @@ def sentences_of(text: Column, min_len: int) -> Column:
 
 def to_sentences(docs: DataFrame, min_len: int = 20, keep: list[str] | None = None) -> DataFrame:
     cols = _keep(docs, keep, "text")
-    return docs.select(*cols, F.posexplode(sentences_of(F.col("text"), min_len)).alias("pos", "sentence"))
+    cut = docs.select(*cols, F.posexplode_outer(sentences_of(F.col("text"), min_len)).alias("pos", "sentence"))
+    return cut.where("sentence is not null")
 
 
 def line_blocks(text: Column, marker: str, anchored: bool = False) -> Column:
@@ -53,7 +57,7 @@ def line_blocks(text: Column, marker: str, anchored: bool = False) -> Column:
 def split_blocks(docs: DataFrame, marker: str, keep: list[str] | None = None, anchored: bool = False) -> DataFrame:
     """One row per marked block: `block_no` from 1, `head` (the marker line) and `body` (the lines after it)."""
     cols = _keep(docs, keep, "text")
-    found = docs.select(*cols, F.posexplode(line_blocks(F.col("text"), marker, anchored)).alias("block_no", "_block"))
+    found = docs.select(*cols, F.posexplode_outer(line_blocks(F.col("text"), marker, anchored)).alias("block_no", "_block"))
     return found.where("block_no > 0").select(
         *cols,
         "block_no",
@@ -73,7 +77,7 @@ def sections(docs: DataFrame, markers: list[tuple[str, str]], keep: list[str] |
     for literal, state in markers:
         hit = F.col("_head").contains(literal)
         chain = F.when(hit, F.lit(state)) if chain is None else chain.when(hit, F.lit(state))
-    blocks = docs.select(*cols, F.posexplode(line_blocks(F.col("text"), marker)).alias("block_no", "_block"))
+    blocks = docs.select(*cols, F.posexplode_outer(line_blocks(F.col("text"), marker)).alias("block_no", "_block"))
     inside = (
         blocks.where("block_no > 0")
         .withColumn("_head", F.substring_index("_block", "\n", 1))
@@ -81,7 +85,8 @@ def sections(docs: DataFrame, markers: list[tuple[str, str]], keep: list[str] |
         .where(F.col("state").isNotNull())
     )
     rest = F.slice("_lines", 2, F.size("_lines"))
-    return inside.select(*cols, "block_no", "state", F.posexplode(rest).alias("line_no", "line"))
+    lines = inside.select(*cols, "block_no", "state", F.posexplode_outer(rest).alias("line_no", "line"))
+    return lines.where("line is not null")
 
 
 TIME_MARK = r"\d{2}:\d{2}:\d{2}|\d+\s*ч\s*\d+\s*мин"
@@ -143,7 +148,7 @@ def pipe_table(docs: DataFrame, layout: TableLayout, keep: list[str] | None = No
     """
     cols = _keep(docs, keep, "text")
     tables = docs.select(
-        *cols, F.posexplode(line_blocks(F.col("text"), layout.header_regex)).alias("table_no", "_block")
+        *cols, F.posexplode_outer(line_blocks(F.col("text"), layout.header_regex)).alias("table_no", "_block")
     ).where("table_no > 0")
 
     pairs = [(word, name) for name, words in layout.columns for word in words]
@@ -163,8 +168,8 @@ def pipe_table(docs: DataFrame, layout: TableLayout, keep: list[str] | None = No
         *[F.nullif(F.array_position("_names", n), F.lit(0)).cast("int").alias(f"_at_{n}") for n in layout.names],
     )
     rows = placed.select(
-        *cols, "table_no", *[f"_at_{n}" for n in layout.names], F.posexplode("_rows").alias("row_no", "_line")
-    )
+        *cols, "table_no", *[f"_at_{n}" for n in layout.names], F.posexplode_outer("_rows").alias("row_no", "_line")
+    ).where("_line is not null")
     cells = rows.withColumn("_cells", tx.table_cells(F.col("_line"))).where(F.size("_cells") >= layout.min_cells)
     return cells.select(
         *cols,
@@ -185,7 +190,7 @@ def all_matches(docs: DataFrame, patterns: list[str], group: int = 1, keep: list
     """One row per distinct regex hit of a document, in pattern order, then text order."""
     cols = _keep(docs, keep, "text")
     hits = F.array_distinct(F.transform(tx.all_matches(F.col("text"), patterns, group), tx.strip))
-    return docs.select(*cols, F.posexplode(hits).alias("pos", "match")).where("match <> ''")
+    return docs.select(*cols, F.posexplode_outer(hits).alias("pos", "match")).where("match <> ''")
 
 
 ITEM = r"^\s*\d+\.\s*(.+)$"
@@ -204,7 +209,7 @@ def bullet_facts(blocks: DataFrame, text: str = "body", min_len: int = 10, keep:
     cols = _keep(blocks, keep, text)
     parts = F.split(F.concat(F.lit("\n"), F.col(text)), r"\n\s*[-•]\s+", -1)
     facts = F.transform(F.slice(parts, 2, F.size(parts)), lambda x: tx.strip(F.regexp_replace(x, r"(?s)\n\s*\n.*$", "")))
-    return blocks.select(*cols, F.posexplode(facts).alias("fact_no", "fact")).where(F.length("fact") >= min_len)
+    return blocks.select(*cols, F.posexplode_outer(facts).alias("fact_no", "fact")).where(F.length("fact") >= min_len)
 
 
 def sentences_with(text: Column, words, limit: int | None = None) -> Column:
