@@ -13,7 +13,7 @@ import time
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -103,25 +103,28 @@ class SnapshotTable:
         rows = self.spark.read.schema(full).option("basePath", f"{self.path}/data").parquet(*folders)
         return rows.select(*self.schema.names, "v")
 
-    def _write(self, df: DataFrame) -> tuple[int, int]:
-        """Write rows to a new folder. The rebalance gives even files and splits a hot partition over tasks."""
+    def _write(self, df: DataFrame) -> tuple[list[int], int]:
+        """Write rows to a new folder; returns it (or nothing for no rows) and the row count.
+
+        The rebalance gives even files and splits a hot partition over tasks. The count comes from the footers
+        of what was written.
+        """
         version = time.time_ns()
         rows = conform(df, self.schema)
-        watch = Observation()
-        counted = rows.observe(watch, F.count(F.lit(1)).alias("n"))
         if self.partition:
-            writer = counted.hint("rebalance", self.partition).write.partitionBy(self.partition)
+            writer = rows.hint("rebalance", self.partition).write.partitionBy(self.partition)
         else:
-            writer = counted.hint("rebalance").write
+            writer = rows.hint("rebalance").write
         writer.parquet(f"{self.path}/data/v={version}")
-        return version, watch.get["n"]
+        written = self._read([version]).count()
+        return ([version] if written else []), written
 
     def append(self, df: DataFrame, operation: str = "INSERT") -> int:
         """Add rows: one new folder, nothing is rewritten."""
         self.create()
         head = self.current()
-        version, added = self._write(df)
-        return self._commit(operation, [*head.versions, version], head, head.row_count + added)
+        added, count = self._write(df)
+        return self._commit(operation, [*head.versions, *added], head, head.row_count + count)
 
     def replace(self, df: DataFrame) -> int | None:
         """Full refresh; an empty input leaves the table as it is."""
@@ -129,8 +132,8 @@ class SnapshotTable:
         if df.isEmpty():
             return None
         head = self.current()
-        version, rows = self._write(df)
-        return self._commit("REPLACE", [version], head, rows)
+        added, count = self._write(df)
+        return self._commit("REPLACE", added, head, count)
 
     def _touched(self, rows: DataFrame, keys: DataFrame, key: str) -> list[int]:
         """Folders holding any of the keys; reads the key column only."""
@@ -160,9 +163,9 @@ class SnapshotTable:
                 for c in self.schema.names
             ]
         )
-        version, _ = self._write(merged)
+        added, _ = self._write(merged)
         kept = [v for v in head.versions if v not in touched]
-        return self._commit(operation, [*kept, version], head, head.row_count)
+        return self._commit(operation, [*kept, *added], head, head.row_count)
 
     def delete_by_key(self, key: str, keys: DataFrame) -> int:
         head = self.current()
@@ -170,10 +173,10 @@ class SnapshotTable:
         if not touched:
             return head.snapshot_id
         affected = self._read(touched).drop("v")
-        version, left = self._write(affected.join(keys.select(key), key, "left_anti"))
+        added, left = self._write(affected.join(keys.select(key), key, "left_anti"))
         gone = affected.count() - left
         kept = [v for v in head.versions if v not in touched]
-        return self._commit("DELETE", [*kept, version], head, head.row_count - gone)
+        return self._commit("DELETE", [*kept, *added], head, head.row_count - gone)
 
     # ---- history ----
 
