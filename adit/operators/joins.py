@@ -87,7 +87,8 @@ def keyword_facts(sentences: DataFrame, hypotheses) -> DataFrame:
             for i, (hid, _) in enumerate(hypotheses)
         ]
     )
-    return words_found.select(*sentences.columns, F.inline(F.filter(hits, lambda h: h["keyword"].isNotNull())))
+    every = words_found.select(*sentences.columns, F.inline_outer(hits))
+    return every.where("keyword is not null")
 
 
 CENTROIDS_PER_PASS = 256
@@ -128,7 +129,8 @@ def semantic_facts(vectors: DataFrame, centroids: DataFrame, min_cos: float = 0.
             vectors.withColumn("_norm", _norm(F.col("vec")))
             .withColumn("_c", packed)
             .withColumn("_near", F.filter(cosines, lambda c: c["similarity"] > min_cos))
-            .select(*vectors.columns, F.inline("_near"))
+            .select(*vectors.columns, F.inline_outer("_near"))
+            .where("hypotesis_id is not null")
         )
         result = near if result is None else result.unionAll(near)
     return result

@@ -41,9 +41,9 @@ def keyword_targets(name: Column, keywords) -> Column:
 
 
 def _fan_out(files: DataFrame, targets: Column) -> DataFrame:
-    # The names are matched once per file, before the rows multiply.
+    # The names are matched once per file, before the rows multiply; the inner form would match them twice.
     routed = files.withColumn("_route", targets)
-    return routed.select(*files.columns, F.inline("_route"))
+    return routed.select(*files.columns, F.inline_outer("_route")).where("target is not null")
 
 
 def route_files(files: DataFrame, rules, name: str = "file_name") -> DataFrame:
@@ -66,7 +66,7 @@ def route_with_fallback(files: DataFrame, rules, keywords, default: str, name: s
         .when(F.size(by_word) > 0, by_word)
         .otherwise(fallback)
     )
-    return matched.select(*files.columns, F.inline(targets))
+    return matched.select(*files.columns, F.inline_outer(targets))
 
 
 def choose_variant(name: Column, variants, default: str = "generic") -> Column:

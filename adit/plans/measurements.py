@@ -199,7 +199,8 @@ FLOW_MENTIONS = (
 
 
 def flow_mentions(docs: DataFrame) -> DataFrame:
-    hits = docs.select(*DOC, F.posexplode(T.all_matches(F.col("text"), list(FLOW_MENTIONS), 0)).alias("pos", "hit"))
+    hits = docs.select(*DOC, F.posexplode_outer(T.all_matches(F.col("text"), list(FLOW_MENTIONS), 0)).alias("pos", "hit"))
+    hits = hits.where("hit is not null")
     return hits.select(
         *DOC,
         position("pos"),
@@ -263,7 +264,7 @@ XML_EVENT = r"(?s)<event>.*?</event>"
 
 def seismic_xml(docs: DataFrame) -> DataFrame:
     """Event elements inside document text; XML folders of any size are read by `read_event_xml`."""
-    found = docs.select(*DOC, F.posexplode(F.regexp_extract_all("text", F.lit(XML_EVENT), F.lit(0))).alias("pos", "_x"))
+    found = docs.select(*DOC, F.posexplode_outer(F.regexp_extract_all("text", F.lit(XML_EVENT), F.lit(0))).alias("pos", "_x")).where("_x is not null")
     field = lambda n: T.blank_to_null(F.regexp_extract("_x", rf"<{n}>([^<]*)</{n}>", 1)).alias(n)
     rows = found.select(*DOC, position("pos"), *[field(n) for n in ("event_id", "event_dttm", *_NUMBERS, "source")])
     return seismic_rows(rows, [*DOC, "ord"])

@@ -141,7 +141,8 @@ def areas_of_diary(docs: DataFrame) -> DataFrame:
 
 
 def areas_mentioned(docs: DataFrame) -> DataFrame:
-    hits = docs.select(*DOC, F.posexplode(T.all_matches(F.col("text"), AREA_MENTIONS)).alias("pos", "premise_id"))
+    hits = docs.select(*DOC, F.posexplode_outer(T.all_matches(F.col("text"), AREA_MENTIONS)).alias("pos", "premise_id"))
+    hits = hits.where("premise_id is not null")
     return hits.select(
         *DOC,
         position("pos"),
@@ -261,7 +262,7 @@ def inspection_mentions(docs: DataFrame) -> DataFrame:
         *DOC,
         D.iso_date(_label(*ACT_DATE)).alias("inspection_date"),
         F.nullif(F.array_join(F.regexp_extract_all(F.regexp_extract("text", INSPECTORS, 1), F.lit(INSPECTOR), F.lit(1)), "; "), F.lit("")).alias("inspector_name"),
-        F.posexplode(F.regexp_extract_all("text", F.lit(r"[-•]\s*([А-ЯЁ][^.\n]+[.!?]?)"), F.lit(1))).alias("pos", "_fact"),
+        F.posexplode_outer(F.regexp_extract_all("text", F.lit(r"[-•]\s*([А-ЯЁ][^.\n]+[.!?]?)"), F.lit(1))).alias("pos", "_fact"),
     )
     facts = told.withColumn("fact", T.strip(F.col("_fact"))).where(F.length("fact") >= 10)
     return _inspected(facts, T.first_match(F.col("fact"), FACT_PLACES), "pos")
@@ -408,7 +409,7 @@ def structural_column(docs: DataFrame) -> DataFrame:
         F.slice("_layers", F.lit(1), i), F.lit(0.0), lambda s, x: s + F.coalesce(x["thickness_m"], F.lit(0.0))
     )
     placed = layers.withColumn("_above", F.transform("_layers", lambda x, i: above(i)))
-    rows = placed.select(*_GEO, "_top", "_above", F.posexplode("_layers").alias("pos", "_l"))
+    rows = placed.select(*_GEO, "_top", "_above", F.posexplode_outer("_layers").alias("pos", "_l")).where("_l is not null")
     top = F.col("_top") + F.element_at("_above", F.col("pos") + 1)
     body = F.col("_l.body")
     described = F.filter(F.transform(F.split(body, "\n", -1), T.strip), lambda x: T.contains_any(x, ("угольные пачки", "прослойки", "строение")))
@@ -447,7 +448,7 @@ def gas_report(docs: DataFrame) -> DataFrame:
         F.struct(F.lit("К3").alias("layer_name"), F.col("_mean").alias("gas_content_m3_per_ton"), F.col("_said").alias("description")),
         F.struct(F.lit("К2").alias("layer_name"), F.col("_second").alias("gas_content_m3_per_ton"), none.alias("description")),
     )
-    rows = told.select(*_GEO, F.posexplode(layers).alias("pos", "_l")).where("pos = 0 or _l.gas_content_m3_per_ton is not null")
+    rows = told.select(*_GEO, F.posexplode_outer(layers).alias("pos", "_l")).where("pos = 0 or _l.gas_content_m3_per_ton is not null")
     return _flags(rows.select(*_GEO, position("pos"), "_l.*", F.lit("уголь").alias("rock_type")))
 
 
@@ -457,8 +458,8 @@ def seam_mentions(docs: DataFrame) -> DataFrame:
         *_GEO,
         *[_label(rf"(?isu){s}.*?{NUMBER}\s*м³/т").alias(f"_gas_{s}") for s in ("К3", "К2")],
         *[_label(rf"(?isu){s}.*?мощность.*?{NUMBER}\s*м").alias(f"_thick_{s}") for s in ("К3", "К2")],
-        F.posexplode(seams).alias("pos", "layer_name"),
-    )
+        F.posexplode_outer(seams).alias("pos", "layer_name"),
+    ).where("layer_name is not null")
     pick = lambda kind: N.to_float(F.when(F.col("layer_name") == "К3", F.col(f"_{kind}_К3")).otherwise(F.col(f"_{kind}_К2")))
     return _flags(
         found.select(
@@ -570,7 +571,7 @@ ANSWER = r"(?su)Ответ:\s*(.+?)(?=\n\s*\n|\n[А-ЯЁ]{2,}|\nВопрос:|\z
 def witness(docs: DataFrame) -> DataFrame:
     """One row per interview: its heading (name, date, time) and the first answer below the heading's ruler."""
     parts = F.split(F.concat(F.lit("\n"), F.col("text")), WITNESS_HEAD, -1)
-    blocks = docs.select(*DOC, F.posexplode(parts).alias("block_no", "text"))
+    blocks = docs.select(*DOC, F.posexplode_outer(parts).alias("block_no", "text"))
     answers = F.regexp_extract_all("text", F.lit(ANSWER), F.lit(1))
     last = F.when(F.col("text").contains("Вопрос:"), F.regexp_replace(F.substring_index("text", "Вопрос:", -1), WITNESS_RULER, ""))
     found = blocks.select(

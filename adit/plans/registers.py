@@ -242,7 +242,8 @@ def work_order(docs: DataFrame) -> DataFrame:
 
 
 def staff_mentions(docs: DataFrame) -> DataFrame:
-    hits = docs.select(*DOC, F.posexplode(F.regexp_extract_all("text", F.lit(TRIPLE_NAME), F.lit(0))).alias("pos", "name"))
+    hits = docs.select(*DOC, F.posexplode_outer(F.regexp_extract_all("text", F.lit(TRIPLE_NAME), F.lit(0))).alias("pos", "name"))
+    hits = hits.where("name is not null")
     return hits.select(*DOC, position("pos"), F.inline(F.array(T.split_name(F.col("name")))))
 
 
@@ -393,7 +394,7 @@ def certificates(docs: DataFrame) -> DataFrame:
 
     `model` and `serial_number` stay beside the table's columns for the equipment lookup.
     """
-    blocks = docs.select(*DOC, F.posexplode(X.line_blocks(F.col("text"), CERTIFICATE_START)).alias("block_no", "text"))
+    blocks = docs.select(*DOC, F.posexplode_outer(X.line_blocks(F.col("text"), CERTIFICATE_START)).alias("block_no", "text"))
     # The piece before the first marker counts only when there is no marker at all.
     marked = blocks.where((F.col("block_no") > 0) | ~F.col("text").rlike(CERTIFICATE_START)).withColumn("_n", F.col("block_no"))
     text = F.col("text")
@@ -525,7 +526,8 @@ ISSUED_TO = r"(?u)([А-ЯЁ][а-яё]+\s+[А-ЯЁ]\.\s*[А-ЯЁ]\.)[^\n]*?(?:в
 
 
 def issue_mentions(docs: DataFrame) -> DataFrame:
-    hits = docs.select(*DOC, F.posexplode(F.regexp_extract_all("text", F.lit(ISSUED_TO), F.lit(0))).alias("pos", "item"))
+    hits = docs.select(*DOC, F.posexplode_outer(F.regexp_extract_all("text", F.lit(ISSUED_TO), F.lit(0))).alias("pos", "item"))
+    hits = hits.where("item is not null")
     null = F.lit(None).cast("string")
     rows = hits.select(*DOC, position("pos"), _g(ISSUED_TO, 1).alias("issued_to"), _g(ISSUED_TO, 2).alias("equipment_name"))
     return _issues(rows, quantity=null, issue_date=null, shift=null)
@@ -700,7 +702,7 @@ def face_passport(docs: DataFrame) -> DataFrame:
         row(c("vent"), "вентиляционный штрек", c("vent_length"), c("vent_section"), none),
         row(c("belt"), "конвейерный штрек", c("belt_length"), c("belt_section"), none),
     )
-    parts = found.select(*DOC, F.posexplode(F.concat(main, cuts)).alias("pos", "_p")).where(F.col("_p.premise_name").isNotNull())
+    parts = found.select(*DOC, F.posexplode_outer(F.concat(main, cuts)).alias("pos", "_p")).where(F.col("_p.premise_name").isNotNull())
     return parts.select(
         *DOC, position("pos"), "_p.premise_name", "_p.premise_type",
         M.signed_level(F.col("_p._level")).alias("level_m"),

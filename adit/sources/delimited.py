@@ -89,8 +89,8 @@ def csv_records(docs: DataFrame, aliases: dict[str, tuple[str, ...]], keep: list
     placed = headed.select(
         *keep,
         *[F.nullif(F.array_position("_head", o), F.lit(0)).cast("int").alias(f"_at_{o}") for o in options],
-        F.posexplode("_rows").alias("row_no", "_line"),
-    ).withColumn("_cells", _csv_fields(F.col("_line")))
+        F.posexplode_outer("_rows").alias("row_no", "_line"),
+    ).where("_line is not null").withColumn("_cells", _csv_fields(F.col("_line")))
     pick = lambda o: F.nullif(F.trim(F.try_element_at("_cells", F.col(f"_at_{o}"))), F.lit(""))
     return placed.select(
         *keep, "row_no", *[F.coalesce(*[pick(o) for o in names]).alias(name) for name, names in aliases.items()]
@@ -112,7 +112,7 @@ def registry_rows(docs: DataFrame, keep: list[str]) -> DataFrame:
     chosen = None
     for d in REGISTRY_DELIMITERS:
         chosen = F.when(usable(d), data(d)) if chosen is None else chosen.when(usable(d), data(d))
-    return body.select(*keep, F.posexplode(chosen).alias("row_no", "cells"))
+    return body.select(*keep, F.posexplode_outer(chosen).alias("row_no", "cells")).where("cells is not null")
 
 
 def registry_records(docs: DataFrame, keep: list[str]) -> DataFrame:
