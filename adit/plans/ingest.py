@@ -44,6 +44,11 @@ def land_routed(docs: DataFrame, name: str = "routed") -> DataFrame:
     return docs.sparkSession.read.schema(routed.schema).parquet(path)
 
 
+def jobs_present(routed: DataFrame) -> set[str]:
+    """Jobs with any document; at most one name per job comes back."""
+    return {r["target"] for r in routed.select("target").distinct().collect()}
+
+
 def ingest(spark: SparkSession, docs: DataFrame, root: str, run_ts: str, tables: list[str] | None = None) -> DataFrame:
     """Extract every job's rows, append them to the tables below `root`, and return the processing summary.
 
@@ -52,14 +57,13 @@ def ingest(spark: SparkSession, docs: DataFrame, root: str, run_ts: str, tables:
     land_raw(docs.select(*DOC, "text"), root, run_ts)
     routed = land_routed(docs.select(*DOC, "text"))
 
-    def load_table(table: str) -> DataFrame | None:
+    present = jobs_present(routed)
+
+    def load_table(table: str) -> DataFrame:
         mine = routed.where(F.col("target") == table)
-        if mine.isEmpty():
-            return None
         store = SnapshotTable(spark, root, table)
         store.create()
-        # Ids go on from the rows already stored.
-        rows = materialize(run_job(table, mine, with_ids=True, start=store.current().row_count), table)
+        rows = materialize(run_job(table, mine, with_ids=True, start=store.current().appended), table)
         store.append(rows)
         counts = rows.groupBy("source_file").agg(F.count("*").alias("records"))
         files = mine.select("source_file").distinct().join(counts, "source_file", "left")
@@ -67,6 +71,6 @@ def ingest(spark: SparkSession, docs: DataFrame, root: str, run_ts: str, tables:
 
     # Jobs are independent; running a few at a time keeps the executors busy while small ones finish.
     with ThreadPoolExecutor(JOBS_AT_ONCE) as pool:
-        seen = [r for r in pool.map(load_table, tables or list(JOBS)) if r is not None]
+        seen = list(pool.map(load_table, [t for t in tables or JOBS if t in present]))
     results = union_by_name(seen).withColumn("status", F.when(F.col("records") > 0, "ok").otherwise("failed"))
     return processing_summary(results)

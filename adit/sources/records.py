@@ -1,4 +1,4 @@
-"""JSON records."""
+"""JSON and Parquet records."""
 
 from __future__ import annotations
 
@@ -26,6 +26,15 @@ def read_json_records(spark: SparkSession, path: str, schema: T.StructType, mult
     return rows.withColumnRenamed("_source_file", "source_file")
 
 
+def write_parquet(df: DataFrame, path: str) -> None:
+    """Write a folder of Parquet files, replacing what is there."""
+    df.write.mode("overwrite").parquet(path)
+
+
+def read_parquet(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)
+
+
 def append_json(df: DataFrame, path: str) -> None:
     """Add records to a folder of JSON lines."""
     df.write.mode("append").json(path)

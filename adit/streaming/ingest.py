@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from adit.plans.ingest import land_routed
+from adit.plans.ingest import jobs_present, land_routed
 from adit.plans.registry import DOC, JOBS, run_job
 from adit.sources.files import EXTENSIONS, decode_text, file_name
 from adit.tables.store import SnapshotTable
@@ -40,16 +40,15 @@ def load_batch(batch: DataFrame, batch_id: int, root: str, name: str, tables: li
     commit and skipped, table by table, so rows are never doubled."""
     spark = batch.sparkSession
     routed = land_routed(batch.select(*DOC, "text"), "batch")
-    for table in tables or list(JOBS):
+    present = jobs_present(routed)
+    for table in [t for t in tables or JOBS if t in present]:
         store = SnapshotTable(spark, root, table)
         operation = f"INSERT {name}#{batch_id}"
         store.create()
         if store.has_commit(operation):
             continue
         mine = routed.where(F.col("target") == table)
-        if not mine.isEmpty():
-            # Ids go on from the rows already stored.
-            store.append(run_job(table, mine, with_ids=True, start=store.current().row_count), operation)
+        store.append(run_job(table, mine, with_ids=True, start=store.current().appended), operation)
 
 
 def ingest_new_files(docs: DataFrame, root: str, checkpoint: str, name: str = "ingest", tables: list[str] | None = None) -> StreamingQuery:

@@ -22,7 +22,8 @@ from adit.schemas import LOG_COLUMNS, PARTITIONED_TABLES, TABLE_COLUMNS, table_s
 from adit.tables.conform import conform
 
 MANIFEST_SCHEMA = (
-    "snapshot_id bigint, parent_id bigint, committed_at timestamp, operation string, versions array<bigint>, row_count bigint"
+    "snapshot_id bigint, parent_id bigint, committed_at timestamp, operation string, versions array<bigint>, "
+    "row_count bigint, appended bigint"
 )
 # Actions that are offered as points to roll back to.
 CHANGE_POINT_ACTIONS = ("SAVE", "INSERT", "DELETE", "ROLLBACK")
@@ -33,6 +34,7 @@ class Snapshot:
     snapshot_id: int
     versions: tuple[int, ...]
     row_count: int
+    appended: int  # rows ever appended; generated ids go on from here, also after deletes
 
 
 class SnapshotTable:
@@ -65,9 +67,9 @@ class SnapshotTable:
 
     @staticmethod
     def _snapshot(row) -> Snapshot | None:
-        return None if row is None else Snapshot(row["snapshot_id"], tuple(row["versions"]), row["row_count"])
+        return None if row is None else Snapshot(row["snapshot_id"], tuple(row["versions"]), row["row_count"], row["appended"])
 
-    def _commit(self, operation: str, versions: list[int], head: Snapshot | None, rows: int) -> int:
+    def _commit(self, operation: str, versions: list[int], head: Snapshot | None, rows: int, new_rows: int = 0) -> int:
         snapshot_id = 0 if head is None else head.snapshot_id + 1
         entry = self.spark.range(1, numPartitions=1).select(
             F.lit(snapshot_id).cast("bigint").alias("snapshot_id"),
@@ -76,6 +78,7 @@ class SnapshotTable:
             F.lit(operation).alias("operation"),
             F.array(*[F.lit(v) for v in versions]).cast("array<bigint>").alias("versions"),
             F.lit(rows).cast("bigint").alias("row_count"),
+            F.lit((0 if head is None else head.appended) + new_rows).cast("bigint").alias("appended"),
         )
         entry.write.mode("append").parquet(f"{self.path}/_manifest")
         return snapshot_id
@@ -124,7 +127,7 @@ class SnapshotTable:
         self.create()
         head = self.current()
         added, count = self._write(df)
-        return self._commit(operation, [*head.versions, *added], head, head.row_count + count)
+        return self._commit(operation, [*head.versions, *added], head, head.row_count + count, count)
 
     def replace(self, df: DataFrame) -> int | None:
         """Full refresh; an empty input leaves the table as it is."""
@@ -133,7 +136,7 @@ class SnapshotTable:
             return None
         head = self.current()
         added, count = self._write(df)
-        return self._commit("REPLACE", added, head, count)
+        return self._commit("REPLACE", added, head, count, count)
 
     def _touched(self, rows: DataFrame, keys: DataFrame, key: str) -> list[int]:
         """Folders holding any of the keys; reads the key column only."""

@@ -223,25 +223,24 @@ def header_carry(spark, sf):
 
 @query(
     "timestamp_blocks",
-    """WITH c AS (SELECT conv_id, turn, role, text, CASE WHEN role = 'user' THEN turn END AS mark FROM conversations),
-       s AS (SELECT *, last_value(mark IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING) AS head FROM c),
-       w AS (SELECT conv_id, head, turn, trim(regexp_replace(regexp_replace(text, '[0-9:]', '', 'g'), '\\s+', ' ', 'g')) AS t FROM s WHERE mark IS NULL AND head IS NOT NULL)
-       SELECT conv_id, CASE WHEN head % 2 = 0 THEN lpad(CAST(head % 24 AS VARCHAR), 2, '0') || ':15:00' ELSE lpad(CAST(head % 24 AS VARCHAR), 2, '0') || ':05:00' END AS clock,
-         md5(trim(regexp_replace(string_agg(t, ' ' ORDER BY turn), '\\s+', ' ', 'g'))) AS h FROM w
-       GROUP BY conv_id, head HAVING trim(string_agg(t, ' ' ORDER BY turn)) <> ''""",
+    f"""WITH {SQL_LINES}, c AS (SELECT doc_id, line_no, CASE WHEN line_no % 5 = 0 THEN line_no END AS mark,
+          trim(regexp_replace(regexp_replace(line, '[0-9:]', '', 'g'), '{WS}+', ' ', 'g'), ' ') AS t FROM lines),
+        s AS (SELECT *, last_value(mark IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY line_no ROWS UNBOUNDED PRECEDING) AS head FROM c),
+        w AS (SELECT doc_id, head, trim(regexp_replace(string_agg(t, ' ' ORDER BY line_no), ' +', ' ', 'g'), ' ') AS body FROM s WHERE mark IS NULL GROUP BY doc_id, head)
+        SELECT doc_id, lpad(CAST(head % 24 AS VARCHAR), 2, '0') || CASE WHEN head % 2 = 0 THEN ':15:00' ELSE ':05:00' END AS clock, md5(body) AS h FROM w WHERE body <> ''""",
 )
 def timestamp_blocks(spark, sf):
-    """Conversations as transcripts: a user turn becomes a time mark, other turns the text below it."""
-    turn = F.col("turn")
-    mark = F.when(turn % 2 == 0, F.format_string("Начало %02d:15:00", turn % 24)).otherwise(
-        F.format_string("Запись %d ч 5 мин", turn % 24)
-    )
-    body = F.trim(F.regexp_replace(F.regexp_replace("text", "[0-9:]", ""), r"\s+", " "))
-    said = load(spark, sf, "conversations").select("conv_id", "turn", F.when(F.col("role") == "user", mark).otherwise(body).alias("said"))
-    docs = said.groupBy("conv_id").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", "said"))), lambda s: s["said"]), "\n").alias("text")
-    )
-    return X.timestamp_blocks(docs).select("conv_id", "clock", F.md5("body").alias("h"))
+    """Documents as transcripts: every fifth line becomes a time mark, in one of two spellings."""
+    hour = lambda i: (i % 24).cast("string")
+
+    def said(x, i):
+        mark = F.when(i % 2 == 0, F.concat(F.lit("Начало "), F.lpad(hour(i), 2, "0"), F.lit(":15:00"))).otherwise(
+            F.concat(F.lit("Запись "), hour(i), F.lit(" ч 5 мин"))
+        )
+        return F.when(i % 5 == 0, mark).otherwise(F.trim(F.regexp_replace(F.regexp_replace(x, "[0-9:]", ""), f"{T.SPACE}+", " ")))
+
+    docs = documents(spark, sf).select("doc_id", F.array_join(F.transform(F.split("text", "\n", -1), said), "\n").alias("text"))
+    return X.timestamp_blocks(docs).select("doc_id", "clock", F.md5("body").alias("h"))
 
 
 @query(

@@ -197,8 +197,8 @@ def json_append(spark, sf):
 )
 def parquet_roundtrip(spark, sf):
     path = scratch_path(spark, "parquet")
-    load(spark, sf, "events").select("event_id", "event_type").write.mode("overwrite").parquet(path)
-    catalog.register_views(spark, {"written_events": spark.read.parquet(path)})
+    records.write_parquet(load(spark, sf, "events").select("event_id", "event_type"), path)
+    catalog.register_views(spark, {"written_events": records.read_parquet(spark, path)})
     return catalog.run_sql(spark, "SELECT event_type, count(*) AS n, max(event_id) AS last_id FROM written_events GROUP BY event_type")
 
 
