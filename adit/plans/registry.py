@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from adit.operators.merge import union_by_name
 from adit.operators.ordered import assign_ids
 from adit.operators.routing import choose_variant
-from adit.schemas import ID_PREFIXES, table_schema
+from adit.schemas import ID_PREFIXES
 from adit.tables.conform import conform
 
 Layout = Callable[[DataFrame], DataFrame]
@@ -75,7 +75,3 @@ def position(*parts: str) -> Column:
     for p in parts:
         total = total * 1_000_000 + F.col(p).cast("bigint")
     return total.alias("ord")
-
-
-def empty_columns(df: DataFrame, table: str) -> list[str]:
-    return [c for c in table_schema(table).names if c not in df.columns]
