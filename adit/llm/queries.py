@@ -6,9 +6,18 @@ import public_tokenizers
 
 from adit.llm.base import QUERIES, load, query  # noqa: F401
 from adit.llm.token_counts import count_tokens
+from adit.llm.token_files import token_digests, write_token_files
+from adit.session import scratch_path
 
 
 @query("op3_token_counts")
 def op3(spark, sf_dir):
     """Greedy word-piece counts of every document."""
     return count_tokens(load(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op4_token_files")
+def op4(spark, sf_dir):
+    """Every document's ids, written to shard files and read back."""
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    return token_digests(write_token_files(load(spark, sf_dir, "documents"), scratch_path(spark, "token-files"), tokenizer, 1))
