@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
 from adit.llm.base import QUERIES, load, query  # noqa: F401
+from adit.llm.repeats import remove_repeats
 from adit.llm.token_counts import count_tokens
 from adit.llm.token_files import token_digests, write_token_files
 from adit.session import scratch_path
@@ -21,3 +23,25 @@ def op4(spark, sf_dir):
     """Every document's ids, written to shard files and read back."""
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
     return token_digests(write_token_files(load(spark, sf_dir, "documents"), scratch_path(spark, "token-files"), tokenizer, 1))
+
+
+OP9_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM d WHERE len(w) >= 35),
+g AS (SELECT doc_id, i, md5(array_to_string(w[i:i + 34], ' ')) AS h FROM s),
+again AS (SELECT h FROM g GROUP BY h HAVING count(*) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS i FROM g WHERE h IN (SELECT h FROM again)),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM d),
+kept AS (
+  SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS t
+  FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
+
+@query("op9_substring_dedup", OP9_SQL)
+def op9(spark, sf_dir):
+    """Every document without the passages of 35 words or more that repeat."""
+    kept = remove_repeats(load(spark, sf_dir, "documents"), 35)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text"), 256).alias("kept_sha256"))
