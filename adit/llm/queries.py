@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from adit.llm.base import QUERIES, load, query  # noqa: F401
+from adit.llm.decontaminate import decontaminate
 from adit.llm.repeats import remove_repeats
 from adit.llm.token_counts import count_tokens
 from adit.llm.token_files import token_digests, write_token_files
@@ -45,3 +46,33 @@ def op9(spark, sf_dir):
     """Every document without the passages of 35 words or more that repeat."""
     kept = remove_repeats(load(spark, sf_dir, "documents"), 35)
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text"), 256).alias("kept_sha256"))
+
+
+OP6_SQL = r"""
+WITH b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark WHERE item_id IS NOT NULL),
+bw AS (SELECT item_id, w, unnest(range(1, greatest(2, len(w) - 8))) AS i FROM b WHERE len(w) > 0),
+phrases AS (SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[i:i + 9], ' ') AS p FROM bw),
+d AS (
+  SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+lengths AS (SELECT DISTINCT n FROM phrases),
+dw AS (SELECT row, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, lengths WHERE len(w) >= n),
+g AS (SELECT row, n, i, array_to_string(w[i:i + n - 1], ' ') AS p FROM dw),
+hit AS (SELECT row, n, i, item_id FROM g JOIN phrases USING (n, p)),
+found AS (SELECT row, string_agg(s, ',' ORDER BY s) AS items, count(*) AS n_items FROM (SELECT DISTINCT row, CAST(item_id AS VARCHAR) AS s FROM hit) GROUP BY row),
+marked AS (SELECT row, count(DISTINCT k) AS n_hit FROM (SELECT row, unnest(range(i, i + n)) AS k FROM (SELECT DISTINCT row, n, i FROM hit)) GROUP BY row)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN found USING (row) LEFT JOIN marked USING (row)
+"""
+
+
+@query("op6_decontamination", OP6_SQL)
+def op6(spark, sf_dir):
+    """Every document's words inside ten-word windows of benchmark items."""
+    found = decontaminate(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"), 10)
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated")
+    )
