@@ -81,6 +81,16 @@ class Encoder:
         return ids, done[words.starts[1:] + np.arange(len(texts))]
 
 
+ENCODERS: dict[tuple[str, int], Encoder] = {}
+
+
+def encoder_of(path: str, end_id: int) -> Encoder:
+    """A worker's encoder, which the tasks that it runs share with what it remembers."""
+    if (path, end_id) not in ENCODERS:
+        ENCODERS[path, end_id] = Encoder(path, end_id)
+    return ENCODERS[path, end_id]
+
+
 class PerfectHash:
     """Numbers the given distinct keys from 0 without gaps. Each level gives the keys that fall alone into a bit their slot."""
 
@@ -202,7 +212,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int,
     """
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, shard, seq, done = Encoder(tokenizer, end_id), None, 0, []
+        encoder, shard, seq, done = encoder_of(tokenizer, end_id), None, 0, []
         part = TaskContext.get().partitionId()
         for batch in slices(batches, "text", SLICE_BYTES):
             shard = shard or ShardWriter(folder, encoder.kind)
