@@ -8,11 +8,19 @@ from pyspark.sql import functions as F
 from adit.llm.base import QUERIES, load, query  # noqa: F401
 from adit.llm.decontaminate import decontaminate
 from adit.llm.repeats import remove_repeats
+from adit.llm.simhash import near_duplicates
 from adit.llm.token_counts import count_tokens
 from adit.llm.token_files import token_digests, write_token_files
 from adit.session import scratch_path
 
 
+@query("op1_simhash")
+def op1(spark, sf_dir):
+    """Every document with its fingerprint and the smallest document it is linked to."""
+    found = near_duplicates(load(spark, sf_dir, "documents"), 4, 4, 42)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 @query("op3_token_counts")
 def op3(spark, sf_dir):
     """Greedy word-piece counts of every document."""
