@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from adit.llm.base import QUERIES, load, query  # noqa: F401
 from adit.llm.decontaminate import decontaminate
+from adit.llm.graph_search import search_all
 from adit.llm.repeats import remove_repeats
 from adit.llm.simhash import near_duplicates
 from adit.llm.token_counts import count_tokens
@@ -21,6 +22,12 @@ def op1(spark, sf_dir):
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@query("op2_nearest")
+def op2(spark, sf_dir):
+    """The five nearest rows of every fiftieth vector, among all vectors."""
+    return search_all(load(spark, sf_dir, "embeddings"), 50, 5)
+
+
 @query("op3_token_counts")
 def op3(spark, sf_dir):
     """Greedy word-piece counts of every document."""
