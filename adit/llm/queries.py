@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from adit.llm.base import QUERIES, load, query  # noqa: F401
 from adit.llm.decontaminate import decontaminate
 from adit.llm.graph_search import search_all
+from adit.llm.quality import classify
 from adit.llm.repeats import remove_repeats
 from adit.llm.simhash import near_duplicates
 from adit.llm.token_counts import count_tokens
@@ -41,6 +42,12 @@ def op4(spark, sf_dir):
     return token_digests(write_token_files(load(spark, sf_dir, "documents"), scratch_path(spark, "token-files"), tokenizer, 1))
 
 
+@query("op5_quality")
+def op5(spark, sf_dir):
+    """Every document's quality score, learnt from the rows that are not held out."""
+    return classify(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
 OP9_SQL = r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
 s AS (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM d WHERE len(w) >= 35),
