@@ -59,7 +59,7 @@ def features(texts: pa.Array, bits: int = FEATURE_BITS) -> tuple[np.ndarray, np.
         for back in range(1, order):
             g = g[: len(h) - back] * np.uint64(0x9E3779B97F4A7C15) + h[back:] if len(h) > back else g[:0]
         n = len(g)
-        within = doc[:n] == doc[len(h) - n :] if n else within[:0]
+        within = doc[:n] == doc[len(h) - n :]
         docs.append(doc[:n][within])
         found.append(mix(g[within] ^ np.uint64(order)))
     # shares of the words, each as a power of two
