@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from adit.llm.base import QUERIES, load, query  # noqa: F401
 from adit.llm.decontaminate import decontaminate
 from adit.llm.graph_search import search_all
+from adit.llm.lm import lm_scores
+from adit.llm.pieces import round_trip
 from adit.llm.quality import classify
 from adit.llm.repeats import remove_repeats
 from adit.llm.simhash import near_duplicates
@@ -48,6 +50,47 @@ def op5(spark, sf_dir):
     return classify(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
 
 
+@query("op7_pieces")
+def op7(spark, sf_dir):
+    """Every document's three best segmentations, and whether the best decodes to the document."""
+    found = round_trip(load(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), 3)
+    return found.withColumn("decoded", F.sha2("decoded", 256)).withColumnRenamed("decoded", "decoded_sha256")
+
+
+OP8_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+n AS (SELECT sum(len(w)) AS n FROM d),
+p AS (SELECT row, len(w) AS size, w, unnest(range(1, len(w) + 1)) AS i FROM d),
+g AS (
+  SELECT row, i, size, w[i] AS g1, CASE WHEN i > 1 THEN w[i - 1] || ' ' || w[i] END AS g2,
+    CASE WHEN i > 2 THEN w[i - 2] || ' ' || w[i - 1] || ' ' || w[i] END AS g3, CASE WHEN i > 1 THEN w[i - 1] END AS c1,
+    CASE WHEN i > 2 THEN w[i - 2] || ' ' || w[i - 1] END AS c2
+  FROM p),
+c AS (
+  SELECT *, count(*) OVER (PARTITION BY g1) - count(*) OVER (PARTITION BY g1, row) AS n1,
+    CASE WHEN g2 IS NULL THEN 0 ELSE count(*) OVER (PARTITION BY g2) - count(*) OVER (PARTITION BY g2, row) END AS n2,
+    CASE WHEN g3 IS NULL THEN 0 ELSE count(*) OVER (PARTITION BY g3) - count(*) OVER (PARTITION BY g3, row) END AS n3
+  FROM g),
+k AS (SELECT *, lag(n1) OVER (PARTITION BY row ORDER BY i) AS k1, lag(n2) OVER (PARTITION BY row ORDER BY i) AS k2 FROM c),
+s AS (
+  SELECT row, CASE
+    WHEN n3 > 0 THEN ln(n3 / k2)
+    WHEN n2 > 0 THEN ln(n2 / k1) + CASE WHEN g3 IS NULL THEN 0 ELSE ln(0.4) END
+    ELSE (CASE WHEN n1 > 0 THEN ln(n1 / (n - size)) ELSE ln(1 / (n - size + 1)) END)
+      + CASE WHEN g2 IS NULL THEN 0 ELSE ln(0.4) END + CASE WHEN g3 IS NULL THEN 0 ELSE ln(0.4) END END AS x
+  FROM k, n)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, round(coalesce(sum(x), 0), 3) AS log_score, round(sum(x) / len(w), 6) AS mean_log_score
+FROM d LEFT JOIN s USING (row) GROUP BY row, doc_id, len(w)
+"""
+
+
+@query("op8_lm_scores", OP8_SQL)
+def op8(spark, sf_dir):
+    """Every document's trigram score under the rest of the corpus."""
+    found = lm_scores(load(spark, sf_dir, "documents"), 3)
+    return found.select("doc_id", "n_words", F.round("log_score", 3).alias("log_score"), F.round("mean_log_score", 6).alias("mean_log_score"))
+
+
 OP9_SQL = r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
 s AS (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM d WHERE len(w) >= 35),
