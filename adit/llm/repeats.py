@@ -45,6 +45,18 @@ def keyed(docs: DataFrame, text: str, id_column: str) -> DataFrame:
     )
 
 
+def groups_of(word_hash: np.ndarray, width: int, groups: int) -> np.ndarray:
+    """The exact pass's group of each window: hashed from the least of its shingles' hashes. Windows that follow each other
+    mostly share it, so a document's windows go to few groups, and equal windows always to one."""
+    shingle = min(4, width)
+    least, done, whole = window_hashes(word_hash, shingle, FACTORS[1]), 1, width - shingle + 1
+    while done < whole:  # least over stretches of doubling length
+        step = min(done, whole - done)
+        least = np.minimum(least[: len(least) - step], least[step:])
+        done += step
+    return (mix(least) % np.uint64(groups)).astype(np.int64)
+
+
 def cells(hashes: np.ndarray, row: int, bits: int) -> np.ndarray:
     return (mix(hashes ^ ROW_SEEDS[row]) >> np.uint64(64 - bits)).astype(np.uint32)
 
@@ -132,7 +144,8 @@ def repeated_starts(docs: DataFrame, width: int, rows: int = ROWS, max_cells: in
         for batch in slices(batches, "text", SLICE_BYTES):
             words = split(batch.column("text"))
             at = inside(words.starts, width)
-            h = window_hashes(word_hashes(words, 0), width, FACTORS[0])[at]
+            first_hash = word_hashes(words, 0)
+            h = window_hashes(first_hash, width, FACTORS[0])[at]
             for row in range(rows):
                 c = cells(h, row, bits)
                 kept = (sketch[row][c >> np.uint32(3)] >> (7 - (c & np.uint32(7))).astype(np.uint8)) & 1 == 1
@@ -141,7 +154,7 @@ def repeated_starts(docs: DataFrame, width: int, rows: int = ROWS, max_cells: in
                 continue
             other = (window_hashes(word_hashes(words, 1), width, FACTORS[1])[at] >> np.uint64(32)).astype(np.uint32)
             doc = words.text_of()[at]
-            group = (mix(h) % np.uint64(groups)).astype(np.int64)
+            group = groups_of(first_hash, width, groups)[at]
             order = np.argsort(group, kind="stable")
             ends = np.searchsorted(group[order], np.arange(groups + 1))
             keys, prints = (batch.column(c).to_numpy() for c in ("key", "print"))
