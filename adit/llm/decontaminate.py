@@ -1,6 +1,6 @@
 """Benchmark decontamination with a positional inverted index that is distributed by document.
 
-Each shard of documents (about 16 MB of text) is one index: for every term its postings, the ascending places of the shard's
+Each shard of documents (about 8 MB of text) is one index: for every term its postings, the ascending places of the shard's
 words. The index is stored below the shared folder, so it can be searched again. Test phrases go to the shards in blocks of
 bounded size. In a shard, a phrase starts from the postings of its rarest term, moved back by the term's offset; these places
 are then intersected with the offset-adjusted postings of the other terms, rarer terms first, for all phrases at once. Phrases
@@ -24,7 +24,7 @@ from adit.llm.packing import pack, pack_sorted, runs, unpack, unpack_sorted
 from adit.llm.words import ALPHANUMERIC, covered, list_array, slices, split
 from adit.session import scratch_path
 
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 8 << 20
 #: Words of test phrases that one search block holds at most (a longer single item is a block of its own).
 BLOCK_WORDS = 1 << 20
 INDEX = "shard string, doc_ids binary, known binary, starts binary, terms array<string>, sizes binary, places binary"
@@ -56,13 +56,13 @@ def build_index(docs: DataFrame, path: str, text: str = "text", id_column: str =
 
 
 class ShardIndex:
-    def __init__(self, row: dict):
-        self.doc_ids, self.known = unpack(row["doc_ids"]), unpack(row["known"]).astype(bool)
-        self.starts = unpack_sorted(row["starts"]).astype(np.int64)
-        self.terms = pa.array(row["terms"], pa.string())
-        self.sizes = unpack(row["sizes"]).astype(np.int64)
+    def __init__(self, batch: pa.RecordBatch, k: int):
+        cell = lambda c: batch.column(c)[k].as_py()
+        self.name, self.terms = cell("shard"), batch.column("terms")[k].values
+        self.starts = unpack_sorted(cell("starts")).astype(np.int64)
+        self.sizes = unpack(cell("sizes")).astype(np.int64)
         self.first = np.cumsum(self.sizes) - self.sizes
-        gaps = unpack(row["places"]).astype(np.int64)
+        gaps = unpack(cell("places")).astype(np.int64)
         total = np.cumsum(gaps)
         before = total[self.first] - gaps[self.first] if len(gaps) else gaps
         places = total - np.repeat(before, self.sizes)
@@ -148,8 +148,7 @@ def phrase_matches(index: DataFrame, items: DataFrame, width: int = 10, slop: in
             lengths = np.fromiter(map(len, phrases), np.int64, len(phrases))
             for batch in batches:
                 for k in range(batch.num_rows):
-                    row = batch.slice(k, 1).to_pylist()[0]
-                    shard = ShardIndex(row)
+                    shard = ShardIndex(batch, k)
                     phrase, place = shard.search(phrases, vocabulary, slop)
                     order = np.argsort(place, kind="stable")
                     phrase, place = phrase[order], place[order]
@@ -159,7 +158,7 @@ def phrase_matches(index: DataFrame, items: DataFrame, width: int = 10, slop: in
                     names = [sorted({i for p in np.unique(phrase[a:b]) for i in owners[p]}) for a, b in zip(ends[:-1], ends[1:], strict=True)]
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array([row["shard"]] * len(names), pa.string()), pa.array(doc[ends[:-1]].astype(np.int32) if len(doc) else [], pa.int32()),
+                            pa.array([shard.name] * len(names), pa.string()), pa.array(doc[ends[:-1]].astype(np.int32) if len(doc) else [], pa.int32()),
                             list_array(place - base, ends, pa.int32()), list_array(place - base + lengths[phrase], ends, pa.int32()), pa.array(names, pa.list_(pa.string())),
                         ],
                         ["shard", "number", "begins", "ends", "items"],
