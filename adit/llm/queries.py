@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from adit.llm.base import QUERIES, load, query  # noqa: F401
 from adit.llm.decontaminate import decontaminate
 from adit.llm.graph_search import search_all
+from adit.llm.lines import dedup_lines
 from adit.llm.lm import lm_scores
 from adit.llm.pieces import round_trip
 from adit.llm.quality import classify
@@ -141,3 +142,30 @@ def op6(spark, sf_dir):
     return found.select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated")
     )
+
+
+OP10_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, string_split(text, chr(10)) AS ls FROM documents),
+l AS (SELECT row, doc_id, unnest(ls) AS line, unnest(range(1, len(ls) + 1)) AS i FROM d),
+t AS (SELECT *, row_number() OVER (PARTITION BY line ORDER BY doc_id, i) AS nth FROM l WHERE length(line) >= 20),
+c AS (SELECT line, length(line) AS n, doc_id, i FROM t WHERE nth = 1),
+k AS (
+  SELECT a.line, b.doc_id AS other_doc, b.i AS other_i, a.doc_id, a.i
+  FROM (SELECT *, unnest([n - 1, n, n + 1]) AS m FROM c) a JOIN c b ON a.m = b.n
+  WHERE a.line <> b.line AND (left(a.line, a.n // 2 - 1) = left(b.line, a.n // 2 - 1) OR right(a.line, a.n // 2 - 1) = right(b.line, a.n // 2 - 1))
+    AND levenshtein(a.line, b.line) <= 1),
+links AS (SELECT line, count(*) AS links, bool_or((other_doc, other_i) < (doc_id, i)) AS near FROM k GROUP BY line),
+m AS (
+  SELECT l.row, l.i, coalesce(links, 0) AS links, coalesce(nth > 1 OR near, false) AS gone, l.line
+  FROM l LEFT JOIN t ON l.row = t.row AND l.i = t.i LEFT JOIN links ON t.line = links.line)
+SELECT doc_id, CAST(count(i) AS BIGINT) AS n_lines, CAST(count(i) FILTER (gone) AS BIGINT) AS n_removed, CAST(coalesce(sum(links), 0) AS BIGINT) AS n_links,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM d LEFT JOIN m USING (row) GROUP BY row, doc_id
+"""
+
+
+@query("op10_line_dedup", OP10_SQL)
+def op10(spark, sf_dir):
+    """Every document without lines that stand earlier, alike or but for one edit."""
+    kept = dedup_lines(load(spark, sf_dir, "documents"), 1, 20)
+    return kept.select("doc_id", "n_lines", "n_removed", "n_links", F.sha2(F.coalesce("kept_text", F.lit("")), 256).alias("kept_sha256"))
