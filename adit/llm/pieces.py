@@ -34,6 +34,7 @@ SLICE_BYTES = 4 << 20
 UNKNOWN_PENALTY = 10.0
 #: Distinct words whose segmentations a worker remembers at most. It bounds memory and changes no result.
 REMEMBERED = 1 << 18
+ROUND_TRIP = ["doc_id", "n_pieces", "score", "ids_crc32", "scores", "decoded", "exact", "ids"]
 WORD = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+")
 
 
@@ -182,9 +183,9 @@ def decode(encoded: DataFrame, model: str) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind(encoded, 'doc_id')}, text string")
 
 
-def round_trip(docs: DataFrame, model: str, n: int = 3, text: str = "text", id_column: str = "doc_id") -> DataFrame:
+def round_trip(docs: DataFrame, model: str, n: int = 3, text: str = "text", id_column: str = "doc_id", with_ids: bool = False) -> DataFrame:
     """Encode and decode in one pass: doc_id, n_pieces, score, ids_crc32 (of the best ids as little-endian 32-bit numbers),
-    scores (of the n best), decoded (the text of the best ids), exact (whether it is the text)."""
+    scores (of the n best), decoded (the text of the best ids), exact (whether it is the text); and the best ids, if asked for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice, known = worker_state(model, n)
@@ -195,12 +196,14 @@ def round_trip(docs: DataFrame, model: str, n: int = 3, text: str = "text", id_c
                 found = encode_text(lattice, t or "", n, known)
                 score, ids = found[0]
                 back = decode_ids(ids, cells)
-                rows.append((len(ids), score, zlib.crc32(np.array(ids, "<u4").tobytes()), [s for s, _ in found], back, back == (t or "")))
-            kinds = (pa.int64(), pa.float64(), pa.int64(), pa.list_(pa.float64()), pa.string(), pa.bool_())
-            columns = zip(*rows, strict=True)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))], ["doc_id", "n_pieces", "score", "ids_crc32", "scores", "decoded", "exact"])
-
-    return selected(docs, text, id_column).mapInArrow(run, f"doc_id {kind(docs, id_column)}, n_pieces long, score double, ids_crc32 long, scores array<double>, decoded string, exact boolean")
+                ids = np.array(ids, "<u4")
+                rows.append((len(ids), score, zlib.crc32(ids.tobytes()), [s for s, _ in found], back, back == (t or "")) + ((ids.view(np.int32),) if with_ids else ()))
+            kinds = (pa.int64(), pa.float64(), pa.int64(), pa.list_(pa.float64()), pa.string(), pa.bool_(), pa.list_(pa.int32()))
+            columns = list(zip(*rows, strict=True))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=False))], ROUND_TRIP[: len(columns) + 1])
+
+    schema = f"doc_id {kind(docs, id_column)}, n_pieces long, score double, ids_crc32 long, scores array<double>, decoded string, exact boolean" + ", ids array<int>" * with_ids
+    return selected(docs, text, id_column).mapInArrow(run, schema)
 
 
 def worker_state(model: str, n: int) -> tuple[Lattice, dict]:

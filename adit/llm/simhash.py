@@ -12,6 +12,11 @@ dense group of near copies costs about its size. What goes on is a spanning fore
 them, which two of them share exactly when they are near enough. That is exact too, and grows with the group, not its square.
 
 Null and empty texts have fingerprint zero, and are linked like others.
+
+`similar_groups` looks for texts whose shingle sets are alike by 0.8 or more, which may differ in more bits than a fingerprint's
+segments can promise to catch: several fingerprints of other seeds each give their candidates, and all their bits together
+decide. The share of bits that differ is the angle between the texts; 384 bits tell 0.8 (58 bits, give or take 7) from
+unrelated (192, give or take 10).
 """
 
 from __future__ import annotations
@@ -26,12 +31,14 @@ from pyspark.sql import DataFrame, functions as F
 
 from adit.llm.components import components, local_stars
 from adit.llm.packing import runs
-from adit.llm.words import LOWER, slices, translated
+from adit.llm.words import LOWER, mix, slices, translated
 from adit.session import materialize
 
 SLICE_BYTES = 8 << 20
 BITS = 64
 SMALL_GROUP = 32
+#: The same where links are kept as they are: larger groups give a spanning forest.
+FEW = 6
 BUCKET_LIMIT = 1 << 20
 
 
@@ -66,9 +73,8 @@ def fingerprints(docs: DataFrame, size: int = 4, seed: int = 42, text: str = "te
     return docs.select(F.col(id_column).alias("doc_id"), F.col(text).alias("text")).mapInArrow(compute, f"doc_id {docs.schema[id_column].dataType.simpleString()}, fingerprint long")
 
 
-def variants(fps: np.ndarray, distance: int) -> np.ndarray:
-    """For each fingerprint a row with its one-wildcard segment variants, numbered apart by the blanked bit."""
-    parts = distance // 2 + 1
+def variants(fps: np.ndarray, parts: int) -> np.ndarray:
+    """For each fingerprint a row with its one-wildcard variants of `parts` segments, numbered apart by the blanked bit."""
     cuts = [BITS * i // parts for i in range(parts + 1)]
     out = np.empty((len(fps), BITS), np.uint64)
     for low, high in zip(cuts[:-1], cuts[1:], strict=True):
@@ -103,35 +109,40 @@ def forest(group: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate(a), np.concatenate(b)) if a else (group[:0], group[:0])
 
 
-def group_links(keys: np.ndarray, fps: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
+def group_links(keys: np.ndarray, fps: np.ndarray, distance: int, small: int = SMALL_GROUP) -> tuple[np.ndarray, np.ndarray]:
     """Links within groups of equal keys; both arrays are sorted by key."""
     ends = runs(keys)
     size = np.repeat(np.diff(ends), np.diff(ends))
-    few = size <= SMALL_GROUP
+    few = size <= small
     k, f, a, b = keys[few], fps[few], [], []
-    for lag in range(1, SMALL_GROUP):
+    for lag in range(1, small):
         same = np.flatnonzero(k[lag:] == k[:-lag]) if lag < len(k) else np.zeros(0, np.int64)
         if not len(same):
             break
         same = same[near(f[same], f[same + lag], distance)]
         a.append(f[same])
         b.append(f[same + lag])
-    for i in np.flatnonzero(np.diff(ends) > SMALL_GROUP):
+    for i in np.flatnonzero(np.diff(ends) > small):
         x, y = forest(fps[ends[i] : ends[i + 1]], distance)
         a.append(x)
         b.append(y)
     return (np.concatenate(a), np.concatenate(b)) if a else (fps[:0], fps[:0])
 
 
-def links(fps: DataFrame, distance: int = 4, bucket_limit: int = BUCKET_LIMIT) -> DataFrame:
-    """(a, b) links that connect the distinct fingerprints of `fps` (column fingerprint) as all links within `distance` would."""
+def links(fps: DataFrame, distance: int = 4, bucket_limit: int = BUCKET_LIMIT, parts: int | None = None, stars: bool = True) -> DataFrame:
+    """(a, b) links that connect the distinct fingerprints of `fps` (column fingerprint) as all links within `distance` would.
+
+    With fewer segments (`parts`) than the distance asks for, links are those among fingerprints that share a variant; without
+    `stars`, every link is one between fingerprints within the distance.
+    """
+    parts = parts or distance // 2 + 1
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             f = batch.column("fingerprint").to_numpy(zero_copy_only=False)
             for k in range(0, len(f), 4096):
                 part = f[k : k + 4096]
-                yield pa.RecordBatch.from_arrays([pa.array(variants(part.view(np.uint64), distance).ravel().view(np.int64)), pa.array(np.repeat(part, BITS))], ["variant", "fingerprint"])
+                yield pa.RecordBatch.from_arrays([pa.array(variants(part.view(np.uint64), parts).ravel().view(np.int64)), pa.array(np.repeat(part, BITS))], ["variant", "fingerprint"])
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept_k, kept_f = np.zeros(0, np.int64), np.zeros(0, np.uint64)
@@ -141,8 +152,12 @@ def links(fps: DataFrame, distance: int = 4, bucket_limit: int = BUCKET_LIMIT) -
             return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64)) if b is not None else pa.nulls(len(a), pa.int64())], ["a", "b"])
 
         def linked(k, f):
-            a, b = group_links(k, f, distance)
-            return [out(*local_stars(a, b))] if len(a) else []
+            a, b = group_links(k, f, distance, SMALL_GROUP if stars else FEW)
+            if stars:
+                a, b = local_stars(a, b) if len(a) else (a, b)
+            elif len(a):
+                a, b = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
+            return [out(a, b)] if len(a) else []
 
         for batch in batches:
             k, f = batch.column("variant").to_numpy(), batch.column("fingerprint").to_numpy().view(np.uint64)
@@ -205,3 +220,51 @@ def with_components(prints: DataFrame, distance: int = 4, bucket_limit: int = BU
     whole = classes.join(roots, classes["fingerprint"] == roots["node"], "left").select("fingerprint", "first", F.coalesce("root", "fingerprint").alias("root"))
     smallest = whole.groupBy("root").agg(F.min("first").alias("component_id"))
     return prints.join(whole.join(smallest, "root").select("fingerprint", "component_id"), "fingerprint")
+
+
+def similar_groups(docs: DataFrame, size: int = 5, seeds: tuple[int, ...] = (1, 2, 3, 4, 5, 6), distance: int = 8, parts: int = 3, most: int = 74, text: str = "text", id_column: str = "doc_id", bucket_limit: int = BUCKET_LIMIT) -> DataFrame:
+    """Per document: doc and print (its id as a long, the smallest long for null, and the hash of its text) and root, equal for linked texts.
+
+    Candidates share a variant of one seed's fingerprint and differ there in `distance` bits at most; a link differs in `most`
+    bits at most over all seeds. Groups beyond `bucket_limit` are linked within the distance that their segments promise.
+    """
+    named = docs.select(F.coalesce(F.col(id_column).cast("long"), F.lit(-(1 << 63))).alias("doc"), F.coalesce(F.xxhash64(text), F.lit(0)).alias("print"), F.col(text).alias("text"))
+    names = [f"f{k}" for k in range(len(seeds))]
+
+    def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text", SLICE_BYTES):
+            rows = []
+            for t in translated(batch.column("text"), LOWER).cast(pa.large_binary()):
+                h = np.unique(shingle_hashes(t.as_py(), size, 0))  # the set of shingles
+                rows.append([fingerprint(mix(h ^ np.uint64(seed)) if len(h) else h) for seed in seeds])
+            columns = np.array(rows, np.uint64).reshape(-1, len(seeds)).T
+            yield pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("print"), *(pa.array(np.ascontiguousarray(c).view(np.int64)) for c in columns)], ["doc", "print", *names])
+
+    prints = materialize(named.mapInArrow(compute, "doc long, print long, " + ", ".join(f"{c} long" for c in names)), "signatures")
+    classes = materialize(prints.select(*names).distinct(), "signature-classes")
+    known = lambda p: classes.groupBy("f0").agg(*(F.min(c).alias(f"{p}{c}") for c in names[1:])).withColumnRenamed("f0", f"{p}f0")
+    near_pairs = None
+    for c in names:
+        pairs = links(classes.select(F.col(c).alias("fingerprint")).distinct(), distance, bucket_limit, parts, stars=False)
+        # every fingerprint of this seed stands for the smallest class that has it; classes go by their first fingerprint
+        first = classes.groupBy(c).agg(F.min("f0").alias("first"))
+        shared = classes.select(c, F.col("f0").alias("a")).join(first, c).select("a", F.col("first").alias("b"))
+        across = pairs.join(first.select(F.col(c).alias("a"), F.col("first").alias("x")), "a").join(first.select(F.col(c).alias("b"), F.col("first").alias("y")), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
+        both = shared.union(across).where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        near_pairs = both if near_pairs is None else near_pairs.union(both)
+    bits = sum((F.bit_count(F.col(f"x{c}").bitwiseXOR(F.col(f"y{c}"))) for c in names), F.lit(0))
+    kept = near_pairs.distinct().join(known("x"), F.col("a") == F.col("xf0")).join(known("y"), F.col("b") == F.col("yf0")).where(bits <= most)
+    roots = materialize(components(kept.select("a", "b")), "components")
+    return prints.select("doc", "print", "f0").join(roots, F.col("f0") == F.col("node"), "left").select("doc", "print", F.coalesce("root", "f0").alias("root"))
+
+
+def one_of_each(docs: DataFrame, text: str = "text", id_column: str = "doc_id", **options) -> DataFrame:
+    """The frame with the document of smallest id (and text hash) of each group of `similar_groups`; of equal rows, one."""
+    groups = similar_groups(docs, text=text, id_column=id_column, **options)
+    rows = materialize(groups.groupBy("root", "doc", "print").agg(F.count("*").alias("times")), "groups")
+    first = rows.groupBy("root").agg(F.min_by(F.struct("doc", "print", "times"), F.struct("doc", "print")).alias("x")).select("x.*")
+    keyed = docs.withColumns({"__doc": F.coalesce(F.col(id_column).cast("long"), F.lit(-(1 << 63))), "__print": F.coalesce(F.xxhash64(text), F.lit(0))})
+    match = (F.col("__doc") == F.col("doc")) & (F.col("__print") == F.col("print"))
+    once = keyed.join(first.where("times = 1"), match, "left_semi").select(*docs.columns)
+    again = keyed.join(first.where("times > 1"), match, "left_semi").dropDuplicates(["__doc", "__print"]).select(*docs.columns)
+    return once.union(again)
