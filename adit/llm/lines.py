@@ -6,8 +6,8 @@ place), or a line within `distance` edits whose first occurrence is earlier. Sho
 Equal lines are one class, known by a 128-bit hash. For the edit join each distinct line is cut into distance + 1 segments, of
 even length: `distance` edits leave one of them whole, so a line within reach holds that segment at a place that the edits
 left and right of it bound. Each line indexes its segments (hashed with their number and the line's length) and probes with
-its substrings for its own length and each shorter one within the distance. Probes and index entries meet by equal keys, and a
-count of characters by kind (an edit changes two counts by one at most) refuses most of what is too far, in the join. Texts are
+its substrings for its own length and each shorter one within the distance. Probes and index entries meet by equal keys, and the
+counts of a few letters (an edit changes two counts by one at most) refuse most of what is too far, in the join. Texts are
 then fetched for the lines that are left, and verified by a banded bit-parallel automaton: one bit for each diagonal of the
 band and one word for each number of edits, a few operations for each character.
 
@@ -26,8 +26,9 @@ from adit.session import materialize
 
 MIN_CHARS = 20
 DISTANCE = 1
-#: Letters by kind, for the counts that refuse lines; other characters are a kind of their own.
-KINDS = ("eb", "asf", "tcd", "ohg", "inp", "rlm")
+#: Letters whose counts refuse lines; counts wrap at 128.
+COUNTED = "eantoisr"
+COUNT_BITS = 7
 #: Lines to verify up to which their hashes (8 bytes each) are broadcast to fetch the texts; above, Spark joins as it sees fit.
 BROADCAST_LINES = 1 << 20
 
@@ -44,22 +45,22 @@ def exploded(docs: DataFrame, min_chars: int) -> DataFrame:
     return lines.where(F.length("line") >= min_chars).select("doc", "print", "place", "line", F.xxhash64("line").alias("h"), F.xxhash64(F.lit("g"), "line").alias("g"))
 
 
-def kinds(line: Column) -> Column:
-    """Counts of characters by kind, 10 bits each (lengths are compared apart, so counts may wrap alike)."""
+def letter_counts(line: Column) -> Column:
+    """How often each of COUNTED stands in the line, packed into one number."""
     packed = F.lit(0).cast("long")
-    for k, letters in enumerate(KINDS):
-        count = F.length(line) - F.length(F.translate(line, letters, ""))
-        packed = packed.bitwiseOR(F.shiftleft(count.cast("long").bitwiseAND(F.lit(1023)), 10 * k))
+    for k, letter in enumerate(COUNTED):
+        count = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(letter), F.lit("")))
+        packed = packed.bitwiseOR(F.shiftleft(count.cast("long").bitwiseAND(F.lit((1 << COUNT_BITS) - 1)), COUNT_BITS * k))
     return packed
 
 
 def apart(a: Column, b: Column) -> Column:
-    """Sum of the differences of the counts by kind."""
-    total = F.lit(0)
-    for k in range(len(KINDS)):
-        x, y = (F.shiftright(c, 10 * k).bitwiseAND(F.lit(1023)) for c in (a, b))
+    """Sum of the differences of the letters' counts, the short way round where they wrap: at most two for each edit."""
+    total, size = F.lit(0), 1 << COUNT_BITS
+    for k in range(len(COUNTED)):
+        x, y = (F.shiftright(c, COUNT_BITS * k).bitwiseAND(F.lit(size - 1)) for c in (a, b))
         gap = F.abs(x - y)
-        total = total + F.least(gap, F.lit(1024) - gap)
+        total = total + F.least(gap, F.lit(size) - gap)
     return total
 
 
@@ -118,10 +119,10 @@ def line_classes(lines: DataFrame, distance: int) -> DataFrame:
     """One row for each distinct line: h, g, times, first occurrence, and the keys, length and counts for the join. No texts."""
     indexed, probed = keys(distance)
     at = F.struct("doc", "print", "place")
-    seen = lines.select("h", "g", at.alias("at"), F.length("line").alias("n"), kinds(F.col("line")).alias("kinds"), indexed.alias("indexed"), probed.alias("probed"))
+    seen = lines.select("h", "g", at.alias("at"), F.length("line").alias("n"), letter_counts(F.col("line")).alias("counts"), indexed.alias("indexed"), probed.alias("probed"))
     return materialize(
         seen.groupBy("h", "g").agg(
-            F.count("*").alias("times"), F.min("at").alias("first"), F.first("n").alias("n"), F.first("kinds").alias("kinds"), F.first("indexed").alias("indexed"), F.first("probed").alias("probed")
+            F.count("*").alias("times"), F.min("at").alias("first"), F.first("n").alias("n"), F.first("counts").alias("counts"), F.first("indexed").alias("indexed"), F.first("probed").alias("probed")
         ),
         "line-classes",
     )
@@ -129,9 +130,9 @@ def line_classes(lines: DataFrame, distance: int) -> DataFrame:
 
 def near_lines(lines: DataFrame, classes: DataFrame, distance: int) -> DataFrame:
     """Links between different lines within the distance, both ways: h, g, first, and first of the other as other_first."""
-    index = classes.select(F.explode("indexed").alias("key"), F.col("h").alias("a"), F.col("n").alias("a_n"), F.col("kinds").alias("a_kinds"))
-    probes = classes.select(F.explode(F.concat("indexed", "probed")).alias("key"), F.col("h").alias("b"), F.col("n").alias("b_n"), F.col("kinds").alias("b_kinds"))
-    close = (F.col("b_n") - F.col("a_n")).between(0, distance) & (apart(F.col("a_kinds"), F.col("b_kinds")) <= 2 * distance)
+    index = classes.select(F.explode("indexed").alias("key"), F.col("h").alias("a"), F.col("n").alias("a_n"), F.col("counts").alias("a_counts"))
+    probes = classes.select(F.explode(F.concat("indexed", "probed")).alias("key"), F.col("h").alias("b"), F.col("n").alias("b_n"), F.col("counts").alias("b_counts"))
+    close = (F.col("b_n") - F.col("a_n")).between(0, distance) & (apart(F.col("a_counts"), F.col("b_counts")) <= 2 * distance)
     once = (F.col("b_n") > F.col("a_n")) | (F.col("a") < F.col("b"))  # lines of one length meet from both sides
     pairs = materialize(index.join(probes, "key").where(close & once & (F.col("a") != F.col("b"))).select("a", "b").distinct(), "line-pairs")
 
