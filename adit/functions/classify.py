@@ -72,10 +72,11 @@ def unit_of(sensor_type: Column) -> Column:
 
 
 def shift_class(c: Column) -> Column:
-    """`3`, `третья`, `3-я` -> `3-я`; anything else stays as written."""
+    """`3`, `третья`, `3-я` -> `3-я`; an empty text is null, anything else stays as written."""
     stems = ("перв", "втор", "трет", "четв")
     words = [w for i, stem in enumerate(stems, 1) for w in ((str(i), f"{i}-я"), (stem, f"{i}-я"))]
-    return classify(F.nullif(c, F.lit("")), words, c)
+    text = F.nullif(c, F.lit(""))
+    return classify(text, words, text)
 
 
 def yes_no(c: Column, default: int | None = None) -> Column:

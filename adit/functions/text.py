@@ -46,7 +46,7 @@ def split_name(c: Column) -> Column:
     return F.struct(
         F.nullif(F.try_element_at(words, F.lit(1)), F.lit("")).alias("lastname"),
         F.try_element_at(words, F.lit(2)).alias("firstname"),
-        F.nullif(F.array_join(F.slice(words, 3, 1000), " "), F.lit("")).alias("middlename"),
+        F.nullif(F.array_join(F.slice(words, F.lit(3), F.greatest(F.size(words), F.lit(0))), " "), F.lit("")).alias("middlename"),
     )
 
 

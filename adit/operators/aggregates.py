@@ -70,5 +70,7 @@ def latest(df: DataFrame, by: str, limit: int, *tie: str) -> DataFrame:
 
 
 def preview(df: DataFrame, limit: int, *order: str) -> DataFrame:
-    """The first rows of a table in key order, 10 to 10000 of them."""
-    return df.orderBy(*order).limit(max(10, min(limit, 10000)))
+    """The first `limit` rows of a table in key order; a limit below one is refused."""
+    if limit < 1:
+        raise ValueError(f"a preview needs a positive limit, not {limit}")
+    return df.orderBy(*order).limit(limit)

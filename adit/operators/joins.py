@@ -27,11 +27,15 @@ def one_per_key(df: DataFrame, key: str | Column, value: str, order: str | None
 
 
 def lookup(df: DataFrame, key: Column, table: DataFrame, table_key: Column, value: str, alias: str | None = None) -> DataFrame:
-    """Left lookup: adds `alias` (null on a miss); never changes the number of rows."""
+    """Left lookup: adds `alias` (null on a miss); never changes the number of rows.
+
+    Rows without a key find nothing; they are dealt by a hash of the row, so that they do not all meet in one task.
+    """
     side = one_per_key(table, table_key, value).withColumnRenamed(value, "_value")
+    apart = F.concat(F.lit("\u0000"), F.xxhash64(*df.columns).cast("string"))
     return (
-        df.withColumn("_lookup", key)
-        .join(side, F.col("_lookup") == F.col("_key"), "left")
+        df.withColumn("_lookup", F.coalesce(key.cast("string"), apart))
+        .join(side, F.col("_lookup") == F.col("_key").cast("string"), "left")
         .select(*df.columns, F.col("_value").alias(alias or value))
     )
 
@@ -91,9 +95,6 @@ def keyword_facts(sentences: DataFrame, hypotheses) -> DataFrame:
     return every.where("keyword is not null")
 
 
-CENTROIDS_PER_PASS = 256
-
-
 def _norm(v: Column) -> Column:
     return F.sqrt(F.aggregate(v, F.lit(0.0), lambda s, x: s + x * x))
 
@@ -102,18 +103,16 @@ def _dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
 
 
-def semantic_facts(vectors: DataFrame, centroids: DataFrame, min_cos: float = 0.65, passes: int | None = None) -> DataFrame:
+def semantic_facts(vectors: DataFrame, centroids: DataFrame, min_cos: float = 0.65, passes: int = 1) -> DataFrame:
     """(vector, centroid) pairs with cosine above `min_cos`.
 
     `vectors`: any columns plus `vec array<double>`; `centroids`: `hypotesis_id, centroid`. Centroids are one
     per hypothesis, a handful; they reach each task as one array from a scalar subquery, and unit length is
-    prepared once; only hits are emitted. When there are more than one pass may hold, they are dealt out by hash over several passes
-    over the vectors, so no task ever holds more than a bounded share of them.
+    prepared once; only hits are emitted. A caller with very many centroids may deal them by hash over several `passes`
+    over the vectors, so that a task holds a share of them; results are the same. `centroids` is read once a pass: hand in a written frame.
     """
     unit = F.transform("centroid", lambda x: x / _norm(F.col("centroid")))
     sides = centroids.select("hypotesis_id", unit.alias("unit"))
-    if passes is None:
-        passes = -(-centroids.count() // CENTROIDS_PER_PASS) or 1
     result = None
     for i in range(passes):
         part = sides.where(F.pmod(F.hash("hypotesis_id"), F.lit(passes)) == i)

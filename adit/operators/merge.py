@@ -35,7 +35,10 @@ def merge_last_nonnull(df: DataFrame, key: list[str], order: str) -> DataFrame:
 
 
 def distinct_join(df: DataFrame, key: list[str], value: str, name: str, separator: str = "; ") -> DataFrame:
-    """Sorted distinct values per key as one text. Copies are removed before anything is gathered per key."""
+    """Sorted distinct values per key as one text. Copies are removed before anything is gathered per key.
+
+    The result holds every distinct value of a key in one cell, so a key's distinct values must fit one row.
+    """
     values = df.where(F.col(value).isNotNull()).select(*key, value).distinct()
     return values.groupBy(*key).agg(F.array_join(F.array_sort(F.collect_list(value)), separator).alias(name))
 

@@ -12,9 +12,6 @@ from pyspark.sql import functions as F
 
 from adit.session import materialize
 
-# A key with fewer rows than this is fine in one window task.
-WINDOW_ROWS = 2_000_000
-
 _INDEX_BITS = 33
 
 
@@ -63,20 +60,10 @@ def assign_ids(df: DataFrame, prefix: Column | str, order: list[str], name: str
     )
 
 
-def largest_key(df: DataFrame, key: list[str]) -> int:
-    """Rows of the most frequent key; one map-side combined count."""
-    return df.groupBy(*key).count().agg(F.max("count")).first()[0] or 0
-
-
-def running_before(
-    df: DataFrame, key: list[str], order: list[str], value: Column, name: str, window_rows: int = WINDOW_ROWS
-) -> DataFrame:
+def running_before(df: DataFrame, key: list[str], order: list[str], value: Column, name: str) -> DataFrame:
     """Adds the sum of `value` over the earlier rows of the same key (null counts as 0)."""
     counted = F.coalesce(value, F.lit(0.0))
     before = Window.unboundedPreceding, -1
-    if largest_key(df, key) <= window_rows:
-        w = Window.partitionBy(*key).orderBy(*order).rowsBetween(*before)
-        return df.withColumn(name, F.coalesce(F.sum(counted).over(w), F.lit(0.0)))
     stored = _ranged(df.withColumn("_v", counted), key, order)
     inside = Window.partitionBy(*key, "_part").orderBy("_idx").rowsBetween(*before)
     local = stored.withColumn("_local", F.coalesce(F.sum("_v").over(inside), F.lit(0.0)))

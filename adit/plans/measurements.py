@@ -272,7 +272,7 @@ def seismic_xml(docs: DataFrame) -> DataFrame:
 
 def seismic_json(docs: DataFrame) -> DataFrame:
     rows = feature_events(docs, DOC)
-    return seismic_rows(rows.withColumn("ord", F.unix_seconds(F.col("event_dttm").try_cast("timestamp"))), [*DOC, "ord"])
+    return seismic_rows(rows.withColumn("ord", position(F.unix_seconds(F.col("event_dttm").try_cast("timestamp")))), [*DOC, "ord"])
 
 
 register_extractor(

@@ -14,7 +14,7 @@ from adit.functions import vocabulary as V
 from adit.operators import extract as X
 from adit.operators.joins import keyword_facts, semantic_facts
 from adit.operators.merge import keep_first
-from adit.plans.registry import DOC, position, register_extractor
+from adit.plans.registry import DOC, LAST, position, register_extractor
 
 NUMBER = r"(\d+\.?\d*)"
 
@@ -110,7 +110,7 @@ def explosion_model(docs: DataFrame) -> DataFrame:
     ch4 = F.coalesce(_label(r"Концентрация CH4:\s*([\d.]+)%"), F.lit("N/A"))
     seat = docs.select(
         *DOC,
-        F.lit(0).cast("bigint").alias("ord"),
+        position(0),
         F.concat(F.lit("Лава "), face).alias("premise_id"),
         F.lit("первичный взрыв").alias("damage_type"),
         F.concat(F.lit("очаг взрыва, концентрация CH4 "), ch4, F.lit("%")).alias("damage_description"),
@@ -163,7 +163,8 @@ register_extractor(
 
 # ---- inspection_description --------------------------------------------------------------------------------
 
-INSPECTORS = r"(?s)Члены подкомиссии:\s*\n((?:\s*\d+\.[^\n]*(?:\n|\z))+)"
+# Possessive repeats: a list of any length is matched without recursion.
+INSPECTORS = r"(?s)Члены подкомиссии:\s*\n((?:\s*+\d++\.[^\n]*+(?:\n|\z))++)"
 INSPECTOR = r"\d+\.\s*([А-ЯЁ][а-яё]+\s+[А-ЯЁ]\.\s*[А-ЯЁ]\.)"
 ACT_DATE = [r"(?iu)Дата осмотра:\s*([^\n]+)", r"(\d{2}\.\d{2}\.\d{4})"]
 FACT_PLACES = [
@@ -214,9 +215,9 @@ def _inspected(facts: DataFrame, location: Column, *order: str) -> DataFrame:
     )
 
 
-def _remark(rows: DataFrame, ord_: Column, text: Column, date: Column, location: Column) -> DataFrame:
+def _remark(rows: DataFrame, place: Column, text: Column, date: Column, location: Column) -> DataFrame:
     return rows.select(
-        *DOC, ord_.cast("bigint").alias("ord"), date.alias("inspection_date"), text.alias("fact_description"), "inspector_name", location.alias("location")
+        *DOC, place, date.alias("inspection_date"), text.alias("fact_description"), "inspector_name", location.alias("location")
     ).where("fact_description is not null")
 
 
@@ -230,7 +231,7 @@ def inspection_act(docs: DataFrame) -> DataFrame:
     keep = [*DOC, "inspection_date", "inspector_name"]
     facts = act_facts(told, keep).where(F.length("fact") >= 10)
     summed = _remark(
-        told, F.lit(10**15), F.concat(F.lit("ЗАКЛЮЧЕНИЕ: "), T.first_match(F.col("text"), CONCLUSION)), F.col("inspection_date"), F.lit("общее")
+        told, position(LAST), F.concat(F.lit("ЗАКЛЮЧЕНИЕ: "), T.first_match(F.col("text"), CONCLUSION)), F.col("inspection_date"), F.lit("общее")
     )
     return _inspected(facts, F.col("location"), "block_no", "fact_no").unionByName(summed, allowMissingColumns=True)
 
@@ -248,10 +249,10 @@ def inspection_diary(docs: DataFrame) -> DataFrame:
         .otherwise(F.col("route"))
     )
     seized = _remark(
-        dived, F.col("block_no") * 1_000_000 + 999_999, F.concat(F.lit("Изъято: "), "seized"), F.col("inspection_date"), F.col("route")
+        dived, position("block_no", LAST), F.concat(F.lit("Изъято: "), "seized"), F.col("inspection_date"), F.col("route")
     )
     summed = _remark(
-        told, F.lit(10**15), F.concat(F.lit("ОБЩИЙ ВЫВОД: "), _label(r"Общий вывод:\s*([^\n]+)")), F.lit(None).cast("string"), F.lit("общее")
+        told, position(LAST), F.concat(F.lit("ОБЩИЙ ВЫВОД: "), _label(r"Общий вывод:\s*([^\n]+)")), F.lit(None).cast("string"), F.lit("общее")
     )
     rows = _inspected(facts, place, "block_no", "fact_no")
     return rows.unionByName(seized, allowMissingColumns=True).unionByName(summed, allowMissingColumns=True)
@@ -328,7 +329,7 @@ def transcript(docs: DataFrame) -> DataFrame:
     blast = docs.select(
         "incident_id",
         F.lit("seismic_data").alias("source_file"),
-        F.lit(0).cast("bigint").alias("ord"),
+        position(0),
         F.lit(f"{RECORDING_DAY} {BLAST_TIME}").alias("event_dttm"),
         F.lit("взрыв").alias("event_type"),
         F.lit(BLAST_TEXT).alias("action_description"),
@@ -393,7 +394,8 @@ def structural_column(docs: DataFrame) -> DataFrame:
     told = _geo_docs(docs).withColumn("_top", F.coalesce(F.regexp_extract("text", r"Глубина от поверхности:\s*(\d+)-(\d+)\s*м", 1).try_cast("double"), F.lit(DEFAULT_DEPTH)))
     # A ruler, a heading, a ruler: the heading and the text below it belong together.
     joined = F.regexp_replace("text", r"\n-{10,}\s*\n([^\n]*(?:КРОВЛЯ|ПЛАСТ|МЕЖПЛАСТЬЕ|ПОЧВА)[^\n]*)\n-{10,}", "\n\u0001$1")
-    parts = F.slice(F.split(joined, "\u0001", -1), 2, 1000)
+    pieces = F.split(joined, "\u0001", -1)
+    parts = F.slice(pieces, F.lit(2), F.greatest(F.size(pieces), F.lit(0)))
     head = lambda p: F.substring_index(p, "\n", 1)
 
     def layer_of(p: Column) -> Column:
@@ -405,10 +407,14 @@ def structural_column(docs: DataFrame) -> DataFrame:
         return F.struct(p.alias("body"), rock.alias("rock_type"), name.alias("layer_name"), T.first_match(p, THICKNESS).try_cast("double").alias("thickness_m"))
 
     layers = told.withColumn("_layers", F.filter(F.transform(parts, layer_of), lambda x: x["rock_type"].isNotNull()))
-    above = lambda i: F.aggregate(
-        F.slice("_layers", F.lit(1), i), F.lit(0.0), lambda s, x: s + F.coalesce(x["thickness_m"], F.lit(0.0))
+    # The sums above each layer, carried along in one pass.
+    start = F.struct(F.array().cast("array<double>").alias("sums"), F.lit(0.0).alias("total"))
+    carried = F.aggregate(
+        "_layers", start,
+        lambda s, x: F.struct(F.concat(s["sums"], F.array(s["total"])).alias("sums"), (s["total"] + F.coalesce(x["thickness_m"], F.lit(0.0))).alias("total")),
+        lambda s: s["sums"],
     )
-    placed = layers.withColumn("_above", F.transform("_layers", lambda x, i: above(i)))
+    placed = layers.withColumn("_above", carried)
     rows = placed.select(*_GEO, "_top", "_above", F.posexplode_outer("_layers").alias("pos", "_l")).where("_l is not null")
     top = F.col("_top") + F.element_at("_above", F.col("pos") + 1)
     body = F.col("_l.body")
@@ -549,7 +555,7 @@ def incident_summary(docs: DataFrame) -> DataFrame:
     any_day = D.iso_date(F.col("_any_day"))
     return found.select(
         *DOC,
-        F.lit(0).cast("bigint").alias("ord"),
+        position(0),
         F.when(labelled, D.iso_date(F.col("_day"))).when(spoken, D.iso_date(F.col("_said_day"))).otherwise(any_day).alias("incident_date"),
         F.when(labelled, F.col("_time")).when(spoken, F.col("_said_time")).when(any_day.isNotNull(), "00:00:00").alias("incident_time"),
         T.clean_whitespace(F.col("mine_name")).alias("mine_name"),

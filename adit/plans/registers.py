@@ -21,7 +21,7 @@ from adit.sources.delimited import registry_records
 
 def _one(docs: DataFrame, **columns: Column) -> DataFrame:
     """One row per document."""
-    return docs.select(*DOC, F.lit(0).cast("bigint").alias("ord"), *[c.alias(n) for n, c in columns.items()])
+    return docs.select(*DOC, position(0), *[c.alias(n) for n, c in columns.items()])
 
 
 def _labels(docs: DataFrame, **columns: Column) -> DataFrame:

@@ -60,18 +60,20 @@ def run_job(table: str, docs: DataFrame, with_ids: bool = False, start: int = 0)
 
 
 def number_rows(rows: DataFrame, table: str, start: int = 0) -> DataFrame:
-    """Fill the id column of rows that have none; ids follow file name and position."""
+    """Fill the id column of rows that have none; ids follow incident, file name and position."""
     if table not in ID_PREFIXES:
         return rows
     column, prefix = ID_PREFIXES[table]
-    numbered = assign_ids(rows, prefix, ["source_file", "ord"], "_new_id", start)
+    numbered = assign_ids(rows, prefix, ["incident_id", "source_file", "ord"], "_new_id", start)
     own = F.col(column) if column in rows.columns else F.lit(None).cast("string")
     return numbered.withColumn(column, F.coalesce(own, F.col("_new_id"))).drop("_new_id")
 
 
-def position(*parts: str) -> Column:
-    """One sortable number from up to three positions, the first being the most significant."""
-    total = F.lit(0).cast("bigint")
-    for p in parts:
-        total = total * 1_000_000 + F.col(p).cast("bigint")
-    return total.alias("ord")
+# Beyond any position that counts rows.
+LAST = (1 << 63) - 1
+
+
+def position(*parts: str | int | Column) -> Column:
+    """Where a row stands in its document: columns or numbers of any size, the first being the most significant."""
+    columns = [F.col(p) if isinstance(p, str) else F.lit(p) if isinstance(p, int) else p for p in parts]
+    return F.array(*[c.cast("bigint") for c in columns]).alias("ord")

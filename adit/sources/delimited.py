@@ -61,8 +61,9 @@ def read_event_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return read_aliased_csv(spark, path, EVENT_ALIASES)
 
 
-# One CSV field: quoted (quotes may hold commas and doubled quotes) or plain.
-CSV_FIELD = r'(?:^|(?<=,))(?:"(?:[^"]|"")*"|[^,]*)'
+# One CSV field: quoted (quotes may hold commas and doubled quotes) or plain. The repeats are possessive, so a field of
+# any length is matched without recursion.
+CSV_FIELD = r'(?:^|(?<=,))(?:"[^"]*+(?:""[^"]*+)*+"|[^,]*+)'
 
 
 def _csv_fields(line: Column) -> Column:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-EXTENSIONS = ("txt", "csv", "json", "xml", "xlsx", "xls")
+EXTENSIONS = ("txt", "csv", "json", "xml")
+# Workbooks are no text: read as such they would only give noise.
 
 # Upper halves of the two single-byte code pages, derived from the codecs themselves. Byte 0x98 has no
 # meaning in windows-1251.
@@ -24,6 +25,11 @@ def decode_text(content: Column) -> Column:
     return F.when(F.is_valid_utf8(utf8), utf8).when(latin.contains("\x98"), latin).otherwise(cyrillic)
 
 
+def any_case(extensions) -> str:
+    """A glob for file names with any of the extensions, in letters of either case."""
+    return "*.{" + ",".join("".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in e) for e in extensions) + "}"
+
+
 def file_name(path: Column) -> Column:
     return F.element_at(F.split(path, "/"), -1)
 
@@ -37,7 +43,7 @@ def scan_documents(spark: SparkSession, folder: str, extensions=EXTENSIONS) -> D
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.{" + ",".join(f"{e},{e.upper()}" for e in extensions) + "}")
+        .option("pathGlobFilter", any_case(extensions))
         .load(folder)
     )
     name = file_name(F.col("path"))

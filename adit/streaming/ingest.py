@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from adit.plans.ingest import jobs_present, land_routed
 from adit.plans.registry import DOC, JOBS, run_job
-from adit.sources.files import EXTENSIONS, decode_text, file_name
+from adit.sources.files import EXTENSIONS, any_case, decode_text, file_name
 from adit.tables.store import SnapshotTable
 
 FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
@@ -24,7 +24,7 @@ def document_stream(
         spark.readStream.format("binaryFile")
         .schema(FILE_SCHEMA)
         .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.{" + ",".join(extensions) + "}")
+        .option("pathGlobFilter", any_case(extensions))
         .option("maxFilesPerTrigger", files_per_batch)
     )
     if archive:

@@ -80,6 +80,8 @@ class SnapshotTable:
             F.lit(rows).cast("bigint").alias("row_count"),
             F.lit((0 if head is None else head.appended) + new_rows).cast("bigint").alias("appended"),
         )
+        if (latest := self.manifest().agg(F.max("snapshot_id")).first()[0] if self.exists() else None) != (head.snapshot_id if head else None):
+            raise RuntimeError(f"{self.name} was changed by another writer: snapshot {latest} came before {snapshot_id}")
         entry.write.mode("append").parquet(f"{self.path}/_manifest")
         return snapshot_id
 
@@ -132,11 +134,9 @@ class SnapshotTable:
     def replace(self, df: DataFrame) -> int | None:
         """Full refresh; an empty input leaves the table as it is."""
         self.create()
-        if df.isEmpty():
-            return None
         head = self.current()
         added, count = self._write(df)
-        return self._commit("REPLACE", added, head, count, count)
+        return self._commit("REPLACE", added, head, count, count) if count else None
 
     def _touched(self, rows: DataFrame, keys: DataFrame, key: str) -> list[int]:
         """Folders holding any of the keys; reads the key column only."""
@@ -150,6 +150,8 @@ class SnapshotTable:
         a row really changes (a null new value is a value). Unknown keys are ignored; the key never changes.
         """
         head = self.current()
+        if repeated := updates.groupBy(key).count().where("count > 1").first():
+            raise ValueError(f"{key} {repeated[0]!r} is given more than once")
         touched = self._touched(self._read(head.versions), updates, key)
         if not touched:
             return head.snapshot_id
@@ -176,8 +178,9 @@ class SnapshotTable:
         if not touched:
             return head.snapshot_id
         affected = self._read(touched).drop("v")
+        before = affected.count()
         added, left = self._write(affected.join(keys.select(key), key, "left_anti"))
-        gone = affected.count() - left
+        gone = before - left
         kept = [v for v in head.versions if v not in touched]
         return self._commit("DELETE", [*kept, *added], head, head.row_count - gone)
 

@@ -46,12 +46,12 @@ def lookup_composite(spark, sf):
 
 @query(
     "lookup_left",
-    """WITH m AS (SELECT p_brand AS k, max('EQ-' || p_partkey) AS equipment_id FROM part WHERE p_size > 10 GROUP BY p_brand)
+    """WITH m AS (SELECT p_brand AS k, max('EQ-' || p_partkey) AS equipment_id FROM part GROUP BY p_brand)
        SELECT p_partkey, m.equipment_id FROM part LEFT JOIN m ON CASE WHEN p_partkey % 5 = 0 THEN 'none' ELSE p_brand END = m.k""",
 )
 def lookup_left(spark, sf):
     part = load(spark, sf, "part")
-    known = part.where("p_size > 10").select(
+    known = part.select(
         F.col("p_brand").alias("model"), F.concat(F.lit("EQ-"), F.col("p_partkey").cast("string")).alias("equipment_id")
     )
     log = part.select("p_partkey", F.when(F.col("p_partkey") % 5 == 0, "none").otherwise(F.col("p_brand")).alias("model"))
@@ -163,13 +163,12 @@ def files_without_rows(spark, sf):
 @query(
     "incident_investigation",
     """SELECT o_orderkey AS incident_id, o_orderstatus, n, revenue FROM orders JOIN
-       (SELECT l_orderkey, count(*) AS n, round(sum(l_quantity), 2) AS revenue FROM lineitem WHERE l_orderkey % 10 < 7 GROUP BY l_orderkey) ON o_orderkey = l_orderkey""",
+       (SELECT l_orderkey, count(*) AS n, round(sum(l_quantity), 2) AS revenue FROM lineitem GROUP BY l_orderkey) ON o_orderkey = l_orderkey""",
 )
 def incident_investigation(spark, sf):
     incidents = load(spark, sf, "orders").select(F.col("o_orderkey").alias("incident_id"), "o_orderstatus")
     found = (
         load(spark, sf, "lineitem")
-        .where("l_orderkey % 10 < 7")
         .groupBy(F.col("l_orderkey").alias("incident_id"))
         .agg(F.count("*").alias("n"), F.round(F.sum("l_quantity"), 2).alias("revenue"))
     )
@@ -204,11 +203,7 @@ def grants_expand(spark, sf):
 )
 def row_filter(spark, sf):
     table = load(spark, sf, "orders").select("o_orderkey", F.col("o_orderpriority").alias("incident_id"))
-    allowed = access.grants_expand(
-        load(spark, sf, "region").where("r_regionkey = 0").select(
-            F.col("r_regionkey").alias("user_id"), F.lit("1-URGENT; 2-HIGH").alias("allowed_incident_ids")
-        )
-    )
+    allowed = access.grants_expand(spark.createDataFrame([(0, "1-URGENT; 2-HIGH")], "user_id bigint, allowed_incident_ids string"))
     return merge.union_by_name(
         [
             access.row_filter(table, "VIEWER", allowed).withColumn("via", F.lit("grants")),

@@ -1,5 +1,6 @@
 """Reading text: headers, rulers, sections, blocks, bullets, delimited files and routing."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from adit.functions import vocabulary as V
@@ -94,9 +95,24 @@ def test_feature_collections(docs):
 def test_first_record_decides_the_json_schema(spark, tmp_path):
     (tmp_path / "r.json").write_text('[\n {"a": 1, "b": 2.5, "c": true, "d": null, "_source_file": "x"},\n {"a": 2, "b": 1, "e": "late"}\n]', "utf-8")
     schema = records.first_record_schema(spark, str(tmp_path))
-    assert schema.simpleString() == "struct<a:bigint,b:double,c:bigint,d:string,_source_file:string>"
+    assert schema.simpleString() == "struct<a:bigint,b:double,c:boolean,d:string,_source_file:string>"
     rows = records.read_json_records(spark, str(tmp_path), schema)
     assert rows.columns[-1] == "source_file" and rows.count() == 2
+    assert sorted(map(str, (r["c"] for r in rows.collect()))) == ["1", "None"]
+
+
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        ('[{"a": "x}y", "b": {"c": {"d": 1}}, "e": [1, {"f": 2}]}, {"a": 1}]', "struct<a:string,b:string,e:string>"),
+        ('{"a": 1}\n{"a": 2}', "struct<a:bigint>"),
+        ("[]", "struct<>"),
+        ("", "struct<>"),
+    ],
+)
+def test_braces_inside_the_first_record(spark, tmp_path, text, want):
+    (tmp_path / "r.json").write_text(text, "utf-8")
+    assert records.first_record_schema(spark, str(tmp_path)).simpleString() == want
 
 
 def test_globs_are_whole_name_patterns(spark):
@@ -108,7 +124,8 @@ def test_globs_are_whole_name_patterns(spark):
 def test_known_names_go_where_they_should(docs):
     names = [
         "maintenance_combine_FS300.txt", "inspection_act_subcommission2.txt", "safety_equipment_issue.txt", "employees_list.txt",
-        "seismic_events_2023.txt", "mining_plan_2023.txt", "заметка.doc",
+        "seismic_events_2023.txt", "mining_plan_2023.txt", "заметка.doc", "список выработок.txt", "акт осмотра.txt", "анализ воздуха.txt", "отвод газа.txt",
+        "техническое обслуживание.txt",
     ]
     got = {}
     for r in route_documents(docs(*[(n, "x") for n in names])).collect():
@@ -121,7 +138,14 @@ def test_known_names_go_where_they_should(docs):
         "seismic_events_2023.txt": {"sensor_record", "seismic_event"},
         "mining_plan_2023.txt": {"company_description"},
         "заметка.doc": {"hypotesis_prove_facts"},
+        "список выработок.txt": {"employee", "premise", "equipment_maintenance"},
+        "акт осмотра.txt": {"inspection_description"},
+        "анализ воздуха.txt": {"air_analysis"},
+        "отвод газа.txt": {"gas_analysis"},
+        "техническое обслуживание.txt": {"equipment_maintenance"},
     }
+    patterns = {p for rule in RULES for p in rule[0]}
+    assert {"*список выработок*.txt", "*акт осмотра*.txt", "*анализ воздуха*.txt", "*отвод газа*.txt", "*техническое обслуживание*.txt"} <= patterns
     assert len(RULES) == 23
 
 

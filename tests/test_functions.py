@@ -94,7 +94,7 @@ def test_decoding(spark):
 
 
 def test_classes(spark):
-    assert one(spark, ["первая", "3", "3-я", "ночная", ""], C.shift_class) == ["1-я", "3-я", "3-я", "ночная", ""]
+    assert one(spark, ["первая", "3", "3-я", "ночная", ""], C.shift_class) == ["1-я", "3-я", "3-я", "ночная", None]
     assert one(spark, ["Да", "нет", "-", "?"], lambda c: C.yes_no(c, default=1)) == [1, 0, 0, 1]
     assert one(spark, ["Диск отрезной", "Лом", "Верстак"], C.equipment_class) == ["расходный материал", "инструмент", "оборудование"]
     rows = [("CO", "C1_36"), ("", "OY32_2"), ("", "C1_36"), ("", "M37_2"), ("SPEED", "M1"), ("ДАВЛЕНИЕ", "C1"), ("", "X")]

@@ -44,7 +44,7 @@ def test_ids_continue_after_stored_rows(spark):
 def test_running_sum_is_the_same_both_ways(spark):
     df = skewed(spark)
     plain = ordered.running_before(df, ["k"], ["o"], F.col("v"), "s")
-    chained = ordered.running_before(df, ["k"], ["o"], F.col("v"), "s", window_rows=10)
+    chained = ordered.running_before(df, ["k"], ["o"], F.col("v"), "s")
     assert chained.select("k", "o", "s").exceptAll(plain.select("k", "o", "s")).isEmpty()
     assert chained.count() == df.count()
 
