@@ -7,7 +7,7 @@ word. A word alone scores its count over the corpus's words; an unseen one, one
 
 Documents lie in blocks of about 16 MB. Each block's n-grams (all orders, hashed to 64 bits, each once with its count) go to
 the partition that their hash names; there the count tables of all blocks are summed, and each block gets the totals of its own
-n-grams back, in their order. So a frequent n-gram travels once for each block, partitions are even, and the join brings rows of
+n-grams back, in their order, as a folder of its own in the shared folder. So a frequent n-gram travels once for each block, partitions are even, and the join brings rows of
 thousands of n-grams together by equal keys. Blocks are written to the shared folder first, so that every reader sees the same.
 
 Words are what stands between blanks, unchanged. Null and empty texts have no words, log_score 0 and no mean. Rows that repeat
@@ -24,9 +24,10 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from adit.llm.packing import pack, pack_sorted, unpack, unpack_sorted
+from adit.llm.packing import pack, pack_sorted, runs, unpack, unpack_sorted
+from adit.llm.token_files import opened
 from adit.llm.words import mix, slices, split, word_hashes
-from adit.session import materialize
+from adit.session import materialize, scratch_path
 
 BLOCK_BYTES = 16 << 20
 #: N-grams, counted with repeats, for each partition of the count tables.
@@ -71,10 +72,14 @@ def grams(h: np.ndarray, starts: np.ndarray, order: int) -> list[np.ndarray]:
     return out
 
 
-def distinct(gram: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    found, counts = np.unique(np.concatenate(gram), return_counts=True)
-    real = int(len(found) > 0 and found[0] == 0)
-    return found[real:], counts[real:]
+def sorted_runs(g: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(places, begins, found): the words with an n-gram in the order of its hash and, as the sort is stable, of their texts;
+    where each distinct n-gram's run of them begins, and the end; the distinct n-grams in ascending order."""
+    places = np.argsort(g, kind="stable")
+    places = places[np.searchsorted(g, 1, sorter=places) :]  # 0 is none
+    ordered = g[places]
+    begins = runs(ordered)
+    return places, begins, ordered[begins[:-1]]
 
 
 def partition_of(h: np.ndarray, partitions: int) -> np.ndarray:
@@ -82,31 +87,42 @@ def partition_of(h: np.ndarray, partitions: int) -> np.ndarray:
     return ((h >> np.uint64(32)) * np.uint64(partitions) >> np.uint64(32)).astype(np.int64)
 
 
-def backoff_scores(gram: list[np.ndarray], starts: np.ndarray, table: np.ndarray, totals: np.ndarray, corpus_words: int, backoff: float) -> np.ndarray:
-    """log score of each word; table and totals: the block's distinct n-grams and the corpus's counts of them."""
+def backoff_scores(gram: list[np.ndarray], starts: np.ndarray, totals: list[np.ndarray], corpus_words: int, backoff: float) -> np.ndarray:
+    """log score of each word; totals: by order, the corpus's counts of the block's distinct n-grams, in ascending order of their hash."""
     sizes = np.diff(starts)
     doc = np.repeat(np.arange(len(sizes)), sizes)
-    left = []
-    for g in gram:  # counts without the document's own
-        at = np.where(g == 0, -1, np.searchsorted(table, g))
-        order = np.lexsort((doc, at))
-        new = np.ones(len(g), bool)
-        new[1:] = (at[order][1:] != at[order][:-1]) | (doc[order][1:] != doc[order][:-1])
-        begin = np.flatnonzero(np.append(new, True))
-        own = np.empty(len(g), np.int64)
-        own[order] = np.repeat(np.diff(begin), np.diff(begin))
-        left.append(np.where(g == 0, 0, totals[at] - own if len(table) else 0))
-    rest = corpus_words - sizes[doc]
-    score = np.log(np.where(left[0] > 0, left[0], 1) / np.where(left[0] > 0, np.maximum(rest, 1), rest + 1))
-    for k in range(1, len(gram)):
-        context = np.concatenate([[0], left[k - 1][:-1]])
-        has = left[k] > 0
-        there = gram[k] != 0  # a context that begins before the text is no context
-        seen = np.log(np.where(has, left[k], 1) / np.where(has, np.maximum(context, 1), 1))
-        score = np.where(has, seen, np.where(there, np.log(backoff) + score, score))
+    score, context = np.zeros(0), np.zeros(0, np.int64)
+    for k, (g, total) in enumerate(zip(gram, totals, strict=True)):
+        places, begins, _ = sorted_runs(g)
+        left = np.zeros(len(g), np.int64)  # counts without the document's own
+        own = runs(np.repeat(np.arange(len(begins) - 1), np.diff(begins)), doc[places])
+        left[places] = np.repeat(total, np.diff(begins)) - np.repeat(np.diff(own), np.diff(own))
+        has = left > 0
+        if k == 0:
+            rest = corpus_words - sizes[doc]
+            score = np.log(np.where(has, left, 1) / np.where(has, np.maximum(rest, 1), rest + 1))
+        else:  # the context is the n-gram of one order less that ends a word before; before the text there is none
+            before = np.concatenate([[0], context[:-1]]) if len(g) else context
+            seen = np.log(np.where(has, left, 1) / np.where(has, np.maximum(before, 1), 1))
+            score = np.where(has, seen, np.where(g != 0, np.log(backoff) + score, score))
+        context = left
     return score
 
 
+def totals_of(path: str, block: str, order: int) -> list[np.ndarray]:
+    """A block's totals from the shared folder, by order."""
+    import pyarrow.parquet as pq
+    from pyarrow.fs import FileSelector
+
+    system, place = opened(f"{path}/block={block}")
+    rows = []
+    for f in system.get_file_info(FileSelector(place, allow_not_found=True)):
+        if f.path.endswith(".parquet"):
+            rows += pq.ParquetFile(system.open_input_file(f.path)).read(["o", "p", "totals"]).to_pylist()
+    rows.sort(key=lambda r: (r["o"], r["p"]))
+    return [np.concatenate([*(unpack(r["totals"]) for r in rows if r["o"] == o), np.zeros(0, np.int64)]) for o in range(order)]
+
+
 def lm_scores(docs: DataFrame, order: int = 3, backoff: float = 0.4, text: str = "text", id_column: str = "doc_id") -> DataFrame:
     """Per document: doc_id, n_words, log_score (natural logarithm, summed over its words), mean_log_score."""
     stored = blocks(docs, text, id_column)
@@ -116,35 +132,36 @@ def lm_scores(docs: DataFrame, order: int = 3, backoff: float = 0.4, text: str =
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block, texts in zip(batch.column("block"), batch.column("texts"), strict=True):
-                found, counts = distinct(grams(*block_words(texts.as_py()), order))
-                ends = np.searchsorted(partition_of(found, partitions), np.arange(partitions + 1))
-                for p in np.flatnonzero(np.diff(ends)):
-                    a, b = ends[p], ends[p + 1]
-                    yield pa.RecordBatch.from_arrays([pa.array([int(p)]), pa.array([block.as_py()]), pa.array([pack_sorted(found[a:b])]), pa.array([pack(counts[a:b])])], ["p", "block", "grams", "counts"])
+                for o, g in enumerate(grams(*block_words(texts.as_py()), order)):
+                    _, begins, found = sorted_runs(g)
+                    counts = np.diff(begins)
+                    ends = np.searchsorted(partition_of(found, partitions), np.arange(partitions + 1))
+                    for p in np.flatnonzero(np.diff(ends)):
+                        a, b = ends[p], ends[p + 1]
+                        cells = [int(p), o, block.as_py(), pack_sorted(found[a:b]), pack(counts[a:b])]
+                        yield pa.RecordBatch.from_arrays([pa.array([c], k) for c, k in zip(cells, (pa.int64(), pa.int32(), pa.string(), pa.binary(), pa.binary()), strict=True)], ["p", "o", "block", "grams", "counts"])
 
     def total(key, table):
         cells = [unpack_sorted(c.as_py()) for c in table.column("grams")]
         found, which = np.unique(np.concatenate(cells), return_inverse=True)
         sums = np.bincount(which, np.concatenate([unpack(c.as_py()) for c in table.column("counts")]), len(found)).astype(np.int64)[which]
         parts = np.split(sums, np.cumsum([len(c) for c in cells])[:-1])
-        return pa.table({"block": table.column("block"), "p": pa.array([key[0].as_py()] * len(cells), pa.int64()), "totals": pa.array([pack(x) for x in parts], pa.binary())})
-
-    def score(_, block, totals):
-        rows = []
-        parts = [unpack(c) for c in totals.sort_by("p").column("totals").to_pylist()]
-        for row in block.to_pylist():
-            h, starts = block_words(row["texts"])
-            gram = grams(h, starts, order)
-            scores = backoff_scores(gram, starts, distinct(gram)[0], np.concatenate([*parts, np.zeros(0, np.int64)]), corpus_words, backoff)
-            sizes, full = np.diff(starts), np.diff(starts) > 0
-            sums = np.zeros(len(sizes))
-            if len(scores):
-                sums[full] = np.add.reduceat(scores, starts[:-1][full])
-            mean = pa.array(sums / np.maximum(sizes, 1), mask=~full)
-            rows.append(pa.table({"doc_id": pa.array(unpack(row["ids"]), mask=unpack(row["known"]) == 0), "n_words": pa.array(sizes), "log_score": pa.array(sums), "mean_log_score": mean}))
-        schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("log_score", pa.float64()), ("mean_log_score", pa.float64())])
-        return pa.concat_tables(rows) if rows else schema.empty_table()
-
-    counted = stored.select("block", "texts").mapInArrow(count, "p long, block string, grams binary, counts binary")
-    totals = counted.groupBy("p").applyInArrow(total, "block string, p long, totals binary")
-    return stored.groupBy("block").cogroup(totals.groupBy("block")).applyInArrow(score, "doc_id long, n_words long, log_score double, mean_log_score double")
+        return pa.table({"block": table.column("block"), "o": table.column("o"), "p": pa.array([key[0].as_py()] * len(cells), pa.int64()), "totals": pa.array([pack(x) for x in parts], pa.binary())})
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                row = batch.slice(k, 1).to_pylist()[0]
+                h, starts = block_words(row["texts"])
+                scores = backoff_scores(grams(h, starts, order), starts, totals_of(path, row["block"], order), corpus_words, backoff)
+                sizes, full = np.diff(starts), np.diff(starts) > 0
+                sums = np.zeros(len(sizes))
+                if len(scores):
+                    sums[full] = np.add.reduceat(scores, starts[:-1][full])
+                mean = pa.array(sums / np.maximum(sizes, 1), mask=~full)
+                yield pa.RecordBatch.from_arrays([pa.array(unpack(row["ids"]), mask=unpack(row["known"]) == 0), pa.array(sizes), pa.array(sums), mean], ["doc_id", "n_words", "log_score", "mean_log_score"])
+
+    counted = stored.select("block", "texts").mapInArrow(count, "p long, o int, block string, grams binary, counts binary")
+    path = scratch_path(docs.sparkSession, "gram-totals")
+    counted.groupBy("p").applyInArrow(total, "block string, o int, p long, totals binary").repartition("block").write.partitionBy("block").parquet(path)
+    return stored.mapInArrow(score, "doc_id long, n_words long, log_score double, mean_log_score double")
