@@ -19,13 +19,18 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
     )
 
 
+def file_key(results: DataFrame) -> list[str]:
+    """What names a file: its name, inside its incident where that is known."""
+    return [c for c in ("incident_id", "source_file") if c in results.columns]
+
+
 def processing_summary(results: DataFrame) -> DataFrame:
     """Totals per table and overall (table null) of `(source_file, table_name, status, records)`.
 
     One row per file and table. A file counts once in the overall row however many tables it feeds: the
     first aggregation leaves one row per file, the second one sums those.
     """
-    per_file = results.groupBy("source_file").agg(
+    per_file = results.groupBy(*file_key(results)).agg(
         F.max(F.when(F.col("status") == "ok", 1).otherwise(0)).alias("ok"), F.sum("records").alias("records")
     )
     overall = per_file.agg(
@@ -46,10 +51,10 @@ def processing_summary(results: DataFrame) -> DataFrame:
 def failed_files(results: DataFrame) -> DataFrame:
     """Files with no successful table, as rows (a list on the driver would grow with the input)."""
     return (
-        results.groupBy("source_file")
+        results.groupBy(*file_key(results))
         .agg(F.count_if(F.col("status") == "ok").alias("ok"), F.max("error").alias("error"))
         .where("ok = 0")
-        .select("source_file", "error")
+        .select(*file_key(results), "error")
     )
 
 

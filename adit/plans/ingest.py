@@ -7,14 +7,16 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adit.operators import routing
+from adit.operators import joins, metrics, routing
 from adit.operators.aggregates import processing_summary
 from adit.operators.merge import union_by_name
+from adit.operators.ordered import assign_ids
 from adit.plans import measurements, narrative, registers  # noqa: F401  (they register the jobs)
 from adit.plans.registry import DOC, JOBS, run_job
 from adit.plans.routing_rules import DEFAULT_TARGET, FALLBACK_WORDS, RULES
 from adit.session import materialize, scratch_path
-from adit.sources.files import land_raw
+from adit.sources.files import land_raw, read_landed
+from adit.tables.conform import conform
 from adit.tables.store import SnapshotTable
 
 
@@ -49,28 +51,106 @@ def jobs_present(routed: DataFrame) -> set[str]:
     return {r["target"] for r in routed.select("target").distinct().collect()}
 
 
-def ingest(spark: SparkSession, docs: DataFrame, root: str, run_ts: str, tables: list[str] | None = None) -> DataFrame:
-    """Extract every job's rows, append them to the tables below `root`, and return the processing summary.
+def enrichment(spark: SparkSession, root: str, table: str):
+    """What a table's rows need beside their documents, as a function of the rows, or None.
 
-    A document with no row in a table it was routed to counts as failed there.
+    Employees, workings and sensors are merged by natural key over the files of an incident. Certificates, maintenance and
+    issue logs look up the equipment and employees stored below `root`, and certificates their incident's date.
+    """
+    stored = lambda name: SnapshotTable(spark, root, name).read()
+    merged = {"employee": registers.merged_employees, "premise": registers.merged_premises, "sensor_reestr": registers.merged_sensors}
+    if table in merged:
+        return lambda rows: merged[table](rows.withColumn("_order", F.struct("source_file", "ord")), "_order", ["incident_id"])
+    if table == "equipment_certificate":
+
+        def certified(rows: DataFrame) -> DataFrame:
+            keyed = joins.attach_equipment(rows, stored("equipment"))
+            dated = joins.lookup(keyed, F.col("incident_id"), stored("incident_description"), F.col("incident_id"), "incident_date", "_incident_date")
+            return registers.certificates_at(dated, F.col("_incident_date").try_cast("date")).drop("_incident_date")
+
+        return certified
+    if table == "equipment_maintenance":
+        return lambda rows: joins.attach_by_model(rows, stored("equipment"), "_equipment_model")
+    if table == "equipment_issue_log":
+        return lambda rows: joins.attach_employee(rows, stored("employee"))
+    return None
+
+
+#: Tables that others look up; they are loaded first.
+REFERENCE_TABLES = ("incident_description", "equipment", "employee")
+
+
+def fill_metrics(spark: SparkSession, root: str) -> None:
+    """Compute the three metrics tables anew from the stored tables and landed blast models."""
+    table = {name: SnapshotTable(spark, root, name) for name in (*REFERENCE_TABLES, "air_analysis", "chronology_incident", "premise_parameters", "affected_areas", "seismic_event", *METRICS)}
+    for t in table.values():
+        t.create()
+    rows = lambda name: table[name].read()
+    at = lambda c: F.unix_seconds(F.col(c).try_cast("timestamp"))
+    incidents = rows("incident_description")
+    shocks = rows("seismic_event").select(F.lit(0).alias("place"), at("event_dttm").alias("at_s")).where("at_s IS NOT NULL")
+    near = joins.near_events(incidents.select("incident_id", F.lit(0).alias("place"), at("incident_date").alias("at_s")), shocks, DAY_SECONDS)
+    models = metrics.blast_model(read_landed(spark, root).where(F.lower("source_file").contains("explosion_model")))
+    found = {
+        "fire_metrics": metrics.fire_metrics(rows("air_analysis"), rows("chronology_incident")),
+        "ventilation_metrics": metrics.ventilation_metrics(rows("premise_parameters")),
+        "incident_metrics": metrics.incident_metrics(incidents, models, rows("affected_areas"), near.select("incident_id", F.col("is_near").alias("is_seismic_event"))),
+    }
+    for name, df in found.items():
+        numbered = assign_ids(df, METRICS[name], ["incident_id"], "metric_id")
+        table[name].replace(conform(numbered.withColumn("calculation_date", F.current_timestamp()), name))
+
+
+#: Prefixes of the metrics tables' ids, and the reach of a seismic event.
+METRICS = {"fire_metrics": "FM", "ventilation_metrics": "VM", "incident_metrics": "IM"}
+DAY_SECONDS = 86_400
+
+
+def ingest_results(spark: SparkSession, docs: DataFrame, root: str, run_ts: str, tables: list[str] | None = None, with_metrics: bool = True) -> DataFrame:
+    """Extract every job's rows, append them to the tables below `root`, fill the metrics; a row for each document and table:
+    incident_id, source_file, table_name, records, status, error.
+
+    A document with no row in a table it was routed to counts as failed there. A row that is merged with others counts for
+    the last file that has it.
     """
     land_raw(docs.select(*DOC, "text"), root, run_ts)
     routed = land_routed(docs.select(*DOC, "text"))
 
     present = jobs_present(routed)
+    for name in REFERENCE_TABLES:
+        SnapshotTable(spark, root, name).create()
 
     def load_table(table: str) -> DataFrame:
         mine = routed.where(F.col("target") == table)
         store = SnapshotTable(spark, root, table)
         store.create()
-        rows = materialize(run_job(table, mine, with_ids=True, start=store.current().appended), table)
-        store.append(rows)
-        counts = rows.groupBy("source_file").agg(F.count("*").alias("records"))
-        files = mine.select("source_file").distinct().join(counts, "source_file", "left")
-        return files.select("source_file", F.lit(table).alias("table_name"), F.coalesce("records", F.lit(0)).alias("records"))
-
+        found: list[DataFrame] = []
+        enrich = enrichment(spark, root, table)
+
+        def keep(rows: DataFrame) -> DataFrame:
+            """The rows as they are loaded, written once, with the document they come from."""
+            found.append(materialize(enrich(rows) if enrich else rows, table))
+            return found[0]
+
+        loaded = run_job(table, mine, with_ids=True, start=store.current().appended, enrich=keep)
+        store.append(loaded)
+        counts = found[0].groupBy(*DOC).agg(F.count("*").alias("records"))
+        files = mine.select(*DOC).distinct().join(counts, DOC, "left")
+        return files.select(*DOC, F.lit(table).alias("table_name"), F.coalesce("records", F.lit(0)).alias("records"))
+
+    wanted = [t for t in tables or JOBS if t in present]
+    first = [t for t in wanted if t in REFERENCE_TABLES]
     # Jobs are independent; running a few at a time keeps the executors busy while small ones finish.
     with ThreadPoolExecutor(JOBS_AT_ONCE) as pool:
-        seen = list(pool.map(load_table, [t for t in tables or JOBS if t in present]))
-    results = union_by_name(seen).withColumn("status", F.when(F.col("records") > 0, "ok").otherwise("failed"))
-    return processing_summary(results)
+        seen = list(pool.map(load_table, first)) + list(pool.map(load_table, [t for t in wanted if t not in first]))
+    if with_metrics:
+        fill_metrics(spark, root)
+    none = "incident_id string, source_file string, table_name string, records bigint"
+    results = union_by_name(seen) if seen else spark.createDataFrame([], none)
+    failed = F.col("records") == 0
+    return results.withColumns({"status": F.when(failed, "failed").otherwise("ok"), "error": F.when(failed, "no rows")})
+
+
+def ingest(spark: SparkSession, docs: DataFrame, root: str, run_ts: str, tables: list[str] | None = None, with_metrics: bool = True) -> DataFrame:
+    """`ingest_results`, summed up by table and over all; `failed_files` of the results lists what failed everywhere."""
+    return processing_summary(ingest_results(spark, docs, root, run_ts, tables, with_metrics))

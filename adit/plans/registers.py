@@ -257,18 +257,18 @@ register_extractor(
 )
 
 
-def merged_employees(employees: DataFrame, order: str) -> DataFrame:
-    """One row per surname and first initial, later sources filling and overriding; two different first names
+def merged_employees(employees: DataFrame, order: str, within: list[str] = []) -> DataFrame:  # noqa: B006 - never changed
+    """One row per surname and first initial (inside `within`), later sources filling and overriding; two different first names
     behind one initial are kept apart."""
     initial = F.substring("firstname", 1, 1)
     whole = F.when(~F.col("firstname").rlike(r"^.\.?$"), F.col("firstname"))
     keyed = employees.withColumn("_key", person_key(F.concat_ws(" ", "lastname", "firstname")))
-    names = keyed.groupBy("_key").agg(F.min(whole).alias("_lo"), F.max(whole).alias("_hi"))
-    clear = names.where(F.col("_lo").isNull() | (F.col("_lo") == F.col("_hi"))).select("_key", F.lit(True).alias("_clear"))
+    names = keyed.groupBy(*within, "_key").agg(F.min(whole).alias("_lo"), F.max(whole).alias("_hi"))
+    clear = names.where(F.col("_lo").isNull() | (F.col("_lo") == F.col("_hi"))).select(*within, "_key", F.lit(True).alias("_clear"))
     person = F.when(F.col("_clear"), F.col("_key")).otherwise(F.concat_ws("_", F.lower("lastname"), F.coalesce(F.lower("firstname"), initial)))
     # Initials must not replace a whole first name.
-    spelled = keyed.join(clear, "_key", "left").withColumn("_person", person).withColumn("_whole", whole)
-    merged = merge_last_nonnull(spelled.drop("_key", "_clear"), ["_person"], order)
+    spelled = keyed.join(clear, [*within, "_key"], "left").withColumn("_person", person).withColumn("_whole", whole)
+    merged = merge_last_nonnull(spelled.drop("_key", "_clear"), [*within, "_person"], order)
     return merged.withColumn("firstname", F.coalesce("_whole", "firstname")).drop("_person", "_whole")
 
 
@@ -725,14 +725,14 @@ register_extractor(
 )
 
 
-def merged_premises(premises: DataFrame, order: str) -> DataFrame:
-    """One row per name, later sources filling and overriding."""
-    return merge_last_nonnull(premises.where("premise_name is not null"), ["premise_name"], order)
+def merged_premises(premises: DataFrame, order: str, within: list[str] = []) -> DataFrame:  # noqa: B006
+    """One row per name (inside `within`), later sources filling and overriding."""
+    return merge_last_nonnull(premises.where("premise_name is not null"), [*within, "premise_name"], order)
 
 
-def merged_sensors(sensors: DataFrame, order: str) -> DataFrame:
-    """One row per sensor id, later sources filling and overriding."""
-    return merge_last_nonnull(sensors.where("sensor_id is not null"), ["sensor_id"], order)
+def merged_sensors(sensors: DataFrame, order: str, within: list[str] = []) -> DataFrame:  # noqa: B006
+    """One row per sensor id (inside `within`), later sources filling and overriding."""
+    return merge_last_nonnull(sensors.where("sensor_id is not null"), [*within, "sensor_id"], order)
 
 
 # ---- regulatory_document -----------------------------------------------------------------------------------

@@ -42,9 +42,10 @@ def register_extractor(table: str, *layouts: tuple[str, tuple[str, ...], Layout]
     return JOBS[table]
 
 
-def run_job(table: str, docs: DataFrame, with_ids: bool = False, start: int = 0) -> DataFrame:
+def run_job(table: str, docs: DataFrame, with_ids: bool = False, start: int = 0, enrich: Layout | None = None) -> DataFrame:
     """Rows of one table, conformed to its schema, from documents of any of its layouts.
 
+    `enrich` merges rows or looks values up before they are numbered; it sees all columns of the layouts.
     Documents that already carry a `layout` column (as landed by the ingest plan, partitioned by it) are
     pruned to each layout's own files; otherwise the file name decides.
     """
@@ -54,6 +55,8 @@ def run_job(table: str, docs: DataFrame, with_ids: bool = False, start: int = 0)
         run(tagged.where(F.col("layout") == name).select(*DOC, "text")) for name, _, run in job.layouts
     ]
     rows = union_by_name(parts)
+    if enrich:
+        rows = enrich(rows)
     if with_ids:
         rows = number_rows(rows, table, start)
     return conform(rows, table)

@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 
 from adit.operators.metrics import blast_model
 from adit.plans import registers
-from adit.plans.ingest import ingest
+from adit.operators.aggregates import failed_files, processing_summary
+from adit.plans.ingest import ingest, ingest_results
+from adit.schemas import ID_PREFIXES
 from adit.plans.registry import JOBS, run_job
 from adit.schemas import TABLE_COLUMNS
 from adit.session import scratch_path
@@ -110,6 +112,37 @@ def test_ingest_end_to_end(spark, docs):
     assert sorted(ids) == ["GAS-00001", "GAS-00002", "GAS-00003", "GAS-00004"]
 
 
+def test_ingest_of_all_jobs_for_two_incidents(spark, docs):
+    """The same file names in two incidents: files, ids and merges are kept apart, lookups and metrics are filled."""
+    root = scratch_path(spark, "lake")
+    files = {}
+    for _, name, text, *_ in GOLDEN:
+        files.setdefault(name, text)
+    files["incident_summary.txt"] = "Дата происшествия: 28.10.2023\nПогибло: 46"
+    files["cert_conveyor.txt"] = "СЕРТИФИКАТ СООТВЕТСТВИЯ KZ 9\nДата выдачи: 01.02.2020\nСрок действия продлен до 2030 г.\nИзделие: К-12/3"
+    files["maintenance_conveyor.txt"] = "Оборудование: К-12/3\n| Дата | Смена | Тип работ | Исполнитель | Замечания | Выполнено |\n|---|---|---|---|---|---|\n| 03.08.2023 | 2-я | Осмотр | Ким | - | да |"
+    given = docs(*files.items()).union(docs(*files.items(), incident="INC-2"))
+    results = ingest_results(spark, given, root, "t1").cache()
+    assert results.groupBy("incident_id").count().select("count").distinct().count() == 1
+    per_file = {(r["incident_id"], r["source_file"]) for r in results.select("incident_id", "source_file").collect()}
+    assert per_file == {(i, n) for i in ("INC-1", "INC-2") for n in files}
+    overall = processing_summary(results).where("table_name IS NULL").first()
+    assert overall["files"] == 2 * len(files)
+    read = lambda t: SnapshotTable(spark, root, t).read()
+    for table, (column, prefix) in ID_PREFIXES.items():
+        ids = [r[0] for r in read(table).select(column).collect() if r[0].startswith(f"{prefix}-0")]  # documents may bring ids of their own
+        assert len(ids) == len(set(ids)), table
+    names = [(r["lastname"], r["injury_type"], r["birth_date"]) for r in read("employee").where("lastname = 'Ильин' AND birth_date IS NOT NULL").collect()]
+    assert names == [("Ильин", "ожоги", "1982-02-05")] * 2
+    known = {r[0] for r in read("equipment").where("model = 'К-12/3'").select("equipment_id").collect()}
+    assert {r[0] for r in read("equipment_maintenance").where("_equipment_model = 'К-12/3'").select("equipment_id").collect()} <= known and known
+    certificate = read("equipment_certificate").where("certificate_number = 'KZ 9'").collect()
+    assert len(certificate) == 2 and all(r["equipment_id"] in known for r in certificate)
+    assert {r["incident_id"] for r in read("incident_metrics").collect()} == {"INC-1", "INC-2"}
+    assert read("fire_metrics").count() == 2
+    assert {(r["incident_id"], r["source_file"]) for r in failed_files(results).collect()} <= per_file
+
+
 def test_stream_takes_each_file_once_and_a_replayed_batch_adds_nothing(spark, tmp_path):
     inbox, root, checkpoint = tmp_path / "inbox", scratch_path(spark, "lake"), scratch_path(spark, "cp")
     inbox.mkdir()
