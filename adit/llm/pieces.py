@@ -6,11 +6,11 @@ the best score up to each place. Backward, A* grows segmentations from the end:
 forward score, so segmentations come out best first, and the n best are the first n.
 
 No piece holds U+2581 after another character, so every path passes the places in front of a word: the lattice of a text is a
-chain of the words' lattices (blanks belong to the word that follows). Words repeat, so a worker remembers their n-best lists;
-a text's n best combine them, again best first. Unknown characters become byte pieces. Scores are those of the model file,
-summed in double precision; an unknown character scores 10 below the lowest piece, as the library has it. Segmentations of
-equal score: of a word, the one whose ids, read from the end, come first; of a text, the one that departs from the best in
-later words first.
+chain of the words' lattices (blanks belong to the word that follows, and characters that no piece knows stand alone). Words
+repeat, so a worker remembers their best, and what the second best loses; a text's n best change only the words that lose
+least, whose n best are then searched. Unknown characters become byte pieces. Scores are those of the model file, summed in
+double precision; an unknown character scores 10 below the lowest piece, as the library has it. Segmentations of equal score:
+of a word, the one whose ids, read from the end, come first; of a text, the one that departs from the best in later words first.
 
 Decoding turns pieces and bytes back into text: every text that has no U+2581 of its own comes back exactly (that sign comes
 back as a blank). Null and empty texts have one segmentation without pieces. Rows may repeat, null ids stay.
@@ -19,6 +19,7 @@ back as a blank). Null and empty texts have one segmentation without pieces. Row
 from __future__ import annotations
 
 import heapq
+import math
 import re
 import zlib
 from collections.abc import Iterator
@@ -27,15 +28,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from adit.llm.words import slices
+from adit.llm.words import list_array, slices
 
 BLANK = "▁"
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 UNKNOWN_PENALTY = 10.0
-#: Distinct words whose segmentations a worker remembers at most. It bounds memory and changes no result.
-REMEMBERED = 1 << 18
+#: Distinct words in each of the two generations that a worker remembers. It bounds memory and changes no result.
+REMEMBERED = 1 << 17
 ROUND_TRIP = ["doc_id", "n_pieces", "score", "ids_crc32", "scores", "decoded", "exact", "ids"]
-WORD = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+")
 
 
 class Lattice:
@@ -44,7 +44,11 @@ class Lattice:
     def __init__(self, scores: dict[str, tuple[int, float]], byte_ids: list[int] | None, unknown_id: int = 0):
         self.pieces, self.byte_ids, self.unknown_id = scores, byte_ids, unknown_id
         self.unknown_score = min((s for _, s in scores.values()), default=0.0) - UNKNOWN_PENALTY
-        self.prefixes = {p[:k] for p in scores for k in range(1, len(p) + 1)}
+        self.table: dict[str, tuple[tuple[int, ...], float] | None] = {p[:k]: None for p in scores for k in range(1, len(p))}
+        self.table |= {p: ((i,), score) for p, (i, score) in scores.items()}
+        alphabet = {c for p in scores for c in p} - {BLANK}
+        # blanks and the characters after them that pieces know; any other character stands alone, as no piece goes over it
+        self.word = re.compile(f"{BLANK}*[{''.join(map(re.escape, sorted(alphabet)))}]+|{BLANK}+|." if alphabet else ".", re.DOTALL)
         if any(BLANK in p.lstrip(BLANK) for p in scores):
             raise ValueError("a piece goes on over a blank; texts of this model are not chains of words")
 
@@ -65,119 +69,217 @@ class Lattice:
     def ids_of(self, character: str) -> tuple[int, ...]:
         return tuple(self.byte_ids[b] for b in character.encode()) if self.byte_ids else (self.unknown_id,)
 
-    def best(self, s: str, n: int) -> list[tuple[float, tuple[int, ...]]]:
-        """Up to n (score, ids), best first."""
-        size, pieces, prefixes = len(s), self.pieces, self.prefixes
-        ending: list[list[tuple[int, float, tuple[int, ...]]]] = [[] for _ in range(size + 1)]  # at each place: where a node begins, its score, its ids
+    def nodes(self, s: str) -> list[list[tuple[float, int, float, tuple[int, ...]]]]:
+        """By place, the lattice's nodes that end there: (best score of a way that ends with it, where it begins, its score, its ids from the end)."""
+        size, table = len(s), self.table
+        ending: list[list[tuple[float, int, float, tuple[int, ...]]]] = [[] for _ in range(size + 1)]
         for i in range(size):
-            single = False
+            nodes, single = ending[i], False
+            base = 0.0 if i == 0 else nodes[0][0] if len(nodes) == 1 else max(nodes)[0]
             for j in range(i + 1, size + 1):
-                part = s[i:j]
-                if part not in prefixes:
+                node = table.get(s[i:j], table)
+                if node is None:
+                    continue
+                if node is table:  # no piece goes on like this
                     break
-                found = pieces.get(part)
-                if found is not None:
-                    ending[j].append((i, found[1], (found[0],)))
-                    single |= j == i + 1
+                ending[j].append((base + node[1], i, node[1], node[0]))
+                single |= j == i + 1
             if not single:
-                ending[i + 1].append((i, self.unknown_score, self.ids_of(s[i])))
-        forward = [0.0] * (size + 1)
-        for j in range(1, size + 1):
-            forward[j] = max(forward[i] + score for i, score, _ in ending[j])
+                ending[i + 1].append((base + self.unknown_score, i, self.unknown_score, self.ids_of(s[i])[::-1]))
+        return ending
+
+    def first(self, s: str) -> tuple[float, tuple[int, ...], float]:
+        """(score, ids) of the best segmentation, and what the second best loses; infinite if there is one only.
+
+        The second best has a node off the best way; the best way through a node is its forward and its backward score.
+        """
+        ending = self.nodes(s)
+        size = len(s)
+        at, ids, best = size, (), 0.0
+        taken: list[tuple | None] = [None] * (size + 1)
+        while at:
+            node = taken[at] = min(ending[at], key=lambda x: (-x[0], x[3]))
+            if at == size:
+                best = node[0]
+            ids += node[3]
+            at = node[1]
+        loss, back = math.inf, [-math.inf] * size + [0.0]
+        for at in range(size, 0, -1):
+            after, on = back[at], taken[at]
+            for node in ending[at]:
+                if node[2] + after > back[node[1]]:
+                    back[node[1]] = node[2] + after
+                if node is not on and best - node[0] - after < loss:
+                    loss = best - node[0] - after
+        return best, ids[::-1], loss
+
+    def best(self, s: str, n: int) -> list[tuple[float, tuple[int, ...]]]:
+        """Up to n (score, ids), best first."""
+        size, ending = len(s), self.nodes(s)
+        for nodes in ending:
+            nodes.sort(key=lambda x: (-x[0], x[3]))
         out: list[tuple[float, tuple[int, ...]]] = []
-        heap: list[tuple[float, tuple[int, ...], int, float]] = [(-forward[size], (), size, 0.0)]
+        # (what the whole will score at best, negative; ids from the end; place; node that led here; score so far; where from)
+        heap: list[tuple] = [(-ending[size][0][0] if size else 0.0, (), size, -1, 0.0, None)]
         while heap and len(out) < n:
-            _, ids, at, done = heapq.heappop(heap)  # ids are read from the end
+            _, ids, at, rank, done, parent = heapq.heappop(heap)
+            if parent is not None:  # the next best node in the same place
+                end, before, base = parent
+                if rank + 1 < len(ending[end]):
+                    best, i, score, node = ending[end][rank + 1]
+                    heapq.heappush(heap, (-(best + base), before + node, i, rank + 1, base + score, parent))
             if at == 0:
                 out.append((done, ids[::-1]))
                 continue
-            for i, score, node in ending[at]:
-                total = done + score
-                heapq.heappush(heap, (-(forward[i] + total), ids + node[::-1], i, total))
+            best, i, score, node = ending[at][0]
+            heapq.heappush(heap, (-(best + done), ids + node, i, 0, done + score, (at, ids, done)))
         return out
 
 
-def combined(lists: list[list[tuple[float, tuple[int, ...]]]], n: int) -> list[tuple[float, list[int]]]:
-    """The n best ways to take one entry of each list, as (score, which entries). Lists are best first."""
-    best = sum(x[0][0] for x in lists)
-    if n == 1:
-        return [(best, [])]
-    # only the n - 1 places that lose least can depart from the best; later places come first among equals
-    loss = sorted((x[0][0] - x[1][0], -k) for k, x in enumerate(lists) if len(x) > 1)[: n - 1]
-    places = [-k for _, k in loss]
-    # a state: entries chosen at the places so far; it goes on by a worse entry at its last place, or by the next places
-    heap, out = [(0.0, ())], [(best, [])]
-    seen = set()
+def combined(losses: list[list[float]], n: int) -> list[tuple[float, list[tuple[int, int]]]]:
+    """The n cheapest ways to take one entry of each list, as (loss, [(list, entry that is not its first)]). Lists ascend from 0."""
+    # a state: entries chosen in the lists so far; it goes on by a worse entry in its last list, or in a later list
+    heap, out = [(0.0, ())], []
     while heap and len(out) < n:
         lost, chosen = heapq.heappop(heap)
-        if chosen:
-            out.append((best - lost, list(chosen)))
+        out.append((lost, list(chosen)))
         last = chosen[-1][0] if chosen else -1
-        steps = [(p, 1) for p in range(last + 1, len(places))]
-        if chosen and chosen[-1][1] + 1 < len(lists[places[last]]):
-            steps.append((last, chosen[-1][1] + 1))
-        for p, entry in steps:
-            new = (*(c for c in chosen if c[0] != p), (p, entry))
-            if new not in seen:
-                seen.add(new)
-                x = lists[places[p]]
-                heapq.heappush(heap, (sum(lists[places[q]][0][0] - lists[places[q]][e][0] for q, e in new), new))
-    return [(s, [(places[p], e) for p, e in c]) for s, c in out]
-
-
-LATTICES: dict[str, Lattice] = {}
-KNOWN: dict[tuple[str, int], dict[str, list[tuple[float, tuple[int, ...]]]]] = {}
-
-
-def encode_text(lattice: Lattice, text: str, n: int, known: dict) -> list[tuple[float, list[int]]]:
-    """Up to n (score, ids) of a whole text, best first."""
-    lists = []
-    for word in WORD.findall(BLANK + text.replace(" ", BLANK)) if text else []:
-        found = known.get(word)
-        if found is None:
-            if len(known) >= REMEMBERED:
-                known.clear()
-            found = known[word] = lattice.best(word, n)
-        lists.append(found)
-    out = []
-    for score, changes in combined(lists, n):
-        entry = dict(changes)
-        out.append((score, [i for k, x in enumerate(lists) for i in x[entry.get(k, 0)][1]]))
+        steps = [(*chosen, (k, 1)) for k in range(last + 1, len(losses)) if len(losses[k]) > 1]
+        if chosen and chosen[-1][1] + 1 < len(losses[last]):
+            steps.append((*chosen[:-1], (last, chosen[-1][1] + 1)))
+        for new in steps:
+            heapq.heappush(heap, (sum(losses[k][e] for k, e in new), new))
     return out
 
 
-def decode_ids(ids: list[int], cells: dict[int, bytes]) -> str:
-    """Text of ids; cells: the bytes of each id."""
-    text = b"".join([cells[i] for i in ids]).decode("utf-8", "replace").replace(BLANK, " ")
-    return text[1:] if text.startswith(" ") else text
-
-
-def id_cells(lattice: Lattice) -> dict[int, bytes]:
-    cells = {i: piece.encode() for piece, (i, _) in lattice.pieces.items()}
-    cells |= {i: bytes([b]) for b, i in enumerate(lattice.byte_ids or [])}
-    return {lattice.unknown_id: " ⁇ ".encode()} | cells
+class Memory:
+    """What a worker remembers of words: two generations, the older dropped when the younger is full."""
+
+    def __init__(self):
+        self.young, self.old = {}, {}
+
+    def get(self, word: str):
+        found = self.young.get(word)
+        if found is None and (found := self.old.get(word)) is not None:
+            self.put(word, found)
+        return found
+
+    def put(self, word: str, found) -> None:
+        if len(self.young) >= REMEMBERED:
+            self.young, self.old = {}, self.young
+        self.young[word] = found
+
+
+class Segmented:
+    """The n best segmentations of some texts, as flat arrays over their words."""
+
+    def __init__(self, lattice: Lattice, memory: Memory, texts: list[str | None], n: int):
+        words: dict[str, int] = {}
+        codes, starts = [], [0]
+        for t in texts:
+            if t:
+                codes += [words.setdefault(w, len(words)) for w in lattice.word.findall(BLANK + t.replace(" ", BLANK))]
+            starts.append(len(codes))
+        self.n, self.codes, self.starts = n, np.array(codes, np.int64), np.array(starts, np.int64)
+        self.lattice, self.words, self.found = lattice, list(words), []
+        for w in self.words:
+            x = memory.get(w)
+            if x is None:
+                best, ids, loss = lattice.first(w)
+                x = (best, loss, np.array(ids, "<u4").tobytes())
+                memory.put(w, x)
+            self.found.append(x)
+        self.listed: dict[int, list[tuple[float, tuple[int, ...]]]] = {}  # n best of the words that any text may change
+        score = np.fromiter((x[0] for x in self.found), np.float64, len(self.found))
+        full, self.scores = np.diff(self.starts) > 0, np.zeros(len(texts))
+        if full.any():
+            self.scores[full] = np.add.reduceat(score[self.codes], self.starts[:-1][full])
+        pieces = [x[2] for x in self.found]
+        flat = np.frombuffer(b"".join(pieces), "<u4")
+        size = np.fromiter(map(len, pieces), np.int64, len(pieces)) // 4
+        self.ids, done = spread(flat, size, self.codes)
+        self.ends = np.concatenate([[0], done])[self.starts]  # ids up to each text's start, and the end
+        self.loss = np.fromiter((x[1] for x in self.found), np.float64, len(self.found))
+
+    def listed_of(self, code: int) -> list[tuple[float, tuple[int, ...]]]:
+        if code not in self.listed:
+            self.listed[code] = self.lattice.best(self.words[code], self.n)
+        return self.listed[code]
+
+    def best_of(self, k: int) -> list[tuple[float, list[tuple[int, int]]]]:
+        """Text k's n best: (score, [(word's place in the text, which of its segmentations)] where not its best)."""
+        a, b = self.starts[k], self.starts[k + 1]
+        places: list[int] = []
+        if self.n > 1 and b > a:  # only the n - 1 words that lose least can depart from the best; among equals the later
+            loss, most = self.loss[self.codes[a:b]], min(self.n - 1, b - a)
+            near = np.flatnonzero((loss <= np.partition(loss, most - 1)[most - 1]) & np.isfinite(loss))
+            places = near[np.lexsort((-near, loss[near]))][:most].tolist()
+        lists = [self.listed_of(int(self.codes[a + p])) for p in places]
+        ways = combined([[x[0][0] - score for score, _ in x] for x in lists], self.n)
+        return [(float(self.scores[k]) - lost, [(places[p], e) for p, e in chosen]) for lost, chosen in ways]
+
+    def ids_of(self, k: int, changes: list[tuple[int, int]]) -> np.ndarray:
+        if not changes:
+            return self.ids[self.ends[k] : self.ends[k + 1]]
+        entry, out = dict(changes), []
+        for p, c in enumerate(self.codes[self.starts[k] : self.starts[k + 1]].tolist()):
+            out.append(np.array(self.listed_of(c)[entry[p]][1], "<u4").tobytes() if p in entry else self.found[c][2])
+        return np.frombuffer(b"".join(out), "<u4")
+
+
+def spread(flat: np.ndarray, size: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Items that lie one after another in `flat` (`size` of each), in the order of codes; and the entries up to each code's end."""
+    before, n = np.cumsum(size) - size, size[codes]
+    done = np.cumsum(n)
+    return flat[np.repeat(before[codes] - (done - n), n) + np.arange(done[-1] if len(done) else 0)], done
+
+
+def encode_text(lattice: Lattice, text: str, n: int, memory: Memory | None = None) -> list[tuple[float, list[int]]]:
+    """Up to n (score, ids) of one whole text, best first."""
+    s = Segmented(lattice, memory or Memory(), [text], n)
+    return [(score, s.ids_of(0, changes).tolist()) for score, changes in s.best_of(0)]
+
+
+class Decoder:
+    def __init__(self, lattice: Lattice):
+        cells = {i: piece.encode() for piece, (i, _) in lattice.pieces.items()} | {i: bytes([b]) for b, i in enumerate(lattice.byte_ids or [])}
+        cells = {lattice.unknown_id: " ⁇ ".encode()} | cells
+        table = [cells.get(i, b"") for i in range(max(cells) + 1)]
+        self.flat = np.frombuffer(b"".join(table), np.uint8)
+        self.size = np.fromiter(map(len, table), np.int64, len(table))
+
+    def texts(self, ids: np.ndarray, ends: np.ndarray) -> list[str]:
+        """Texts of ids; ends: the ids up to each text's start, and the end."""
+        data, done = spread(self.flat, self.size, ids.astype(np.int64))
+        data, at = data.tobytes(), np.concatenate([[0], done])[ends]
+        out = [data[a:b].decode("utf-8", "replace").replace(BLANK, " ") for a, b in zip(at[:-1], at[1:], strict=True)]
+        return [t[1:] if t.startswith(" ") else t for t in out]
 
 
 def encode(docs: DataFrame, model: str, n: int = 3, text: str = "text", id_column: str = "doc_id") -> DataFrame:
     """Per document: doc_id, and by rank ids (array of arrays) and scores. `model`: path of the model file, on every machine."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lattice, known = worker_state(model, n)
+        lattice, _, memory = worker_state(model, n)
         for batch in slices(batches, "text", SLICE_BYTES):
-            found = [encode_text(lattice, t or "", n, known) for t in batch.column("text").to_pylist()]
-            ids = pa.array([[i for _, i in f] for f in found], pa.list_(pa.list_(pa.int32())))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), ids, pa.array([[s for s, _ in f] for f in found], pa.list_(pa.float64()))], ["doc_id", "ids", "scores"])
+            s = Segmented(lattice, memory, batch.column("text").to_pylist(), n)
+            found = [s.best_of(k) for k in range(batch.num_rows)]
+            ids = pa.array([[s.ids_of(k, c).view(np.int32) for _, c in f] for k, f in enumerate(found)], pa.list_(pa.list_(pa.int32())))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), ids, pa.array([[x for x, _ in f] for f in found], pa.list_(pa.float64()))], ["doc_id", "ids", "scores"])
 
     return selected(docs, text, id_column).mapInArrow(run, f"doc_id {kind(docs, id_column)}, ids array<array<int>>, scores array<double>")
 
 
 def decode(encoded: DataFrame, model: str) -> DataFrame:
-    """Per row of `encode`: doc_id and the text of its best ids."""
+    """Per row of `encode`: doc_id and the text of its best ids; null where there are none."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells = id_cells(worker_state(model, 1)[0])
+        decoder = worker_state(model, 1)[1]
         for batch in batches:
-            texts = [decode_ids(x[0], cells) if x else None for x in batch.column("ids").to_pylist()]
+            texts = []
+            for x in batch.column("ids"):
+                best = x.values[0].values if x.is_valid and len(x.values) else None
+                texts.append(None if best is None else decoder.texts(np.asarray(best, np.int64), np.array([0, len(best)]))[0])
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string())], ["doc_id", "text"])
 
     return encoded.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind(encoded, 'doc_id')}, text string")
@@ -188,28 +290,34 @@ def round_trip(docs: DataFrame, model: str, n: int = 3, text: str = "text", id_c
     scores (of the n best), decoded (the text of the best ids), exact (whether it is the text); and the best ids, if asked for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lattice, known = worker_state(model, n)
-        cells = id_cells(lattice)
+        lattice, decoder, memory = worker_state(model, n)
         for batch in slices(batches, "text", SLICE_BYTES):
-            rows = []
-            for t in batch.column("text").to_pylist():
-                found = encode_text(lattice, t or "", n, known)
-                score, ids = found[0]
-                back = decode_ids(ids, cells)
-                ids = np.array(ids, "<u4")
-                rows.append((len(ids), score, zlib.crc32(ids.tobytes()), [s for s, _ in found], back, back == (t or "")) + ((ids.view(np.int32),) if with_ids else ()))
-            kinds = (pa.int64(), pa.float64(), pa.int64(), pa.list_(pa.float64()), pa.string(), pa.bool_(), pa.list_(pa.int32()))
-            columns = list(zip(*rows, strict=True))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=False))], ROUND_TRIP[: len(columns) + 1])
+            texts = batch.column("text").to_pylist()
+            s = Segmented(lattice, memory, texts, n)
+            decoded = decoder.texts(s.ids, s.ends)
+            columns = [
+                batch.column("doc_id"), pa.array(np.diff(s.ends)), pa.array(s.scores),
+                pa.array([zlib.crc32(s.ids[a:b].tobytes()) for a, b in zip(s.ends[:-1], s.ends[1:], strict=True)], pa.int64()),
+                pa.array([[x for x, _ in s.best_of(k)] for k in range(len(texts))], pa.list_(pa.float64())),
+                pa.array(decoded, pa.string()), pa.array([d == (t or "") for d, t in zip(decoded, texts, strict=True)]),
+            ]
+            if with_ids:
+                columns.append(list_array(s.ids.view(np.int32), s.ends))
+            yield pa.RecordBatch.from_arrays(columns, ROUND_TRIP[: len(columns)])
 
     schema = f"doc_id {kind(docs, id_column)}, n_pieces long, score double, ids_crc32 long, scores array<double>, decoded string, exact boolean" + ", ids array<int>" * with_ids
     return selected(docs, text, id_column).mapInArrow(run, schema)
 
 
-def worker_state(model: str, n: int) -> tuple[Lattice, dict]:
+LATTICES: dict[str, tuple[Lattice, Decoder]] = {}
+MEMORIES: dict[tuple[str, int], Memory] = {}
+
+
+def worker_state(model: str, n: int) -> tuple[Lattice, Decoder, Memory]:
     if model not in LATTICES:
-        LATTICES[model] = Lattice.load(model)
-    return LATTICES[model], KNOWN.setdefault((model, n), {})
+        lattice = Lattice.load(model)
+        LATTICES[model] = lattice, Decoder(lattice)
+    return *LATTICES[model], MEMORIES.setdefault((model, n), Memory())
 
 
 def selected(docs: DataFrame, text: str, id_column: str) -> DataFrame:

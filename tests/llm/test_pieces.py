@@ -33,7 +33,7 @@ def test_n_best_equal_all_segmentations_sorted():
         text = "".join(rnd.choice("aab c") for _ in range(rnd.randint(0, 7)))
         want = sorted(every(lattice, p.BLANK + text.replace(" ", p.BLANK))) if text else [(0.0, ())]
         for n in (1, 2, 5, 30):
-            got = p.encode_text(lattice, text, n, {})
+            got = p.encode_text(lattice, text, n)
             assert [-s for s, _ in got] == [s for s, _ in want[:n]]
             assert len({tuple(i) for _, i in got}) == len(got)
             assert all((-s, tuple(i[::-1])) in want for s, i in got)
