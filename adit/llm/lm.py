@@ -30,6 +30,8 @@ from adit.llm.words import mix, slices, split, word_hashes
 from adit.session import materialize, scratch_path
 
 BLOCK_BYTES = 16 << 20
+#: Text that is split into words at a time.
+SPLIT_BYTES = 2 << 20
 #: N-grams, counted with repeats, for each partition of the count tables.
 PARTITION_GRAMS = 4 << 20
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
@@ -45,7 +47,7 @@ def blocks(docs: DataFrame, text: str, id_column: str) -> DataFrame:
             with pa.ipc.new_stream(sink, column.schema) as out:
                 out.write_batch(column)
             cells = [uuid.uuid4().hex, pack(ids.fill_null(0).to_numpy(zero_copy_only=False)), pack(ids.is_valid().to_numpy(zero_copy_only=False).astype(np.uint8)), zstandard.compress(sink.getvalue(), 5)]
-            n = len(split(batch.column("text")).codes)
+            n = sum(len(split(part.column("text")).codes) for part in slices(iter([batch]), "text", SPLIT_BYTES))
             yield pa.RecordBatch.from_arrays([pa.array([c], k) for c, k in zip([*cells, n], (pa.string(), *[pa.binary()] * 3, pa.int64()), strict=True)], [c.split()[0] for c in BLOCK.split(", ")])
 
     return materialize(docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(gather, BLOCK), "blocks")
@@ -53,33 +55,34 @@ def blocks(docs: DataFrame, text: str, id_column: str) -> DataFrame:
 
 def block_words(texts: bytes) -> tuple[np.ndarray, np.ndarray]:
     """(hash of each word, first word of each text and the end)."""
-    column = pa.ipc.open_stream(zstandard.decompress(texts)).read_all().column("text").combine_chunks()
-    words = split(column)
-    return word_hashes(words), words.starts
+    hashes, sizes = [np.zeros(0, np.uint64)], [np.zeros(1, np.int64)]
+    for part in slices(iter(pa.ipc.open_stream(zstandard.decompress(texts))), "text", SPLIT_BYTES):
+        words = split(part.column("text"))
+        hashes.append(word_hashes(words))
+        sizes.append(words.sizes())
+    return np.concatenate(hashes), np.cumsum(np.concatenate(sizes))
 
 
-def grams(h: np.ndarray, starts: np.ndarray, order: int) -> list[np.ndarray]:
+def grams(h: np.ndarray, starts: np.ndarray, order: int) -> Iterator[np.ndarray]:
     """By order: a hash of the n-gram that ends at each word. Those that would begin before the text are none, and stand as 0."""
-    since = np.arange(len(h)) - np.repeat(starts[:-1], np.diff(starts))
-    out, run = [], h.copy()
+    since = (np.arange(len(h)) - np.repeat(starts[:-1], np.diff(starts))).astype(np.int32)
+    run = h
     for k in range(1, order + 1):
         if k > 1:
-            run[1:] = h[1:] + previous[:-1] * FACTOR
-        g = mix(run + np.uint64(k)) | np.uint64(1)  # never 0
+            run = np.concatenate([h[:1], h[1:] + run[:-1] * FACTOR])
+        g = mix(run + np.uint64(k))
+        g |= np.uint64(1)  # never 0
         g[since < k - 1] = 0
-        out.append(g)
-        previous = run.copy()
-    return out
+        yield g
 
 
 def sorted_runs(g: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(places, begins, found): the words with an n-gram in the order of its hash and, as the sort is stable, of their texts;
-    where each distinct n-gram's run of them begins, and the end; the distinct n-grams in ascending order."""
+    """(places, begins, ordered): the words with an n-gram in the order of its hash and, as the sort is stable, of their texts;
+    where each distinct n-gram's run of them begins, and the end; the hashes in that order."""
     places = np.argsort(g, kind="stable")
-    places = places[np.searchsorted(g, 1, sorter=places) :]  # 0 is none
     ordered = g[places]
-    begins = runs(ordered)
-    return places, begins, ordered[begins[:-1]]
+    none = int(np.searchsorted(ordered, 1))  # 0 is none
+    return places[none:], runs(ordered[none:]), ordered[none:]
 
 
 def partition_of(h: np.ndarray, partitions: int) -> np.ndarray:
@@ -87,24 +90,30 @@ def partition_of(h: np.ndarray, partitions: int) -> np.ndarray:
     return ((h >> np.uint64(32)) * np.uint64(partitions) >> np.uint64(32)).astype(np.int64)
 
 
-def backoff_scores(gram: list[np.ndarray], starts: np.ndarray, totals: list[np.ndarray], corpus_words: int, backoff: float) -> np.ndarray:
+def backoff_scores(h: np.ndarray, starts: np.ndarray, totals: list[np.ndarray], corpus_words: int, backoff: float) -> np.ndarray:
     """log score of each word; totals: by order, the corpus's counts of the block's distinct n-grams, in ascending order of their hash."""
     sizes = np.diff(starts)
-    doc = np.repeat(np.arange(len(sizes)), sizes)
+    doc = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
     score, context = np.zeros(0), np.zeros(0, np.int64)
-    for k, (g, total) in enumerate(zip(gram, totals, strict=True)):
+    for k, g in enumerate(grams(h, starts, len(totals))):
         places, begins, _ = sorted_runs(g)
+        own = np.zeros(len(places) + 1, bool)  # where a run of one n-gram in one text begins
+        own[begins] = True
+        of = doc[places]
+        own[1:-1] |= of[1:] != of[:-1]
+        own = np.diff(np.flatnonzero(own))
         left = np.zeros(len(g), np.int64)  # counts without the document's own
-        own = runs(np.repeat(np.arange(len(begins) - 1), np.diff(begins)), doc[places])
-        left[places] = np.repeat(total, np.diff(begins)) - np.repeat(np.diff(own), np.diff(own))
+        left[places] = np.repeat(totals[k], np.diff(begins)) - np.repeat(own, own)
+        del places, begins, of, own
         has = left > 0
         if k == 0:
             rest = corpus_words - sizes[doc]
             score = np.log(np.where(has, left, 1) / np.where(has, np.maximum(rest, 1), rest + 1))
+            del rest
         else:  # the context is the n-gram of one order less that ends a word before; before the text there is none
-            before = np.concatenate([[0], context[:-1]]) if len(g) else context
-            seen = np.log(np.where(has, left, 1) / np.where(has, np.maximum(before, 1), 1))
-            score = np.where(has, seen, np.where(g != 0, np.log(backoff) + score, score))
+            score[g != 0] += np.log(backoff)
+            at = np.flatnonzero(has)  # so never the block's first word
+            score[at] = np.log(left[at] / np.maximum(context[at - 1], 1))
         context = left
     return score
 
@@ -133,8 +142,8 @@ def lm_scores(docs: DataFrame, order: int = 3, backoff: float = 0.4, text: str =
         for batch in batches:
             for block, texts in zip(batch.column("block"), batch.column("texts"), strict=True):
                 for o, g in enumerate(grams(*block_words(texts.as_py()), order)):
-                    _, begins, found = sorted_runs(g)
-                    counts = np.diff(begins)
+                    _, begins, ordered = sorted_runs(g)
+                    found, counts = ordered[begins[:-1]], np.diff(begins)
                     ends = np.searchsorted(partition_of(found, partitions), np.arange(partitions + 1))
                     for p in np.flatnonzero(np.diff(ends)):
                         a, b = ends[p], ends[p + 1]
@@ -152,8 +161,9 @@ def lm_scores(docs: DataFrame, order: int = 3, backoff: float = 0.4, text: str =
         for batch in batches:
             for k in range(batch.num_rows):
                 row = batch.slice(k, 1).to_pylist()[0]
+                pa.default_memory_pool().release_unused()
                 h, starts = block_words(row["texts"])
-                scores = backoff_scores(grams(h, starts, order), starts, totals_of(path, row["block"], order), corpus_words, backoff)
+                scores = backoff_scores(h, starts, totals_of(path, row["block"], order), corpus_words, backoff)
                 sizes, full = np.diff(starts), np.diff(starts) > 0
                 sums = np.zeros(len(sizes))
                 if len(scores):
