@@ -26,10 +26,10 @@ from adit.llm.token_files import opened
 from adit.llm.words import covered, inside, list_array, mix, slices, split, window_hashes, word_hashes
 from adit.session import scratch_path
 
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 ROWS = 2
 #: Windows after which a task sends its sketch and starts another.
-FLUSH = 4 << 20
+FLUSH = 2 << 20
 SEGMENT_BITS = 20
 FACTORS = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 ROW_SEEDS = np.array([0x632BE59BD9B4E019, 0xE220A8397B1DCDAF, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB], np.uint64)
