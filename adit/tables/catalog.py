@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from adit.operators.access import row_filter
+from adit.schemas import TABLE_COLUMNS
+from adit.tables.store import SnapshotTable
+
 
 def query_target(sql: Column) -> Column:
     """The first table after FROM, or `custom`."""
@@ -21,6 +25,18 @@ def run_sql(spark: SparkSession, text: str, **tables: DataFrame) -> DataFrame:
     return spark.sql(text, **tables)
 
 
+def governed_tables(spark: SparkSession, root: str, role: str, grants: DataFrame | list[str] | None) -> dict[str, DataFrame]:
+    """The stored tables below `root` as a role may see them: their current snapshot, limited to the incidents granted."""
+    stored = {name: SnapshotTable(spark, root, name) for name in TABLE_COLUMNS}
+    return {name: row_filter(table.read(), role, grants) for name, table in stored.items() if table.exists()}
+
+
+def run_governed(spark: SparkSession, root: str, text: str, role: str, grants: DataFrame | list[str] | None = None) -> DataFrame:
+    """SQL over the stored tables by name, with the role's row filter under every one of them."""
+    register_views(spark, governed_tables(spark, root, role, grants))
+    return spark.sql(text)
+
+
 def query_history(log: DataFrame, user_id: int | None = None, limit: int = 100) -> DataFrame:
     """Newest queries, optionally of one user, with the text cut to 500 characters."""
     chosen = log if user_id is None else log.where(F.col("user_id") == user_id)

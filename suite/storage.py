@@ -334,6 +334,20 @@ def edited_people(spark, sf):
     return table, user, log
 
 
+@query(
+    "governed_sql",
+    """SELECT o_orderpriority AS incident_id, count(*) AS n, strftime(max(o_orderdate), '%Y-%m-%d') AS last FROM orders
+       WHERE o_orderpriority IN ('1-URGENT', '5-LOW') GROUP BY o_orderpriority""",
+)
+def governed_sql(spark, sf):
+    """SQL over a stored table as a role that may see two incidents."""
+    root = scratch_path(spark, "governed")
+    rows = load(spark, sf, "orders").select(F.col("o_orderpriority").alias("incident_id"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("incident_date"))
+    store.SnapshotTable(spark, root, "incident_description").append(rows)
+    text = "SELECT incident_id, count(*) AS n, max(incident_date) AS last FROM incident_description GROUP BY incident_id"
+    return catalog.run_governed(spark, root, text, "EXPERT", ["1-URGENT", "5-LOW"])
+
+
 _PEOPLE_SQL = "SELECT c_custkey AS id, c_name AS name, c_nationkey AS nation FROM customer"
 _SAVED_SQL = """SELECT c_custkey AS id, CASE WHEN c_custkey % 6 = 0 THEN c_name || '*' ELSE c_name END AS name,
     CASE WHEN c_custkey % 6 = 3 THEN NULL ELSE c_nationkey END AS nation FROM customer"""
