@@ -11,7 +11,6 @@ from adit.functions import measures as M
 from adit.functions import numbers as N
 from adit.functions import text as T
 from adit.operators import extract as X
-from adit.operators.merge import keep_first
 from adit.plans.registry import DOC, position, register_extractor
 from adit.sources import delimited
 from adit.sources.events import feature_events
@@ -417,9 +416,12 @@ def _inferred_type(sensor_id: Column, line: Column) -> Column:
 
 def sensor_mentions(docs: DataFrame) -> DataFrame:
     """Ids such as `M37_2` anywhere in the text, each described by the first line that holds it."""
-    ids = F.regexp_extract_all("line", F.lit(r"[A-Z0-9]+_\d+"), F.lit(0))
-    found = X.to_lines(docs, DOC).select(*DOC, "line_no", F.col("line").alias("_line"), F.explode(F.array_distinct(ids)).alias("sensor_id"))
-    lined = keep_first(found, [*DOC, "sensor_id"], ["line_no"]).withColumn("ord", position("line_no"))
+    ids = lambda line: F.array_distinct(F.regexp_extract_all(line, F.lit(r"[A-Z0-9]+_\d+"), F.lit(0)))
+    of_line = lambda line, i: F.transform(ids(line), lambda x: F.struct(x.alias("sensor_id"), i.alias("line_no"), line.alias("_line")))
+    found = docs.select(*DOC, F.flatten(F.transform(F.split("text", "\n", -1), of_line)).alias("_found"))
+    named = found.withColumn("_ids", F.transform("_found", lambda x: x["sensor_id"]))
+    first = F.filter("_found", lambda x, k: F.array_position(F.col("_ids"), x["sensor_id"]) == k + 1)  # inside the row: nothing is shuffled
+    lined = named.select(*DOC, F.inline_outer(first)).where("sensor_id is not null").withColumn("ord", position("line_no"))
     kind = _inferred_type(F.col("sensor_id"), F.col("_line"))
     return lined.select(
         *DOC, "ord", "sensor_id", kind.alias("sensor_type"), T.first_match(F.col("_line"), SENSOR_PLACES).alias("location"), C.unit_of(kind).alias("unit")

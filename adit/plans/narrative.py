@@ -12,8 +12,7 @@ from adit.functions import numbers as N
 from adit.functions import text as T
 from adit.functions import vocabulary as V
 from adit.operators import extract as X
-from adit.operators.joins import keyword_facts, semantic_facts
-from adit.operators.merge import keep_first
+from adit.operators.joins import semantic_facts
 from adit.plans.registry import DOC, LAST, position, register_extractor
 
 NUMBER = r"(\d+\.?\d*)"
@@ -487,9 +486,28 @@ register_extractor(
 
 
 def hypothesis_facts(docs: DataFrame) -> DataFrame:
-    """Sentences with a hypothesis' key words; a sentence counts once per document, for its first hypothesis."""
-    facts = keyword_facts(X.to_sentences(docs, 20, DOC), V.HYPOTHESES).withColumn("fact_text", F.substring("sentence", 1, 500))
-    first = keep_first(facts.drop("sentence"), [*DOC, "fact_text"], ["hyp_rank", "pos"])
+    """Sentences with a hypothesis' key words; a sentence counts once per document, for its first hypothesis.
+
+    A document is one row, so the first of equal sentences is chosen inside it, and nothing is shuffled.
+    """
+    every_word = [w for _, words in V.HYPOTHESES for w in words]
+    numbered = F.transform(X.sentences_of(F.col("text"), 20), lambda s, i: F.struct(i.alias("pos"), s.alias("sentence"), F.lower(s).alias("folded")))
+    likely = F.filter(numbered, lambda x: T.contains_any(x["folded"], every_word, folded=True))
+
+    def facts_of(x: Column) -> Column:
+        found = [
+            F.struct(
+                F.lit(rank).alias("hyp_rank"), x["pos"].alias("pos"), F.lit(hid).alias("hypotesis_id"),
+                C.first_word(x["folded"], words, folded=True).alias("keyword"), F.substring(x["sentence"], 1, 500).alias("fact_text"),
+            )
+            for rank, (hid, words) in enumerate(V.HYPOTHESES)
+        ]
+        return F.filter(F.array(*found), lambda f: f["keyword"].isNotNull())
+
+    facts = docs.select(*DOC, F.array_sort(F.flatten(F.transform(likely, facts_of))).alias("_facts"))
+    texts = facts.withColumn("_texts", F.transform("_facts", lambda f: f["fact_text"]))
+    kept = F.filter("_facts", lambda f, k: F.array_position(F.col("_texts"), f["fact_text"]) == k + 1)
+    first = texts.select(*DOC, F.inline_outer(kept)).where("fact_text is not null")
     return first.select(
         *DOC,
         position("hyp_rank", "pos"),

@@ -82,3 +82,11 @@ def test_the_check_tells_null_from_empty_and_types_apart():
     assert rows_of(["a"], [("None",)]) != rows_of(["a"], [(None,)]) != rows_of(["a"], [("null",)])
     assert rows_of(["a", "b"], [("x|y", "z")]) != rows_of(["a", "b"], [("x", "y|z")])
     assert kind_of("BIGINT") == kind_of("int") != kind_of("VARCHAR") == kind_of("string")
+
+
+@pytest.mark.parametrize("table", ["hypotesis_prove_facts", "sensor_reestr"])
+def test_jobs_that_keep_the_first_of_equal_rows_do_not_shuffle(docs, table):
+    from adit.plans.registry import run_job
+
+    plan = run_job(table, docs(("note.txt", "M37_2 искра и метан на участке обнаружены сразу. M37_2")))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
