@@ -106,6 +106,30 @@ METRICS = {"fire_metrics": "FM", "ventilation_metrics": "VM", "incident_metrics"
 DAY_SECONDS = 86_400
 
 
+def load_table(spark: SparkSession, root: str, table: str, routed: DataFrame, operation: str = "INSERT") -> DataFrame:
+    """Append one job's rows to its table; returns incident_id, source_file, table_name and records for each of its documents."""
+    mine = routed.where(F.col("target") == table)
+    store = SnapshotTable(spark, root, table)
+    store.create()
+    found: list[DataFrame] = []
+    enrich = enrichment(spark, root, table)
+
+    def keep(rows: DataFrame) -> DataFrame:
+        """The rows as they are loaded, written once, with the document they come from."""
+        found.append(materialize(enrich(rows) if enrich else rows, table))
+        return found[0]
+
+    store.append(run_job(table, mine, with_ids=True, start=store.current().appended, enrich=keep), operation)
+    counts = found[0].groupBy(*DOC).agg(F.count("*").alias("records"))
+    files = mine.select(*DOC).distinct().join(counts, DOC, "left")
+    return files.select(*DOC, F.lit(table).alias("table_name"), F.coalesce("records", F.lit(0)).alias("records"))
+
+
+def in_order(tables) -> list[str]:
+    """The tables to load, those that others look up first."""
+    return [t for t in tables if t in REFERENCE_TABLES] + [t for t in tables if t not in REFERENCE_TABLES]
+
+
 def ingest_results(spark: SparkSession, docs: DataFrame, root: str, run_ts: str, tables: list[str] | None = None, with_metrics: bool = True) -> DataFrame:
     """Extract every job's rows, append them to the tables below `root`, fill the metrics; a row for each document and table:
     incident_id, source_file, table_name, records, status, error.
@@ -120,29 +144,14 @@ def ingest_results(spark: SparkSession, docs: DataFrame, root: str, run_ts: str,
     for name in REFERENCE_TABLES:
         SnapshotTable(spark, root, name).create()
 
-    def load_table(table: str) -> DataFrame:
-        mine = routed.where(F.col("target") == table)
-        store = SnapshotTable(spark, root, table)
-        store.create()
-        found: list[DataFrame] = []
-        enrich = enrichment(spark, root, table)
-
-        def keep(rows: DataFrame) -> DataFrame:
-            """The rows as they are loaded, written once, with the document they come from."""
-            found.append(materialize(enrich(rows) if enrich else rows, table))
-            return found[0]
-
-        loaded = run_job(table, mine, with_ids=True, start=store.current().appended, enrich=keep)
-        store.append(loaded)
-        counts = found[0].groupBy(*DOC).agg(F.count("*").alias("records"))
-        files = mine.select(*DOC).distinct().join(counts, DOC, "left")
-        return files.select(*DOC, F.lit(table).alias("table_name"), F.coalesce("records", F.lit(0)).alias("records"))
+    def load(table: str) -> DataFrame:
+        return load_table(spark, root, table, routed)
 
     wanted = [t for t in tables or JOBS if t in present]
     first = [t for t in wanted if t in REFERENCE_TABLES]
     # Jobs are independent; running a few at a time keeps the executors busy while small ones finish.
     with ThreadPoolExecutor(JOBS_AT_ONCE) as pool:
-        seen = list(pool.map(load_table, first)) + list(pool.map(load_table, [t for t in wanted if t not in first]))
+        seen = list(pool.map(load, first)) + list(pool.map(load, [t for t in wanted if t not in first]))
     if with_metrics:
         fill_metrics(spark, root)
     none = "incident_id string, source_file string, table_name string, records bigint"

@@ -8,18 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from adit.plans.ingest import jobs_present, land_routed
-from adit.plans.registry import DOC, JOBS, run_job
+from adit.operators.merge import union_by_name
+from adit.plans.ingest import REFERENCE_TABLES, in_order, jobs_present, land_routed, load_table
+from adit.plans.registry import DOC, JOBS
 from adit.sources.files import EXTENSIONS, any_case, decode_text, file_name
 from adit.tables.store import SnapshotTable
 
 FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
-def document_stream(
-    spark: SparkSession, folder: str, incident_id: str, archive: str | None = None, files_per_batch: int = 1000, extensions=EXTENSIONS
-) -> DataFrame:
-    """Documents of new files. With an archive folder, finished files move to `<archive>/yyyy/mm/dd`."""
+def document_stream(spark: SparkSession, folder: str, incident_id: str, files_per_batch: int = 1000, extensions=EXTENSIONS) -> DataFrame:
+    """Documents of new files: incident_id, source_file, path, text."""
     reader = (
         spark.readStream.format("binaryFile")
         .schema(FILE_SCHEMA)
@@ -27,36 +26,56 @@ def document_stream(
         .option("pathGlobFilter", any_case(extensions))
         .option("maxFilesPerTrigger", files_per_batch)
     )
-    if archive:
-        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", f"{archive}/{date.today():%Y/%m/%d}")
     files = reader.load(folder)
     return files.where(~file_name(F.col("path")).rlike("^[._]")).select(
-        F.lit(incident_id).alias("incident_id"), file_name(F.col("path")).alias("source_file"), decode_text(F.col("content")).alias("text")
+        F.lit(incident_id).alias("incident_id"), file_name(F.col("path")).alias("source_file"), "path", decode_text(F.col("content")).alias("text")
     )
 
 
-def load_batch(batch: DataFrame, batch_id: int, root: str, name: str, tables: list[str] | None = None) -> None:
+def load_batch(batch: DataFrame, batch_id: int, root: str, name: str, tables: list[str] | None = None, archive: str | None = None) -> None:
     """Append a batch's rows to every table. A batch that is replayed after a failure is recognised by its
-    commit and skipped, table by table, so rows are never doubled."""
+    commit and skipped, table by table, so rows are never doubled. With an archive folder, files that gave a row to any
+    table move to `<archive>/yyyy/mm/dd` of the day; the others stay where they are."""
     spark = batch.sparkSession
-    routed = land_routed(batch.select(*DOC, "text"), "batch")
+    routed = land_routed(batch.select(*DOC, *[c for c in ("path",) if c in batch.columns], "text"), "batch")
     present = jobs_present(routed)
-    for table in [t for t in tables or JOBS if t in present]:
+    for table in REFERENCE_TABLES:
+        SnapshotTable(spark, root, table).create()
+    seen = []
+    for table in in_order([t for t in tables or JOBS if t in present]):
         store = SnapshotTable(spark, root, table)
         operation = f"INSERT {name}#{batch_id}"
         store.create()
         if store.has_commit(operation):
-            continue
-        mine = routed.where(F.col("target") == table)
-        store.append(run_job(table, mine, with_ids=True, start=store.current().appended), operation)
+            loaded = routed.where(F.col("target") == table).select(*DOC).distinct()
+            seen.append(loaded.join(store.read().select("source_file").distinct(), "source_file", "left_semi").select(*DOC, F.lit(1).alias("records")))
+        else:
+            seen.append(load_table(spark, root, table, routed, operation).select(*DOC, "records"))
+    if archive and seen and "path" in routed.columns:
+        good = union_by_name(seen).where("records > 0").select(*DOC).distinct()
+        paths = [r["path"] for r in routed.select(*DOC, "path").distinct().join(good, DOC, "left_semi").select("path").distinct().collect()]  # files of one batch
+        move_files(spark, paths, f"{archive.rstrip('/')}/{date.today():%Y/%m/%d}")
 
 
-def ingest_new_files(docs: DataFrame, root: str, checkpoint: str, name: str = "ingest", tables: list[str] | None = None) -> StreamingQuery:
+def move_files(spark: SparkSession, paths: list[str], folder: str) -> None:
+    hadoop, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
+    target = hadoop.Path(folder)
+    system = target.getFileSystem(conf)
+    system.mkdirs(target)
+    for path in paths:
+        source = hadoop.Path(path)
+        if system.exists(source):  # a replayed batch finds it moved
+            system.rename(source, hadoop.Path(target, source.getName()))
+
+
+def ingest_new_files(
+    docs: DataFrame, root: str, checkpoint: str, name: str = "ingest", tables: list[str] | None = None, archive: str | None = None
+) -> StreamingQuery:
     """Process everything that is there now, then stop; the checkpoint remembers the files."""
     return (
         docs.writeStream.queryName(name)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .foreachBatch(lambda batch, batch_id: load_batch(batch, batch_id, root, name, tables))
+        .foreachBatch(lambda batch, batch_id: load_batch(batch, batch_id, root, name, tables, archive))
         .start()
     )

@@ -56,5 +56,5 @@ def stream_ingest(spark, sf):
     logs = found.select(
         "incident_id", F.concat(F.lit("issue_log_"), "source_file").alias("source_file"), F.explode(F.split("text", "\f")).alias("text")
     ).where("trim(text) <> ''")
-    ingest.ingest_new_files(logs, root, checkpoint, tables=["equipment_issue_log"]).awaitTermination()
+    ingest.ingest_new_files(logs, root, checkpoint).awaitTermination()
     return SnapshotTable(spark, root, "equipment_issue_log").read().select("issued_by", "equipment_name", "quantity")

@@ -143,6 +143,19 @@ def test_ingest_of_all_jobs_for_two_incidents(spark, docs):
     assert {(r["incident_id"], r["source_file"]) for r in failed_files(results).collect()} <= per_file
 
 
+def test_only_files_that_gave_rows_are_archived(spark, tmp_path):
+    inbox, root = tmp_path / "inbox", scratch_path(spark, "lake")
+    inbox.mkdir()
+    gas = next(g for g in GOLDEN if g[0] == "gas_analysis")
+    (inbox / "gas_measurements_1.txt").write_text(gas[2], "utf-8")
+    (inbox / "gas_measurements_empty.txt").write_text("пусто", "utf-8")
+    found = stream.document_stream(spark, str(inbox), "INC-1")
+    stream.ingest_new_files(found, root, scratch_path(spark, "cp"), tables=["gas_analysis"], archive=str(tmp_path / "done")).awaitTermination()
+    assert [f.name for f in inbox.iterdir() if f.suffix == ".txt"] == ["gas_measurements_empty.txt"]
+    assert [f.name for f in (tmp_path / "done").rglob("*.txt")] == ["gas_measurements_1.txt"]
+    assert SnapshotTable(spark, root, "gas_analysis").read().count() == 2
+
+
 def test_stream_takes_each_file_once_and_a_replayed_batch_adds_nothing(spark, tmp_path):
     inbox, root, checkpoint = tmp_path / "inbox", scratch_path(spark, "lake"), scratch_path(spark, "cp")
     inbox.mkdir()
