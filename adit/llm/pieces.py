@@ -6,9 +6,9 @@ the best score up to each place. Backward, A* grows segmentations from the end:
 forward score, so segmentations come out best first, and the n best are the first n.
 
 No piece holds U+2581 after another character, so every path passes the places in front of a word: the lattice of a text is a
-chain of the words' lattices (blanks belong to the word that follows, and characters that no piece knows stand alone). Words
-repeat, so a worker remembers their best, and what the second best loses; a text's n best change only the words that lose
-least, whose n best are then searched. Unknown characters become byte pieces. Scores are those of the model file, summed in
+chain of the words' lattices (blanks belong to the word that follows, and characters that no piece knows stand alone). The
+distinct words of a few megabytes of text are segmented together; each gives its best, and what its second best loses; a
+text's n best change only the words that lose least, whose n best are then searched. Unknown characters become byte pieces. Scores are those of the model file, summed in
 double precision; an unknown character scores 10 below the lowest piece, as the library has it. Segmentations of equal score:
 of a word, the one whose ids, read from the end, come first; of a text, the one that departs from the best in later words first.
 
@@ -28,13 +28,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from adit.llm.packing import runs
 from adit.llm.words import list_array, slices
 
 BLANK = "▁"
 SLICE_BYTES = 2 << 20
 UNKNOWN_PENALTY = 10.0
-#: Distinct words in each of the two generations that a worker remembers. It bounds memory and changes no result.
-REMEMBERED = 1 << 17
+#: Bits of a character's number beside a trie node's, and characters up to which words are segmented together.
+POINT_BITS, LONG = 21, 64
 ROUND_TRIP = ["doc_id", "n_pieces", "score", "ids_crc32", "scores", "decoded", "exact", "ids"]
 
 
@@ -46,6 +47,13 @@ class Lattice:
         self.unknown_score = min((s for _, s in scores.values()), default=0.0) - UNKNOWN_PENALTY
         self.table: dict[str, tuple[tuple[int, ...], float] | None] = {p[:k]: None for p in scores for k in range(1, len(p))}
         self.table |= {p: ((i,), score) for p, (i, score) in scores.items()}
+        number = {p: k for k, p in enumerate(sorted(self.table, key=len), 1)} | {"": 0}
+        steps = sorted((number[p[:-1]] << POINT_BITS | ord(p[-1]), k) for p, k in number.items() if p)
+        self.steps, self.children = np.array([k for k, _ in steps], np.int64), np.array([k for _, k in steps], np.int64)
+        self.piece_at, self.score_at = np.full(len(number), -1, np.int64), np.zeros(len(number))
+        for piece, (i, score) in scores.items():
+            self.piece_at[number[piece]], self.score_at[number[piece]] = i, score
+        self.longest = max(map(len, scores), default=0)
         alphabet = {c for p in scores for c in p} - {BLANK}
         # blanks and the characters after them that pieces know; any other character stands alone, as no piece goes over it
         self.word = re.compile(f"{BLANK}*[{''.join(map(re.escape, sorted(alphabet)))}]+|{BLANK}+|." if alphabet else ".", re.DOTALL)
@@ -113,6 +121,92 @@ class Lattice:
                     loss = best - node[0] - after
         return best, ids[::-1], loss
 
+    def firsts(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """`first` of many words at once: (scores, losses, all ids one word after another, ids of each word).
+
+        The lattices of all words are one array of nodes, found by walking the trie from every character at once; forward and
+        backward scores advance place by place in all words together. The few very long words go one by one.
+        """
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        far = lengths > LONG
+        short = [w for w, f in zip(words, far.tolist(), strict=True) if not f]
+        score, loss, flat, size = np.zeros(len(words)), np.full(len(words), np.inf), [], np.zeros(len(words), np.int64)
+        score[~far], loss[~far], ids, size[~far] = self.short_firsts(short, lengths[~far])
+        if not far.any():
+            return score, loss, ids, size
+        pieces = dict(zip(np.flatnonzero(~far).tolist(), np.split(ids, np.cumsum(size[~far])[:-1]), strict=True)) if len(short) else {}
+        for k in np.flatnonzero(far).tolist():
+            score[k], found, loss[k] = self.first(words[k])
+            pieces[k], size[k] = np.array(found, np.uint32), len(found)
+        flat = [pieces[k] for k in range(len(words))]
+        return score, loss, np.concatenate(flat), size
+
+    def short_firsts(self, words: list[str], lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        if not words:
+            return np.zeros(0), np.zeros(0), np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        points = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).astype(np.int64)
+        word = np.repeat(np.arange(len(words)), lengths)
+        first = np.cumsum(lengths) - lengths
+        offset = np.arange(len(points)) - first[word]
+        left = lengths[word] - offset  # characters from here on
+        at, node, single, found = np.arange(len(points)), np.zeros(len(points), np.int64), np.zeros(len(points), bool), []
+        for l in range(self.longest):
+            ok = left[at] > l
+            at, node = at[ok], node[ok]
+            if not len(at):
+                break
+            step = node << POINT_BITS | points[at + l]
+            i = np.minimum(np.searchsorted(self.steps, step), len(self.steps) - 1)
+            hit = self.steps[i] == step
+            at, node = at[hit], self.children[i[hit]]
+            whole = self.piece_at[node] >= 0
+            if l == 0:
+                single[at[whole]] = True
+            found.append((at[whole], np.full(int(whole.sum()), l + 1), self.score_at[node[whole]], self.piece_at[node[whole]]))
+        unknown = np.flatnonzero(~single)
+        found.append((unknown, np.ones(len(unknown), np.int64), np.full(len(unknown), self.unknown_score), np.full(len(unknown), -1)))
+        begin, length, value, piece = (np.concatenate(c) for c in zip(*found, strict=True))
+        order = np.argsort(offset[begin], kind="stable")
+        begin, length, value, piece = begin[order], length[order], value[order], piece[order]
+        whose = word[begin]
+        start, end = begin + whose, begin + whose + length  # places: a word has one more than characters
+        head, tail = first + np.arange(len(words)), first + np.arange(len(words)) + lengths
+        stages = np.searchsorted(offset[begin], np.arange(int(lengths.max()) + 1))
+        forward, through = np.full(len(points) + len(words), -np.inf), np.zeros(len(begin))
+        forward[head] = 0.0
+        for a, b in zip(stages[:-1], stages[1:], strict=True):
+            through[a:b] = forward[start[a:b]] + value[a:b]
+            np.maximum.at(forward, end[a:b], through[a:b])
+        back = np.full(len(forward), -np.inf)
+        back[tail] = 0.0
+        for a, b in zip(stages[-2::-1], stages[:0:-1], strict=True):
+            np.maximum.at(back, start[a:b], value[a:b] + back[end[a:b]])
+        # the best node that ends at each place; among equals the one whose last id is least
+        last_id = piece.copy()
+        for k in np.flatnonzero(piece < 0).tolist():
+            last_id[k] = self.ids_of(chr(points[begin[k]]))[-1]
+        ranked = np.lexsort((last_id, -through, end))
+        best = np.full(len(forward), -1, np.int64)
+        ends = runs(end[ranked])[:-1]
+        best[end[ranked[ends]]] = ranked[ends]
+        on, here, rest = np.zeros(len(begin), bool), tail.copy(), np.flatnonzero(lengths > 0)
+        while len(rest):
+            node = best[here[rest]]
+            on[node] = True
+            here[rest] = start[node]
+            rest = rest[here[rest] != head[rest]]
+        total, loss = np.where(lengths > 0, forward[tail], 0.0), np.full(len(words), np.inf)
+        np.minimum.at(loss, whose[~on], total[whose[~on]] - (through + back[end])[~on])
+        taken = np.flatnonzero(on)
+        taken = taken[np.argsort(start[taken], kind="stable")]
+        cells = [piece[taken].astype(np.uint32)]
+        size = np.bincount(whose[taken], minlength=len(words))
+        if (piece[taken] < 0).any():
+            named = [(p,) if p >= 0 else self.ids_of(chr(points[b])) for p, b in zip(piece[taken].tolist(), begin[taken].tolist(), strict=True)]
+            cells = [np.array([i for x in named for i in x], np.uint32)]
+            size = np.bincount(whose[taken], list(map(len, named)), len(words)).astype(np.int64)
+        return total, loss, cells[0], size
+
     def best(self, s: str, n: int) -> list[tuple[float, tuple[int, ...]]]:
         """Up to n (score, ids), best first."""
         size, ending = len(s), self.nodes(s)
@@ -152,28 +246,10 @@ def combined(losses: list[list[float]], n: int) -> list[tuple[float, list[tuple[
     return out
 
 
-class Memory:
-    """What a worker remembers of words: two generations, the older dropped when the younger is full."""
-
-    def __init__(self):
-        self.young, self.old = {}, {}
-
-    def get(self, word: str):
-        found = self.young.get(word)
-        if found is None and (found := self.old.get(word)) is not None:
-            self.put(word, found)
-        return found
-
-    def put(self, word: str, found) -> None:
-        if len(self.young) >= REMEMBERED:
-            self.young, self.old = {}, self.young
-        self.young[word] = found
-
-
 class Segmented:
     """The n best segmentations of some texts, as flat arrays over their words."""
 
-    def __init__(self, lattice: Lattice, memory: Memory, texts: list[str | None], n: int):
+    def __init__(self, lattice: Lattice, texts: list[str | None], n: int):
         words: dict[str, int] = {}
         codes, starts = [], [0]
         for t in texts:
@@ -181,25 +257,15 @@ class Segmented:
                 codes += [words.setdefault(w, len(words)) for w in lattice.word.findall(BLANK + t.replace(" ", BLANK))]
             starts.append(len(codes))
         self.n, self.codes, self.starts = n, np.array(codes, np.int64), np.array(starts, np.int64)
-        self.lattice, self.words, self.found = lattice, list(words), []
-        for w in self.words:
-            x = memory.get(w)
-            if x is None:
-                best, ids, loss = lattice.first(w)
-                x = (best, loss, np.array(ids, "<u4").tobytes())
-                memory.put(w, x)
-            self.found.append(x)
+        self.lattice, self.words = lattice, list(words)
+        score, self.loss, self.flat, self.size = lattice.firsts(self.words)
+        self.before = np.cumsum(self.size) - self.size
         self.listed: dict[int, list[tuple[float, tuple[int, ...]]]] = {}  # n best of the words that any text may change
-        score = np.fromiter((x[0] for x in self.found), np.float64, len(self.found))
         full, self.scores = np.diff(self.starts) > 0, np.zeros(len(texts))
         if full.any():
             self.scores[full] = np.add.reduceat(score[self.codes], self.starts[:-1][full])
-        pieces = [x[2] for x in self.found]
-        flat = np.frombuffer(b"".join(pieces), "<u4")
-        size = np.fromiter(map(len, pieces), np.int64, len(pieces)) // 4
-        self.ids, done = spread(flat, size, self.codes)
+        self.ids, done = spread(self.flat, self.size, self.codes)
         self.ends = np.concatenate([[0], done])[self.starts]  # ids up to each text's start, and the end
-        self.loss = np.fromiter((x[1] for x in self.found), np.float64, len(self.found))
 
     def listed_of(self, code: int) -> list[tuple[float, tuple[int, ...]]]:
         if code not in self.listed:
@@ -223,8 +289,8 @@ class Segmented:
             return self.ids[self.ends[k] : self.ends[k + 1]]
         entry, out = dict(changes), []
         for p, c in enumerate(self.codes[self.starts[k] : self.starts[k + 1]].tolist()):
-            out.append(np.array(self.listed_of(c)[entry[p]][1], "<u4").tobytes() if p in entry else self.found[c][2])
-        return np.frombuffer(b"".join(out), "<u4")
+            out.append(np.array(self.listed_of(c)[entry[p]][1], np.uint32) if p in entry else self.flat[self.before[c] : self.before[c] + self.size[c]])
+        return np.concatenate(out)
 
 
 def spread(flat: np.ndarray, size: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -234,9 +300,9 @@ def spread(flat: np.ndarray, size: np.ndarray, codes: np.ndarray) -> tuple[np.nd
     return flat[np.repeat(before[codes] - (done - n), n) + np.arange(done[-1] if len(done) else 0)], done
 
 
-def encode_text(lattice: Lattice, text: str, n: int, memory: Memory | None = None) -> list[tuple[float, list[int]]]:
+def encode_text(lattice: Lattice, text: str, n: int) -> list[tuple[float, list[int]]]:
     """Up to n (score, ids) of one whole text, best first."""
-    s = Segmented(lattice, memory or Memory(), [text], n)
+    s = Segmented(lattice, [text], n)
     return [(score, s.ids_of(0, changes).tolist()) for score, changes in s.best_of(0)]
 
 
@@ -260,9 +326,9 @@ def encode(docs: DataFrame, model: str, n: int = 3, text: str = "text", id_colum
     """Per document: doc_id, and by rank ids (array of arrays) and scores. `model`: path of the model file, on every machine."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lattice, _, memory = worker_state(model, n)
+        lattice, _ = worker_state(model)
         for batch in slices(batches, "text", SLICE_BYTES):
-            s = Segmented(lattice, memory, batch.column("text").to_pylist(), n)
+            s = Segmented(lattice, batch.column("text").to_pylist(), n)
             found = [s.best_of(k) for k in range(batch.num_rows)]
             ids = pa.array([[s.ids_of(k, c).view(np.int32) for _, c in f] for k, f in enumerate(found)], pa.list_(pa.list_(pa.int32())))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), ids, pa.array([[x for x, _ in f] for f in found], pa.list_(pa.float64()))], ["doc_id", "ids", "scores"])
@@ -274,7 +340,7 @@ def decode(encoded: DataFrame, model: str) -> DataFrame:
     """Per row of `encode`: doc_id and the text of its best ids; null where there are none."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decoder = worker_state(model, 1)[1]
+        decoder = worker_state(model)[1]
         for batch in batches:
             texts = []
             for x in batch.column("ids"):
@@ -290,10 +356,10 @@ def round_trip(docs: DataFrame, model: str, n: int = 3, text: str = "text", id_c
     scores (of the n best), decoded (the text of the best ids), exact (whether it is the text); and the best ids, if asked for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lattice, decoder, memory = worker_state(model, n)
+        lattice, decoder = worker_state(model)
         for batch in slices(batches, "text", SLICE_BYTES):
             texts = batch.column("text").to_pylist()
-            s = Segmented(lattice, memory, texts, n)
+            s = Segmented(lattice, texts, n)
             decoded = decoder.texts(s.ids, s.ends)
             columns = [
                 batch.column("doc_id"), pa.array(np.diff(s.ends)), pa.array(s.scores),
@@ -310,14 +376,13 @@ def round_trip(docs: DataFrame, model: str, n: int = 3, text: str = "text", id_c
 
 
 LATTICES: dict[str, tuple[Lattice, Decoder]] = {}
-MEMORIES: dict[tuple[str, int], Memory] = {}
 
 
-def worker_state(model: str, n: int) -> tuple[Lattice, Decoder, Memory]:
+def worker_state(model: str) -> tuple[Lattice, Decoder]:
     if model not in LATTICES:
         lattice = Lattice.load(model)
         LATTICES[model] = lattice, Decoder(lattice)
-    return *LATTICES[model], MEMORIES.setdefault((model, n), Memory())
+    return LATTICES[model]
 
 
 def selected(docs: DataFrame, text: str, id_column: str) -> DataFrame:

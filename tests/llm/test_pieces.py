@@ -37,6 +37,10 @@ def test_n_best_equal_all_segmentations_sorted():
             assert [-s for s, _ in got] == [s for s, _ in want[:n]]
             assert len({tuple(i) for _, i in got}) == len(got)
             assert all((-s, tuple(i[::-1])) in want for s, i in got)
+        many = [p.BLANK + text.replace(" ", "")[k:] for k in range(len(text) + 1)] + ["", "c", "ab" * 40]
+        score, loss, ids, size = lattice.firsts(many)
+        for w, x, y, z in zip(many, score, loss, np.split(ids, np.cumsum(size)[:-1]), strict=True):
+            assert (x, tuple(z.tolist()), y) == lattice.first(w) == lattice.first(w)
         word = p.BLANK + text.replace(" ", "")
         assert [(-s, i[::-1]) for s, i in lattice.best(word, 9)] == sorted(every(lattice, word))[:9]
 
