@@ -32,7 +32,9 @@ from adit.llm.packing import runs
 from adit.llm.words import list_array, slices
 
 BLANK = "▁"
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 8 << 20
+#: Distinct words that are segmented together; it bounds memory and changes no result.
+TOGETHER = 1 << 15
 UNKNOWN_PENALTY = 10.0
 #: Bits of a character's number beside a trie node's, and characters up to which words are segmented together.
 POINT_BITS, LONG = 21, 64
@@ -130,16 +132,16 @@ class Lattice:
         lengths = np.fromiter(map(len, words), np.int64, len(words))
         far = lengths > LONG
         short = [w for w, f in zip(words, far.tolist(), strict=True) if not f]
-        score, loss, flat, size = np.zeros(len(words)), np.full(len(words), np.inf), [], np.zeros(len(words), np.int64)
-        score[~far], loss[~far], ids, size[~far] = self.short_firsts(short, lengths[~far])
+        score, loss, size = np.zeros(len(words)), np.full(len(words), np.inf), np.zeros(len(words), np.int64)
+        parts = [self.short_firsts(short[k : k + TOGETHER], lengths[~far][k : k + TOGETHER]) for k in range(0, max(1, len(short)), TOGETHER)]
+        score[~far], loss[~far], ids, size[~far] = (np.concatenate(c) for c in zip(*parts, strict=True))
         if not far.any():
             return score, loss, ids, size
         pieces = dict(zip(np.flatnonzero(~far).tolist(), np.split(ids, np.cumsum(size[~far])[:-1]), strict=True)) if len(short) else {}
         for k in np.flatnonzero(far).tolist():
             score[k], found, loss[k] = self.first(words[k])
             pieces[k], size[k] = np.array(found, np.uint32), len(found)
-        flat = [pieces[k] for k in range(len(words))]
-        return score, loss, np.concatenate(flat), size
+        return score, loss, np.concatenate([pieces[k] for k in range(len(words))]), size
 
     def short_firsts(self, words: list[str], lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         if not words:
