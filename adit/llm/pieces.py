@@ -297,9 +297,13 @@ class Segmented:
 
 def spread(flat: np.ndarray, size: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Items that lie one after another in `flat` (`size` of each), in the order of codes; and the entries up to each code's end."""
-    before, n = np.cumsum(size) - size, size[codes]
-    done = np.cumsum(n)
-    return flat[np.repeat(before[codes] - (done - n), n) + np.arange(done[-1] if len(done) else 0)], done
+    before, out = np.cumsum(size) - size, [flat[:0]]
+    for k in range(0, len(codes), TOGETHER):  # places are eight bytes each, so only some at a time
+        part = codes[k : k + TOGETHER]
+        n = size[part]
+        done = np.cumsum(n)
+        out.append(flat[np.repeat(before[part] - (done - n), n) + np.arange(done[-1])])
+    return np.concatenate(out), np.cumsum(size[codes])
 
 
 def encode_text(lattice: Lattice, text: str, n: int) -> list[tuple[float, list[int]]]:
