@@ -23,6 +23,7 @@ import json
 import os
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,7 +38,7 @@ SLICE_BYTES = 4 << 20
 #: Payload after which a task begins another shard.
 SHARD_BYTES = 128 << 20
 #: Distinct words whose ids a worker remembers at most. It bounds memory and changes no result.
-REMEMBERED = 1 << 19
+REMEMBERED = 3 << 18
 PRINT_SEED, LEVEL_SEED = np.uint64(0x2545F4914F6CDD1D), 0x9E3779B97F4A7C15
 MANIFEST = "part int, seq int, path string, n_docs long, n_tokens long, min_key long, max_key long"
 
@@ -67,9 +68,9 @@ class Encoder:
         words, known = split(texts), self.known
         if len(known) > REMEMBERED:
             known.clear()
-        new = [w for w in words.vocabulary if w not in known]
+        new, code = [w for w in words.vocabulary if w not in known], "H" if self.kind.itemsize == 2 else "I"
         for w, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-            known[w] = np.array(e.ids, self.kind).tobytes()
+            known[w] = array(code, e.ids).tobytes()
         pieces = [known[w] for w in words.vocabulary] + [self.end]
         flat = np.frombuffer(b"".join(pieces), self.kind)
         size = np.fromiter(map(len, pieces), np.int64, len(pieces)) // self.kind.itemsize
