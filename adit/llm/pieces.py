@@ -32,9 +32,9 @@ from adit.llm.packing import runs
 from adit.llm.words import list_array, slices
 
 BLANK = "▁"
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 #: Distinct words that are segmented together; it bounds memory and changes no result.
-TOGETHER = 1 << 15
+TOGETHER = 1 << 13
 UNKNOWN_PENALTY = 10.0
 #: Bits of a character's number beside a trie node's, and characters up to which words are segmented together.
 POINT_BITS, LONG = 21, 64
