@@ -1,6 +1,6 @@
 """Benchmark decontamination with a positional inverted index that is distributed by document.
 
-Each shard of documents (about 8 MB of text) is one index: for every term its postings, the ascending places of the shard's
+Each shard of documents (about 4 MB of text) is one index: for every term its postings, the ascending places of the shard's
 words. The index is stored below the shared folder, so it can be searched again. Test phrases go to the shards in blocks of
 bounded size. In a shard, a phrase starts from the postings of its rarest term, moved back by the term's offset; these places
 are then intersected with the offset-adjusted postings of the other terms, rarer terms first, for all phrases at once. Phrases
@@ -24,7 +24,7 @@ from adit.llm.packing import pack, pack_sorted, runs, unpack, unpack_sorted
 from adit.llm.words import ALPHANUMERIC, covered, list_array, slices, split
 from adit.session import scratch_path
 
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 4 << 20
 #: Words of test phrases that one search block holds at most (a longer single item is a block of its own).
 BLOCK_WORDS = 1 << 20
 INDEX = "shard string, doc_ids binary, known binary, starts binary, terms array<string>, sizes binary, places binary"
