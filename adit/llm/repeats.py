@@ -3,8 +3,9 @@
 Pass 1: each partition counts the hashes of its windows in a count-min sketch (several rows of cells, each row hashed its own
 way); the partition sketches are cut into segments and merged by adding. A cell may count other windows too, so the merged
 sketch overestimates and never underestimates: a window that occurs twice is never lost.
-Pass 2: only windows whose every cell counts two or more travel, grouped exactly by a 128-bit hash of their words (96 bits
-are sent). What occurs twice there is repeated. Words that repeated windows cover are removed, judged on the input.
+Pass 2: only windows whose every cell counts two or more travel, known by a 128-bit hash of their words (96 bits are sent).
+Each slice sends a distinct window once, with its places; counts are summed on Spark by the window, and those of two or more are
+joined back to the places. So no task gathers a row for each copy. What occurs twice there is repeated. Words that repeated windows cover are removed, judged on the input.
 
 The sketch has about one cell for every four bytes of text, up to `max_cells`; each task reads it (one bit a cell and row) from
 the shared folder. Beyond that size it fills up, and more windows go to the exact pass: slower, and as right.
@@ -21,20 +22,20 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from adit.llm.packing import pack, pack_sorted, runs, unpack, unpack_sorted
+from adit.llm.packing import pack_sorted, runs, unpack_sorted
 from adit.llm.token_files import opened
 from adit.llm.words import covered, inside, list_array, mix, slices, split, window_hashes, word_hashes
-from adit.session import scratch_path
+from adit.session import materialize, scratch_path
 
 SLICE_BYTES = 4 << 20
 ROWS = 2
 #: Windows after which a task sends its sketch and starts another.
 FLUSH = 2 << 20
 SEGMENT_BITS = 20
+#: Windows sent in one batch.
+TOGETHER = 1 << 15
 FACTORS = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 ROW_SEEDS = np.array([0x632BE59BD9B4E019, 0xE220A8397B1DCDAF, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB], np.uint64)
-#: Text bytes for each group of the exact pass.
-GROUP_BYTES = 32 << 20
 NO_ID = -(1 << 63)
 
 
@@ -45,18 +46,6 @@ def keyed(docs: DataFrame, text: str, id_column: str) -> DataFrame:
     )
 
 
-def groups_of(word_hash: np.ndarray, width: int, groups: int) -> np.ndarray:
-    """The exact pass's group of each window: hashed from the least of its shingles' hashes. Windows that follow each other
-    mostly share it, so a document's windows go to few groups, and equal windows always to one."""
-    shingle = min(4, width)
-    least, done, whole = window_hashes(word_hash, shingle, FACTORS[1]), 1, width - shingle + 1
-    while done < whole:  # least over stretches of doubling length
-        step = min(done, whole - done)
-        least = np.minimum(least[: len(least) - step], least[step:])
-        done += step
-    return (mix(least) % np.uint64(groups)).astype(np.int64)
-
-
 def cells(hashes: np.ndarray, row: int, bits: int) -> np.ndarray:
     return (mix(hashes ^ ROW_SEEDS[row]) >> np.uint64(64 - bits)).astype(np.uint32)
 
@@ -131,11 +120,10 @@ def sketch_at(path: str, rows: int, bits: int) -> np.ndarray:
 
 
 def repeated_starts(docs: DataFrame, width: int, rows: int = ROWS, max_cells: int = 1 << 30) -> DataFrame:
-    """(key, print, starts): by document and group, first words of windows whose words also start elsewhere."""
+    """(key, print, starts): by document, first words of windows whose words also start elsewhere."""
     spark = docs.sparkSession
     size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     bits = min(max(16, (size // 4).bit_length()), max_cells.bit_length() - 1)
-    groups = max(1, -(-size // GROUP_BYTES))
     path = scratch_path(spark, "sketch")
     merged(sketch_parts(docs, width, bits, rows), bits).write.parquet(path)
 
@@ -144,8 +132,7 @@ def repeated_starts(docs: DataFrame, width: int, rows: int = ROWS, max_cells: in
         for batch in slices(batches, "text", SLICE_BYTES):
             words = split(batch.column("text"))
             at = inside(words.starts, width)
-            first_hash = word_hashes(words, 0)
-            h = window_hashes(first_hash, width, FACTORS[0])[at]
+            h = window_hashes(word_hashes(words, 0), width, FACTORS[0])[at]
             for row in range(rows):
                 c = cells(h, row, bits)
                 kept = (sketch[row][c >> np.uint32(3)] >> (7 - (c & np.uint32(7))).astype(np.uint8)) & 1 == 1
@@ -154,52 +141,35 @@ def repeated_starts(docs: DataFrame, width: int, rows: int = ROWS, max_cells: in
                 continue
             other = (window_hashes(word_hashes(words, 1), width, FACTORS[1])[at] >> np.uint64(32)).astype(np.uint32)
             doc = words.text_of()[at]
-            group = groups_of(first_hash, width, groups)[at]
-            order = np.argsort(group, kind="stable")
-            ends = np.searchsorted(group[order], np.arange(groups + 1))
+            start = (at - words.starts[doc]).astype(np.int32)
+            order = np.lexsort((doc, other, h))
+            h, other, doc, start = h[order], other[order], doc[order], start[order]
+            ends = runs(h, other)
             keys, prints = (batch.column(c).to_numpy() for c in ("key", "print"))
-            out = []
-            for g in np.flatnonzero(np.diff(ends)):
-                i = order[ends[g] : ends[g + 1]]
-                there, which = np.unique(doc[i], return_inverse=True)
-                out.append((int(g), pack(keys[there]), pack(prints[there]), pack_sorted(which.astype(np.uint32)), pack((at[i] - words.starts[doc[i]]).astype(np.uint32)), h[i].tobytes(), other[i].tobytes()))
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), (pa.int64(), *[pa.binary()] * 6), strict=True)], ["g", "keys", "prints", "doc", "start", "h", "other"])
-
-    def exact(_, table):
-        columns, base = {c: [] for c in ("keys", "prints", "doc", "start", "h", "other")}, 0
-        for keys, prints, doc, start, h, other in zip(*(table.column(c) for c in columns), strict=True):
-            k = unpack(keys.as_py())
-            columns["keys"].append(k)
-            columns["prints"].append(unpack(prints.as_py()))
-            columns["doc"].append(unpack_sorted(doc.as_py()).astype(np.int64) + base)
-            columns["start"].append(unpack(start.as_py()).astype(np.int32))
-            columns["h"].append(np.frombuffer(h.as_py(), np.uint64))
-            columns["other"].append(np.frombuffer(other.as_py(), np.uint32))
-            base += len(k)
-        x = {k: np.concatenate(v) for k, v in columns.items()}
-        order = np.lexsort((x["other"], x["h"]))
-        begin = runs(x["h"][order], x["other"][order])
-        again = order[np.repeat(np.diff(begin) > 1, np.diff(begin))]
-        # rows that share key and print have the same text: one of them is enough
-        pair = np.unique(np.stack([x["keys"], x["prints"]]), axis=1, return_inverse=True)
-        doc = pair[1].ravel()[x["doc"][again]]
-        start = x["start"][again]
-        order = np.lexsort((start, doc))
-        doc, start = doc[order], start[order]
-        first = runs(doc, start)[:-1] if len(doc) else np.zeros(0, np.int64)
-        doc, start = doc[first], start[first]
-        ends = runs(doc)
-        who = doc[ends[:-1]] if len(doc) else doc
-        return pa.table({"key": pa.array(pair[0][0][who]), "print": pa.array(pair[0][1][who]), "starts": list_array(start, ends if len(doc) else np.zeros(1), pa.int32())})
-
-    sent = docs.select("text", "key", "print").mapInArrow(candidates, "g long, keys binary, prints binary, doc binary, start binary, h binary, other binary")
-    return sent.groupBy("g").applyInArrow(exact, "key long, print long, starts array<int>")
+            first = ends[:-1]
+            for k in range(0, len(first), TOGETHER):  # rows of Arrow lists, some at a time
+                a, b = ends[k], ends[min(k + TOGETHER, len(first))]
+                offsets = ends[k : k + TOGETHER + 1] - a
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(h[first[k : k + TOGETHER]].view(np.int64)), pa.array(other[first[k : k + TOGETHER]].view(np.int32)), pa.array(np.minimum(np.diff(offsets), 2).astype(np.int32)),
+                        list_array(keys[doc[a:b]], offsets, pa.int64()), list_array(prints[doc[a:b]], offsets, pa.int64()), list_array(start[a:b], offsets, pa.int32()),
+                    ],
+                    ["h", "other", "n", "keys", "prints", "starts"],
+                )
+
+    # a row for each distinct window of a slice: a passage in very many copies is as many rows as slices hold it
+    sent = materialize(docs.select("text", "key", "print").mapInArrow(candidates, "h long, other int, n int, keys array<long>, prints array<long>, starts array<int>"), "windows")
+    again = sent.groupBy("h", "other").agg(F.sum("n").alias("times")).where("times > 1").select("h", "other")
+    found = sent.join(again, ["h", "other"]).select(F.explode(F.arrays_zip("keys", "prints", "starts")).alias("x"))
+    # rows that share key and print have the same text: one of them is enough
+    return found.select(F.col("x.keys").alias("key"), F.col("x.prints").alias("print"), F.col("x.starts").alias("start")).groupBy("key", "print").agg(F.collect_set("start").alias("starts"))
 
 
 def remove_repeats(docs: DataFrame, width: int = 35, text: str = "text", id_column: str = "doc_id", max_cells: int = 1 << 30) -> DataFrame:
     """Per document: doc_id, n_words, n_removed, and kept_text, the kept words joined by one blank."""
     named = keyed(docs, text, id_column)
-    found = repeated_starts(named, width, max_cells=max_cells).groupBy("key", "print").agg(F.flatten(F.collect_list("starts")).alias("starts"))
+    found = repeated_starts(named, width, max_cells=max_cells)
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", SLICE_BYTES):

@@ -24,3 +24,20 @@ def test_equals_brute_force(table, corpus, width, cells):
 
 def test_empty_table(table):
     assert remove_repeats(table([])).collect() == []
+
+
+def test_copies_of_a_passage_travel_by_slice(table):
+    """A passage in every document is a row a window and slice, not one a copy."""
+    from adit.llm import repeats
+
+    passage = " ".join(f"p{k}" for k in range(60))
+    rows = [(k, f"own{k} {passage} end{k}") for k in range(500)]
+    docs = table(rows).coalesce(1)
+    seen, wrote = [], repeats.materialize
+    repeats.materialize = lambda df, name: seen.append(wrote(df, name)) or seen[-1]
+    try:
+        got = remove_repeats(docs, 35).collect()
+    finally:
+        repeats.materialize = wrote
+    assert {(r.n_words, r.n_removed, r.kept_text) for r in got} == {(62, 60, f"own{k} end{k}") for k in range(500)}
+    assert seen[0].count() <= 26 * 2
