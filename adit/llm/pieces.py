@@ -38,7 +38,7 @@ TOGETHER = 1 << 13
 UNKNOWN_PENALTY = 10.0
 #: Bits of a character's number beside a trie node's, and characters up to which words are segmented together.
 POINT_BITS, LONG = 21, 64
-ROUND_TRIP = ["doc_id", "n_pieces", "score", "ids_crc32", "scores", "decoded", "exact", "ids"]
+ROUND_TRIP = ["doc_id", "n_pieces", "score", "ids_crc32", "scores", "decoded", "exact", "rank_pieces", "rank_crc32", "rank_exact", "ids", "rank_ids"]
 
 
 class Lattice:
@@ -267,7 +267,8 @@ class Segmented:
         if full.any():
             self.scores[full] = np.add.reduceat(score[self.codes], self.starts[:-1][full])
         self.ids, done = spread(self.flat, self.size, self.codes)
-        self.ends = np.concatenate([[0], done])[self.starts]  # ids up to each text's start, and the end
+        self.done = np.concatenate([[0], done])  # ids up to each word
+        self.ends = self.done[self.starts]  # ids up to each text's start, and the end
 
     def listed_of(self, code: int) -> list[tuple[float, tuple[int, ...]]]:
         if code not in self.listed:
@@ -289,9 +290,11 @@ class Segmented:
     def ids_of(self, k: int, changes: list[tuple[int, int]]) -> np.ndarray:
         if not changes:
             return self.ids[self.ends[k] : self.ends[k + 1]]
-        entry, out = dict(changes), []
-        for p, c in enumerate(self.codes[self.starts[k] : self.starts[k + 1]].tolist()):
-            out.append(np.array(self.listed_of(c)[entry[p]][1], np.uint32) if p in entry else self.flat[self.before[c] : self.before[c] + self.size[c]])
+        first, at, out = self.starts[k], self.ends[k], []
+        for p, e in sorted(changes):
+            out += [self.ids[at : self.done[first + p]], np.array(self.listed_of(int(self.codes[first + p]))[e][1], np.uint32)]
+            at = self.done[first + p + 1]
+        out.append(self.ids[at : self.ends[k + 1]])
         return np.concatenate(out)
 
 
@@ -359,7 +362,8 @@ def decode(encoded: DataFrame, model: str) -> DataFrame:
 
 def round_trip(docs: DataFrame, model: str, n: int = 3, text: str = "text", id_column: str = "doc_id", with_ids: bool = False) -> DataFrame:
     """Encode and decode in one pass: doc_id, n_pieces, score, ids_crc32 (of the best ids as little-endian 32-bit numbers),
-    scores (of the n best), decoded (the text of the best ids), exact (whether it is the text); and the best ids, if asked for."""
+    scores (of the n best), decoded (the text of the best ids), exact (whether it is the text); by rank rank_pieces, rank_crc32 and rank_exact; and ids (the best) and rank_ids (of every rank),
+    if asked for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice, decoder = worker_state(model)
@@ -367,17 +371,30 @@ def round_trip(docs: DataFrame, model: str, n: int = 3, text: str = "text", id_c
             texts = batch.column("text").to_pylist()
             s = Segmented(lattice, texts, n)
             decoded = decoder.texts(s.ids, s.ends)
+            best = [s.best_of(k) for k in range(len(texts))]
+            pieces, crcs, exact, lists = ([[] for _ in texts] for _ in range(4))
+            for rank in range(max(map(len, best))):
+                held = [k for k, x in enumerate(best) if len(x) > rank]
+                ids = [s.ids_of(k, best[k][rank][1]) for k in held]
+                again = decoder.texts(np.concatenate(ids), np.cumsum([0, *map(len, ids)])) if rank else decoded
+                for k, x, d in zip(held, ids, again, strict=True):
+                    pieces[k].append(len(x))
+                    crcs[k].append(zlib.crc32(x.tobytes()))
+                    exact[k].append(d == (texts[k] or ""))
+                    if with_ids:
+                        lists[k].append(x.view(np.int32))
             columns = [
                 batch.column("doc_id"), pa.array(np.diff(s.ends)), pa.array(s.scores),
                 pa.array([zlib.crc32(s.ids[a:b].tobytes()) for a, b in zip(s.ends[:-1], s.ends[1:], strict=True)], pa.int64()),
-                pa.array([[x for x, _ in s.best_of(k)] for k in range(len(texts))], pa.list_(pa.float64())),
+                pa.array([[x for x, _ in f] for f in best], pa.list_(pa.float64())),
                 pa.array(decoded, pa.string()), pa.array([d == (t or "") for d, t in zip(decoded, texts, strict=True)]),
+                pa.array(pieces, pa.list_(pa.int64())), pa.array(crcs, pa.list_(pa.int64())), pa.array(exact, pa.list_(pa.bool_())),
             ]
             if with_ids:
-                columns.append(list_array(s.ids.view(np.int32), s.ends))
+                columns += [list_array(s.ids.view(np.int32), s.ends), pa.array(lists, pa.list_(pa.list_(pa.int32())))]
             yield pa.RecordBatch.from_arrays(columns, ROUND_TRIP[: len(columns)])
 
-    schema = f"doc_id {kind(docs, id_column)}, n_pieces long, score double, ids_crc32 long, scores array<double>, decoded string, exact boolean" + ", ids array<int>" * with_ids
+    schema = f"doc_id {kind(docs, id_column)}, n_pieces long, score double, ids_crc32 long, scores array<double>, decoded string, exact boolean, rank_pieces array<bigint>, rank_crc32 array<bigint>, rank_exact array<boolean>" + ", ids array<int>, rank_ids array<array<int>>" * with_ids
     return selected(docs, text, id_column).mapInArrow(run, schema)
 
 
