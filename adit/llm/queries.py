@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from adit.llm.base import QUERIES, load, query  # noqa: F401
+from adit.llm.conversations import damage, repair
 from adit.llm.decontaminate import decontaminate
 from adit.llm.graph_search import search_all
 from adit.llm.lines import dedup_lines
@@ -169,3 +170,9 @@ def op10(spark, sf_dir):
     """Every document without lines that stand earlier, alike or but for one edit."""
     kept = dedup_lines(load(spark, sf_dir, "documents"), 1, 20)
     return kept.select("doc_id", "n_lines", "n_removed", "n_links", F.sha2(F.coalesce("kept_text", F.lit("")), 256).alias("kept_sha256"))
+
+
+@query("op13_conversations")
+def op13(spark, sf_dir):
+    """Every damaged conversation's faults and the cheapest edits that repair it."""
+    return repair(damage(load(spark, sf_dir, "conversations")), F.col("present"))
