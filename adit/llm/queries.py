@@ -17,6 +17,7 @@ from adit.llm.repeats import remove_repeats
 from adit.llm.simhash import near_duplicates
 from adit.llm.token_counts import count_tokens
 from adit.llm.token_files import token_digests, write_token_files
+from adit.llm.whitening import whiten
 from adit.session import scratch_path
 
 
@@ -172,6 +173,12 @@ def op10(spark, sf_dir):
     return kept.select("doc_id", "n_lines", "n_removed", "n_links", F.sha2(F.coalesce("kept_text", F.lit("")), 256).alias("kept_sha256"))
 
 
+@query("op12_whitening")
+def op12(spark, sf_dir):
+    """Every vector on the sixteen leading components, each of unit spread."""
+    return whiten(load(spark, sf_dir, "embeddings"))
+
+
 @query("op13_conversations")
 def op13(spark, sf_dir):
     """Every damaged conversation's faults and the cheapest edits that repair it."""
