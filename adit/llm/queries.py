@@ -11,6 +11,7 @@ from adit.llm.decontaminate import decontaminate
 from adit.llm.graph_search import search_all
 from adit.llm.lines import dedup_lines
 from adit.llm.lm import lm_scores
+from adit.llm.personal import KINDS, count_of, find_personal, train as train_personal, written
 from adit.llm.pieces import round_trip
 from adit.llm.quality import classify
 from adit.llm.repeats import remove_repeats
@@ -173,6 +174,15 @@ def op10(spark, sf_dir):
     return kept.select("doc_id", "n_lines", "n_removed", "n_links", F.sha2(F.coalesce("kept_text", F.lit("")), 256).alias("kept_sha256"))
 
 
+@query("op11_personal")
+def op11(spark, sf_dir):
+    """Every document's personal data: base spans counted and hashed, and all spans."""
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    found = find_personal(docs, train_personal(docs))
+    counts = [count_of(F.col("base_spans"), kind).alias(f"n_{kind}") for kind in KINDS]
+    return found.select("doc_id", *counts, F.sha2(written(F.col("base_spans")), 256).alias("base_sha256"), written(F.col("spans")).alias("spans"))
+
+
 @query("op12_whitening")
 def op12(spark, sf_dir):
     """Every vector on the sixteen leading components, each of unit spread."""
