@@ -27,7 +27,7 @@ def test_empty_table(table):
 
 
 def test_copies_of_a_passage_travel_by_slice(table):
-    """A passage in every document is a row a window and slice, not one a copy."""
+    """A passage in every document is sent once a window and slice, not once a copy."""
     from adit.llm import repeats
 
     passage = " ".join(f"p{k}" for k in range(60))
@@ -40,4 +40,15 @@ def test_copies_of_a_passage_travel_by_slice(table):
     finally:
         repeats.materialize = wrote
     assert {(r.n_words, r.n_removed, r.kept_text) for r in got} == {(62, 60, f"own{k} end{k}") for k in range(500)}
-    assert seen[0].count() <= 26 * 2
+    from adit.llm.packing import unpack_sorted
+
+    assert sum(len(unpack_sorted(bytes(r.h))) for r in seen[0].where("range >= 0").collect()) <= 26 * 2
+
+
+def test_many_slices_and_ranges(table, corpus, monkeypatch):
+    from adit.llm import repeats
+
+    monkeypatch.setattr(repeats, "SLICE_BYTES", 500)
+    monkeypatch.setattr(repeats, "RANGE_BYTES", 500)
+    got = sorted((str(r.doc_id), r.n_words, r.n_removed, r.kept_text) for r in remove_repeats(table(corpus).repartition(3), 5).collect())
+    assert got == brute(corpus, 5)
