@@ -38,7 +38,8 @@ TOGETHER = 1 << 13
 UNKNOWN_PENALTY = 10.0
 #: Bits of a character's number beside a trie node's, and characters up to which words are segmented together.
 POINT_BITS, LONG = 21, 64
-ROUND_TRIP = ["doc_id", "n_pieces", "score", "ids_crc32", "scores", "decoded", "exact", "rank_pieces", "rank_crc32", "rank_exact", "ids", "rank_ids"]
+CHANGES = pa.list_(pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32()), ("ids", pa.list_(pa.int32()))])))
+ROUND_TRIP = ["doc_id", "n_pieces", "score", "ids_crc32", "scores", "decoded", "exact", "rank_pieces", "rank_crc32", "rank_exact", "ids", "rank_changes"]
 
 
 class Lattice:
@@ -287,6 +288,14 @@ class Segmented:
         ways = combined([[x[0][0] - score for score, _ in x] for x in lists], self.n)
         return [(float(self.scores[k]) - lost, [(places[p], e) for p, e in chosen]) for lost, chosen in ways]
 
+    def changes_of(self, k: int, changes: list[tuple[int, int]]) -> list[dict]:
+        """Which of text k's best ids give way, and to which."""
+        first, at = self.starts[k], self.ends[k]
+        return [
+            {"begin": int(self.done[first + p] - at), "end": int(self.done[first + p + 1] - at), "ids": list(self.listed_of(int(self.codes[first + p]))[e][1])}
+            for p, e in sorted(changes)
+        ]
+
     def ids_of(self, k: int, changes: list[tuple[int, int]]) -> np.ndarray:
         if not changes:
             return self.ids[self.ends[k] : self.ends[k + 1]]
@@ -362,8 +371,9 @@ def decode(encoded: DataFrame, model: str) -> DataFrame:
 
 def round_trip(docs: DataFrame, model: str, n: int = 3, text: str = "text", id_column: str = "doc_id", with_ids: bool = False) -> DataFrame:
     """Encode and decode in one pass: doc_id, n_pieces, score, ids_crc32 (of the best ids as little-endian 32-bit numbers),
-    scores (of the n best), decoded (the text of the best ids), exact (whether it is the text); by rank rank_pieces, rank_crc32 and rank_exact; and ids (the best) and rank_ids (of every rank),
-    if asked for."""
+    scores (of the n best), decoded (the text of the best ids), exact (whether it is the text); by rank rank_pieces, rank_crc32 and rank_exact; if asked for,
+    ids (the best) and rank_changes: for every rank after the first, the stretches (begin, end, ids) of the best ids that
+    other ids stand for there."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice, decoder = worker_state(model)
@@ -381,8 +391,8 @@ def round_trip(docs: DataFrame, model: str, n: int = 3, text: str = "text", id_c
                     pieces[k].append(len(x))
                     crcs[k].append(zlib.crc32(x.tobytes()))
                     exact[k].append(d == (texts[k] or ""))
-                    if with_ids:
-                        lists[k].append(x.view(np.int32))
+                    if with_ids and rank:
+                        lists[k].append(s.changes_of(k, best[k][rank][1]))
             columns = [
                 batch.column("doc_id"), pa.array(np.diff(s.ends)), pa.array(s.scores),
                 pa.array([zlib.crc32(s.ids[a:b].tobytes()) for a, b in zip(s.ends[:-1], s.ends[1:], strict=True)], pa.int64()),
@@ -391,10 +401,10 @@ def round_trip(docs: DataFrame, model: str, n: int = 3, text: str = "text", id_c
                 pa.array(pieces, pa.list_(pa.int64())), pa.array(crcs, pa.list_(pa.int64())), pa.array(exact, pa.list_(pa.bool_())),
             ]
             if with_ids:
-                columns += [list_array(s.ids.view(np.int32), s.ends), pa.array(lists, pa.list_(pa.list_(pa.int32())))]
+                columns += [list_array(s.ids.view(np.int32), s.ends), pa.array(lists, CHANGES)]
             yield pa.RecordBatch.from_arrays(columns, ROUND_TRIP[: len(columns)])
 
-    schema = f"doc_id {kind(docs, id_column)}, n_pieces long, score double, ids_crc32 long, scores array<double>, decoded string, exact boolean, rank_pieces array<bigint>, rank_crc32 array<bigint>, rank_exact array<boolean>" + ", ids array<int>, rank_ids array<array<int>>" * with_ids
+    schema = f"doc_id {kind(docs, id_column)}, n_pieces long, score double, ids_crc32 long, scores array<double>, decoded string, exact boolean, rank_pieces array<bigint>, rank_crc32 array<bigint>, rank_exact array<boolean>" + ", ids array<int>, rank_changes array<array<struct<begin: int, end: int, ids: array<int>>>>" * with_ids
     return selected(docs, text, id_column).mapInArrow(run, schema)
 
 

@@ -11,10 +11,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from adit.llm.base import load
 from adit.llm.decontaminate import decontaminate
-from adit.llm.jaccard import one_of_each
 from adit.llm.lines import dedup_lines
 from adit.llm.pieces import round_trip
 from adit.llm.quality import THRESHOLD, held_out, score, train
+from adit.llm.simhash import near_duplicates
 from adit.session import materialize
 
 
@@ -34,8 +34,16 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, of smallest id, of each group whose five-word shingles are alike by 0.8 or more, decided on the exact sets."""
-    return one_of_each(docs)
+    """One document of each group of fingerprints that four bits or fewer link: fingerprints of four-word shingles, as in op1.
+
+    The smallest doc_id of a group stays, one without an id only if the group has no other; of rows that share it, one. Texts
+    without words (null, empty, blank) have the fingerprint zero and are one group.
+    """
+    rows = materialize(docs.select(F.struct(*docs.columns).alias("document"), F.monotonically_increasing_id().alias("row")), "numbered")
+    order = F.struct(F.col("document.doc_id").isNull().alias("without"), F.col("document.doc_id").alias("doc_id"), "row")
+    found = near_duplicates(rows.select(order.alias("key"), F.col("document.text").alias("text")), 4, 4, 42, id_column="key")
+    gone = found.where("doc_id <> component_id").select(F.col("doc_id.row").alias("row"))
+    return rows.join(gone, "row", "left_anti").select("document.*")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,9 +55,9 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids and scores of every document's three best segmentations, whether each decodes to the text, and the text of the best."""
+    """Ids and scores of every document's three best segmentations (the second and third by what differs), whether each decodes to the text, and the text of the best."""
     encoded = round_trip(docs, public_tokenizers.path("piece_bpe_32k.model"), 3, with_ids=True)
-    return encoded.select("doc_id", "ids", "n_pieces", "score", "scores", F.col("decoded").alias("text"), "exact", "rank_ids", "rank_pieces", "rank_crc32", "rank_exact")
+    return encoded.select("doc_id", "ids", "n_pieces", "score", "scores", F.col("decoded").alias("text"), "exact", "rank_changes", "rank_pieces", "rank_crc32", "rank_exact")
 
 
 STAGES = [("quality", quality), ("line_dedup", line_dedup), ("near_dedup", near_dedup), ("decontamination", decontamination), ("pieces", pieces)]

@@ -70,6 +70,12 @@ def test_round_trip_gives_every_rank(table, corpus):
     docs = table([(k, t) for k, (_, t) in enumerate(corpus)])
     want = {r.doc_id: r.ids for r in p.encode(docs, PATH, 3).collect()}
     for r in p.round_trip(docs, PATH, 3, with_ids=True).collect():
-        assert r.rank_ids == want[r.doc_id] and r.rank_pieces == [len(x) for x in r.rank_ids]
-        assert r.rank_crc32 == [zlib.crc32(np.array(x, "<u4").tobytes()) for x in r.rank_ids]
+        ranks = [r.ids]
+        for changes in r.rank_changes:
+            ids = list(r.ids)
+            for c in reversed(changes):
+                ids[c.begin : c.end] = c.ids
+            ranks.append(ids)
+        assert ranks == want[r.doc_id] and r.rank_pieces == [len(x) for x in ranks]
+        assert r.rank_crc32 == [zlib.crc32(np.array(x, "<u4").tobytes()) for x in ranks]
         assert all(r.rank_exact) and len(r.rank_exact) == len(r.scores)
