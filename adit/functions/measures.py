@@ -71,6 +71,12 @@ def distance_km(lat: Column, lon: Column, lat0: float = MINE_LAT, lon0: float =
     return F.round(F.atan2(F.sqrt(a), F.sqrt(F.lit(1.0) - a)) * 2 * EARTH_KM, 2)
 
 
+def great_circle_km(lat: Column, lon: Column, lat0: Column, lon0: Column) -> Column:
+    """Great-circle distance between two points, not rounded."""
+    a = F.pow(F.sin(F.radians(lat - lat0) / 2), 2) + F.cos(F.radians(lat)) * F.cos(F.radians(lat0)) * F.pow(F.sin(F.radians(lon - lon0) / 2), 2)
+    return F.asin(F.sqrt(F.least(a, F.lit(1.0)))) * (2 * EARTH_KM)
+
+
 def valid_at(issue: Column, expiry: Column, at: Column) -> Column:
     """1 when issued by that day and not yet expired; a missing expiry never expires."""
     return F.when(issue.isNotNull() & (issue <= at) & (expiry.isNull() | (expiry >= at)), 1).otherwise(0)

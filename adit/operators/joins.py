@@ -7,11 +7,18 @@ lookup side is reduced to one row per key first, so a hot key never multiplies r
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adit.functions import text as tx
 from adit.functions.classify import first_word
+from adit.functions.measures import EARTH_KM, great_circle_km
+
+KM_PER_DEGREE = math.pi * EARTH_KM / 180
+#: Parts of a cell's side, where near_events looks closer.
+PARTS = 64
 
 
 def one_per_key(df: DataFrame, key: str | Column, value: str, order: str | None = None) -> DataFrame:
@@ -135,41 +142,92 @@ def semantic_facts(vectors: DataFrame, centroids: DataFrame, min_cos: float = 0.
     return result
 
 
-def near_events(incidents: DataFrame, events: DataFrame, seconds: int, place: str = "place", at: str = "at_s") -> DataFrame:
-    """Adds `is_near` (0/1): some event at the same place within `seconds` of the incident.
+def _placed(df: DataFrame, lat: str, lon: str, at: str) -> DataFrame:
+    """Points on earth at a time, as _lat, _lon (-180 up to 180) and _at; rows without one are left out."""
+    points = df.select(F.col(lat).cast("double").alias("_lat"), (F.pmod(F.col(lon).cast("double") + 180, F.lit(360.0)) - 180).alias("_lon"), F.col(at).cast("bigint").alias("_at"))
+    return points.where("_lat BETWEEN -90 AND 90 AND _lon BETWEEN -180 AND 180 AND _at IS NOT NULL")
+
+
+def _close_cell(km: float) -> tuple[Column, Column]:
+    """Band and cell of a grid in which two points of one cell are within `km`: half of it north to south, half along the parallel."""
+    height = km / 2 / KM_PER_DEGREE * 0.999
+    band = F.floor((F.col("_lat") + 90) / height)
+    low = band * height - 90
+    widest = F.when((low <= 0) & (low + height >= 0), 1.0).otherwise(F.cos(F.radians(F.least(F.abs(low), F.abs(low + height)))))
+    return band, F.floor((F.col("_lon") + 180) / (height / F.greatest(widest, F.lit(1e-9))))
+
+
+def _cells(band: Column, km: float) -> Column:
+    """Cells around the earth in a band: each at least as wide as `km` can reach from within the band or those beside it."""
+    height = km / KM_PER_DEGREE * 1.001
+    low = band * height - 90
+    narrow = F.cos(F.radians(F.least(F.greatest(F.abs(low - height), F.abs(low + 2 * height)), F.lit(90.0))))
+    reach = math.sin(min(km / EARTH_KM, math.pi) / 2)
+    width = F.when(narrow <= reach, 360.0).otherwise(F.degrees(F.asin(reach / narrow)) * 2.002)
+    return F.greatest(F.lit(1), F.floor(360 / width)).cast("bigint")
+
+
+def _cell(n: Column) -> Column:
+    return F.least(F.floor((F.col("_lon") + 180) / 360 * n), n - 1)
+
+
+def _circle() -> list[Column]:
+    """Of a group of events: a middle, how far any of them is from it at most, and the span of their times."""
+    low, high, west, east = F.min("_lat"), F.max("_lat"), F.min("_lon"), F.max("_lon")
+    widest = F.when((low <= 0) & (high >= 0), 1.0).otherwise(F.cos(F.radians(F.least(F.abs(low), F.abs(high)))))
+    radius = ((high - low) / 2 + (east - west) / 2 * widest) * KM_PER_DEGREE * 1.0001 + 1e-6
+    return [((low + high) / 2).alias("_lat0"), ((west + east) / 2).alias("_lon0"), radius.alias("_r"), F.min("_first").alias("_first"), F.max("_last").alias("_last")]
 
-    Times are whole seconds (`at`). Events are first reduced to the earliest and latest per place and time
-    slot of that width; an incident then needs its own slot and the two beside it. A swarm of any size is one
-    row per slot, so no pairs are formed and the join keys are unique on the event side.
+
+def _judged(pairs: DataFrame, cell: list[str], seconds: int, km: float) -> tuple[DataFrame, DataFrame]:
+    """From pairs of points and groups of events: points that are near a whole group, and for the others the groups that may be near."""
+    point = ["_lat", "_lon", "_at"]
+    away = great_circle_km(F.col("_lat"), F.col("_lon"), F.col("_lat0"), F.col("_lon0"))
+    known = pairs.where(F.col("_at").between(F.col("_first") - seconds, F.col("_last") + seconds)).select(*point, *cell, "_r", away.alias("_d")).where(F.col("_d") - F.col("_r") <= km)
+    found = known.groupBy(*point).agg(F.max(F.col("_d") + F.col("_r") <= km).alias("_hit"), F.collect_set(F.struct(*cell)).alias("_open"))
+    return found.where("_hit").select(*point), found.where("NOT _hit").select(*point, F.inline("_open"))
+
+
+def near_events(incidents: DataFrame, events: DataFrame, seconds: int, km: float, lat: str = "latitude", lon: str = "longitude", at: str = "at_s") -> DataFrame:
+    """Adds `is_near` (0/1): some event within `seconds` and `km` (great circle) of the incident. Rows without a place or time are near nothing.
+
+    Times are whole seconds (`at`). Events of one place become their first and last time in a slot of `seconds`. Equality joins
+    decide, on distinct incident points, and no pairs of points are formed until the last:
+    points that share a slot and a cell so small that all in it is near are settled at once, so dense places need no comparison;
+    the others meet groups of events, circles over a slot and a cell, first those of the cells beside theirs (latitude bands as
+    high as `km`, cells as wide as the latitude asks, around the date line and over the poles), then, where a circle is cut by their own
+    reach, its parts of a 64th; only the events of parts that are still cut are checked one by one, in a semi-join that stops at a point's first hit.
     """
-    slot = F.floor(F.col(at) / seconds)
-    slots = events.groupBy(F.col(place).alias("_p"), slot.alias("_s")).agg(
-        F.min(at).alias("_first"), F.max(at).alias("_last")
-    )
-    # Spread each event slot over the three incident slots it can reach, then reduce again.
-    reach = (
-        slots.select(
-            "_p",
-            F.explode(
-                F.array(
-                    F.struct((F.col("_s") - 1).alias("s"), F.col("_first").alias("after"), F.lit(None).cast("bigint").alias("before"), F.lit(0).alias("same")),
-                    F.struct(F.col("_s").alias("s"), F.lit(None).cast("bigint").alias("after"), F.lit(None).cast("bigint").alias("before"), F.lit(1).alias("same")),
-                    F.struct((F.col("_s") + 1).alias("s"), F.lit(None).cast("bigint").alias("after"), F.col("_last").alias("before"), F.lit(0).alias("same")),
-                )
-            ).alias("r"),
-        )
-        .groupBy("_p", F.col("r.s").alias("_s"))
-        .agg(F.min("r.after").alias("_after"), F.max("r.before").alias("_before"), F.max("r.same").alias("_same"))
-    )
-    near = (
-        (F.col("_same") == 1)
-        | (F.col("_after") - F.col(at) <= seconds)
-        | (F.col(at) - F.col("_before") <= seconds)
-    )
-    return (
-        incidents.withColumn("_slot", slot)
-        .join(reach, (F.col(place) == F.col("_p")) & (F.col("_slot") == F.col("_s")), "left")
-        .select(*incidents.columns, F.coalesce(near.cast("int"), F.lit(0)).alias("is_near"))
+    if seconds < 1 or not 0 < km:
+        raise ValueError("seconds and km must be positive")
+    point, home, part = ["_lat", "_lon", "_at"], ["_b", "_c", "_s"], ["_b", "_c", "_s", "_y", "_x"]
+    slot, height = F.floor(F.col("_at") / seconds), km / KM_PER_DEGREE * 1.001
+    band, cell = _close_cell(km)
+    points = _placed(incidents, lat, lon, at).distinct().select("*", band.alias("_b"), cell.alias("_c"), slot.alias("_s"))
+    here = F.floor((F.col("_lat") + 90) / height)
+    wide = _cells(F.col("_b"), km)
+    shocks = (
+        _placed(events, lat, lon, at).groupBy("_lat", "_lon", slot.alias("_s")).agg(F.min("_at").alias("_first"), F.max("_at").alias("_last"))
+        .select("*", here.alias("_b")).select("*", wide.alias("_n")).select("*", _cell(F.col("_n")).alias("_c"))
+        .select("*", F.floor((F.col("_lat") + 90) / height * PARTS).alias("_y"), F.floor((F.col("_lon") + 180) / 360 * F.col("_n") * PARTS).alias("_x"))
+    )
+    sure = points.join(shocks.select(band.alias("_b"), cell.alias("_c"), "_s").distinct().withColumn("_sure", F.lit(True)), home, "left")
+    rest = sure.where("_sure IS NULL").select(*point, F.col("_s").alias("_slot"), here.alias("_band"), _cell(_cells(here, km)).alias("_cell"))
+
+    beside = lambda c: F.array(*[c + k for k in (-1, 0, 1)])
+    banded = shocks.withColumn("_band", F.explode(beside(F.col("_b")))).withColumn("_n", _cells(F.col("_band"), km))
+    around = F.array_distinct(F.transform(beside(_cell(F.col("_n"))), lambda c: F.pmod(c, F.col("_n"))))
+    reach = banded.withColumn("_cell", F.explode(around)).withColumn("_slot", F.explode(beside(F.col("_s")))).groupBy("_band", "_cell", "_slot", *home).agg(*_circle())
+    first, cut = _judged(rest.join(reach, ["_band", "_cell", "_slot"]), home, seconds, km)
+    second, cut = _judged(cut.join(shocks.groupBy(*part).agg(*_circle()), home), part, seconds, km)
+    alone = shocks.select(*part, F.col("_lat").alias("_lat0"), F.col("_lon").alias("_lon0"), "_first", "_last")
+    within = F.col("_at").between(F.col("_first") - seconds, F.col("_last") + seconds) & (great_circle_km(F.col("_lat"), F.col("_lon"), F.col("_lat0"), F.col("_lon0")) <= km)
+    third = cut.join(alone, [*[cut[c] == alone[c] for c in part], within], "left_semi").select(*point).distinct()
+
+    near = sure.where("_sure").select(*point).unionAll(first).unionAll(second).unionAll(third).withColumn("_near", F.lit(1))
+    keyed = incidents.withColumns({"__lat": F.col(lat).cast("double"), "__lon": F.pmod(F.col(lon).cast("double") + 180, F.lit(360.0)) - 180, "__at": F.col(at).cast("bigint")})
+    return keyed.join(near, [keyed["__lat"] == near["_lat"], keyed["__lon"] == near["_lon"], keyed["__at"] == near["_at"]], "left").select(
+        *[keyed[c] for c in incidents.columns], F.coalesce("_near", F.lit(0)).alias("is_near")
     )
 
 

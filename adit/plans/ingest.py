@@ -7,6 +7,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from adit.functions.measures import MINE_LAT, MINE_LON
 from adit.operators import joins, metrics, routing
 from adit.operators.aggregates import processing_summary
 from adit.operators.merge import union_by_name
@@ -88,8 +89,9 @@ def fill_metrics(spark: SparkSession, root: str) -> None:
     rows = lambda name: table[name].read()
     at = lambda c: F.unix_seconds(F.col(c).try_cast("timestamp"))
     incidents = rows("incident_description")
-    shocks = rows("seismic_event").select(F.lit(0).alias("place"), at("event_dttm").alias("at_s")).where("at_s IS NOT NULL")
-    near = joins.near_events(incidents.select("incident_id", F.lit(0).alias("place"), at("incident_date").alias("at_s")), shocks, DAY_SECONDS)
+    # an incident is at the mine; documents give it no other place
+    mine = incidents.select("incident_id", F.lit(MINE_LAT).alias("latitude"), F.lit(MINE_LON).alias("longitude"), at("incident_date").alias("at_s"))
+    near = joins.near_events(mine, rows("seismic_event").select("latitude", "longitude", at("event_dttm").alias("at_s")), DAY_SECONDS, SEISMIC_KM)
     models = metrics.blast_model(read_landed(spark, root).where(F.lower("source_file").contains("explosion_model")))
     found = {
         "fire_metrics": metrics.fire_metrics(rows("air_analysis"), rows("chronology_incident")),
@@ -101,9 +103,9 @@ def fill_metrics(spark: SparkSession, root: str) -> None:
         table[name].replace(conform(numbered.withColumn("calculation_date", F.current_timestamp()), name))
 
 
-#: Prefixes of the metrics tables' ids, and the reach of a seismic event.
+#: Prefixes of the metrics tables' ids, and the reach of a seismic event in time and space.
 METRICS = {"fire_metrics": "FM", "ventilation_metrics": "VM", "incident_metrics": "IM"}
-DAY_SECONDS = 86_400
+DAY_SECONDS, SEISMIC_KM = 86_400, 50.0
 
 
 def load_table(spark: SparkSession, root: str, table: str, routed: DataFrame, operation: str = "INSERT") -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from adit.functions import measures as M
 from adit.operators import joins, metrics
 from suite.base import load, load_spread, query, sql_plain, sql_round
-from suite.relational import DAY
+from suite.relational import DAY, PLACED_SQL, placed
 
 # ---- telemetry ---------------------------------------------------------------------------------------------
 
@@ -228,15 +228,14 @@ def ventilation_metrics(spark, sf):
 
 @query(
     "incident_metrics",
-    """WITH i AS (SELECT 'INC-' || o_orderkey AS incident_id, o_orderkey AS k, CAST(o_custkey % 10 AS INT) AS fatalities_count, CAST(o_custkey % 7 AS INT) AS injuries_count,
-              CASE WHEN o_orderkey % 5 <> 0 THEN o_totalprice END AS economic_damage, o_custkey % 10 AS place, epoch(o_orderdate) AS t FROM orders),
-            a AS (SELECT l_orderkey AS k, CAST(count(*) FILTER (l_linenumber <> 1) AS INT) AS n FROM lineitem GROUP BY l_orderkey),
-            e AS (SELECT DISTINCT user_id % 10 AS place, epoch(TIMESTAMP '1995-01-01') + (event_id % 2400) * 86400 AS t FROM events WHERE event_type = 'error')
-       SELECT incident_id, fatalities_count, injuries_count, CASE WHEN i.k % 3 = 0 THEN (i.k % 90) / 100 END AS blast_pressure_mpa,
-         CASE WHEN i.k % 3 = 0 THEN (300 + i.k % 90)::DOUBLE END AS blast_wave_speed_mps, CASE WHEN i.k % 3 = 0 THEN (i.k % 40)::DOUBLE END AS affected_area_length_m,
-         coalesce(a.n, 0) AS destroyed_structures_count, economic_damage,
-         CAST(EXISTS (SELECT 1 FROM e WHERE e.place = i.place AND e.t BETWEEN i.t - 86400 AND i.t + 86400) AS INT) AS is_seismic_event
-       FROM i LEFT JOIN a ON i.k = a.k""",
+    f"""WITH {PLACED_SQL},
+            o AS (SELECT 'INC-' || o_orderkey AS incident_id, o_orderkey AS k, CAST(o_custkey % 10 AS INT) AS fatalities_count, CAST(o_custkey % 7 AS INT) AS injuries_count,
+              CASE WHEN o_orderkey % 5 <> 0 THEN o_totalprice END AS economic_damage FROM orders),
+            a AS (SELECT l_orderkey AS k, CAST(count(*) FILTER (l_linenumber <> 1) AS INT) AS n FROM lineitem GROUP BY l_orderkey)
+       SELECT incident_id, fatalities_count, injuries_count, (o.k % 90) / 100 AS blast_pressure_mpa,
+         CASE WHEN o.k % 3 = 0 THEN (300 + o.k % 90)::DOUBLE END AS blast_wave_speed_mps, (o.k % 40)::DOUBLE AS affected_area_length_m,
+         coalesce(a.n, 0) AS destroyed_structures_count, economic_damage, CAST(o.k IN (SELECT k FROM n) AS INT) AS is_seismic_event
+       FROM o LEFT JOIN a ON o.k = a.k""",
 )
 def incident_metrics(spark, sf):
     orders = load(spark, sf, "orders").withColumn("incident_id", F.concat(F.lit("INC-"), F.col("o_orderkey").cast("string")))
@@ -253,20 +252,13 @@ def incident_metrics(spark, sf):
         "\n",
         F.concat(F.lit("Длина загазированного участка: "), (key % 40).cast("string"), F.lit(" м")),
         F.concat(F.lit("Избыточное давление во фронте УВ: "), ((key % 90) / 100).cast("string"), F.lit(" МПа")),
-        F.concat(F.lit("Скорость фронта УВ: "), (300 + key % 90).cast("string"), F.lit(" м/с")),
+        F.when(key % 3 == 0, F.concat(F.lit("Скорость фронта УВ: "), (300 + key % 90).cast("string"), F.lit(" м/с"))),
     )
-    models = metrics.blast_model(orders.where(key % 3 == 0).select("incident_id", text.alias("text")))
+    models = metrics.blast_model(orders.select("incident_id", text.alias("text")))
     areas = load(spark, sf, "lineitem").select(
         F.concat(F.lit("INC-"), F.col("l_orderkey").cast("string")).alias("incident_id"),
         F.when(F.col("l_linenumber") == 1, 1).otherwise(0).alias("is_primary_blast_zone"),
     )
-    start = F.unix_seconds(F.lit("1995-01-01 00:00:00").cast("timestamp"))
-    shocks = (
-        load(spark, sf, "events")
-        .where("event_type = 'error'")
-        .select((F.col("user_id") % 10).alias("place"), (start + (F.col("event_id") % 2400) * DAY).alias("at_s"))
-    )
-    near = joins.near_events(
-        orders.select("incident_id", (cust % 10).alias("place"), F.unix_seconds(F.col("o_orderdate").cast("timestamp")).alias("at_s")), shocks, DAY
-    ).select("incident_id", F.col("is_near").alias("is_seismic_event"))
-    return metrics.incident_metrics(incidents, models, areas, near)
+    near = joins.near_events(*placed(spark, sf), DAY, 4.0)
+    shaken = near.select(F.concat(F.lit("INC-"), F.col("o_orderkey").cast("string")).alias("incident_id"), F.col("is_near").alias("is_seismic_event"))
+    return metrics.incident_metrics(incidents, models, areas, shaken)

@@ -138,21 +138,35 @@ def vector_centroid(spark, sf):
 DAY = 86400
 
 
-@query(
-    "near_event_join",
-    """WITH i AS (SELECT o_orderkey, o_custkey % 10 AS place, epoch(o_orderdate) AS t FROM orders),
-       e AS (SELECT DISTINCT user_id % 10 AS place, epoch(TIMESTAMP '1995-01-01') + (event_id % 2400) * 86400 AS t FROM events)
-       SELECT o_orderkey, CAST(EXISTS (SELECT 1 FROM e WHERE e.place = i.place AND e.t BETWEEN i.t - 86400 AND i.t + 86400) AS INT) AS is_near FROM i""",
-)
-def near_event_join(spark, sf):
+def sql_km(lat: str, lon: str, lat0: str, lon0: str) -> str:
+    return (
+        f"2 * 6371.0 * asin(sqrt(least(1.0, pow(sin(radians({lat} - {lat0}) / 2), 2) + cos(radians({lat})) * cos(radians({lat0})) * pow(sin(radians({lon} - {lon0}) / 2), 2))))"
+    )
+
+
+#: Incidents within 15 km around the mine, at their day; events at stations, a day each; 4 km and a day apart at most.
+PLACED_SQL = f"""i AS (SELECT o_orderkey AS k, 49.8 + (o_custkey % 97) / 400.0::DOUBLE AS lat, 73.1 + (o_custkey % 89) / 300.0::DOUBLE AS lon, epoch(o_orderdate) AS t FROM orders),
+  e AS (SELECT DISTINCT 49.8 + (user_id % 37) / 150.0::DOUBLE AS lat, 73.1 + (user_id % 41) / 140.0::DOUBLE AS lon, epoch(TIMESTAMP '1995-01-01') + (event_id % 2400) * 86400 AS t FROM events),
+  reach AS (SELECT lat, lon, t + unnest([-86400, 0, 86400]) AS t FROM e),
+  n AS (SELECT DISTINCT k FROM i JOIN reach e ON i.t = e.t AND {sql_km('i.lat', 'i.lon', 'e.lat', 'e.lon')} <= 4)"""
+
+
+def placed(spark, sf):
+    """The same incidents and events as frames with latitude, longitude and at_s."""
+    at = lambda c, n, d, start: (F.lit(start) + F.col(c) % n / F.lit(float(d)))
     start = F.unix_seconds(F.lit("1995-01-01 00:00:00").cast("timestamp"))
     incidents = load(spark, sf, "orders").select(
-        "o_orderkey", (F.col("o_custkey") % 10).alias("place"), F.unix_seconds(F.col("o_orderdate").cast("timestamp")).alias("at_s")
+        "o_orderkey", at("o_custkey", 97, 400, 49.8).alias("latitude"), at("o_custkey", 89, 300, 73.1).alias("longitude"), F.unix_seconds(F.col("o_orderdate").cast("timestamp")).alias("at_s")
     )
     events = load(spark, sf, "events").select(
-        (F.col("user_id") % 10).alias("place"), (start + (F.col("event_id") % 2400) * DAY).alias("at_s")
+        at("user_id", 37, 150, 49.8).alias("latitude"), at("user_id", 41, 140, 73.1).alias("longitude"), (start + (F.col("event_id") % 2400) * DAY).alias("at_s")
     )
-    return joins.near_events(incidents, events, DAY).select("o_orderkey", "is_near")
+    return incidents, events
+
+
+@query("near_event_join", f"WITH {PLACED_SQL} SELECT k AS o_orderkey, CAST(k IN (SELECT k FROM n) AS INT) AS is_near FROM i")
+def near_event_join(spark, sf):
+    return joins.near_events(*placed(spark, sf), DAY, 4.0).select("o_orderkey", "is_near")
 
 
 @query("files_without_rows", "SELECT d.doc_id FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)")

@@ -1,7 +1,9 @@
 """Order-dependent, merging and matching operators, with one key holding most of the rows."""
 
+import math
 import random
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -74,16 +76,47 @@ def test_keep_first_count_is_the_number_of_keys(spark):
     assert {r["k"]: r["o"] for r in first.collect()} == low
 
 
-def test_near_events_against_brute_force(spark):
+def km_between(a, b):
+    (lat, lon), (lat0, lon0) = ([math.radians(x) for x in p] for p in (a, b))
+    h = math.sin((lat - lat0) / 2) ** 2 + math.cos(lat) * math.cos(lat0) * math.sin((lon - lon0) / 2) ** 2
+    return 2 * 6371.0 * math.asin(math.sqrt(min(1.0, h)))
+
+
+PLACED = "i int, latitude double, longitude double, at_s bigint, is_near int"
+
+
+@pytest.mark.parametrize(("seconds", "km", "around"), [(1, 3.0, (49.8, 73.1)), (60, 40.0, (0.0, 179.9)), (500, 200.0, (89.0, 10.0)), (500, 900.0, (-85.0, -179.0)), (7, 9000.0, (20.0, 0.0)), (50, 30000.0, (0.0, 0.0))])
+def test_near_events_against_brute_force(spark, seconds, km, around):
+    """At the date line, the equator and the poles, with longitudes past 180, equal places, and rows without place or time."""
     rnd = random.Random(3)
-    inc = [(i, rnd.randint(0, 2), rnd.randint(0, 3000)) for i in range(300)]
-    ev = [(rnd.randint(0, 2), rnd.randint(0, 60) * 50) for _ in range(25)]
-    for width in (1, 7, 60, 500):
-        expected = {i: int(any(p == q and abs(t - u) <= width for q, u in ev)) for i, p, t in inc}
-        got = joins.near_events(
-            spark.createDataFrame(inc, "i int, place int, at_s bigint"), spark.createDataFrame(ev, "place int, at_s bigint"), width
-        )
-        assert {r["i"]: r["is_near"] for r in got.collect()} == expected
+
+    def points(n):
+        out, size = [], 3 * km / 111
+        for _ in range(n):
+            lat, lon = around[0] + rnd.uniform(-size, size), around[1] + rnd.uniform(-size, size) * rnd.choice([1, 1, 20])
+            out.append((max(-90.0, min(90.0, lat)), lon, rnd.randint(0, 30 * seconds)))
+        return out
+
+    inc, ev = points(150), points(40)
+    ev += [(ev[0][0], ev[0][1], t) for t in range(0, 30 * seconds, max(1, seconds))]
+    inc += [inc[0], (None, 1.0, 5), (1.0, None, 5), (1.0, 1.0, None), (91.0, 0.0, 5), (math.nan, 0.0, 5)]
+    expected = [int(None not in (a, b, t) and abs(a) <= 90 and any(abs(t - u) <= seconds and km_between((a, b), (c, d)) <= km for c, d, u in ev)) for a, b, t in inc]
+    got = joins.near_events(
+        spark.createDataFrame([(i, *p, 7) for i, p in enumerate(inc)], PLACED), spark.createDataFrame([(0, *p, 7) for p in [*ev, (None, None, None)]], PLACED), seconds, km
+    )
+    near = [c for c in range(len(got.columns)) if got.columns[c] == "is_near"][-1]
+    assert [r[near] for r in sorted(got.collect(), key=lambda r: r["i"])] == expected
+    assert km > 1000 or 0 < sum(expected) < len(expected)
+
+
+def test_a_million_events_in_one_cell(spark):
+    """A swarm that all lies in one small cell, with as many incidents as fit beside and in it."""
+    swarm = spark.range(1_000_000).select((F.lit(49.8) + F.col("id") / 1e9).alias("latitude"), F.lit(73.1).alias("longitude"), (F.col("id") % 100).alias("at_s"))
+    inc = spark.range(20_000).select("id", (F.lit(49.8) + F.col("id") / 1e6).alias("latitude"), F.lit(73.1).alias("longitude"), F.lit(50).alias("at_s"))
+    got = {r["id"]: r["is_near"] for r in joins.near_events(inc, swarm, 100, 1.0).collect()}
+    ends = [(49.8, 73.1), (49.8 + 999_999 / 1e9, 73.1)]
+    assert got == {i: int(min(km_between((49.8 + i / 1e6, 73.1), e) for e in ends) <= 1.0) for i in range(20_000)}
+    assert 0 < sum(got.values()) < 20_000
 
 
 def test_cosine_hits_do_not_depend_on_the_number_of_passes(spark):
@@ -97,7 +130,7 @@ def test_cosine_hits_do_not_depend_on_the_number_of_passes(spark):
 
     expected = {(i, h) for i, a in vec for h, b in cen if cosine(a, b) > 0.65}
     v, c = spark.createDataFrame(vec, "i int, vec array<double>"), spark.createDataFrame(cen, "hypotesis_id string, centroid array<double>")
-    for passes in (None, 1, 4):
+    for passes in (1, 4):
         assert {(r["i"], r["hypotesis_id"]) for r in joins.semantic_facts(v, c, 0.65, passes).collect()} == expected
 
 
