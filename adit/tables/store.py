@@ -1,17 +1,18 @@
 """Snapshot tables on plain Parquet.
 
 Layout below a root folder: `<table>/data/v=<n>/[incident_id=…/]*.parquet` (never changed once written) and
-`<table>/_manifest`, one row per commit with the data folders that make up that snapshot. An insert adds a
-folder; an edit rewrites only the folders that hold an edited key; a rollback is a new commit naming the
-folders of an old one. Readers see a snapshot only after its manifest row exists, so a job that dies half way
-leaves the table as it was. One writer per table at a time.
+`<table>/_manifest`, the commit log (`commits.py`) of the data folders that make up each snapshot. An insert adds a
+folder; an edit of a partitioned table reads and writes only the partitions that hold an edited key and takes them out of
+their folders, one of an unpartitioned table the folders that hold one; a rollback is a new commit with the folders of
+an old one. Readers see a snapshot only after its commit, so a job that dies half way leaves the table as it was. Writers
+may be several: a commit is put if absent, inserts are committed again behind the other's, and edits are made again on it.
 """
 
 from __future__ import annotations
 
 import time
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,22 +20,13 @@ from pyspark.sql import types as T
 
 from adit.operators.access import require_admin, require_write
 from adit.schemas import LOG_COLUMNS, PARTITIONED_TABLES, TABLE_COLUMNS, table_schema
+from adit.tables.commits import Change, CommitLog, Folders, Snapshot, difference
 from adit.tables.conform import conform
 
-MANIFEST_SCHEMA = (
-    "snapshot_id bigint, parent_id bigint, committed_at timestamp, operation string, versions array<bigint>, "
-    "row_count bigint, appended bigint"
-)
 # Actions that are offered as points to roll back to.
 CHANGE_POINT_ACTIONS = ("SAVE", "INSERT", "DELETE", "ROLLBACK")
-
-
-@dataclass(frozen=True)
-class Snapshot:
-    snapshot_id: int
-    versions: tuple[int, ...]
-    row_count: int
-    appended: int  # rows ever appended; generated ids go on from here, also after deletes
+#: Times that a change is tried when other writers come first.
+ATTEMPTS = 10
 
 
 class SnapshotTable:
@@ -45,45 +37,34 @@ class SnapshotTable:
         self.schema = schema or table_schema(name)
         self.partition = partition or ("incident_id" if name in PARTITIONED_TABLES else None)
         self.path = f"{root.rstrip('/')}/{name}"
+        self.log = CommitLog(spark, f"{self.path}/_manifest")
 
-    # ---- manifest ----
+    # ---- commits ----
 
     def manifest(self) -> DataFrame:
-        return self.spark.read.schema(MANIFEST_SCHEMA).parquet(f"{self.path}/_manifest")
+        return self.log.frame()
 
     def exists(self) -> bool:
-        folder = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/_manifest")
-        return folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(folder)
+        return bool(self.log.ids())
 
     def current(self) -> Snapshot | None:
-        """Newest commit; the manifest has one small row per commit and ids only grow."""
-        return self._snapshot(self.manifest().orderBy(F.desc("snapshot_id")).first())
+        return self.log.head()
 
     def at(self, snapshot_id: int) -> Snapshot:
-        found = self._snapshot(self.manifest().where(F.col("snapshot_id") == snapshot_id).first())
-        if found is None:
+        if snapshot_id not in self.log.ids():
             raise ValueError(f"{self.name} has no snapshot {snapshot_id}")
-        return found
-
-    @staticmethod
-    def _snapshot(row) -> Snapshot | None:
-        return None if row is None else Snapshot(row["snapshot_id"], tuple(row["versions"]), row["row_count"], row["appended"])
-
-    def _commit(self, operation: str, versions: list[int], head: Snapshot | None, rows: int, new_rows: int = 0) -> int:
-        snapshot_id = 0 if head is None else head.snapshot_id + 1
-        entry = self.spark.range(1, numPartitions=1).select(
-            F.lit(snapshot_id).cast("bigint").alias("snapshot_id"),
-            F.lit(None if head is None else head.snapshot_id).cast("bigint").alias("parent_id"),
-            F.current_timestamp().alias("committed_at"),
-            F.lit(operation).alias("operation"),
-            F.array(*[F.lit(v) for v in versions]).cast("array<bigint>").alias("versions"),
-            F.lit(rows).cast("bigint").alias("row_count"),
-            F.lit((0 if head is None else head.appended) + new_rows).cast("bigint").alias("appended"),
-        )
-        if (latest := self.manifest().agg(F.max("snapshot_id")).first()[0] if self.exists() else None) != (head.snapshot_id if head else None):
-            raise RuntimeError(f"{self.name} was changed by another writer: snapshot {latest} came before {snapshot_id}")
-        entry.write.mode("append").parquet(f"{self.path}/_manifest")
-        return snapshot_id
+        return self.log.at(snapshot_id)
+
+    def _change(self, change: Callable[[Snapshot], Change | None]) -> int | None:
+        """Commit `change(head)`; made again on the new head where another writer came first. None: there is nothing to change."""
+        for _ in range(ATTEMPTS):
+            head = self.current()
+            made = change(head)
+            if made is None:
+                return None
+            if (number := self.log.commit(head, made)) is not None:
+                return number
+        raise RuntimeError(f"{self.name} was changed by other writers {ATTEMPTS} times")
 
     def has_commit(self, operation: str) -> bool:
         return not self.manifest().where(F.col("operation") == operation).isEmpty()
@@ -91,22 +72,34 @@ class SnapshotTable:
     # ---- data ----
 
     def create(self) -> None:
-        """An empty table with snapshot 0, unless it exists."""
+        """An empty table with snapshot 0, unless it exists. Runs no Spark job."""
         if not self.exists():
-            self._commit("CREATE", [], None, 0)
+            self.log.commit(None, Change("CREATE", 0))
 
     def read(self, snapshot_id: int | None = None) -> DataFrame:
         snap = self.current() if snapshot_id is None else self.at(snapshot_id)
-        return self._read(snap.versions).drop("v")
+        return self._read(snap.folders).drop("v")
 
-    def _read(self, versions) -> DataFrame:
-        """Rows of some data folders, with the folder number as `v`; partition filters prune as usual."""
-        if not versions:
-            return self.spark.createDataFrame([], T.StructType(self.schema.fields + [T.StructField("v", T.LongType())]))
-        folders = [f"{self.path}/data/v={v}" for v in versions]
+    def _read(self, folders: Folders) -> DataFrame:
+        """Rows of some data folders, with the folder number as `v`; what was cut is left out by partition filters."""
         full = T.StructType(self.schema.fields + [T.StructField("v", T.LongType())])
-        rows = self.spark.read.schema(full).option("basePath", f"{self.path}/data").parquet(*folders)
-        return rows.select(*self.schema.names, "v")
+        if not folders:
+            return self.spark.createDataFrame([], full)
+        rows = self.spark.read.schema(full).option("basePath", f"{self.path}/data").parquet(*[f"{self.path}/data/v={v}" for v in folders])
+        cut = {v: values for v, values in folders.items() if values}
+        return (rows.where(~self._within(cut)) if cut else rows).select(*self.schema.names, "v")
+
+    def _within(self, places: Folders) -> Column:
+        """Whether a row lies in one of the partitions (a folder without any stands for the whole folder). Never null."""
+        found = F.lit(False)
+        for v, values in places.items():
+            inside = F.lit(not values)
+            if known := [x for x in values if x is not None]:
+                inside = F.coalesce(F.col(self.partition).isin(known), F.lit(False))
+            if None in values:
+                inside = inside | F.col(self.partition).isNull()
+            found = found | ((F.col("v") == v) & inside)
+        return found
 
     def _write(self, df: DataFrame) -> tuple[list[int], int]:
         """Write rows to a new folder; returns it (or nothing for no rows) and the row count.
@@ -121,27 +114,44 @@ class SnapshotTable:
         else:
             writer = rows.hint("rebalance").write
         writer.parquet(f"{self.path}/data/v={version}")
-        written = self._read([version]).count()
+        written = self._read({version: ()}).count()
         return ([version] if written else []), written
 
     def append(self, df: DataFrame, operation: str = "INSERT") -> int:
         """Add rows: one new folder, nothing is rewritten."""
         self.create()
-        head = self.current()
         added, count = self._write(df)
-        return self._commit(operation, [*head.versions, *added], head, head.row_count + count, count)
+        return self._change(lambda head: Change(operation, head.row_count + count, count, put={v: () for v in added}))
 
     def replace(self, df: DataFrame) -> int | None:
         """Full refresh; an empty input leaves the table as it is."""
         self.create()
-        head = self.current()
         added, count = self._write(df)
-        return self._commit("REPLACE", added, head, count, count) if count else None
-
-    def _touched(self, rows: DataFrame, keys: DataFrame, key: str) -> list[int]:
-        """Folders holding any of the keys; reads the key column only."""
-        hit = rows.select(key, "v").join(keys.select(key), key, "left_semi")
-        return [r["v"] for r in hit.select("v").distinct().collect()]
+        return self._change(lambda head: Change("REPLACE", count, count, put={v: () for v in added}, removed=head.versions)) if count else None
+
+    def _touched(self, head: Snapshot, keys: DataFrame, key: str) -> Folders:
+        """Places that hold any of the keys, by folder: its partitions, or nothing where the table has none. Reads the key column only."""
+        place = ["v", self.partition] if self.partition else ["v"]
+        hit = self._read(head.folders).select(*{key: 0, **dict.fromkeys(place)}).join(keys.select(F.col(key).alias("_key")), F.col(key) == F.col("_key"), "left_semi")
+        found: dict[int, list] = {}
+        for r in hit.select(*place).distinct().collect():  # at most a row for each partition of a folder
+            found.setdefault(r["v"], []).extend([r[1]] if self.partition else [])
+        return {v: tuple(sorted(values, key=lambda x: (x is not None, x))) for v, values in found.items()}
+
+    def _affected(self, head: Snapshot, touched: Folders) -> DataFrame:
+        """The rows of the touched places."""
+        return self._read({v: head.folders[v] for v in touched}).where(self._within(touched)).drop("v")
+
+    def _replaced(self, head: Snapshot, touched: Folders, added: list[int], operation: str, rows: int) -> Change:
+        put = {v: () for v in added}
+        if not self.partition:
+            return Change(operation, rows, put=put, removed=tuple(touched))
+        empty = [v for v, values in touched.items() if len({*head.folders[v], *values}) >= self._partitions(v)]
+        return Change(operation, rows, put=put, removed=tuple(empty), cut={v: values for v, values in touched.items() if v not in empty})
+
+    def _partitions(self, version: int) -> int:
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/data/v={version}")
+        return sum(s.isDirectory() for s in folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).listStatus(folder))
 
     def update_by_key(self, key: str, updates: DataFrame, operation: str = "SAVE") -> int:
         """Overwrite columns of existing rows.
@@ -149,40 +159,42 @@ class SnapshotTable:
         `updates`: the key (one row per key), new values, and `changed array<string>` naming the columns that
         a row really changes (a null new value is a value). Unknown keys are ignored; the key never changes.
         """
-        head = self.current()
         if repeated := updates.groupBy(key).count().where("count > 1").first():
             raise ValueError(f"{key} {repeated[0]!r} is given more than once")
-        touched = self._touched(self._read(head.versions), updates, key)
-        if not touched:
-            return head.snapshot_id
-        edits = updates.select(
-            F.col(key).alias("_key"), "changed", *[F.col(c).alias(f"_new_{c}") for c in updates.columns if c not in (key, "changed")]
-        )
-        old = self._read(touched).drop("v").join(edits, F.col(key) == F.col("_key"), "left")
         editable = [c for c in updates.columns if c not in (key, "changed")]
-        merged = old.select(
-            *[
-                F.when(F.array_contains("changed", c), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c)
-                if c in editable
-                else F.col(c)
-                for c in self.schema.names
-            ]
-        )
-        added, _ = self._write(merged)
-        kept = [v for v in head.versions if v not in touched]
-        return self._commit(operation, [*kept, *added], head, head.row_count)
+        edits = updates.select(F.col(key).alias("_key"), "changed", *[F.col(c).alias(f"_new_{c}") for c in editable])
+
+        def change(head: Snapshot) -> Change | None:
+            touched = self._touched(head, updates, key)
+            if not touched:
+                return None
+            old = self._affected(head, touched).join(edits, F.col(key) == F.col("_key"), "left")
+            merged = old.select(
+                *[
+                    F.when(F.array_contains("changed", c), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c)
+                    if c in editable
+                    else F.col(c)
+                    for c in self.schema.names
+                ]
+            )
+            added, _ = self._write(merged)
+            return self._replaced(head, touched, added, operation, head.row_count)
+
+        number = self._change(change)
+        return self.current().snapshot_id if number is None else number
 
     def delete_by_key(self, key: str, keys: DataFrame) -> int:
-        head = self.current()
-        touched = self._touched(self._read(head.versions), keys, key)
-        if not touched:
-            return head.snapshot_id
-        affected = self._read(touched).drop("v")
-        before = affected.count()
-        added, left = self._write(affected.join(keys.select(key), key, "left_anti"))
-        gone = before - left
-        kept = [v for v in head.versions if v not in touched]
-        return self._commit("DELETE", [*kept, *added], head, head.row_count - gone)
+        def change(head: Snapshot) -> Change | None:
+            touched = self._touched(head, keys, key)
+            if not touched:
+                return None
+            affected = self._affected(head, touched)
+            before = affected.count()
+            added, left = self._write(affected.join(keys.select(key), key, "left_anti"))
+            return self._replaced(head, touched, added, "DELETE", head.row_count - before + left)
+
+        number = self._change(change)
+        return self.current().snapshot_id if number is None else number
 
     # ---- history ----
 
@@ -196,7 +208,7 @@ class SnapshotTable:
     def rollback(self, snapshot_id: int) -> int:
         """Make an old snapshot current again, as a new commit."""
         target = self.at(snapshot_id)
-        return self._commit("ROLLBACK", list(target.versions), self.current(), target.row_count)
+        return self._change(lambda head: Change("ROLLBACK", target.row_count, **difference(head.folders, target.folders)))
 
 
 def create_tables(spark: SparkSession, root: str) -> dict[str, SnapshotTable]:

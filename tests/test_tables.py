@@ -1,5 +1,8 @@
 """Snapshot tables, audit, access and conforming."""
 
+import random
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -7,7 +10,7 @@ from pyspark.sql import types as T
 from adit.operators import access
 from adit.schemas import PARTITIONED_TABLES, TABLE_COLUMNS, table_schema
 from adit.session import scratch_path
-from adit.tables import catalog, store
+from adit.tables import catalog, commits, store
 from adit.tables.conform import clean_sentinels, conform, dropped_columns
 
 SCHEMA = T.StructType().add("incident_id", "string").add("id", T.LongType()).add("note", "string")
@@ -51,6 +54,92 @@ def test_an_edit_rewrites_only_folders_with_an_edited_key(spark):
     assert len(t.current().versions) == 1 and t.current().versions != (old[0],)
 
 
+def files_read(df):
+    """Files that a plain scan opened."""
+    df.collect()
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    return sum(int(leaves.apply(k).metrics().apply("numFiles").value()) for k in range(leaves.size()))
+
+
+def test_an_edit_reads_and_writes_only_the_partitions_that_hold_its_keys(spark):
+    t = table(spark, "incident_id")
+    names = [f"I{k:02d}" for k in range(20)] + ["a b/c%:=", None]
+    t.append(spark.createDataFrame([(n, k, "x") for k, n in enumerate(names)], SCHEMA))
+    t.append(spark.createDataFrame([(n, 100 + k, "y") for k, n in enumerate(names)], SCHEMA))
+    first, second = t.current().versions
+    keys = spark.createDataFrame([(3,), (20,), (121,)], "id bigint")
+    touched = t._touched(t.current(), keys, "id")
+    assert touched == {first: ("I03", "a b/c%:="), second: (None,)}
+    affected = t._affected(t.current(), touched)
+    assert affected.count() == 3 and files_read(affected) == 3
+    assert files_read(t._read(t.current().folders)) >= 44
+    edits = spark.createDataFrame([(3, "new", ["note"]), (20, "new", ["note"]), (121, None, ["note"])], "id bigint, note string, changed array<string>")
+    t.update_by_key("id", edits)
+    head = t.current()
+    assert head.folders == {first: ("I03", "a b/c%:="), second: (None,), head.versions[2]: ()}
+    want = {(n, k, "new" if k in (3, 20) else "x") for k, n in enumerate(names)} | {(n, 100 + k, None if k == 21 else "y") for k, n in enumerate(names)}
+    assert set(rows(t.read())) == want and t.read().count() == 44
+    t.delete_by_key("id", spark.createDataFrame([(3,)], "id bigint"))
+    assert rows(t.read()) == sorted((r for r in want if r[1] != 3), key=repr)
+    t.delete_by_key("id", t.read().select("id"))  # folders of which nothing is left are listed no more
+    assert t.read().count() == 0 and t.current().folders == {}
+    t.rollback(2)
+    assert t.read().count() == 44 and {r[2] for r in rows(t.read())} == {"x", "y"}
+    assert rows(t.read(3)) == sorted(want, key=repr)
+
+
+def test_of_two_writers_from_one_head_one_wins(spark):
+    t = table(spark)
+    t.create()
+    for _ in range(10):
+        head = t.current()
+        with ThreadPoolExecutor(6) as pool:
+            won = [n for n in pool.map(lambda k: t.log.commit(head, commits.Change(f"W{k}", k)), range(6)) if n is not None]
+        assert won == [head.snapshot_id + 1] and t.current().snapshot_id == won[0]
+
+
+def test_inserts_of_two_writers_both_arrive(spark):
+    t = table(spark)
+    frames = [spark.createDataFrame([("A", k, "x")], SCHEMA) for k in range(4)]
+    with ThreadPoolExecutor(4) as pool:
+        assert sorted(pool.map(t.append, frames)) == [1, 2, 3, 4]
+    assert rows(t.read()) == [("A", k, "x") for k in range(4)] and t.current().row_count == 4
+
+
+def test_the_commit_log_grows_with_its_commits(spark):
+    t, sizes = table(spark), []
+    t.create()
+    system = t.log._system()
+    for k in range(200):
+        t.log.commit(t.current(), commits.Change("INSERT", k, put={10**18 + k: ()}))
+        if k + 1 in (50, 100, 200):
+            sizes.append(system.getContentSummary(t.log._path(".")).getLength())
+    assert sizes[1] < 2.6 * sizes[0] and sizes[2] < 2.6 * sizes[1]
+    assert t.current().versions == tuple(10**18 + k for k in range(200)) and t.at(57).versions == tuple(10**18 + k for k in range(57))
+    assert t.manifest().count() == 201 and max(t.at(k).since_full for k in range(0, 201, 25)) <= 50
+
+
+def test_folders_that_commits_change_add_up(spark):
+    """Random changes against a plain account of the folders."""
+    rnd, t = random.Random(2), table(spark, "incident_id")
+    t.create()
+    folders, seen = {}, [{}]
+    for k in range(60):
+        put = {k: ()} if rnd.random() < 0.7 else {}
+        removed = tuple(v for v in folders if rnd.random() < 0.05)
+        cut = {v: (rnd.choice(["A", "B", None]),) for v in folders if v not in removed and rnd.random() < 0.1}
+        t.log.commit(t.current(), commits.Change("X", 0, put=put, removed=removed, cut=cut))
+        folders = {v: tuple(dict.fromkeys((*c, *cut.get(v, ())))) for v, c in folders.items() if v not in removed} | put
+        seen.append(folders)
+    assert [t.at(k).folders for k in range(61)] == seen
+
+
+def test_tables_are_created_without_a_job(spark):
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    store.create_tables(spark, scratch_path(spark, "lake"))
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) == len(before)
+
+
 def test_replace_is_skipped_for_empty_input(spark):
     t = table(spark)
     t.append(spark.createDataFrame([("A", 1, "x")], SCHEMA))
