@@ -348,6 +348,31 @@ def governed_sql(spark, sf):
     return catalog.run_governed(spark, root, text, "EXPERT", ["1-URGENT", "5-LOW"])
 
 
+@query(
+    "governed_tables",
+    """SELECT 'SHOW' AS statement, 'equipment_issue_log' AS name, 'table' AS type, count(*) AS rows FROM events UNION ALL SELECT 'SHOW', 'incident_description', 'table', count(*) FROM orders
+       UNION ALL SELECT 'DESCRIBE', name, type, n FROM (VALUES """
+    + ", ".join(f"('{c.split()[0]}', '{c.split()[1]}')" for c in TABLE_COLUMNS["equipment_issue_log"].split(", "))
+    + ") AS c(name, type), (SELECT count(*) AS n FROM events)",
+)
+def governed_tables(spark, sf):
+    """SHOW TABLES and DESCRIBE over stored tables, each with the rows that a role that sees all counts in it."""
+    root = scratch_path(spark, "governed")
+    orders = load(spark, sf, "orders").select(F.col("o_orderpriority").alias("incident_id"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("incident_date"))
+    issued = load(spark, sf, "events").select(F.col("event_type").alias("incident_id"), F.col("user_id").cast("string").alias("issued_to"))
+    store.SnapshotTable(spark, root, "incident_description").append(orders)
+    store.SnapshotTable(spark, root, "equipment_issue_log").append(issued)
+
+    def run(text):
+        return catalog.run_governed(spark, root, text, "ADMIN")
+
+    counts = run("SELECT 'incident_description' AS name, count(*) AS rows FROM incident_description UNION ALL SELECT 'equipment_issue_log', count(*) FROM equipment_issue_log")
+    shown = run("SHOW TABLES").withColumnRenamed("table_name", "name").join(spark.createDataFrame(counts.collect(), counts.schema), "name")
+    rows = shown.where("name = 'equipment_issue_log'").select("rows")
+    described = run("DESCRIBE equipment_issue_log").join(rows).select(F.lit("DESCRIBE").alias("statement"), F.col("col_name").alias("name"), F.col("data_type").alias("type"), "rows")
+    return shown.select(F.lit("SHOW").alias("statement"), "name", F.lit("table").alias("type"), "rows").unionByName(described)
+
+
 _PEOPLE_SQL = "SELECT c_custkey AS id, c_name AS name, c_nationkey AS nation FROM customer"
 _SAVED_SQL = """SELECT c_custkey AS id, CASE WHEN c_custkey % 6 = 0 THEN c_name || '*' ELSE c_name END AS name,
     CASE WHEN c_custkey % 6 = 3 THEN NULL ELSE c_nationkey END AS nation FROM customer"""

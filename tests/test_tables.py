@@ -217,3 +217,62 @@ def test_query_log(spark):
     )
     assert [r["user_id"] for r in catalog.query_history(log).collect()] == [2, 1]
     assert {r["table_name"] for r in catalog.query_totals(log).collect()} == {"mine.gas", "custom"}
+
+
+@pytest.fixture(scope="module")
+def governed(spark):
+    root = scratch_path(spark, "gov")
+    made = spark.createDataFrame([("A", "2024-01-01"), ("B", "2024-02-02")], "incident_id string, incident_date string")
+    store.SnapshotTable(spark, root, "incident_description").append(made)
+    made.createOrReplaceTempView("open_view")
+    return root
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "SELECT incident_id FROM parquet.`{root}/incident_description/data`",
+        "SELECT * FROM incident_description WHERE incident_id IN (SELECT incident_id FROM parquet.`{root}/incident_description/data`)",
+        "SELECT (SELECT max(incident_id) FROM json.`{root}/x`) FROM incident_description",
+        "SELECT * FROM open_view", "SELECT * FROM global_temp.x", "SELECT * FROM default.incident_description", "TABLE open_view",
+        "WITH x AS (SELECT 1 AS a) SELECT * FROM incident_description JOIN (SELECT * FROM open_view) USING (incident_id)",
+        "SELECT * FROM (WITH open_view AS (SELECT 1) SELECT * FROM open_view) a JOIN open_view b",
+        "WITH open_view AS (SELECT * FROM open_view) SELECT * FROM open_view",
+        "SELECT EXISTS (SELECT 1 FROM open_view) FROM incident_description", "SELECT * FROM incident_description a, LATERAL (SELECT * FROM open_view) b",
+        "DROP TABLE incident_description", "CREATE TABLE t AS SELECT * FROM incident_description", "INSERT INTO incident_description SELECT * FROM incident_description",
+        "SET spark.sql.ansi.enabled=false", "CACHE TABLE incident_description", "DESCRIBE open_view", "DESCRIBE QUERY SELECT * FROM open_view", "SHOW VIEWS", "SHOW CREATE TABLE open_view", "EXPLAIN SELECT * FROM open_view",
+        "SELECT reflect('java.lang.System', 'getenv', 'HOME') FROM incident_description", "SELECT input_file_name() FROM incident_description", "SELECT TRANSFORM(incident_id) USING 'cat /etc/passwd' AS x FROM incident_description", "SELECT * FROM range(5)",
+        "SELECT * FROM incident_description UNION ALL SELECT * FROM open_view", "FROM open_view SELECT *", "FROM open_view |> SELECT incident_id",
+    ],
+)
+def test_governed_sql_refuses_what_goes_round_the_grants(spark, governed, text):
+    with pytest.raises(PermissionError):
+        catalog.run_governed(spark, governed, text.format(root=governed), "EXPERT", ["A"]).collect()
+
+
+@pytest.mark.parametrize(
+    ("text", "found"),
+    [
+        ("SELECT incident_id FROM incident_description", [("A",)]),
+        ("select INCIDENT_ID from Incident_Description d where exists (select 1 from incident_description e where e.incident_id = d.incident_id)", [("A",)]),
+        ("WITH x AS (SELECT incident_id FROM incident_description), y AS (SELECT * FROM x) SELECT count(*) FROM x JOIN y USING (incident_id)", [(1,)]),
+        ("WITH open_view AS (SELECT 7 AS n) SELECT n FROM open_view", [(7,)]),
+        ("SELECT count(*) AS n FROM incident_description GROUP BY incident_id HAVING n > 0 ORDER BY n LIMIT 3", [(1,)]),
+        ("SELECT i, a FROM VALUES (1) AS t(i), LATERAL (SELECT max(incident_id) AS a FROM incident_description)", [(1, "A")]),
+        ("SELECT x FROM incident_description LATERAL VIEW explode(array(incident_id, 'z')) e AS x", [("A",), ("z",)]),
+        ("SELECT incident_id, row_number() OVER w AS n FROM incident_description WINDOW w AS (ORDER BY incident_id)", [("A", 1)]),
+        ("SELECT incident_id FROM incident_description EXCEPT SELECT 'B'", [("A",)]),
+        ("SHOW TABLES", [("incident_description",)]),
+    ],
+)
+def test_governed_sql_answers_queries(spark, governed, text, found):
+    assert rows(catalog.run_governed(spark, governed, text, "EXPERT", ["A"])) == found
+
+
+def test_governed_sql_of_two_roles_at_once(spark, governed):
+    text = "SELECT incident_id FROM incident_description"
+    one, two = (catalog.run_governed(spark, governed, text, "EXPERT", [i]) for i in "AB")
+    grants = spark.createDataFrame([("B",), ("B",)], "incident_id string")
+    assert rows(one) == [("A",)] and rows(two) == [("B",)] == rows(catalog.run_governed(spark, governed, text, "EXPERT", grants))
+    assert rows(catalog.run_governed(spark, governed, "DESCRIBE incident_description", "EXPERT", ["A"]))[:1] != []
+    assert rows(spark.table("open_view")) == [("A", "2024-01-01"), ("B", "2024-02-02")]
