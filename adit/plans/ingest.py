@@ -108,9 +108,24 @@ METRICS = {"fire_metrics": "FM", "ventilation_metrics": "VM", "incident_metrics"
 DAY_SECONDS, SEISMIC_KM = 86_400, 50.0
 
 
-def load_table(spark: SparkSession, root: str, table: str, routed: DataFrame, operation: str = "INSERT") -> DataFrame:
-    """Append one job's rows to its table; returns incident_id, source_file, table_name and records for each of its documents."""
+#: Between a file's name and a sign of its path, where documents are kept apart by path. The sign is made of characters that no
+#: text and no pattern holds, so that names mean what they did.
+MARK = "\u0001"
+SIGNS = "".join(chr(0xE000 + k) for k in range(16))
+
+
+def load_table(spark: SparkSession, root: str, table: str, routed: DataFrame, operation: str = "INSERT", ledger: str | None = None) -> DataFrame:
+    """Append one job's rows to its table; returns incident_id, source_file, table_name and records for each of its documents.
+
+    Documents with a `path` are told apart by it, also where an incident has the same file name twice, and it is returned.
+    With a `ledger` folder this list is written there before the rows are committed.
+    """
     mine = routed.where(F.col("target") == table)
+    by_path = "path" in routed.columns
+    if by_path:
+        sign = F.translate(F.hex(F.xxhash64("path")), "0123456789ABCDEF", SIGNS)
+        mine = mine.withColumn("source_file", F.concat("source_file", F.lit(MARK), sign))
+    named = lambda df: df.withColumns({c: F.split_part(c, F.lit(MARK), F.lit(1)) for c in ("source_file", "source_name") if c in df.columns})
     store = SnapshotTable(spark, root, table)
     store.create()
     found: list[DataFrame] = []
@@ -119,12 +134,17 @@ def load_table(spark: SparkSession, root: str, table: str, routed: DataFrame, op
     def keep(rows: DataFrame) -> DataFrame:
         """The rows as they are loaded, written once, with the document they come from."""
         found.append(materialize(enrich(rows) if enrich else rows, table))
-        return found[0]
+        return named(found[0]) if by_path else found[0]
 
-    store.append(run_job(table, mine, with_ids=True, start=store.current().appended, enrich=keep), operation)
+    rows = run_job(table, mine, with_ids=True, start=store.current().appended, enrich=keep)
     counts = found[0].groupBy(*DOC).agg(F.count("*").alias("records"))
-    files = mine.select(*DOC).distinct().join(counts, DOC, "left")
-    return files.select(*DOC, F.lit(table).alias("table_name"), F.coalesce("records", F.lit(0)).alias("records"))
+    read = mine.select(*DOC, *["path"] * by_path).distinct().join(counts, DOC, "left")
+    files = (named(read) if by_path else read).select(*DOC, *["path"] * by_path, F.lit(table).alias("table_name"), F.coalesce("records", F.lit(0)).alias("records"))
+    if ledger:
+        files.coalesce(1).write.mode("overwrite").parquet(ledger)
+        files = spark.read.schema(files.schema).parquet(ledger)
+    store.append(rows, operation)
+    return files
 
 
 def in_order(tables) -> list[str]:

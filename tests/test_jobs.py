@@ -156,6 +156,44 @@ def test_only_files_that_gave_rows_are_archived(spark, tmp_path):
     assert SnapshotTable(spark, root, "gas_analysis").read().count() == 2
 
 
+def test_a_replayed_batch_archives_what_the_first_run_would_have(spark, tmp_path, monkeypatch):
+    """Equal names in two folders and in two incidents; the first run stops between its commits and the archive."""
+    gas = next(g for g in GOLDEN if g[0] == "gas_analysis")[2]
+    inbox, done, root = tmp_path / "inbox", tmp_path / "done", scratch_path(spark, "lake")
+    files = {("a", "INC-1"): gas, ("b", "INC-1"): "пусто", ("c", "INC-2"): "пусто", ("d", "INC-2"): gas, ("e", "INC-1"): gas}
+    for (folder, _), text in files.items():
+        (inbox / folder).mkdir(parents=True)
+        (inbox / folder / "gas_measurements_1.txt").write_text(text, "utf-8")
+    rows = [(i, "gas_measurements_1.txt", f"file:{inbox / f}/gas_measurements_1.txt", t) for (f, i), t in files.items()]
+    batch = spark.createDataFrame(rows, "incident_id string, source_file string, path string, text string")
+
+    def stop(*_):
+        raise RuntimeError("stopped")
+
+    with monkeypatch.context() as m:
+        m.setattr(stream, "move_files", stop)
+        with pytest.raises(RuntimeError, match="stopped"):
+            stream.load_batch(batch, 4, root, "in", ["gas_analysis"], str(done))
+    read = SnapshotTable(spark, root, "gas_analysis").read()
+    assert read.count() == 6 and {r[0] for r in read.select("source_file").collect()} == {"gas_measurements_1.txt"}
+    for _ in range(2):
+        stream.load_batch(batch, 4, root, "in", ["gas_analysis"], str(done))
+        assert sorted(p.parent.name for p in inbox.rglob("*.txt")) == ["b", "c"]
+        assert len(list(done.rglob("gas_measurements_1*.txt"))) == 3
+    assert SnapshotTable(spark, root, "gas_analysis").read().count() == 6
+
+
+def test_names_stay_as_they_are_where_paths_tell_documents_apart(spark, tmp_path):
+    root, text = scratch_path(spark, "lake"), "Искра и метан обнаружены на участке. Произошёл взрыв метана."
+    rows = [("INC-1", "hypothesis_note.txt", f"/x/{k}/k120 СОЛБ/hypothesis_note.txt", text) for k in range(2)]
+    batch = spark.createDataFrame(rows, "incident_id string, source_file string, path string, text string")
+    stream.load_batch(batch, 0, root, "in", ["hypotesis_prove_facts"])
+    table = SnapshotTable(spark, root, "hypotesis_prove_facts")
+    found = table.read().collect() if table.exists() else []
+    plain = run_job("hypotesis_prove_facts", batch.limit(1)).collect()
+    assert {r.source_name for r in found} <= {"hypothesis_note.txt"} and len(found) in (0, 2 * len(plain))
+
+
 def test_stream_takes_each_file_once_and_a_replayed_batch_adds_nothing(spark, tmp_path):
     inbox, root, checkpoint = tmp_path / "inbox", scratch_path(spark, "lake"), scratch_path(spark, "cp")
     inbox.mkdir()
