@@ -5,11 +5,11 @@ words. The index is stored below the shared folder, so it can be searched again.
 bounded size. In a shard, a phrase starts from the postings of its rarest term, moved back by the term's offset; these places
 are then intersected with the offset-adjusted postings of the other terms, rarer terms first, for all phrases at once. Phrases
 with a term that the shard lacks are dropped at once. With `slop`, a term may stand up to that many words from its place:
-proximity matches. A document lies in one shard whole, so nothing is shuffled but the hits, and no term's postings meet in one task.
+proximity matches, judged for every start that the rarest term's postings allow. A document lies in one shard whole, so nothing is shuffled but the hits, and no term's postings meet in one task.
 
 Terms are runs of ASCII letters and digits and all non-ASCII characters, A-Z in lower case. Null and empty texts have no
 terms: such documents have no hits and such items no phrases. Equal phrases of several items count for each of them. Rows
-that repeat an id are each judged on their own.
+that repeat an id are each judged on their own. Items without an id hit like others and are named in no list.
 """
 
 from __future__ import annotations
@@ -67,46 +67,63 @@ class ShardIndex:
         before = total[self.first] - gaps[self.first] if len(gaps) else gaps
         places = total - np.repeat(before, self.sizes)
         self.postings = (np.repeat(np.arange(len(self.sizes)), self.sizes) << 32) + places  # ascending by term and place
-        self.end_of = np.repeat(self.starts[1:], np.diff(self.starts))  # end of the document around each word
 
-    def search(self, phrases: list[list[int]], vocabulary: list[str], slop: int = 0) -> tuple[np.ndarray, np.ndarray]:
-        """(phrase numbers, places) at which phrases begin. Phrases hold codes of `vocabulary`."""
+    def search(self, phrases: list[list[int]], vocabulary: list[str], slop: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(phrase numbers, first words, ends) of matches. Phrases hold codes of `vocabulary`.
+
+        A start matches if every term of the phrase stands within `slop` words of its place after it, in one document; the match goes
+        from the first to the last word that does. So what matches does not depend on the term that the search begins with.
+        """
         import pyarrow.compute as pc
 
+        nothing = np.zeros(0, np.int64)
         local = pc.fill_null(pc.index_in(pa.array(vocabulary, pa.string()), self.terms), -1).to_numpy(zero_copy_only=False).astype(np.int64)
         lengths = np.fromiter(map(len, phrases), np.int64, len(phrases))
         whose = np.repeat(np.arange(len(phrases)), lengths)
-        term = local[np.concatenate([np.asarray(p, np.int64) for p in phrases])] if phrases else np.zeros(0, np.int64)
+        term = local[np.concatenate([np.asarray(p, np.int64) for p in phrases])] if phrases else nothing
         offset = np.arange(len(term)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
         absent = np.bincount(whose, term < 0, minlength=len(phrases)) > 0
         kept = ~absent[whose]
         whose, term, offset = whose[kept], term[kept], offset[kept]
         order = np.lexsort((offset, self.sizes[term], whose))  # within a phrase, rarer terms first
         whose, term, offset = whose[order], term[order], offset[order]
-        begins = runs(whose)[:-1] if len(whose) else np.zeros(0, np.int64)
+        begins = runs(whose)[:-1] if len(whose) else nothing
         if not len(begins):
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+            return nothing, nothing, nothing
         n = self.sizes[term[begins]]
         at = np.repeat(self.first[term[begins]] - (np.cumsum(n) - n), n) + np.arange(n.sum())
         row = np.repeat(begins, n)  # the row of each candidate's next term
-        place = (self.postings[at] & 0xFFFFFFFF) - offset[row]
+        word = self.postings[at] & 0xFFFFFFFF
+        doc = np.searchsorted(self.starts, word, "right") - 1
+        start = word - offset[row]
+        if slop:  # every start that this posting allows, once
+            around = np.arange(-slop, slop + 1)
+            every = np.stack([np.repeat(row, len(around)), np.repeat(doc, len(around)), (start[:, None] + around).ravel()])
+            row, doc, start = np.unique(every, axis=1)
+        low_end, high_end = self.starts[doc], self.starts[doc + 1]  # the document's words
+        if not slop:
+            kept = (start >= low_end) & (start + lengths[whose[row]] <= high_end)
+            row, start, low_end, high_end = row[kept], start[kept], low_end[kept], high_end[kept]
         phrase, left = whose[row], lengths[whose[row]]
-        kept = (place >= 0) & (place < len(self.end_of))
-        kept[kept] = place[kept] + left[kept] <= self.end_of[place[kept]]
-        row, place, phrase, left = row[kept], place[kept], phrase[kept], left[kept]
-        done = [(phrase[left == 1], place[left == 1])]
-        step = 1
-        row, place, phrase, left = (x[left > 1] for x in (row, place, phrase, left))
+        first, last = np.full(len(row), np.iinfo(np.int64).max), np.full(len(row), -1)
+        done, step = [], 0
+        row = row - 1
         while len(row):
             row = row + 1
-            low = (term[row] << 32) + np.maximum(place + offset[row] - slop, 0)
-            i = np.minimum(np.searchsorted(self.postings, low), len(self.postings) - 1)
-            near = (self.postings[i] >= low) & (self.postings[i] <= (term[row] << 32) + place + offset[row] + slop)
-            row, place, phrase, left = (x[near] for x in (row, place, phrase, left))
-            step += 1
-            done.append((phrase[left == step], place[left == step]))
-            row, place, phrase, left = (x[left > step] for x in (row, place, phrase, left))
-        return np.concatenate([d[0] for d in done]), np.concatenate([d[1] for d in done])
+            base, step = term[row] << 32, step + 1
+            low = base + np.maximum(start + offset[row] - slop, low_end)
+            high = base + np.minimum(start + offset[row] + slop, high_end - 1)
+            i = np.searchsorted(self.postings, low)
+            j = np.searchsorted(self.postings, high, "right") - 1 if slop else i
+            found = (i < len(self.postings)) & (low <= high)
+            i = np.minimum(i, len(self.postings) - 1)
+            found &= (self.postings[i] <= high) & (j >= i)
+            first, last = np.minimum(first, self.postings[i] & 0xFFFFFFFF), np.maximum(last, self.postings[np.maximum(np.minimum(j, len(self.postings) - 1), 0)] & 0xFFFFFFFF)
+            row, start, low_end, high_end, phrase, left, first, last = (x[found] for x in (row, start, low_end, high_end, phrase, left, first, last))
+            whole = left == step
+            done.append((phrase[whole], first[whole], last[whole] + 1))
+            row, start, low_end, high_end, phrase, left, first, last = (x[~whole] for x in (row, start, low_end, high_end, phrase, left, first, last))
+        return tuple(np.concatenate([d[k] for d in done]) if done else nothing for k in range(3))
 
 
 def blocks(items: Iterator[tuple[str, str | None]], width: int, block_words: int) -> Iterator[tuple[list[str], list[list[int]], list[list[str]]]]:
@@ -119,7 +136,7 @@ def blocks(items: Iterator[tuple[str, str | None]], width: int, block_words: int
         mine = [codes.setdefault(words.vocabulary[c], len(codes)) for c in words.codes]
         for k in range(max(1, len(mine) - width + 1) if mine else 0):
             owners = phrases.setdefault(tuple(mine[k : k + width]), [])
-            if not owners or owners[-1] != item:
+            if item is not None and (not owners or owners[-1] != item):
                 owners.append(item)
         n += len(mine) * min(width, len(mine))
         if n >= block_words:
@@ -136,7 +153,7 @@ def phrase_matches(index: DataFrame, items: DataFrame, width: int = 10, slop: in
     `items` streams through the driver one block at a time; each block is bounded by `block_words` and searched in every shard.
     """
     spark: SparkSession = index.sparkSession
-    rows = items.select(F.col(item_column).cast("string").alias("i"), F.col(text).alias("t")).where("i IS NOT NULL AND t IS NOT NULL")
+    rows = items.select(F.col(item_column).cast("string").alias("i"), F.col(text).alias("t")).where("t IS NOT NULL")
     schema = "shard string, number int, begins array<int>, ends array<int>, items array<string>"
     path, any_block = scratch_path(spark, "matches"), False
 
@@ -145,13 +162,12 @@ def phrase_matches(index: DataFrame, items: DataFrame, width: int = 10, slop: in
 
         def find(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             vocabulary, phrases, owners = shared.value
-            lengths = np.fromiter(map(len, phrases), np.int64, len(phrases))
             for batch in batches:
                 for k in range(batch.num_rows):
                     shard = ShardIndex(batch, k)
-                    phrase, place = shard.search(phrases, vocabulary, slop)
+                    phrase, place, end = shard.search(phrases, vocabulary, slop)
                     order = np.argsort(place, kind="stable")
-                    phrase, place = phrase[order], place[order]
+                    phrase, place, end = phrase[order], place[order], end[order]
                     doc = np.searchsorted(shard.starts, place, "right") - 1
                     ends = runs(doc) if len(doc) else np.zeros(1, np.int64)
                     base = shard.starts[doc]
@@ -159,7 +175,7 @@ def phrase_matches(index: DataFrame, items: DataFrame, width: int = 10, slop: in
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array([shard.name] * len(names), pa.string()), pa.array(doc[ends[:-1]].astype(np.int32) if len(doc) else [], pa.int32()),
-                            list_array(place - base, ends, pa.int32()), list_array(place - base + lengths[phrase], ends, pa.int32()), pa.array(names, pa.list_(pa.string())),
+                            list_array(place - base, ends, pa.int32()), list_array(end - base, ends, pa.int32()), pa.array(names, pa.list_(pa.string())),
                         ],
                         ["shard", "number", "begins", "ends", "items"],
                     )

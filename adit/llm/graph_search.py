@@ -9,7 +9,8 @@ at once. Query blocks of bounded size are searched in every shard, and the shard
 precision on the original vectors.
 
 Vectors that are null, zero, or hold null or non-finite components take no part; vectors of different lengths do not meet.
-Rows may repeat an id: equal ids are answered like different ones. Null ids take no part.
+Rows may repeat an id: every query row has an answer of its own, from all rows but itself, others with its id among them. Null
+ids take no part.
 """
 
 from __future__ import annotations
@@ -207,18 +208,23 @@ def build_index(rows: DataFrame, keep: int, vector: str = "embedding", id_column
 
 
 def nearest(index: DataFrame, queries: DataFrame, count: int = 5, vector: str = "embedding", id_column: str = "vec_id", beam: int = BEAM, block: int = QUERY_BLOCK) -> DataFrame:
-    """Per query its `count` nearest other rows found: query_id, rank, vec_id, score (cosine in double precision).
+    """Per query row its `count` nearest other rows found: query_id, rank, vec_id, score (cosine in double precision).
 
+    A query that is a row of the index does not find itself: its id is left out once where its vector is.
     Queries stream through the driver one block of `block` rows at a time; each block is sent to every shard.
     """
     spark = index.sparkSession
-    path, schema = scratch_path(spark, "found"), "query_id long, vec_id long, score double"
+    path, schema = scratch_path(spark, "found"), "query long, query_id long, vec_id long, score double"
     rows = queries.select(F.col(id_column).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v")).toLocalIterator()
     some = [None]
-    first = True
+    first, asked = True, 0
     while some:
         some = [r for r, _ in zip(rows, range(block))]
-        batches = list(usable(pa.array([r.id for r in some], pa.int64()), pa.array([r.v for r in some], pa.list_(pa.float64())))) if some else []
+        known = [r for r in some if r.id is not None]
+        batches = []  # (numbers, ids, vectors) of the queries of one length
+        for at, x in usable(pa.array(np.arange(len(known))), pa.array([r.v for r in known], pa.list_(pa.float64()))) if known else ():
+            batches.append((asked + at, np.array([known[k].id for k in at], np.int64), x + 0.0))
+        asked += len(known)
         if not batches:
             continue
         shared = spark.sparkContext.broadcast(batches)
@@ -228,35 +234,37 @@ def nearest(index: DataFrame, queries: DataFrame, count: int = 5, vector: str =
                 for k in range(part.num_rows):
                     row = part.slice(k, 1).to_pylist()[0]
                     shard = None
-                    for ids, q in shared.value:
+                    for numbers, ids, q in shared.value:
                         if q.shape[1] != row["dim"]:
                             continue
                         shard = shard or ShardGraph(row)
                         for a in range(0, len(q), 256):
-                            yield answer(shard, ids[a : a + 256], q[a : a + 256])
+                            yield answer(shard, numbers[a : a + 256], ids[a : a + 256], q[a : a + 256])
 
-        def answer(shard: ShardGraph, ids: np.ndarray, q: np.ndarray) -> pa.RecordBatch:
+        def answer(shard: ShardGraph, numbers: np.ndarray, ids: np.ndarray, q: np.ndarray) -> pa.RecordBatch:
             found = shard.search(q, count + 1, beam)
             i, j = np.nonzero(found >= 0)
             node = found[i, j]
             a, b = q[i] / np.abs(q[i]).max(1, keepdims=True), shard.vectors[node]
+            own = (q[i] == b).all(1)
             b = b / np.abs(b).max(1, keepdims=True)
             score = (a * b).sum(1) / (np.sqrt((a * a).sum(1)) * np.sqrt((b * b).sum(1)))
             n = np.diff(shard.offsets)[node]
             at = np.repeat(shard.offsets[node] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-            who, vec, score = np.repeat(ids[i], n), shard.ids[at], np.repeat(score, n)
-            other = who != vec
-            who, vec, score = who[other], vec[other], score[other]
+            who, vec, score = np.repeat(numbers[i], n), shard.ids[at], np.repeat(score, n)
+            itself = np.repeat(own, n) & (np.repeat(ids[i], n) == vec)
+            itself[1:] &= ~(itself[:-1] & (who[1:] == who[:-1]))  # once: ids of a node ascend
+            who, vec, score, name = who[~itself], vec[~itself], score[~itself], np.repeat(ids[i], n)[~itself]
             order = np.lexsort((vec, -score, who))
             begin = runs(who[order])
             kept = order[np.arange(len(order)) - np.repeat(begin[:-1], np.diff(begin)) < count] if len(order) else order
-            return pa.RecordBatch.from_arrays([pa.array(who[kept]), pa.array(vec[kept]), pa.array(score[kept])], ["query_id", "vec_id", "score"])
+            return pa.RecordBatch.from_arrays([pa.array(who[kept]), pa.array(name[kept]), pa.array(vec[kept]), pa.array(score[kept])], ["query", "query_id", "vec_id", "score"])
 
         index.mapInArrow(find, schema).write.mode("append").parquet(path)
         first = False
         shared.unpersist()
     found = spark.createDataFrame([], schema) if first else spark.read.schema(schema).parquet(path)
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    best = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= count).select("query_id", "rank", "vec_id", "score")
 
 

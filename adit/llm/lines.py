@@ -174,12 +174,13 @@ def dedup_lines(docs: DataFrame, distance: int = DISTANCE, min_chars: int = MIN_
     clash = ["kept_text", "n_lines", "n_removed", "n_links"]
     rest = [c for c in docs.columns if c != text and c not in clash]
     keyed = docs.select(
-        *rest, F.split(text, "\n").alias("__lines"), F.coalesce(F.col(id_column).cast("long"), F.lit(-(1 << 63))).alias("__doc"), F.coalesce(F.xxhash64(text), F.lit(0)).alias("__print")
+        F.struct(*rest).alias("row"), F.split(text, "\n").alias("lines"), F.coalesce(F.col(id_column).cast("long"), F.lit(-(1 << 63))).alias("doc"), F.coalesce(F.xxhash64(text), F.lit(0)).alias("print")
     )
-    joined = keyed.join(places, (F.col("__doc") == F.col("doc")) & (F.col("__print") == F.col("print")), "left")
+    joined = keyed.join(places, ["doc", "print"], "left")
     none = F.col("gone").isNull() | (F.size("gone") == 0)
-    kept = F.when(none, F.col("__lines")).otherwise(F.filter("__lines", lambda x, i: ~F.array_contains(F.col("gone"), i)))
-    return joined.select(
-        *rest, F.array_join(kept, "\n").alias("kept_text"), F.greatest(F.size("__lines"), F.lit(0)).cast("long").alias("n_lines"),
+    kept = F.when(none, F.col("lines")).otherwise(F.filter("lines", lambda x, i: ~F.array_contains(F.col("gone"), i)))
+    told = joined.select(
+        "row", F.array_join(kept, "\n").alias("kept_text"), F.greatest(F.size("lines"), F.lit(0)).cast("long").alias("n_lines"),
         F.greatest(F.coalesce(F.size("gone"), F.lit(0)), F.lit(0)).cast("long").alias("n_removed"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
     )
+    return told.select(*[F.col("row").getField(c).alias(c) for c in rest], "kept_text", "n_lines", "n_removed", "n_links")

@@ -38,7 +38,7 @@ ORDERS = (1, 2, 3)
 def shape(word: str) -> str:
     for pattern, sign in SHAPES:
         word = pattern.sub(sign, word)
-    return word[:12]
+    return word
 
 
 def features(texts: pa.Array, bits: int = FEATURE_BITS) -> tuple[np.ndarray, np.ndarray]:

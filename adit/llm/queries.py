@@ -120,7 +120,7 @@ def op9(spark, sf_dir):
 OP6_SQL = r"""
 WITH b AS (
   SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
-  FROM benchmark WHERE item_id IS NOT NULL),
+  FROM benchmark),
 bw AS (SELECT item_id, w, unnest(range(1, greatest(2, len(w) - 8))) AS i FROM b WHERE len(w) > 0),
 phrases AS (SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[i:i + 9], ' ') AS p FROM bw),
 d AS (
@@ -130,7 +130,7 @@ lengths AS (SELECT DISTINCT n FROM phrases),
 dw AS (SELECT row, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, lengths WHERE len(w) >= n),
 g AS (SELECT row, n, i, array_to_string(w[i:i + n - 1], ' ') AS p FROM dw),
 hit AS (SELECT row, n, i, item_id FROM g JOIN phrases USING (n, p)),
-found AS (SELECT row, string_agg(s, ',' ORDER BY s) AS items, count(*) AS n_items FROM (SELECT DISTINCT row, CAST(item_id AS VARCHAR) AS s FROM hit) GROUP BY row),
+found AS (SELECT row, string_agg(s, ',' ORDER BY s) AS items, count(*) AS n_items FROM (SELECT DISTINCT row, CAST(item_id AS VARCHAR) AS s FROM hit WHERE item_id IS NOT NULL) GROUP BY row),
 marked AS (SELECT row, count(DISTINCT k) AS n_hit FROM (SELECT row, unnest(range(i, i + n)) AS k FROM (SELECT DISTINCT row, n, i FROM hit)) GROUP BY row)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
   sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated

@@ -1,3 +1,4 @@
+import random
 import re
 
 import pytest
@@ -20,7 +21,7 @@ def brute(rows, items, width):
                 for k in range(len(w) - len(p) + 1):
                     if w[k : k + len(p)] == p:
                         hit |= set(range(k, k + len(p)))
-                        found.add(str(item))
+                        found |= {str(item)} - {"None"}
         out.append((str(i), len(w), len(hit), sorted(found)))
     return sorted(out)
 
@@ -36,16 +37,42 @@ def items(spark, corpus):
 def test_equals_brute_force(spark, table, corpus, items, block):
     rows, frame = items
     got = contamination(build_index(table(corpus), scratch_path(spark, "postings")), frame, 10, block_words=block).collect()
-    want = brute(corpus, [r for r in rows if r[0] is not None], 10)
+    want = brute(corpus, rows, 10)
     assert sorted((str(r.doc_id), r.n_words, r.n_hit, list(r["items"])) for r in got) == want
     assert any(w[2] for w in want)
 
 
-def test_proximity(spark, table):
-    index = build_index(table([(1, "a b x c d"), (2, "a b c d"), (3, "d c b a"), (4, "a q q q b c d")]), scratch_path(spark, "postings"))
-    items = spark.createDataFrame([(9, "a b c")], "item_id long, text string")
-    at = lambda slop: {r.doc_id for r in contamination(index, items, 3, slop).collect() if r.n_hit}
-    assert at(0) == {2} and at(1) == {1, 2}
+def near(rows, items, width, slop):
+    """Every start, every term of a phrase within slop of its place, in plain Python."""
+    out = []
+    for i, t in rows:
+        w, hit = words(t), set()
+        for _, text in items:
+            x = words(text)
+            for p in [x[k : k + width] for k in range(max(1, len(x) - width + 1))] if x else []:
+                for start in range(-slop, len(w) + slop):
+                    places = [[q for q in range(max(0, start + k - slop), min(len(w), start + k + slop + 1)) if w[q] == term] for k, term in enumerate(p)]
+                    if all(places):
+                        hit |= set(range(min(min(q) for q in places), max(max(q) for q in places) + 1))
+        out.append((i, len(hit)))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("slop", [0, 1, 2, 4])
+def test_proximity_against_brute_force(spark, table, slop):
+    rnd = random.Random(slop)
+    rows = [(i, " ".join(rnd.choice("abcdefgh") for _ in range(rnd.choice([0, 3, 9, 30])))) for i in range(60)]
+    items = [(k, " ".join(rnd.choice("abcdefgh") for _ in range(rnd.choice([1, 4, 6])))) for k in range(8)]
+    frame = spark.createDataFrame(items, "item_id long, text string")
+    got = contamination(build_index(table(rows), scratch_path(spark, "postings")), frame, 4, slop).collect()
+    assert sorted((r.doc_id, r.n_hit) for r in got) == near(rows, items, 4, slop)
+
+
+def test_proximity_does_not_depend_on_other_documents(spark, table):
+    items = spark.createDataFrame([(9, "a b c d")], "item_id long, text string")
+    for others in ([], [(2, "a b c a b c")], [(2, "d d d d d")]):
+        found = decontaminate(table([(1, "a b d c"), *others]), items, 4, 1).collect()
+        assert {r.doc_id: r.n_hit for r in found}[1] == 4
 
 
 def test_empty_tables(spark, table, items):

@@ -55,3 +55,21 @@ def test_small_and_empty_tables(vectors):
     assert found(search_all(vectors([]))) == {}
     assert found(search_all(vectors([(0, [1.0, 0.0], 0)]))) == {}
     assert found(search_all(vectors([(0, [1.0, 0.0], 0), (1, [0.0, 1.0], 0)]))) == {0: [(1, 0.0)]}
+
+
+def lists(df):
+    """The answers of every query row, queries with the same id side by side."""
+    out = {}
+    for r in df.collect():
+        out.setdefault(r.query_id, []).append((r["rank"], r.vec_id, round(r.score, 9)))
+    return {q: sorted(rows) for q, rows in out.items()}
+
+
+def test_repeated_ids_are_rows_like_others(vectors):
+    """Eight rows of one id and vector, and queries that share an id."""
+    same = [(0, [1.0, 2.0], 0)] * 8 + [(1, [1.0, 2.0], 0), (2, [1.0, 2.0], 0)]
+    assert lists(search_all(vectors(same), 50, 5)) == {0: [(k, 0, 1.0) for k in range(1, 6) for _ in range(8)]}
+    few = [(0, [1.0, 0.0], 0), (0, [0.0, 1.0], 0), (1, [1.0, 0.0], 0), (2, [0.0, 1.0], 0), (3, [1.0, 1.0], 0)]
+    half = round(0.5**0.5, 9)
+    got = lists(search_all(vectors(few), 50, 5))
+    assert got == {0: sorted([(1, 1, 1.0), (2, 3, half), (3, 0, 0.0), (4, 2, 0.0), (1, 2, 1.0), (2, 3, half), (3, 0, 0.0), (4, 1, 0.0)])}

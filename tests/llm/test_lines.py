@@ -75,3 +75,12 @@ def test_plan_is_native(spark):
     docs = spark.createDataFrame([(1, "a line that repeats")], "doc_id long, text string")
     plan = dedup_lines(docs, 1, 5)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
+
+
+def test_extra_columns_with_any_name(spark):
+    names = ["doc", "print", "gone", "h", "g", "line", "place", "first", "links", "times", "row", "lines", "__lines", "__doc"]
+    rows = [(k, "one line that is long enough\nand another of its kind " + str(k % 2), *range(len(names))) for k in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"{n} int" for n in names))
+    plain = {r.doc_id: r.kept_text for r in dedup_lines(docs.select("doc_id", "text"), 1, 20).collect()}
+    got = dedup_lines(docs, 1, 20).collect()
+    assert {r.doc_id: r.kept_text for r in got} == plain and all([r[n] for n in names] == list(range(len(names))) for r in got)

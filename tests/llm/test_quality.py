@@ -56,3 +56,25 @@ def test_features():
     parts = np.split(numbers, ends[:-1])
     assert parts[0].tolist() == parts[3].tolist() == parts[4].tolist() and parts[1].tolist() == parts[2].tolist()
     assert q.shape("Héllo,12!") == "Aa,0!"
+
+
+def test_dual_descent_is_no_worse_than_any_move():
+    """The objective is convex: at the optimum no step in any direction lowers it (beyond the stopping tolerance)."""
+    rng = np.random.default_rng(4)
+    rows = [np.sort(rng.choice(12, 5, replace=False)) for _ in range(80)]
+    y = np.where(rng.random(80) < 0.3, 1.0, -1.0)
+    values = [rng.normal(size=5) + 0.4 * s for s in y]
+    w = q.dual_descent(rows, values, y, 12, cost=0.5, rounds=2000)
+    weight = np.where(y > 0, 0.5 * 80 / (2 * (y > 0).sum()), 0.5 * 80 / (2 * (y < 0).sum()))
+
+    def objective(w):
+        return w @ w / 2 + sum(c * max(0.0, 1 - s * (w[r] @ v)) for r, v, s, c in zip(rows, values, y, weight))
+
+    best = objective(w)
+    for size in (1.0, 0.1, 0.01):
+        for _ in range(300):
+            assert objective(w + size * rng.normal(size=12)) >= best * (1 - 1e-3)
+
+
+def test_long_shapes_stay_apart():
+    assert q.shape("a1b2c3d4e5f6!!!") != q.shape("a1b2c3d4e5f6g7h8") and q.shape("Hello42") == "Aa0"
