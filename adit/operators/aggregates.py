@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -59,14 +61,13 @@ def failed_files(results: DataFrame) -> DataFrame:
 
 
 def vector_centroid(vectors: DataFrame, key: str, vec: str = "vec") -> DataFrame:
-    """Mean vector per key, as `centroid array<double>`; averaging combines map-side per (key, position)."""
-    means = (
-        vectors.select(key, F.posexplode(vec).alias("pos", "x"))
-        .groupBy(key, "pos")
-        .agg(F.avg(F.col("x").cast("double")).alias("mean"))
-    )
-    ordered = F.array_sort(F.collect_list(F.struct("pos", "mean")))
-    return means.groupBy(key).agg(F.transform(ordered, lambda p: p["mean"]).alias("centroid"))
+    """Mean vector per key, as `centroid array<double>`: one buffer of sums a key in each task, however many vectors it has.
+
+    Vectors that are null or empty or hold nulls take no part; those of one key must have one length.
+    """
+    whole = F.coalesce((F.size(vec) > 0) & ~F.exists(vec, lambda x: x.isNull()), F.lit(False))
+    rows = vectors.where(whole).select(key, array_to_vector(F.col(vec).cast("array<double>")).alias("_v"))
+    return rows.groupBy(key).agg(Summarizer.mean(F.col("_v")).alias("_m")).select(key, vector_to_array("_m").alias("centroid"))
 
 
 def latest(df: DataFrame, by: str, limit: int, *tie: str) -> DataFrame:

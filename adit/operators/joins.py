@@ -9,12 +9,13 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from adit.functions import text as tx
 from adit.functions.classify import first_word
 from adit.functions.measures import EARTH_KM, great_circle_km
+from adit.session import materialize
 
 KM_PER_DEGREE = math.pi * EARTH_KM / 180
 #: Parts of a cell's side, where near_events looks closer.
@@ -110,36 +111,61 @@ def _dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
 
 
-def semantic_facts(vectors: DataFrame, centroids: DataFrame, min_cos: float = 0.65, passes: int = 1) -> DataFrame:
+def _angle(a: Column, b: Column) -> Column:
+    """The angle between two vectors of unit length; null where they do not fit or hold nulls or NaN."""
+    cos = _dot(a, b)
+    return F.when(cos.isNotNull() & ~F.isnan(cos), F.acos(F.greatest(F.least(cos, F.lit(1.0)), F.lit(-1.0))))
+
+
+def semantic_candidates(vectors: DataFrame, centroids: DataFrame, min_cos: float, pivots: int) -> DataFrame:
+    """Pairs of vectors and centroids that the angles to pivots leave open: `_v` (the vector's row), `_length`, hypotesis_id and unit.
+
+    Up to `pivots` centroids of each number of dimensions, by a hash of their id, are pivots; every centroid belongs to its nearest one's
+    cell, and there to a ring by its angle. A vector meets only the rings of the cells that its own angles allow: an angle
+    between two vectors is no less than the difference of their angles to a third.
+    """
+    turn, slack = math.acos(min_cos), 1e-6
+    ring = max(turn / 2, 1e-3)
+    size = F.nullif(_norm(F.col("centroid")), F.lit(0.0))
+    units = centroids.select("hypotesis_id", F.transform("centroid", lambda x: x / size).alias("unit"), F.size("centroid").alias("_dim"))
+    units = materialize(units.where(F.coalesce(F.forall("unit", lambda x: x.isNotNull() & ~F.isnan(x)), F.lit(False))), "centroids")
+    order = Window.partitionBy("_dim").orderBy(F.xxhash64("hypotesis_id"), "hypotesis_id")
+    chosen = units.withColumn("_cell", F.row_number().over(order)).where(F.col("_cell") <= pivots)
+    packed = materialize(chosen.select("_dim", "_cell", F.col("unit").alias("_pivot")), "pivots")
+
+    every = packed.agg(F.collect_list(F.struct("_dim", "_cell", "_pivot")).alias("p")).scalar()  # at most `pivots` a dimension
+    angles = F.transform("_p", lambda p: F.struct(F.when(p["_dim"] == F.col("_dim"), _angle(F.col("unit"), p["_pivot"])).alias("a"), p["_cell"].alias("c")))
+    nearest = F.array_min(F.filter(angles, lambda x: x["a"].isNotNull()))
+    placed = units.withColumn("_p", every).withColumn("_n", nearest).select("hypotesis_id", "unit", "_dim", F.col("_n.c").alias("_cell"), F.col("_n.a").alias("_beta"))
+    placed = materialize(placed.withColumn("_ring", F.floor(F.col("_beta") / ring).cast("int")), "cells")
+
+    widths = placed.groupBy("_dim", "_cell").agg(F.max("_beta").alias("_width"))
+    cells = packed.join(widths, ["_dim", "_cell"]).agg(F.collect_list(F.struct("_dim", "_cell", "_pivot", "_width")).alias("p")).scalar()
+    length = F.nullif(_norm(F.col("vec")), F.lit(0.0))
+    seen = vectors.select(F.struct("*").alias("_v"), F.col("vec").alias("_vec"), length.alias("_length")).withColumn("_p", cells)
+    unit = F.transform("_vec", lambda x: x / F.col("_length"))
+    turned = F.transform(
+        "_p", lambda p: F.struct(p["_dim"].alias("_dim"), p["_cell"].alias("_cell"), F.when(p["_dim"] == F.size("_vec"), _angle(F.col("_unit"), p["_pivot"])).alias("_alpha"), p["_width"].alias("_width"))
+    )
+    near = F.filter(turned, lambda p: p["_alpha"] - (turn + slack) <= p["_width"])
+    met = seen.withColumn("_unit", unit).select("_v", "_length", F.inline(near))
+    first, last = (F.floor(x / ring).cast("int") for x in (F.greatest(F.col("_alpha") - (turn + slack), F.lit(0.0)), F.least(F.col("_alpha") + (turn + slack), F.col("_width"))))
+    rings = met.withColumn("_ring", F.explode(F.sequence(first, F.greatest(first, last))))
+    open_still = (F.col("_beta") - F.col("_alpha")).between(-(turn + slack), turn + slack)
+    return rings.join(placed, ["_dim", "_cell", "_ring"]).where(open_still).select("_v", "_length", "hypotesis_id", "unit")
+
+
+def semantic_facts(vectors: DataFrame, centroids: DataFrame, min_cos: float = 0.65, pivots: int = 256) -> DataFrame:
     """(vector, centroid) pairs with cosine above `min_cos`.
 
-    `vectors`: any columns plus `vec array<double>`; `centroids`: `hypotesis_id, centroid`. Centroids are one
-    per hypothesis, a handful; they reach each task as one array from a scalar subquery, and unit length is
-    prepared once; only hits are emitted. A caller with very many centroids may deal them by hash over several `passes`
-    over the vectors, so that a task holds a share of them; results are the same. `centroids` is read once a pass: hand in a written frame.
+    `vectors`: any columns plus `vec array<double>`; `centroids`: `hypotesis_id, centroid`. Every vector is compared with `pivots`
+    centroids at most, which are sent to all tasks, and with those others that the pivots leave open (`semantic_candidates`), found by an equality
+    join; results are the same for any number. With a handful of centroids each is its own pivot and only hits are joined.
+    Vectors and centroids that are null, zero or hold nulls or NaN are near nothing.
     """
-    unit = F.transform("centroid", lambda x: x / _norm(F.col("centroid")))
-    sides = centroids.select("hypotesis_id", unit.alias("unit"))
-    result = None
-    for i in range(passes):
-        part = sides.where(F.pmod(F.hash("hypotesis_id"), F.lit(passes)) == i)
-        packed = part.agg(F.collect_list(F.struct("hypotesis_id", "unit")).alias("c")).scalar()
-        cosines = F.transform(
-            "_c",
-            lambda c: F.struct(
-                c["hypotesis_id"].alias("hypotesis_id"),
-                (_dot(F.col("vec"), c["unit"]) / F.nullif(F.col("_norm"), F.lit(0.0))).alias("similarity"),
-            ),
-        )
-        near = (
-            vectors.withColumn("_norm", _norm(F.col("vec")))
-            .withColumn("_c", packed)
-            .withColumn("_near", F.filter(cosines, lambda c: c["similarity"] > min_cos))
-            .select(*vectors.columns, F.inline_outer("_near"))
-            .where("hypotesis_id is not null")
-        )
-        result = near if result is None else result.unionAll(near)
-    return result
+    found = semantic_candidates(vectors, centroids, min_cos, pivots)
+    scored = found.withColumn("similarity", _dot(F.col("_v.vec"), F.col("unit")) / F.col("_length"))
+    return scored.where((F.col("similarity") > min_cos) & ~F.isnan("similarity")).select("_v.*", "hypotesis_id", "similarity")
 
 
 def _placed(df: DataFrame, lat: str, lon: str, at: str) -> DataFrame:

@@ -135,6 +135,6 @@ def registry_records(docs: DataFrame, keep: list[str]) -> DataFrame:
 
 def read_registry_csv(spark: SparkSession, path: str) -> DataFrame:
     """Registry files, one document per file."""
-    texts = spark.read.option("wholetext", True).text(path)
+    texts = spark.read.text(path, wholetext=True)
     docs = texts.select(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("source_file"), F.col("value").alias("text"))
     return registry_records(docs, ["source_file"])

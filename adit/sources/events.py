@@ -41,6 +41,6 @@ def feature_events(docs: DataFrame, keep: list[str]) -> DataFrame:
 
 
 def read_feature_json(spark: SparkSession, path: str) -> DataFrame:
-    texts = spark.read.option("wholetext", True).text(path)
+    texts = spark.read.text(path, wholetext=True)
     docs = texts.select(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("source_file"), F.col("value").alias("text"))
     return feature_events(docs, ["source_file"])

@@ -94,7 +94,25 @@ def csv_alias(spark, sf):
          CAST(CASE s_suppkey % 4 WHEN 0 THEN NULL ELSE s_suppkey % 4 END AS VARCHAR) AS category, CASE WHEN s_suppkey % 2 = 0 THEN '2027-03-05' END AS expiry_date FROM supplier""",
 )
 def registry_csv(spark, sf):
-    """One registry text per supplier, with three preamble rows and one of three delimiters."""
+    """One registry text per supplier, with three preamble rows and one of two delimiters."""
+    return delimited.registry_records(registry_texts(spark, sf), ["s_suppkey"]).select(
+        "s_suppkey", F.col("expert_lastname").alias("lastname"), F.col("expert_firstname").alias("firstname"), F.col("expert_middlename").alias("middlename"), "profession", "category", "expiry_date"
+    )
+
+
+@query(
+    "registry_files",
+    """SELECT s_name AS lastname, CASE WHEN s_suppkey % 5 <> 0 THEN 'горное дело, ' || s_nationkey END AS profession,
+         CAST(CASE s_suppkey % 4 WHEN 0 THEN NULL ELSE s_suppkey % 4 END AS VARCHAR) AS category, CASE WHEN s_suppkey % 2 = 0 THEN '2027-03-05' END AS expiry_date FROM supplier""",
+)
+def registry_files(spark, sf):
+    """The same registries as files, a file for each supplier."""
+    folder = scratch_path(spark, "registries")
+    registry_texts(spark, sf).write.partitionBy("s_suppkey").text(folder)
+    return delimited.read_registry_csv(spark, folder).select(F.col("expert_lastname").alias("lastname"), "profession", "category", "expiry_date")
+
+
+def registry_texts(spark, sf):
     key = F.col("s_suppkey")
     cells = [
         F.concat(F.col("s_name"), F.lit(" Имя О"), key.cast("string")),
@@ -112,16 +130,7 @@ def registry_csv(spark, sf):
         row(F.lit("Фамилия"), F.lit("x"), F.lit("y"), F.lit("z")),
         row(*cells),
     )
-    docs = load(spark, sf, "supplier").select("s_suppkey", F.replace(text, F.lit("\u0001"), sep).alias("text"))
-    return delimited.registry_records(docs, ["s_suppkey"]).select(
-        "s_suppkey",
-        F.col("expert_lastname").alias("lastname"),
-        F.col("expert_firstname").alias("firstname"),
-        F.col("expert_middlename").alias("middlename"),
-        "profession",
-        "category",
-        "expiry_date",
-    )
+    return load(spark, sf, "supplier").select("s_suppkey", F.replace(text, F.lit("\u0001"), sep).alias("text"))
 
 
 @query(
@@ -148,6 +157,25 @@ def xml_events(spark, sf):
 )
 def json_features(spark, sf):
     """One feature collection per event."""
+    docs = event_features(spark, sf).select("doc", F.to_json(F.struct(F.array("feature").alias("features"))).alias("text"))
+    return events.feature_events(docs, ["doc"]).drop("energy_class")
+
+
+@query(
+    "feature_files",
+    """SELECT 'f' || event_id AS event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS event_dttm, value AS magnitude, 72 + (user_id % 300) / 100 AS longitude,
+         49 + (user_id % 200) / 100 AS latitude, CASE WHEN event_id % 4 <> 0 THEN CAST(user_id AS DOUBLE) END AS depth_km, CASE WHEN event_id % 3 = 0 THEN 'USGS' ELSE event_type END AS source FROM events""",
+)
+def feature_files(spark, sf):
+    """Feature collections of up to 500 events, a file each, read as files."""
+    folder = scratch_path(spark, "features")
+    made = event_features(spark, sf).groupBy(F.floor(F.col("doc") / 500).alias("part")).agg(F.to_json(F.struct(F.collect_list("feature").alias("features"))).alias("value"))
+    made.write.partitionBy("part").text(folder)
+    return events.read_feature_json(spark, folder).drop("energy_class", "source_file")
+
+
+def event_features(spark, sf):
+    """Events as features, with their number."""
     lon, lat = F.lit(72) + (F.col("user_id") % 300) / 100, F.lit(49) + (F.col("user_id") % 200) / 100
     coordinates = F.when(F.col("event_id") % 4 != 0, F.array(lon, lat, F.col("user_id").cast("double"))).otherwise(F.array(lon, lat))
     feature = F.struct(
@@ -159,8 +187,7 @@ def json_features(spark, sf):
         ).alias("properties"),
         F.struct(coordinates.alias("coordinates")).alias("geometry"),
     )
-    docs = load(spark, sf, "events").select(F.col("event_id").alias("doc"), F.to_json(F.struct(F.array(feature).alias("features"))).alias("text"))
-    return events.feature_events(docs, ["doc"]).drop("energy_class")
+    return load(spark, sf, "events").select(F.col("event_id").alias("doc"), feature.alias("feature"))
 
 
 _JSON_SQL = "SELECT c_custkey, c_name, c_acctbal, CASE WHEN c_custkey % 6 = 5 THEN NULL ELSE c_mktsegment END AS c_mktsegment, c_name AS source_file FROM customer"

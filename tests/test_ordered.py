@@ -3,6 +3,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -119,24 +120,43 @@ def test_a_million_events_in_one_cell(spark):
     assert 0 < sum(got.values()) < 20_000
 
 
-def test_cosine_hits_do_not_depend_on_the_number_of_passes(spark):
-    rnd = random.Random(5)
-    vec = [(i, [rnd.uniform(-1, 1) for _ in range(6)]) for i in range(60)] + [(99, [0.0] * 6)]
-    cen = [(f"H{i}", [rnd.uniform(-1, 1) for _ in range(6)]) for i in range(9)]
+def cosine(a, b):
+    dot, na, nb = sum(x * y for x, y in zip(a, b)), sum(x * x for x in a) ** 0.5, sum(x * x for x in b) ** 0.5
+    return dot / (na * nb) if na and nb else 0.0
 
-    def cosine(a, b):
-        dot, na, nb = sum(x * y for x, y in zip(a, b)), sum(x * x for x in a) ** 0.5, sum(x * x for x in b) ** 0.5
-        return dot / (na * nb) if na and nb else 0.0
 
-    expected = {(i, h) for i, a in vec for h, b in cen if cosine(a, b) > 0.65}
-    v, c = spark.createDataFrame(vec, "i int, vec array<double>"), spark.createDataFrame(cen, "hypotesis_id string, centroid array<double>")
-    for passes in (1, 4):
-        assert {(r["i"], r["hypotesis_id"]) for r in joins.semantic_facts(v, c, 0.65, passes).collect()} == expected
+@pytest.mark.parametrize("min_cos", [0.65, 0.95, 0.0, -0.4])
+def test_cosine_hits_do_not_depend_on_the_number_of_pivots(spark, min_cos):
+    rnd = random.Random(5)
+    vec = [(i, [rnd.uniform(-1, 1) for _ in range(6)]) for i in range(60)] + [(99, [0.0] * 6), (98, [math.nan] * 6), (97, None), (96, [1.0, None] * 3), (95, [1.0, 2.0])]
+    cen = [(f"H{i}", [rnd.uniform(-1, 1) for _ in range(6)]) for i in range(9)] + [("Z", [0.0] * 6), ("N", None), ("S", [1.0, 2.1])]
+    usable = lambda v: v and None not in v and not math.isnan(v[0]) and any(v)
+    expected = {(i, h) for i, a in vec for h, b in cen if usable(a) and usable(b) and len(a) == len(b) and cosine(a, b) > min_cos}
+    v, c = spark.createDataFrame([(*r, "x", 1) for r in vec], "i int, vec array<double>, unit string, _cell int"), spark.createDataFrame(cen, "hypotesis_id string, centroid array<double>")
+    for pivots in (1, 3, 256):
+        assert {(r["i"], r["hypotesis_id"]) for r in joins.semantic_facts(v, c, min_cos, pivots).collect()} == expected
+
+
+def test_ten_thousand_centroids_form_few_pairs(spark):
+    """Centroids in bundles, as topics are; every hit of brute force is found, most pairs are never formed."""
+    rng = np.random.default_rng(6)
+    bundles = rng.normal(size=(200, 32))
+    near = lambda n, width: bundles[rng.integers(0, 200, n)] + width * rng.normal(size=(n, 32))
+    cen, vec = near(10_000, 0.15), np.concatenate([near(250, 0.3), rng.normal(size=(50, 32))])
+    c = spark.createDataFrame([(f"H{i}", x) for i, x in enumerate(cen.tolist())], "hypotesis_id string, centroid array<double>")
+    v = spark.createDataFrame(list(enumerate(vec.tolist())), "i int, vec array<double>")
+    unit = lambda x: x / np.sqrt((x * x).sum(1, keepdims=True))
+    hits = {(int(i), f"H{j}") for i, j in zip(*np.nonzero(unit(vec) @ unit(cen).T > 0.85))}
+    assert {(r["i"], r["hypotesis_id"]) for r in joins.semantic_facts(v, c, 0.85).collect()} == hits and len(hits) > 5000
+    pairs = joins.semantic_candidates(v, c, 0.85, 256).count()
+    assert len(hits) <= pairs < 0.2 * 300 * 10_000
 
 
 def test_centroid_is_the_mean(spark):
-    v = spark.createDataFrame([("a", [1.0, 2.0]), ("a", [3.0, 6.0]), ("b", [0.0, 1.0])], "k string, vec array<double>")
-    assert {r["k"]: list(r["centroid"]) for r in aggregates.vector_centroid(v, "k").collect()} == {"a": [2.0, 4.0], "b": [0.0, 1.0]}
+    v = spark.createDataFrame([("a", [1.0, 2.0]), ("a", [3.0, 6.0]), ("a", None), ("a", [1.0, None]), ("a", []), ("b", [0.0, 1.0]), (None, [2.0])], "k string, vec array<double>")
+    got = aggregates.vector_centroid(v, "k")
+    assert {r["k"]: list(r["centroid"]) for r in got.collect()} == {"a": [2.0, 4.0], "b": [0.0, 1.0], None: [2.0]}
+    assert "Generate" not in got._jdf.queryExecution().executedPlan().toString()
 
 
 def test_ambiguous_people_get_no_id(spark):
