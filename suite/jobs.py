@@ -578,3 +578,34 @@ def job_witness_statement(spark, sf):
     rows = run_job("witness_statement", docs(orders(spark, sf), k, F.lit("witness.txt"), body))
     first = F.nullif(F.substring_index("extracted_events", "; ", -1), F.lit(""))
     return rows.select("incident_id", "witness_name", "statement_datetime", "testimony_text", F.regexp_replace(first, r"^(?s).*Ответ: ", "").alias("event"))
+
+
+@query(
+    "ingest_documents",
+    """WITH c AS (SELECT c_custkey AS k, 'INC-' || (c_nationkey % 5) AS incident_id FROM customer),
+         f AS (SELECT incident_id, 'gas_analysis' AS table_name, CASE WHEN k % 7 = 0 THEN 0 ELSE 1 + k % 3 END AS records FROM c
+               UNION ALL SELECT incident_id, 'equipment_issue_log', CASE WHEN k % 11 = 0 THEN 0 ELSE 1 END FROM c)
+       SELECT incident_id, table_name, CASE WHEN records = 0 THEN 'failed' ELSE 'ok' END AS status, count(*) AS files, CAST(sum(records) AS BIGINT) AS records,
+         CAST(sum(sum(records)) OVER (PARTITION BY incident_id, table_name) AS BIGINT) AS stored FROM f GROUP BY 1, 2, 3""",
+)
+def ingest_documents(spark, sf):
+    """The whole plan over two documents a customer, some without a row: routed, landed, extracted, numbered, stored; files by outcome beside the stored rows."""
+    from adit.plans.ingest import ingest_results
+    from adit.session import scratch_path
+    from adit.tables.store import SnapshotTable
+
+    k = F.col("c_custkey")
+    reading = lambda i: F.when(k % 3 >= i, s("| 0", i, ":00 | Точка ", k, " | 1 | 0.", k % 9, " | |"))
+    gas = text("ЗАПИСИ ЗАМЕРОВ", "Дата: 27.10.2023", "", "| Время замера | Точка замера | Расход смеси, м³/мин | CH4, % | Примечание |", "|---|---|---|---|---|", *[reading(F.lit(i)) for i in range(3)])
+    issued = text("Ответственный: Ким", "| Дата выдачи | Оборудование | Кол-во | Кому выдано |", "|---|---|---|---|", s("| 27.10.2023 | Молоток ", k, " | 1 | Петров П.П. |"))
+    nothing = F.lit("пусто")
+    files = F.array(
+        F.struct(s("gas_measurements_", k, ".txt").alias("source_file"), F.when(k % 7 == 0, nothing).otherwise(gas).alias("text")),
+        F.struct(s("equipment_issue_log_", k, ".txt").alias("source_file"), F.when(k % 11 == 0, nothing).otherwise(issued).alias("text")),
+    )
+    given = load(spark, sf, "customer").select(s("INC-", F.col("c_nationkey") % 5).alias("incident_id"), F.inline(files))
+    root = scratch_path(spark, "lake")
+    results = ingest_results(spark, given, root, "20260101T000000", with_metrics=False)
+    stored = [SnapshotTable(spark, root, t).read().groupBy("incident_id").agg(F.count("*").alias("stored")).withColumn("table_name", F.lit(t)) for t in ("gas_analysis", "equipment_issue_log")]
+    by_outcome = results.groupBy("incident_id", "table_name", "status").agg(F.count("*").alias("files"), F.sum("records").alias("records"))
+    return by_outcome.join(stored[0].unionByName(stored[1]), ["incident_id", "table_name"])
