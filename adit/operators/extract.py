@@ -54,6 +54,16 @@ def line_blocks(text: Column, marker: str, anchored: bool = False) -> Column:
     return F.split(F.concat(F.lit("\n"), text), rf"\n(?={lead}(?:{marker}))", -1)
 
 
+def blocks_in(text: Column, marker: str, anchored: bool = False) -> Column:
+    """Marked blocks as an array: `block_no` from 1, `head` (the marker line) and `body` (the lines after it)."""
+
+    def block(x: Column, i: Column) -> Column:
+        return F.struct((i + 1).alias("block_no"), F.substring_index(x, "\n", 1).alias("head"), F.regexp_replace(x, r"^[^\n]*\n?", "").alias("body"))
+
+    cut = line_blocks(text, marker, anchored)
+    return F.transform(F.slice(cut, 2, F.size(cut)), block)
+
+
 def split_blocks(docs: DataFrame, marker: str, keep: list[str] | None = None, anchored: bool = False) -> DataFrame:
     """One row per marked block: `block_no` from 1, `head` (the marker line) and `body` (the lines after it)."""
     cols = _keep(docs, keep, "text")
@@ -204,12 +214,16 @@ def numbered_items(lines: DataFrame, keep: list[str] | None = None) -> DataFrame
     )
 
 
+def facts_in(text: Column) -> Column:
+    """`- fact` items as an array. Lines below an item continue it up to a blank line."""
+    parts = F.split(F.concat(F.lit("\n"), text), r"\n\s*[-•]\s+", -1)
+    return F.transform(F.slice(parts, 2, F.size(parts)), lambda x: tx.strip(F.regexp_replace(x, r"(?s)\n\s*\n.*$", "")))
+
+
 def bullet_facts(blocks: DataFrame, text: str = "body", min_len: int = 10, keep: list[str] | None = None) -> DataFrame:
-    """`- fact` items of a block, at least `min_len` long. Lines below an item continue it up to a blank line."""
+    """`- fact` items of a block, at least `min_len` long."""
     cols = _keep(blocks, keep, text)
-    parts = F.split(F.concat(F.lit("\n"), F.col(text)), r"\n\s*[-•]\s+", -1)
-    facts = F.transform(F.slice(parts, 2, F.size(parts)), lambda x: tx.strip(F.regexp_replace(x, r"(?s)\n\s*\n.*$", "")))
-    return blocks.select(*cols, F.posexplode_outer(facts).alias("fact_no", "fact")).where(F.length("fact") >= min_len)
+    return blocks.select(*cols, F.posexplode_outer(facts_in(F.col(text))).alias("fact_no", "fact")).where(F.length("fact") >= min_len)
 
 
 def sentences_with(text: Column, words, limit: int | None = None) -> Column:

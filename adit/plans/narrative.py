@@ -32,26 +32,47 @@ EXPERT = [r"Эксперт:\s*([А-ЯЁ][а-яё]+\s+[А-ЯЁ]\.\s*[А-ЯЁ]\.)"
 SECTIONS = r"(?iu)секци[яи]\s+(\d+)-(\d+)"
 
 
-def act_facts(docs: DataFrame, keep: list[str]) -> DataFrame:
+def _facts(places: Column, body, date, place) -> Column:
+    """Facts of blocks as an array: ord, fact, inspection_date and location. `body`, `date` and `place` are functions of a block."""
+
+    def of_block(b: Column) -> Column:
+        def row(fact: Column, i: Column) -> Column:
+            return F.struct(position(b["block_no"], i), fact.alias("fact"), date(b).alias("inspection_date"), place(b).alias("location"))
+
+        return F.transform(X.facts_in(body(b)), row)
+
+    return F.flatten(F.transform(places, of_block))
+
+
+def act_facts() -> Column:
     """`- fact` items of the numbered places of an inspection act; the place's heading is the location."""
-    results = docs.select(*keep, F.regexp_extract("text", RESULTS, 1).alias("text"))
-    places = X.split_blocks(results, r"\d+\.\s", keep, anchored=True).withColumn(
-        "location", T.strip(F.regexp_extract("head", r"^\d+\.\s+([^:\n(]+)", 1))
-    )
-    return X.bullet_facts(places.select(*keep, "block_no", "location", "body"), "body", 1)
-
-
-def descents(docs: DataFrame, keep: list[str]) -> DataFrame:
-    """Dated descents of an inspection diary: date, route, examined text and seized items."""
-    body = F.col("body")
-    return X.split_blocks(docs, DESCENT, keep).select(
-        *keep,
-        "block_no",
-        D.iso_date(F.regexp_extract("head", r"\((\d{2}\.\d{2}\.\d{4})\)", 1)).alias("inspection_date"),
-        T.first_match(body, [r"Маршрут:\s*([^\n]+)"]).alias("route"),
-        F.regexp_extract("body", EXAMINED, 1).alias("examined"),
-        T.first_match(body, [r"Изъято:\s*([^\n]+)"]).alias("seized"),
-    )
+    places = X.blocks_in(F.regexp_extract("text", RESULTS, 1), r"\d+\.\s", anchored=True)
+    heading = lambda b: T.strip(F.regexp_extract(b["head"], r"^\d+\.\s+([^:\n(]+)", 1))
+    return _facts(places, lambda b: b["body"], lambda b: F.lit(None).cast("string"), heading)
+
+
+def descents() -> Column:
+    """Dated descents of an inspection diary as an array: block_no, inspection_date, route, examined text and seized items."""
+
+    def descent(b: Column) -> Column:
+        return F.struct(
+            b["block_no"].alias("block_no"),
+            D.iso_date(F.regexp_extract(b["head"], r"\((\d{2}\.\d{2}\.\d{4})\)", 1)).alias("inspection_date"),
+            T.first_match(b["body"], [r"Маршрут:\s*([^\n]+)"]).alias("route"),
+            F.regexp_extract(b["body"], EXAMINED, 1).alias("examined"),
+            T.first_match(b["body"], [r"Изъято:\s*([^\n]+)"]).alias("seized"),
+        )
+
+    return F.transform(X.blocks_in(F.col("text"), DESCENT), descent)
+
+
+def diary_facts(dived: Column) -> Column:
+    return _facts(dived, lambda b: b["examined"], lambda b: b["inspection_date"], lambda b: b["route"])
+
+
+def _remark(place: Column, text: Column, date: Column, location: Column) -> Column:
+    """A row beside the facts, of the same columns; its text is null where there is nothing to say."""
+    return F.struct(place, text.alias("fact"), date.alias("inspection_date"), location.alias("location"))
 
 
 def _span(c: Column, lead: str = "секции ") -> Column:
@@ -90,11 +111,11 @@ def _named_object(fact: Column, place: Column) -> Column:
     )
 
 
-def _areas(facts: DataFrame, place: Column, *order: str) -> DataFrame:
+def _areas(facts: DataFrame, place: Column) -> DataFrame:
     fact = F.col("fact")
-    return facts.select(
+    return facts.where(F.length("fact") >= 1).select(
         *DOC,
-        position(*order),
+        "ord",
         _named_object(fact, place).alias("premise_id"),
         C.damage_class(fact).alias("damage_type"),
         fact.alias("damage_description"),
@@ -104,39 +125,47 @@ def _areas(facts: DataFrame, place: Column, *order: str) -> DataFrame:
 
 
 def explosion_model(docs: DataFrame) -> DataFrame:
-    """The seat of the explosion and every numbered place of the damage zone."""
+    """The seat of the explosion and every numbered place of the damage zone, in one read."""
     face = F.coalesce(_label(r"Лава\s+([0-9К-]+)"), F.lit("Unknown"))
     ch4 = F.coalesce(_label(r"Концентрация CH4:\s*([\d.]+)%"), F.lit("N/A"))
-    seat = docs.select(
-        *DOC,
-        position(0),
-        F.concat(F.lit("Лава "), face).alias("premise_id"),
-        F.lit("первичный взрыв").alias("damage_type"),
-        F.concat(F.lit("очаг взрыва, концентрация CH4 "), ch4, F.lit("%")).alias("damage_description"),
-        F.lit(1).alias("is_primary_blast_zone"),
-        _span(F.col("text")).alias("geo_metca"),
-    )
-    zone = X.numbered_items(X.sections(docs, [("ЗОНА ВНЕ ПОРАЖЕНИЯ", None), ("ЗОНА ПОРАЖЕНИЯ", "zone")], DOC))
-    hit = zone.select(
-        *DOC,
-        position("block_no", "line_no"),
-        F.col("item").alias("premise_id"),
-        F.lit("поражение ударной волной").alias("damage_type"),
-        F.concat(F.lit("зона поражения: "), "item").alias("damage_description"),
-        F.lit(0).alias("is_primary_blast_zone"),
+    no_text = F.lit(None).cast("string")
+
+    def row(place, premise, kind, told, primary, span):
+        return F.struct(
+            place, premise.alias("premise_id"), F.lit(kind).alias("damage_type"), told.alias("damage_description"), F.lit(primary).alias("is_primary_blast_zone"), span.alias("geo_metca")
+        )
+
+    seat = row(
+        position(0), F.concat(F.lit("Лава "), face), "первичный взрыв", F.concat(F.lit("очаг взрыва, концентрация CH4 "), ch4, F.lit("%")), 1, _span(F.col("text"))
     )
-    return seat.unionByName(hit, allowMissingColumns=True)
+
+    def places(block: Column) -> Column:
+        items = F.transform(
+            F.slice(F.split(block["body"], "\n", -1), 1, 1 << 30),
+            lambda line, i: F.struct(position(block["block_no"], i), F.when(line.rlike(r"^\s*\d+\.\s*\S"), T.strip(F.regexp_extract(line, X.ITEM, 1))).alias("item")),
+        )
+        hit = F.filter(items, lambda x: x["item"].isNotNull())
+        return F.transform(hit, lambda x: row(x["ord"].alias("ord"), x["item"], "поражение ударной волной", F.concat(F.lit("зона поражения: "), x["item"]), 0, no_text))
+
+    marked = X.blocks_in(F.col("text"), "ЗОНА ВНЕ ПОРАЖЕНИЯ|ЗОНА ПОРАЖЕНИЯ")
+    zone = F.filter(marked, lambda b: b["head"].contains("ЗОНА ПОРАЖЕНИЯ") & ~b["head"].contains("ЗОНА ВНЕ ПОРАЖЕНИЯ"))
+    rows = F.concat(F.array(seat), F.coalesce(F.flatten(F.transform(zone, places)), F.array().cast(ROWS_OF_MODEL)))
+    return docs.select(*DOC, F.inline(rows))
+
+
+#: What explosion_model makes of a document.
+ROWS_OF_MODEL = "array<struct<ord: array<bigint>, premise_id: string, damage_type: string, damage_description: string, is_primary_blast_zone: int, geo_metca: string>>"
 
 
 def areas_of_act(docs: DataFrame) -> DataFrame:
-    return _areas(act_facts(docs, DOC), F.col("location"), "block_no", "fact_no")
+    return _areas(docs.select(*DOC, F.inline(act_facts())), F.col("location"))
 
 
 def areas_of_diary(docs: DataFrame) -> DataFrame:
-    facts = X.bullet_facts(descents(docs, DOC).select(*DOC, "block_no", "route", "examined"), "examined", 1)
+    facts = docs.select(*DOC, descents().alias("_dived")).select(*DOC, F.inline(diary_facts(F.col("_dived"))))
     # Fixed value: the face all descents belong to unless a fact names something else.
     behind = F.when(F.lower("fact").contains("за секциями"), "Выработанное пространство").otherwise("Лава 48 К3-з")
-    return _areas(facts, behind, "block_no", "fact_no")
+    return _areas(facts, behind)
 
 
 def areas_mentioned(docs: DataFrame) -> DataFrame:
@@ -199,25 +228,28 @@ def _equipment_in(fact: Column) -> Column:
     )
 
 
-def _inspected(facts: DataFrame, location: Column, *order: str) -> DataFrame:
+def _inspected(rows: DataFrame, location: Column) -> DataFrame:
+    """Rows of facts and remarks (`noted`); what is read out of a fact stays empty for remarks."""
     fact = F.col("fact")
-    return facts.select(
+    read = lambda c: F.when(~F.col("noted"), c)
+    return rows.where("fact IS NOT NULL AND (noted OR length(fact) >= 1)").select(
         *DOC,
-        position(*order),
+        "ord",
         "inspection_date",
         fact.alias("fact_description"),
         "inspector_name",
         location.alias("location"),
-        F.when(T.contains_any(fact, V.CONDITION_WORDS), fact).alias("condition_description"),
-        F.when(T.contains_any(fact, V.VIOLATION_WORDS), _violations(fact)).alias("violations_found"),
-        _equipment_in(fact).alias("equipment_name"),
+        read(F.when(T.contains_any(fact, V.CONDITION_WORDS), fact)).alias("condition_description"),
+        read(F.when(T.contains_any(fact, V.VIOLATION_WORDS), _violations(fact))).alias("violations_found"),
+        read(_equipment_in(fact)).alias("equipment_name"),
     )
 
 
-def _remark(rows: DataFrame, place: Column, text: Column, date: Column, location: Column) -> DataFrame:
-    return rows.select(
-        *DOC, place, date.alias("inspection_date"), text.alias("fact_description"), "inspector_name", location.alias("location")
-    ).where("fact_description is not null")
+def _told(docs: DataFrame, keep: list[str], facts: Column, remarks: Column) -> DataFrame:
+    """Facts and remarks of a document, exploded once."""
+    mark = lambda rows, noted: F.transform(rows, lambda r: r.withField("noted", F.lit(noted)))
+    both = F.concat(F.coalesce(mark(facts, False), F.filter(mark(remarks, False), lambda r: F.lit(False))), mark(remarks, True))
+    return docs.select(*keep, F.inline(both))
 
 
 def inspection_act(docs: DataFrame) -> DataFrame:
@@ -227,34 +259,27 @@ def inspection_act(docs: DataFrame) -> DataFrame:
         D.iso_date(_label(*ACT_DATE)).alias("inspection_date"),
         F.nullif(F.array_join(team, "; "), F.lit("")).alias("inspector_name"),
     )
-    keep = [*DOC, "inspection_date", "inspector_name"]
-    facts = act_facts(told, keep).where(F.length("fact") >= 10)
-    summed = _remark(
-        told, position(LAST), F.concat(F.lit("ЗАКЛЮЧЕНИЕ: "), T.first_match(F.col("text"), CONCLUSION)), F.col("inspection_date"), F.lit("общее")
-    )
-    return _inspected(facts, F.col("location"), "block_no", "fact_no").unionByName(summed, allowMissingColumns=True)
+    summed = _remark(position(LAST), F.concat(F.lit("ЗАКЛЮЧЕНИЕ: "), T.first_match(F.col("text"), CONCLUSION)), F.lit(None).cast("string"), F.lit("общее"))
+    long_enough = F.filter(act_facts(), lambda f: F.length(f["fact"]) >= 10)
+    rows = _told(told, [*DOC, F.col("inspection_date").alias("_date"), "inspector_name"], long_enough, F.array(summed))
+    return _inspected(rows.drop("inspection_date").withColumnRenamed("_date", "inspection_date"), F.col("location"))
 
 
 def inspection_diary(docs: DataFrame) -> DataFrame:
-    told = docs.withColumn("inspector_name", _label(*EXPERT))
-    keep = [*DOC, "inspector_name"]
-    dived = descents(told, keep)
-    facts = X.bullet_facts(dived.select(*keep, "block_no", "inspection_date", "route", "examined"), "examined", 1)
+    told = docs.select(*DOC, "text", _label(*EXPERT).alias("inspector_name"), descents().alias("_dived"))
+    seized = F.transform("_dived", lambda b: _remark(position(b["block_no"], LAST), F.concat(F.lit("Изъято: "), b["seized"]), b["inspection_date"], b["route"]))
+    summed = _remark(position(LAST), F.concat(F.lit("ОБЩИЙ ВЫВОД: "), _label(r"Общий вывод:\s*([^\n]+)")), F.lit(None).cast("string"), F.lit("общее"))
+    remarks = F.concat(F.coalesce(seized, F.filter(F.array(summed), lambda r: F.lit(False))), F.array(summed))
+    rows = _told(told, [*DOC, "inspector_name"], diary_facts(F.col("_dived")), remarks)
     folded = F.lower("fact")
     place = (
-        F.when(folded.contains("секции"), "Лава 48 К3-з")
+        F.when(F.col("noted"), F.col("location"))
+        .when(folded.contains("секции"), "Лава 48 К3-з")
         .when(folded.contains("за секциями"), "Выработанное пространство")
         .when(folded.contains("камера"), "Камера комбайна")
-        .otherwise(F.col("route"))
-    )
-    seized = _remark(
-        dived, position("block_no", LAST), F.concat(F.lit("Изъято: "), "seized"), F.col("inspection_date"), F.col("route")
-    )
-    summed = _remark(
-        told, position(LAST), F.concat(F.lit("ОБЩИЙ ВЫВОД: "), _label(r"Общий вывод:\s*([^\n]+)")), F.lit(None).cast("string"), F.lit("общее")
+        .otherwise(F.col("location"))
     )
-    rows = _inspected(facts, place, "block_no", "fact_no")
-    return rows.unionByName(seized, allowMissingColumns=True).unionByName(summed, allowMissingColumns=True)
+    return _inspected(rows, place)
 
 
 def inspection_mentions(docs: DataFrame) -> DataFrame:
@@ -264,8 +289,8 @@ def inspection_mentions(docs: DataFrame) -> DataFrame:
         F.nullif(F.array_join(F.regexp_extract_all(F.regexp_extract("text", INSPECTORS, 1), F.lit(INSPECTOR), F.lit(1)), "; "), F.lit("")).alias("inspector_name"),
         F.posexplode_outer(F.regexp_extract_all("text", F.lit(r"[-•]\s*([А-ЯЁ][^.\n]+[.!?]?)"), F.lit(1))).alias("pos", "_fact"),
     )
-    facts = told.withColumn("fact", T.strip(F.col("_fact"))).where(F.length("fact") >= 10)
-    return _inspected(facts, T.first_match(F.col("fact"), FACT_PLACES), "pos")
+    facts = told.withColumns({"fact": T.strip(F.col("_fact")), "noted": F.lit(False)}).where(F.length("fact") >= 10)
+    return _inspected(facts.withColumn("ord", F.array(F.col("pos").cast("bigint"))), T.first_match(F.col("fact"), FACT_PLACES))
 
 
 register_extractor(

@@ -216,3 +216,14 @@ def test_stream_takes_each_file_once_and_a_replayed_batch_adds_nothing(spark, tm
     batch_rows = run_job("gas_analysis", batch)
     stored = SnapshotTable(spark, root, "gas_analysis").read()
     assert stored.where(F.col("source_file") == "gas_measurements_1.txt").drop("measurement_id").exceptAll(batch_rows.drop("measurement_id")).isEmpty()
+
+
+@pytest.mark.parametrize(("table", "name"), [("inspection_description", "inspection_act.txt"), ("inspection_description", "inspection_diary.txt"), ("affected_areas", "explosion_model.txt"), ("affected_areas", "inspection_diary.txt")])
+def test_a_layout_reads_a_document_once(spark, docs, table, name):
+    """All parts of a document come from one scan of it."""
+    text = next(g[2] for g in GOLDEN if g[0] == table and g[1] == name) if any(g[:2] == (table, name) for g in GOLDEN) else "x"
+    folder = scratch_path(spark, "once")
+    docs((name, text)).write.parquet(folder)
+    layout = next(run for words, run in ((w, r) for _, w, r in JOBS[table].layouts) if any(w in name for w in words))
+    plan = layout(spark.read.parquet(folder))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1 and "Union" not in plan
