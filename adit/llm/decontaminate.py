@@ -25,6 +25,8 @@ from adit.llm.words import ALPHANUMERIC, covered, list_array, slices, split
 from adit.session import scratch_path
 
 SHARD_BYTES = 4 << 20
+#: Postings of rarest terms that are looked at together.
+CANDIDATES = 1 << 18
 #: Words of test phrases that one search block holds at most (a longer single item is a block of its own).
 BLOCK_WORDS = 1 << 20
 INDEX = "shard string, doc_ids binary, known binary, starts binary, terms array<string>, sizes binary, places binary"
@@ -90,40 +92,64 @@ class ShardIndex:
         begins = runs(whose)[:-1] if len(whose) else nothing
         if not len(begins):
             return nothing, nothing, nothing
+        sizes = np.cumsum(self.sizes[term[begins]])
+        found, k = [], 0
+        while k < len(begins):  # as many phrases at once as their rarest postings allow
+            last = max(k + 1, int(np.searchsorted(sizes, (sizes[k - 1] if k else 0) + CANDIDATES, "right")))
+            found.append((self._near if slop else self._exact)(begins[k:last], whose, term, offset, lengths, slop))
+            k = last
+        return tuple(np.concatenate([f[c] for f in found]) for c in range(3))
+
+    def _candidates(self, begins: np.ndarray, term: np.ndarray, offset: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The postings of the phrases' first terms: the row of each one's term, its word, and where the phrase would start."""
         n = self.sizes[term[begins]]
         at = np.repeat(self.first[term[begins]] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        row = np.repeat(begins, n)  # the row of each candidate's next term
+        row = np.repeat(begins, n)
         word = self.postings[at] & 0xFFFFFFFF
-        doc = np.searchsorted(self.starts, word, "right") - 1
-        start = word - offset[row]
-        if slop:  # every start that this posting allows, once
-            around = np.arange(-slop, slop + 1)
-            every = np.stack([np.repeat(row, len(around)), np.repeat(doc, len(around)), (start[:, None] + around).ravel()])
-            row, doc, start = np.unique(every, axis=1)
+        return row, word, word - offset[row]
+
+    def _exact(self, begins, whose, term, offset, lengths, slop) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Starts whose terms all stand at their places: postings that are moved back by their offsets, intersected term by term."""
+        row, _, place = self._candidates(begins, term, offset)
+        kept = (place >= 0) & (place < self.starts[-1])
+        row, place = row[kept], place[kept]
+        kept = place + lengths[whose[row]] <= self.starts[np.searchsorted(self.starts, place, "right")]
+        row, place = row[kept], place[kept]
+        phrase, left, step, done = whose[row], lengths[whose[row]], 1, []
+        while len(row):
+            whole = left == step
+            done.append((phrase[whole], place[whole], place[whole] + step))
+            row, place, phrase, left = (x[~whole] for x in (row, place, phrase, left))
+            row, step = row + 1, step + 1
+            wanted = (term[row] << 32) + place + offset[row]
+            i = np.minimum(np.searchsorted(self.postings, wanted), len(self.postings) - 1)
+            found = self.postings[i] == wanted
+            row, place, phrase, left = (x[found] for x in (row, place, phrase, left))
+        return tuple(np.concatenate([d[c] for d in done]) if done else np.zeros(0, np.int64) for c in range(3))
+
+    def _near(self, begins, whose, term, offset, lengths, slop) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The same within `slop` words: every start that a posting of the rarest term allows, once, and all terms around it."""
+        row, word, start = self._candidates(begins, term, offset)
+        doc, around = np.searchsorted(self.starts, word, "right") - 1, np.arange(-slop, slop + 1)
+        row, doc, start = np.unique(np.stack([np.repeat(row, len(around)), np.repeat(doc, len(around)), (start[:, None] + around).ravel()]), axis=1)
         low_end, high_end = self.starts[doc], self.starts[doc + 1]  # the document's words
-        if not slop:
-            kept = (start >= low_end) & (start + lengths[whose[row]] <= high_end)
-            row, start, low_end, high_end = row[kept], start[kept], low_end[kept], high_end[kept]
         phrase, left = whose[row], lengths[whose[row]]
         first, last = np.full(len(row), np.iinfo(np.int64).max), np.full(len(row), -1)
         done, step = [], 0
         row = row - 1
         while len(row):
-            row = row + 1
-            base, step = term[row] << 32, step + 1
+            row, step = row + 1, step + 1
+            base = term[row] << 32
             low = base + np.maximum(start + offset[row] - slop, low_end)
             high = base + np.minimum(start + offset[row] + slop, high_end - 1)
-            i = np.searchsorted(self.postings, low)
-            j = np.searchsorted(self.postings, high, "right") - 1 if slop else i
-            found = (i < len(self.postings)) & (low <= high)
-            i = np.minimum(i, len(self.postings) - 1)
-            found &= (self.postings[i] <= high) & (j >= i)
-            first, last = np.minimum(first, self.postings[i] & 0xFFFFFFFF), np.maximum(last, self.postings[np.maximum(np.minimum(j, len(self.postings) - 1), 0)] & 0xFFFFFFFF)
-            row, start, low_end, high_end, phrase, left, first, last = (x[found] for x in (row, start, low_end, high_end, phrase, left, first, last))
+            i, j = np.searchsorted(self.postings, low), np.searchsorted(self.postings, high, "right") - 1
+            found = (low <= high) & (i <= j)
+            row, start, low_end, high_end, phrase, left, first, last, i, j = (x[found] for x in (row, start, low_end, high_end, phrase, left, first, last, i, j))
+            first, last = np.minimum(first, self.postings[i] & 0xFFFFFFFF), np.maximum(last, self.postings[j] & 0xFFFFFFFF)
             whole = left == step
             done.append((phrase[whole], first[whole], last[whole] + 1))
             row, start, low_end, high_end, phrase, left, first, last = (x[~whole] for x in (row, start, low_end, high_end, phrase, left, first, last))
-        return tuple(np.concatenate([d[k] for d in done]) if done else nothing for k in range(3))
+        return tuple(np.concatenate([d[c] for d in done]) if done else np.zeros(0, np.int64) for c in range(3))
 
 
 def blocks(items: Iterator[tuple[str, str | None]], width: int, block_words: int) -> Iterator[tuple[list[str], list[list[int]], list[list[str]]]]:

@@ -68,6 +68,17 @@ def test_proximity_against_brute_force(spark, table, slop):
     assert sorted((r.doc_id, r.n_hit) for r in got) == near(rows, items, 4, slop)
 
 
+def test_candidates_in_parts(spark, table, corpus, items, monkeypatch):
+    from adit.llm import decontaminate as d
+
+    rows, frame = items
+    shard = d.ShardIndex(build_index(table(corpus).coalesce(1), scratch_path(spark, "postings")).toArrow().to_batches()[0], 0)
+    vocabulary, phrases, _ = next(d.blocks(((r[0], r[1]) for r in rows), 10, 1 << 20))
+    whole = {slop: sorted(zip(*(x.tolist() for x in shard.search(phrases, vocabulary, slop)))) for slop in (0, 2)}
+    monkeypatch.setattr(d, "CANDIDATES", 3)
+    assert whole == {slop: sorted(zip(*(x.tolist() for x in shard.search(phrases, vocabulary, slop)))) for slop in (0, 2)} and whole[0]
+
+
 def test_proximity_does_not_depend_on_other_documents(spark, table):
     items = spark.createDataFrame([(9, "a b c d")], "item_id long, text string")
     for others in ([], [(2, "a b c a b c")], [(2, "d d d d d")]):
