@@ -18,6 +18,7 @@ from adit.sources.events import feature_events
 # ---- air_analysis ------------------------------------------------------------------------------------------
 
 NOTICE = r"--- Извещение № \d+ от \d{2}\.\d{2}\.\d{4} ---"
+# Header words of an air notice.
 AIR_LAYOUT = X.TableLayout(
     header_words=("Место отбора", "CO2", "O2", "CO"),
     columns=(
@@ -62,6 +63,7 @@ register_extractor("air_analysis", ("notices", (), air_notices))
 
 # ---- gas_analysis ------------------------------------------------------------------------------------------
 
+# Header words of gas measurements.
 GAS_LAYOUT = X.TableLayout(
     header_words=("Время замера", "Точка замера", "CH4"),
     columns=(
@@ -97,6 +99,7 @@ register_extractor("gas_analysis", ("measurements", (), gas_measurements))
 
 # ---- premise_parameters ------------------------------------------------------------------------------------
 
+# Header words of ventilation, dust and degassing tables, here and in the two layouts below.
 VENTILATION_LAYOUT = X.TableLayout(
     header_words=("Выработка", "Расход", "Скорость"),
     columns=(
@@ -219,6 +222,7 @@ register_extractor(
 
 # ---- seismic_event -----------------------------------------------------------------------------------------
 
+# Header words of an event table.
 SEISMIC_LAYOUT = X.TableLayout(
     header_words=("Дата", "Широта", "Долгота", "Магнитуда"),
     columns=(
@@ -230,6 +234,7 @@ SEISMIC_LAYOUT = X.TableLayout(
         ("energy_class", ("энерг", "класс")),
     ),
 )
+# Labels of an event's source.
 SOURCE_LABEL = [r"(?iu)Источник:\s*([^\n]+)", r"(?iu)Source:\s*([^\n]+)", r"(?iu)Источник данных:\s*([^\n]+)"]
 _NUMBERS = ("latitude", "longitude", "depth_km", "magnitude", "energy_class")
 
@@ -327,6 +332,7 @@ register_extractor("sensor_record", ("csv", (".csv",), sensor_csv), ("text", (),
 # ---- sensor_reestr -----------------------------------------------------------------------------------------
 
 PROJECT_LINE = r"(?iu)Датчик\s+([A-Z0-9/а-я]+)\s*-\s*([A-ZА-Я0-9()]+)\s*-\s*(\S.*)"
+# Header words of sensor tables, here and in the layout below.
 CALIBRATION_LAYOUT = X.TableLayout(
     header_words=("Sensor", "Тип", "Модель", "Место"),
     columns=(

@@ -85,6 +85,7 @@ def _span(c: Column, lead: str = "секции ") -> Column:
 
 # Marks of the primary blast zone.
 PRIMARY_MARKS = ("секции 138-148", "секций 138-148", "секциях 138-148", "верхняя")
+# Workings named in running text.
 AREA_MENTIONS = [r"(?iu)(Лава\s+[0-9К-]+)", r"(?iu)(КШ\s+[0-9К-]+)", r"(?iu)(ВШ\s+[0-9К-]+)", r"(?iu)(Сбойка\s+№\d+)"]
 
 
@@ -195,6 +196,7 @@ register_extractor(
 INSPECTORS = r"(?s)Члены подкомиссии:\s*\n((?:\s*+\d++\.[^\n]*+(?:\n|\z))++)"
 INSPECTOR = r"\d+\.\s*([А-ЯЁ][а-яё]+\s+[А-ЯЁ]\.\s*[А-ЯЁ]\.)"
 ACT_DATE = [r"(?iu)Дата осмотра:\s*([^\n]+)", r"(\d{2}\.\d{2}\.\d{4})"]
+# How a fact names its place.
 FACT_PLACES = [
     r"(?iu)(Лава\s+[0-9К-]+)",
     r"(?iu)(КШ\s+[0-9К-]+)",
@@ -307,6 +309,7 @@ RECORDING_DAY = "2023-10-28"
 BLAST_TIME = "02:43:49"
 BLAST_TEXT = "Сейсмическое событие (первичный взрыв метано-воздушной смеси)"
 BLAST_PLACE = "лава 48 К3-з"
+# How a speaker names a place.
 SPOKEN_PLACES = [
     r"(?iu)((?:ВШ|КШ|лава|сбойка)\s+[0-9К-]+)",
     r"(?iu)((?:верхняя|нижняя)\s+(?:секция|часть))",
@@ -376,6 +379,7 @@ COLUMN_LAYERS = (
     ("ПОЧВА", "почва", None),
 )
 DEFAULT_MINE, DEFAULT_DEPTH = "им. Костенко", 720.0
+# How a layer's thickness is written.
 THICKNESS = [
     rf"(?iu)Мощность:\s*{NUMBER}\s*м",
     rf"(?iu)Полная мощность:\s*{NUMBER}\s*м",
@@ -564,6 +568,7 @@ register_extractor("hypotesis_prove_facts", ("sentences", (), hypothesis_facts))
 
 # ---- incident_description ----------------------------------------------------------------------------------
 
+# How a description names its place.
 PLACE_MENTIONS = [
     r"(?iu)(лава\s+[0-9К-]+)",
     r"(?iu)(КШ\s+[0-9К-]+)",

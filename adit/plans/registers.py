@@ -174,6 +174,7 @@ register_extractor(
 
 # ---- employee ----------------------------------------------------------------------------------------------
 
+# Header words of a staff table.
 STAFF_LAYOUT = X.TableLayout(
     header_words=("Табельный номер", "Фамилия", "Имя"),
     columns=(
@@ -303,18 +304,21 @@ EQUIPMENT_LABELS = {
         r"(?iu)Взрывобезопасность:\s*([^\n]+)",
     ],
 }
+# Where a passport's machine stands, by words of its text.
 EQUIPMENT_PLACES = (
     (r"(?iu)лава\s+([0-9К-]+)", "лава "),
     (r"(?iu)КШ\s+([0-9К-]+)", "конвейерный штрек "),
     (r"(?iu)ВШ\s+([0-9К-]+)", "вентиляционный штрек "),
     (r"(?iu)участок\s+№?\s*([0-9]+)", ""),
 )
+# Sentences that tell a machine's condition.
 CONDITION_SENTENCES = [
     r"(?iu)([^.\n]*износ[^.]+\.)",
     r"(?iu)([^.\n]*поврежден[^.]+\.)",
     r"(?iu)([^.\n]*состояние[^.]+\.)",
     r"(?iu)([^.\n]*не являются искробезопасными[^.]+\.)",
 ]
+# Sentences that state a requirement.
 REQUIREMENT_SENTENCES = [
     r'(?iu)Раздел\s+9\.2\.1[^\n]+\n"?([А-Я0-9\s.,!?-]+)"?',
     r'(?iu)Раздел\s+7[^\n]+\n"?([А-Я0-9\s.,!?-]+)"?',
@@ -360,6 +364,7 @@ register_extractor("equipment", ("passport", (), equipment_passport))
 # ---- equipment_certificate ---------------------------------------------------------------------------------
 
 CERTIFICATE_START = r"(?iu)(?:СЕРТИФИКАТ(?: СООТВЕТСТВИЯ)?|ПРОТОКОЛ ИСПЫТАНИЙ|ПРОТОКОЛ) +[A-ZА-Я0-9№]"
+# Labels of a certificate, here and in the lists below.
 CERTIFICATE_NUMBER = [
     r"(?iu)СЕРТИФИКАТ СООТВЕТСТВИЯ\s+([A-ZА-Я0-9 .-]*\d[A-ZА-Я0-9 .-]*)",
     r"(?iu)СЕРТИФИКАТ\s+([A-ZА-Я0-9 .-]*\d[A-ZА-Я0-9 .-]*)",
@@ -432,6 +437,7 @@ def certificates_at(certs: DataFrame, incident_date: Column) -> DataFrame:
 # ---- equipment_issue_log -----------------------------------------------------------------------------------
 
 # The return date is tested before the issue date, because both headers hold the word for date.
+# Header words of issue logs, here and in the two layouts below.
 ISSUE_LAYOUT = X.TableLayout(
     header_words=("Дата выдачи", "Оборудование", "Кому выдано"),
     columns=(
@@ -543,6 +549,7 @@ register_extractor(
 
 # ---- equipment_maintenance ---------------------------------------------------------------------------------
 
+# Header words of a maintenance table.
 MAINTENANCE_LAYOUT = X.TableLayout(
     header_words=("Дата", "Смена", "Тип работ", "Исполнитель", "Замечания", "Выполнено"),
     columns=(
@@ -612,6 +619,7 @@ register_extractor("expert_dictionary", ("registry", (".csv",), expert_registry)
 
 # ---- premise -----------------------------------------------------------------------------------------------
 
+# Header words of premise tables, here and in the layout below.
 PREMISE_LAYOUT = X.TableLayout(
     header_words=("Код", "Наименование", "Тип", "Длина"),
     columns=(
@@ -630,6 +638,7 @@ WORKING_LAYOUT = X.TableLayout(
     header_words=("Выработка", "Тип", "Сечение", "Длина"),
     columns=(("name", ("выработк", "наименован")), ("type", ("тип",)), ("section", ("сечени",)), ("length", ("длина",))),
 )
+# Workings named in running text.
 WORKINGS = [
     r"(?iu)(ВШ\s+[0-9К-]+)",
     r"(?iu)(КШ\s+[0-9К-]+)",
