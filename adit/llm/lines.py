@@ -8,12 +8,17 @@ even length: `distance` edits leave one of them whole, so a line within reach ho
 left and right of it bound. Each line indexes its segments (hashed with their number and the line's length) and probes with
 its substrings for its own length and each shorter one within the distance. Probes and index entries meet by equal keys, and the
 counts of a few letters (an edit changes two counts by one at most) refuse most of what is too far, in the join. Texts are
-then fetched for the lines that are left, and verified by a banded bit-parallel automaton: one bit for each diagonal of the
+then fetched for the lines that are left (spread over all tasks, as few of them may cost a lot), and verified by a banded bit-parallel automaton: one bit for each diagonal of the
 band and one word for each number of edits, a few operations for each character.
 
 Only hashes and numbers are exploded and shuffled by line; whole texts are read, and joined once with the places to remove. A
 line that repeats a lot is folded into its class before anything is joined. Near lines are paired class by class.
 
+Lines made from one template share a segment by the thousands and are mostly far apart. At a distance of one, a segment that more
+than HOT lines index joins nothing: the lines that have it meet by what is left of them without one character, so that
+only lines within reach meet. A pair without any other common segment has both its lines there, so none is lost. At larger distances a
+shared segment joins all its lines.
+
 Null texts have no lines and stay null. Rows equal in id and text stand for one document: they keep the same lines. Null
 ids come first in the order of documents.
 """
@@ -31,6 +36,8 @@ COUNTED = "eantoisr"
 COUNT_BITS = 7
 #: Lines to verify up to which their hashes (8 bytes each) are broadcast to fetch the texts; above, Spark joins as it sees fit.
 BROADCAST_LINES = 1 << 20
+#: Lines that may index one segment before they are joined by their parts instead (at a distance of one).
+HOT = 256
 
 
 def documents(docs: DataFrame, text: str, id_column: str) -> DataFrame:
@@ -128,13 +135,34 @@ def line_classes(lines: DataFrame, distance: int) -> DataFrame:
     )
 
 
+def one_apart(lines: DataFrame) -> DataFrame:
+    """Pairs (a, b) of distinct lines (h, line) within one edit, by equal hashes of lines without one character."""
+    n = F.length("line")
+    without = lambda p: F.concat(F.substring(F.col("line"), F.lit(1), p - 1), F.substring(F.col("line"), p + 1, n))
+    cut = F.explode(F.transform(F.sequence(F.lit(1), n), lambda p: F.struct(p.alias("p"), F.xxhash64(without(p)).alias("key"))))
+    parts = lines.select("h", n.alias("n"), cut.alias("cut")).select("h", "n", "cut.*")
+    left, right = (parts.select(F.col("h").alias(x), "n", "p", "key") for x in "ab")
+    replaced = left.join(right, ["key", "p", "n"]).where("a < b").select("a", "b")  # the same place holds another character
+    shorter = lines.select(F.col("h").alias("a"), (n + 1).alias("n"), F.xxhash64("line").alias("key"))
+    return replaced.union(shorter.join(parts.select(F.col("h").alias("b"), "n", "key"), ["key", "n"]).where("a <> b").select("a", "b"))
+
+
 def near_lines(lines: DataFrame, classes: DataFrame, distance: int) -> DataFrame:
     """Links between different lines within the distance, both ways: h, g, first, and first of the other as other_first."""
     index = classes.select(F.explode("indexed").alias("key"), F.col("h").alias("a"), F.col("n").alias("a_n"), F.col("counts").alias("a_counts"))
     probes = classes.select(F.explode(F.concat("indexed", "probed")).alias("key"), F.col("h").alias("b"), F.col("n").alias("b_n"), F.col("counts").alias("b_counts"))
     close = (F.col("b_n") - F.col("a_n")).between(0, distance) & (apart(F.col("a_counts"), F.col("b_counts")) <= 2 * distance)
     once = (F.col("b_n") > F.col("a_n")) | (F.col("a") < F.col("b"))  # lines of one length meet from both sides
-    pairs = materialize(index.join(probes, "key").where(close & once & (F.col("a") != F.col("b"))).select("a", "b").distinct(), "line-pairs")
+    beside = None
+    if distance == 1:
+        hot = materialize(index.groupBy("key").count().where(F.col("count") > HOT).select("key"), "hot-segments")
+        if hot.head(1):
+            whose = materialize(probes.join(hot, "key", "left_semi").select(F.col("b").alias("h")).distinct(), "hot-lines")
+            texts = lines.select("h", "g", "line").join(whose, "h", "left_semi").groupBy("h", "g").agg(F.first("line").alias("line"))
+            beside = one_apart(materialize(texts, "hot-texts").select("h", "line"))
+            index = index.join(hot, "key", "left_anti")
+    found = index.join(probes, "key").where(close & once & (F.col("a") != F.col("b"))).select("a", "b")
+    pairs = materialize((found if beside is None else found.union(beside)).distinct(), "line-pairs")
 
     wanted = pairs.select(F.col("a").alias("h")).union(pairs.select(F.col("b").alias("h"))).distinct()
     few = wanted.count() <= BROADCAST_LINES
@@ -143,6 +171,7 @@ def near_lines(lines: DataFrame, classes: DataFrame, distance: int) -> DataFrame
     side = lambda p: texts.select(*(F.col(c).alias(f"{p}_{c}") for c in ("h", "g", "line", "first")))
     linked = (
         pairs.join(side("a"), F.col("a") == F.col("a_h")).join(side("b"), F.col("b") == F.col("b_h"))
+        .repartition(int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions")), "a", "b")
         .where(within(F.col("a_line"), F.col("b_line"), distance))
         .select("a_h", "a_g", "a_first", "b_h", "b_g", "b_first").distinct()
     )

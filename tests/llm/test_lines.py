@@ -77,6 +77,33 @@ def test_plan_is_native(spark):
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
 
 
+def test_equals_brute_force_with_hot_segments(spark, monkeypatch):
+    """Nearly every segment counts as hot, and lines meet by their parts."""
+    from adit.llm import lines
+
+    rnd = random.Random(12)
+    for hot in (0, 1, 3):
+        monkeypatch.setattr(lines, "HOT", hot)
+        pool = ["tmpl " + "".join(rnd.choice("01é") for _ in range(rnd.randint(1, 5))) + rnd.choice([" end", " ends", ""]) for _ in range(120)]
+        rows = [(k, "\n".join(rnd.choice(pool) for _ in range(rnd.randint(1, 12)))) for k in range(40)]
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+        got = sorted(((str(r.doc_id), r.kept_text, r.n_lines, r.n_removed, r.n_links) for r in dedup_lines(docs, 1, 6).collect()), key=str)
+        assert got == brute(rows, 1, 6)
+
+
+def test_templated_lines_meet_few_others(spark, monkeypatch):
+    """Numbered lines of one template: pairs grow with the true links, not with the square."""
+    from adit.llm import lines
+
+    seen, wrote = {}, lines.materialize
+    monkeypatch.setattr(lines, "materialize", lambda df, name: seen.setdefault(name, wrote(df, name)))
+    numbers = spark.range(20_000).select((F.col("id") % 200).alias("doc_id"), F.format_string("Copyright notice, page number %05d of all", "id").alias("line"))
+    docs = numbers.groupBy("doc_id").agg(F.array_join(F.collect_list("line"), "\n").alias("text"))
+    total = dedup_lines(docs, 1, 20).agg(F.sum("n_links"), F.sum("n_lines")).first()
+    assert tuple(total) == (20_000 * 37, 20_000)  # the first digit may be the other of two, the rest one of nine others
+    assert seen["line-pairs"].count() == 20_000 * 37 // 2
+
+
 def test_extra_columns_with_any_name(spark):
     names = ["doc", "print", "gone", "h", "g", "line", "place", "first", "links", "times", "row", "lines", "__lines", "__doc"]
     rows = [(k, "one line that is long enough\nand another of its kind " + str(k % 2), *range(len(names))) for k in range(4)]
