@@ -1,5 +1,5 @@
 """De-duplication and merging. All of it is grouped aggregation with map-side combine, so a group of copies
-of any size leaves each task as one partial row."""
+of any size leaves each task as one partial row. Winners are chosen by numbers of fixed width, never by whole rows."""
 
 from __future__ import annotations
 
@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from adit.operators.ordered import positions
+
 
 def union_by_name(frames: list[DataFrame]) -> DataFrame:
     """Rows of all frames; a column missing somewhere is null there."""
@@ -15,23 +17,31 @@ def union_by_name(frames: list[DataFrame]) -> DataFrame:
 
 
 def keep_first(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
-    """The row of each key that comes first in the given order."""
-    rest = [c for c in df.columns if c not in key and c not in order]
-    packed = F.struct(*order, *rest)
-    kept = df.groupBy(*key).agg(F.min(packed).alias("_row"))
-    return kept.select(*[F.col(c) if c in key else F.col("_row")[c].alias(c) for c in df.columns])
+    """The row of each key that comes first in the given order.
+
+    Rows are numbered in order once; what is grouped by key is numbers alone, and the rows are fetched by them.
+    """
+    numbered = positions(df, key, order, "_n")
+    first = numbered.groupBy(*key).agg(F.min("_n").alias("_first")).select("_first")
+    return numbered.join(first, F.col("_n") == F.col("_first"), "left_semi").select(*df.columns)
 
 
 def merge_last_nonnull(df: DataFrame, key: list[str], order: str) -> DataFrame:
-    """One row per key; every column holds its last value, by `order`, that is not null."""
+    """One row per key; every column holds its last value, by `order`, that is not null.
+
+    Grouped are the numbers of the rows that hold a column's last value, as many as there are columns; the rows themselves are fetched
+    by them.
+    """
     rest = [c for c in df.columns if c not in key and c != order]
-    last = [
-        F.max(F.when(F.col(c).isNotNull(), F.struct(F.col(order).alias("o"), F.col(c).alias("v"))))
-        .getField("v")
-        .alias(c)
-        for c in rest
-    ]
-    return df.groupBy(*key).agg(*last)
+    numbered = positions(df, key, [order], "_n")
+    last = [F.max(F.when(F.col(c).isNotNull(), F.col("_n"))).alias(f"_last{i}") for i, c in enumerate(rest)]
+    winners = numbered.groupBy(*key).agg(*last, F.max("_n").alias("_row"))
+    whole = F.struct(*[F.col(f"_last{i}").alias(f"c{i}") for i in range(len(rest))], "_row").alias("_of")
+    wanted = winners.select(F.struct(*key).alias("_key"), whole, F.explode(F.array_distinct(F.array_compact(F.array("_row", *[f"_last{i}" for i in range(len(rest))])))).alias("_at"))
+    rows = numbered.select("_n", F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(rest)], F.lit(0).alias("_")).alias("_values"))
+    fetched = wanted.join(rows, F.col("_at") == F.col("_n")).groupBy("_key", "_of").agg(F.collect_list(F.struct("_n", "_values")).alias("_rows"))
+    value = lambda i: F.get(F.filter("_rows", lambda r: r["_n"] == F.col("_of")[f"c{i}"]), F.lit(0))["_values"][f"c{i}"]
+    return fetched.select(*[F.col("_key").getField(k).alias(k) for k in key], *[value(i).alias(c) for i, c in enumerate(rest)])
 
 
 def distinct_join(df: DataFrame, key: list[str], value: str, name: str, separator: str = "; ") -> DataFrame:

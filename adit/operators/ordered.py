@@ -27,6 +27,12 @@ def _ranged(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
     )
 
 
+def positions(df: DataFrame, key: list[str], order: list[str], name: str) -> DataFrame:
+    """The stored rows with a number each that grows with the order inside a key; equal rows of an order follow a hash of the row."""
+    stored = _ranged(df.withColumn("_tie", F.xxhash64(*df.columns)), key, [*order, "_tie"])
+    return stored.select(*df.columns, F.shiftleft("_part", _INDEX_BITS).bitwiseOR(F.col("_idx")).alias(name))
+
+
 def _with_offsets(stored: DataFrame, totals: DataFrame, key: list[str]) -> DataFrame:
     """Attach per-(key, partition) totals; both sides are keyed, the totals side is unique."""
     renamed = totals.select(*[F.col(k).alias(f"_k_{k}") for k in key], F.col("_part").alias("_k_part"), "_base")

@@ -264,7 +264,8 @@ def merged_employees(employees: DataFrame, order: str, within: list[str] = []) -
     initial = F.substring("firstname", 1, 1)
     whole = F.when(~F.col("firstname").rlike(r"^.\.?$"), F.col("firstname"))
     keyed = employees.withColumn("_key", person_key(F.concat_ws(" ", "lastname", "firstname")))
-    names = keyed.groupBy(*within, "_key").agg(F.min(whole).alias("_lo"), F.max(whole).alias("_hi"))
+    spelling = F.when(whole.isNotNull(), F.xxhash64(whole))  # equal or not is all that counts
+    names = keyed.groupBy(*within, "_key").agg(F.min(spelling).alias("_lo"), F.max(spelling).alias("_hi"))
     clear = names.where(F.col("_lo").isNull() | (F.col("_lo") == F.col("_hi"))).select(*within, "_key", F.lit(True).alias("_clear"))
     person = F.when(F.col("_clear"), F.col("_key")).otherwise(F.concat_ws("_", F.lower("lastname"), F.coalesce(F.lower("firstname"), initial)))
     # Initials must not replace a whole first name.

@@ -77,6 +77,27 @@ def test_keep_first_count_is_the_number_of_keys(spark):
     assert {r["k"]: r["o"] for r in first.collect()} == low
 
 
+def test_winners_are_chosen_without_sorting_rows(spark):
+    """keep_first and merge_last_nonnull against plain Python, with hot keys, null keys, null orders and ties; no sort-based aggregate in the plans."""
+    rnd = random.Random(8)
+    rows = [(rnd.choice(["hot"] * 5 + ["a", "b", None]), rnd.choice([None, *range(9)]), rnd.choice([None, "x", "y" * 50]), rnd.choice([None, 1.5, 2.5]), rnd.randint(0, 3)) for _ in range(400)]
+    df = spark.createDataFrame(rows, "k string, o int, t string, d double, _row int").repartition(5)
+    first, merged = merge.keep_first(df, ["k"], ["o"]), merge.merge_last_nonnull(df, ["k"], "o")
+    rank = lambda o: (o is not None, o or 0)
+    for r in first.collect():
+        mine = [x for x in rows if x[0] == r.k]
+        assert tuple(r) in mine and rank(r.o) == min(rank(x[1]) for x in mine)
+    assert merged.columns == ["k", "t", "d", "_row"] and sorted(str(r.k) for r in merged.collect()) == sorted({str(x[0]) for x in rows}) == sorted(str(r.k) for r in first.collect())
+    for r in merged.collect():
+        for c, name in ((2, "t"), (3, "d"), (4, "_row")):
+            told = [(rank(x[1]), x[c]) for x in rows if x[0] == r.k and x[c] is not None]
+            assert r[name] in {v for o, v in told if o == max(o for o, _ in told)}
+    for plan in (first, merged):
+        assert "SortAggregate" not in plan._jdf.queryExecution().executedPlan().toString()
+    none = spark.createDataFrame([("a", 1, None, None, None)], df.schema)
+    assert [tuple(r) for r in merge.merge_last_nonnull(none, ["k"], "o").collect()] == [("a", None, None, None)]
+
+
 def km_between(a, b):
     (lat, lon), (lat0, lon0) = ([math.radians(x) for x in p] for p in (a, b))
     h = math.sin((lat - lat0) / 2) ** 2 + math.cos(lat) * math.cos(lat0) * math.sin((lon - lon0) / 2) ** 2
