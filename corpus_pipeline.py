@@ -18,19 +18,41 @@ from adit.llm.simhash import near_duplicates
 from adit.session import materialize
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """The frame with its columns named c0, c1 and so on, so that no name of theirs meets one of an operator."""
+    return docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)])
+
+
+def named(df: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of `numbered` under their names again."""
+    return df.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])
+
+
+def place(docs: DataFrame, column: str) -> str:
+    return f"c{docs.columns.index(column)}"
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier takes for good, learnt from the labels that are not held out."""
+    """Documents that the classifier takes for good, learnt from the labels that are not held out.
+
+    Null and empty texts are scored like others. Equal texts have one fate; rows that repeat stay repeated.
+    """
     model = train(docs, load(spark, sf_dir, "labels").where(~held_out()))
-    scored = score(docs, model, score_column="quality_score")
-    return scored.where(F.col("quality_score") >= THRESHOLD).select(*docs.columns)
+    scored = score(numbered(docs), model, text=place(docs, "text"), score_column="quality_score")
+    return named(scored.where(F.col("quality_score") >= THRESHOLD), docs)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines that stand earlier, alike or but for one edit. One that keeps nothing of what it had goes."""
-    kept = dedup_lines(docs, 1, 20)
+    """Documents without lines that stand earlier, alike or but for one edit. One that keeps nothing of what it had goes.
+
+    Null, empty and blank texts stay as they are, as they lose nothing. Rows equal in id and text stand for one document and keep the same lines;
+    null ids come first. n_chars is counted anew where lines went.
+    """
+    text, n_chars = place(docs, "text"), place(docs, "n_chars")
+    kept = dedup_lines(numbered(docs), 1, 20, text, place(docs, "doc_id"))
     left = kept.where((F.col("n_removed") == 0) | (F.trim(F.translate("kept_text", "\n\r\t", "   ")) != ""))
-    changed = left.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("kept_text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
-    return changed.withColumnRenamed("kept_text", "text").select(*docs.columns)
+    counted = F.when(F.col("n_removed") > 0, F.length("kept_text")).otherwise(F.col(n_chars)).cast(docs.schema["n_chars"].dataType)
+    return named(left.withColumns({n_chars: counted, text: F.col("kept_text")}), docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,23 +61,31 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     The smallest doc_id of a group stays, one without an id only if the group has no other; of rows that share it, one. Texts
     without words (null, empty, blank) have the fingerprint zero and are one group.
     """
-    rows = materialize(docs.select(F.struct(*docs.columns).alias("document"), F.monotonically_increasing_id().alias("row")), "numbered")
-    order = F.struct(F.col("document.doc_id").isNull().alias("without"), F.col("document.doc_id").alias("doc_id"), "row")
-    found = near_duplicates(rows.select(order.alias("key"), F.col("document.text").alias("text")), 4, 4, 42, id_column="key")
+    rows = materialize(numbered(docs).withColumn("row", F.monotonically_increasing_id()), "numbered")
+    doc_id = F.col(place(docs, "doc_id"))
+    order = F.struct(doc_id.isNull().alias("without"), doc_id.alias("doc_id"), "row")
+    found = near_duplicates(rows.select(order.alias("key"), F.col(place(docs, "text")).alias("text")), 4, 4, 42, id_column="key")
     gone = found.where("doc_id <> component_id").select(F.col("doc_id.row").alias("row"))
-    return rows.join(gone, "row", "left_anti").select("document.*")
+    return named(rows.join(gone, "row", "left_anti"), docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without any ten-word window of a benchmark item."""
-    keyed = docs.withColumn("__key", F.xxhash64("doc_id", "text"))
-    found = decontaminate(keyed, load(spark, sf_dir, "benchmark"), 10, id_column="__key")
-    bad = materialize(found.where("n_hit > 0").select(F.col("doc_id").alias("__key")).distinct(), "contaminated")
-    return keyed.join(bad, "__key", "left_anti").select(*docs.columns)
+    """Documents without any ten-word window of a benchmark item, items without an id included.
+
+    Null and empty texts stay. Rows equal in id and text have one fate, and rows that repeat stay repeated.
+    """
+    text = place(docs, "text")
+    keyed = numbered(docs).withColumn("key", F.xxhash64(place(docs, "doc_id"), text))
+    found = decontaminate(keyed, load(spark, sf_dir, "benchmark"), 10, text=text, id_column="key")
+    bad = materialize(found.where("n_hit > 0").select(F.col("doc_id").alias("key")).distinct(), "contaminated")
+    return named(keyed.join(bad, "key", "left_anti"), docs)
 
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids and scores of every document's three best segmentations (the second and third by what differs), whether each decodes to the text, and the text of the best."""
+    """Ids and scores of every document's three best segmentations (the second and third by what differs), whether each decodes to the text, and the text of the best.
+
+    A row for each document, rows that repeat and null ids included. Null and empty texts have no ids and decode to the empty text.
+    """
     encoded = round_trip(docs, public_tokenizers.path("piece_bpe_32k.model"), 3, with_ids=True)
     return encoded.select("doc_id", "ids", "n_pieces", "score", "scores", F.col("decoded").alias("text"), "exact", "rank_changes", "rank_pieces", "rank_crc32", "rank_exact")
 

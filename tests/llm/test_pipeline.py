@@ -97,6 +97,19 @@ def test_run_is_the_stages(spark, stages):
     assert sorted(r.doc_id for r in p.run(spark, SF).collect()) == sorted(r.doc_id for r in stages[4][1])
 
 
+def test_extra_columns_of_any_name_pass_every_stage(spark, stages):
+    names = ["key", "row", "c0", "document", "doc", "print", "gone", "lines", "n_lines", "n_removed", "n_links", "kept_text", "quality_score", "score", "fingerprint", "component_id", "n_hit", "items", "a.b"]
+    rows = [(r.doc_id, r.text, r.lang, r.source, r.n_chars, *range(len(names))) for r in stages[0][0][:60]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{n}` int" for n in names))
+    plain = docs.select("doc_id", "text", "lang", "source", "n_chars")
+    for name, stage in p.STAGES[:-1]:
+        after = stage(spark, docs, SF)
+        assert after.columns == docs.columns, name
+        kept = after.collect()
+        assert kept and all([r[n] for n in names] == list(range(len(names))) for r in kept), name
+        assert sorted((r.doc_id, r.text, r.n_chars) for r in kept) == sorted((r.doc_id, r.text, r.n_chars) for r in stage(spark, plain, SF).collect()), name
+
+
 def test_every_stage_takes_odd_and_empty_tables(spark):
     schema = "doc_id long, text string, lang string, source string, n_chars long"
     odd = [(1, None, None, None, None), (None, "x", "en", "s", 1), (None, None, None, None, None), (2, "", "en", "s", 0), (2, "", "en", "s", 0), (3, "word " * 20000, "en", "s", 100000)]
