@@ -169,12 +169,11 @@ def near_lines(lines: DataFrame, classes: DataFrame, distance: int) -> DataFrame
     texts = lines.join(F.broadcast(wanted) if few else wanted, "h").groupBy("h", "g").agg(F.first("line").alias("line"), F.min(F.struct("doc", "print", "place")).alias("first"))
     texts = materialize(texts, "line-texts")
     side = lambda p: texts.select(*(F.col(c).alias(f"{p}_{c}") for c in ("h", "g", "line", "first")))
-    linked = (
-        pairs.join(side("a"), F.col("a") == F.col("a_h")).join(side("b"), F.col("b") == F.col("b_h"))
-        .repartition(int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions")), "a", "b")
-        .where(within(F.col("a_line"), F.col("b_line"), distance))
-        .select("a_h", "a_g", "a_first", "b_h", "b_g", "b_first").distinct()
-    )
+    both = [f"{p}_{c}" for p in "ab" for c in ("h", "g", "line", "first")]
+    met = pairs.join(side("a"), F.col("a") == F.col("a_h")).join(side("b"), F.col("b") == F.col("b_h")).select(*both)
+    # few pairs may cost a lot: they are dealt to all tasks, and the explode of one element keeps the check behind that
+    dealt = met.repartition(int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions")), "a_h", "b_h").select(F.explode(F.array(F.struct(*both))).alias("x"))
+    linked = dealt.where(within(F.col("x.a_line"), F.col("x.b_line"), distance)).select("x.a_h", "x.a_g", "x.a_first", "x.b_h", "x.b_g", "x.b_first").distinct()
     linked = materialize(linked, "line-links")
     way = lambda p, q: linked.select(F.col(f"{p}_h").alias("h"), F.col(f"{p}_g").alias("g"), F.col(f"{p}_first").alias("first"), F.col(f"{q}_first").alias("other_first"))
     return way("a", "b").union(way("b", "a"))
