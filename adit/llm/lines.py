@@ -36,8 +36,9 @@ COUNTED = "eantoisr"
 COUNT_BITS = 7
 #: Lines to verify up to which their hashes (8 bytes each) are broadcast to fetch the texts; above, Spark joins as it sees fit.
 BROADCAST_LINES = 1 << 20
-#: Lines that may index one segment before they are joined by their parts instead (at a distance of one).
-HOT = 256
+#: Lines that may index one segment before they are joined by their parts instead (at a distance of one). Parts are some two rows a
+#: character, so below some thousand lines the segment itself is the cheaper key.
+HOT = 2048
 
 
 def documents(docs: DataFrame, text: str, id_column: str) -> DataFrame:
