@@ -2,7 +2,8 @@
 
 No join here carries a broadcast hint: small sides are broadcast by Spark when their measured size is
 under `spark.sql.autoBroadcastJoinThreshold`, larger ones are shuffled and AQE splits skewed keys. Every
-lookup side is reduced to one row per key first, so a hot key never multiplies rows.
+lookup side is reduced to one row per key first, so a hot key never multiplies rows. Sides that grow with the events or
+incidents of `near_events` are never broadcast: their files are much smaller than their rows, and these would pass through the driver.
 """
 
 from __future__ import annotations
@@ -211,6 +212,7 @@ def _judged(pairs: DataFrame, cell: list[str], seconds: int, km: float) -> tuple
     away = great_circle_km(F.col("_lat"), F.col("_lon"), F.col("_lat0"), F.col("_lon0"))
     known = pairs.where(F.col("_at").between(F.col("_first") - seconds, F.col("_last") + seconds)).select(*point, *cell, "_r", away.alias("_d")).where(F.col("_d") - F.col("_r") <= km)
     found = known.groupBy(*point).agg(F.max(F.col("_d") + F.col("_r") <= km).alias("_hit"), F.collect_set(F.struct(*cell)).alias("_open"))
+    found = materialize(found, "judged")
     return found.where("_hit").select(*point), found.where("NOT _hit").select(*point, F.inline("_open"))
 
 
@@ -229,6 +231,7 @@ def near_events(incidents: DataFrame, events: DataFrame, seconds: int, km: float
     point, home, part = ["_lat", "_lon", "_at"], ["_b", "_c", "_s"], ["_b", "_c", "_s", "_y", "_x"]
     slot, height = F.floor(F.col("_at") / seconds), km / KM_PER_DEGREE * 1.001
     band, cell = _close_cell(km)
+    merged = lambda a, b, *how: a.join(b.hint("merge"), *how)
     points = _placed(incidents, lat, lon, at).distinct().select("*", band.alias("_b"), cell.alias("_c"), slot.alias("_s"))
     here = F.floor((F.col("_lat") + 90) / height)
     wide = _cells(F.col("_b"), km)
@@ -237,22 +240,25 @@ def near_events(incidents: DataFrame, events: DataFrame, seconds: int, km: float
         .select("*", here.alias("_b")).select("*", wide.alias("_n")).select("*", _cell(F.col("_n")).alias("_c"))
         .select("*", F.floor((F.col("_lat") + 90) / height * PARTS).alias("_y"), F.floor((F.col("_lon") + 180) / 360 * F.col("_n") * PARTS).alias("_x"))
     )
-    sure = points.join(shocks.select(band.alias("_b"), cell.alias("_c"), "_s").distinct().withColumn("_sure", F.lit(True)), home, "left")
+    # Each step is written: read again by the steps after it, and planned alone. One plan of all does not fit a driver.
+    shocks = materialize(shocks, "shocks")
+    sure = merged(points, shocks.select(band.alias("_b"), cell.alias("_c"), "_s").distinct().withColumn("_sure", F.lit(True)), home, "left")
+    sure = materialize(sure.select(*point, "_s", "_sure"), "points")
     rest = sure.where("_sure IS NULL").select(*point, F.col("_s").alias("_slot"), here.alias("_band"), _cell(_cells(here, km)).alias("_cell"))
 
     beside = lambda c: F.array(*[c + k for k in (-1, 0, 1)])
     banded = shocks.withColumn("_band", F.explode(beside(F.col("_b")))).withColumn("_n", _cells(F.col("_band"), km))
     around = F.array_distinct(F.transform(beside(_cell(F.col("_n"))), lambda c: F.pmod(c, F.col("_n"))))
     reach = banded.withColumn("_cell", F.explode(around)).withColumn("_slot", F.explode(beside(F.col("_s")))).groupBy("_band", "_cell", "_slot", *home).agg(*_circle())
-    first, cut = _judged(rest.join(reach, ["_band", "_cell", "_slot"]), home, seconds, km)
-    second, cut = _judged(cut.join(shocks.groupBy(*part).agg(*_circle()), home), part, seconds, km)
+    first, cut = _judged(merged(rest, reach, ["_band", "_cell", "_slot"]), home, seconds, km)
+    second, cut = _judged(merged(cut, shocks.groupBy(*part).agg(*_circle()), home), part, seconds, km)
     alone = shocks.select(*part, F.col("_lat").alias("_lat0"), F.col("_lon").alias("_lon0"), "_first", "_last")
     within = F.col("_at").between(F.col("_first") - seconds, F.col("_last") + seconds) & (great_circle_km(F.col("_lat"), F.col("_lon"), F.col("_lat0"), F.col("_lon0")) <= km)
-    third = cut.join(alone, [*[cut[c] == alone[c] for c in part], within], "left_semi").select(*point).distinct()
+    third = merged(cut, alone, [*[cut[c] == alone[c] for c in part], within], "left_semi").select(*point).distinct()
 
     near = sure.where("_sure").select(*point).unionAll(first).unionAll(second).unionAll(third).withColumn("_near", F.lit(1))
     keyed = incidents.withColumns({"__lat": F.col(lat).cast("double"), "__lon": F.pmod(F.col(lon).cast("double") + 180, F.lit(360.0)) - 180, "__at": F.col(at).cast("bigint")})
-    return keyed.join(near, [keyed["__lat"] == near["_lat"], keyed["__lon"] == near["_lon"], keyed["__at"] == near["_at"]], "left").select(
+    return merged(keyed, near, [keyed["__lat"] == near["_lat"], keyed["__lon"] == near["_lon"], keyed["__at"] == near["_at"]], "left").select(
         *[keyed[c] for c in incidents.columns], F.coalesce("_near", F.lit(0)).alias("is_near")
     )
 
