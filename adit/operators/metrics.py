@@ -99,8 +99,8 @@ def incident_metrics(incidents: DataFrame, models: DataFrame, areas: DataFrame,
     )
     shaken = seismic.groupBy("incident_id").agg(F.max("is_seismic_event").alias("is_seismic_event"))
     joined = base
-    for side in (blast, destroyed, shaken):
-        joined = joined.join(side, "incident_id", "left")
+    for side in (blast, destroyed, shaken):  # a row an incident: by the size of their files Spark would send millions through the driver
+        joined = joined.join(side.hint("merge"), "incident_id", "left")
     return joined.select(
         "incident_id",
         "fatalities_count",

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from adit.operators import aggregates, joins, merge, ordered
+from adit.operators import aggregates, joins, merge, metrics, ordered
 
 
 def skewed(spark, n=4000):
@@ -141,6 +141,21 @@ def test_a_million_events_in_one_cell(spark):
     assert 0 < sum(got.values()) < 20_000
 
 
+def test_near_events_and_metrics_fit_a_driver(spark, tmp_path):
+    """Steps are planned one by one, and nothing that grows with incidents or events is broadcast."""
+    for name, df in {"inc": spark.range(50).withColumn("at_s", F.col("id") * 100), "ev": spark.range(50).withColumn("at_s", F.col("id") * 70)}.items():
+        df.select(F.concat(F.lit("I"), "id").alias("incident_id"), (F.lit(49.8) + F.col("id") / 100).alias("latitude"), F.lit(73.1).alias("longitude"), "at_s").write.parquet(f"{tmp_path}/{name}")
+    inc = spark.read.parquet(f"{tmp_path}/inc")
+    near = joins.near_events(inc, spark.read.parquet(f"{tmp_path}/ev"), 100, 1.0)
+    asked = inc.select("incident_id", F.lit(1).alias("fatalities"), F.lit(2).alias("injuries"), F.lit("3 тенге").alias("material_damage"))
+    models, areas = metrics.blast_model(inc.select("incident_id", F.lit("").alias("text"))), inc.select("incident_id", F.lit(0).alias("is_primary_blast_zone"))
+    found = metrics.incident_metrics(asked, models, areas, near.select("incident_id", F.col("is_near").alias("is_seismic_event")))
+    for df in (near, found):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert len(plan) < 20_000 and df.count() == 50
+        assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
+
+
 def cosine(a, b):
     dot, na, nb = sum(x * y for x, y in zip(a, b)), sum(x * x for x in a) ** 0.5, sum(x * x for x in b) ** 0.5
     return dot / (na * nb) if na and nb else 0.0
