@@ -22,6 +22,7 @@ from adit.tables.store import SnapshotTable
 
 
 JOBS_AT_ONCE = 4
+DOCS_A_FILE = 1000
 
 
 def route_documents(docs: DataFrame) -> DataFrame:
@@ -39,11 +40,12 @@ def route_documents(docs: DataFrame) -> DataFrame:
 def land_routed(docs: DataFrame, name: str = "routed") -> DataFrame:
     """Routed documents stored by job and layout, so that each job reads its own files and nothing else.
 
-    Rebalancing spreads a job that most files belong to over many tasks.
+    Rebalancing spreads a job that most files belong to over many tasks. A file holds at most DOCS_A_FILE documents, so that jobs read
+    them in many tasks, however small their texts are when compressed.
     """
     routed = route_documents(docs)
     path = scratch_path(docs.sparkSession, name)
-    routed.hint("rebalance", "target", "layout").write.partitionBy("target", "layout").parquet(path)
+    routed.hint("rebalance", "target", "layout").write.option("maxRecordsPerFile", DOCS_A_FILE).partitionBy("target", "layout").parquet(path)
     return docs.sparkSession.read.schema(routed.schema).parquet(path)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import os
 import tempfile
 import uuid
@@ -57,11 +58,12 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame, rows: int | None = None) -> DataFrame:
     """Use every core for costly per-row text work on an input that comes in few splits.
 
     Meant for frames straight from a scan. An input with at least as many splits as the cluster has cores is
-    returned as it is, so large inputs are never shuffled for this.
+    returned as it is, so large inputs are never shuffled for this. With `rows`, which asks for a count, tasks get at most about
+    that many: for narrow tables that a split holds millions of rows of, each of them costly.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    wanted = max(df.sparkSession.sparkContext.defaultParallelism, math.ceil(df.count() / rows) if rows else 0)
+    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df

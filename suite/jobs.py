@@ -23,8 +23,12 @@ def text(*lines):
     return F.concat_ws("\n", *[F.lit(x) if isinstance(x, str) else x for x in lines])
 
 
+#: Documents a task: a narrow row of a table becomes a document here, and a split holds millions of them.
+DOCS_A_TASK = 20_000
+
+
 def docs(rows, key, name, body):
-    return spread(rows).select(key.cast("string").alias("incident_id"), name.alias("source_file"), body.alias("text"))
+    return spread(rows, DOCS_A_TASK).select(key.cast("string").alias("incident_id"), name.alias("source_file"), body.alias("text"))
 
 
 def pick(*options):
@@ -603,7 +607,7 @@ def ingest_documents(spark, sf):
         F.struct(s("gas_measurements_", k, ".txt").alias("source_file"), F.when(k % 7 == 0, nothing).otherwise(gas).alias("text")),
         F.struct(s("equipment_issue_log_", k, ".txt").alias("source_file"), F.when(k % 11 == 0, nothing).otherwise(issued).alias("text")),
     )
-    given = load(spark, sf, "customer").select(s("INC-", F.col("c_nationkey") % 5).alias("incident_id"), F.inline(files))
+    given = spread(load(spark, sf, "customer"), DOCS_A_TASK).select(s("INC-", F.col("c_nationkey") % 5).alias("incident_id"), F.inline(files))
     root = scratch_path(spark, "lake")
     results = ingest_results(spark, given, root, "20260101T000000", with_metrics=False)
     stored = [SnapshotTable(spark, root, t).read().groupBy("incident_id").agg(F.count("*").alias("stored")).withColumn("table_name", F.lit(t)) for t in ("gas_analysis", "equipment_issue_log")]

@@ -227,3 +227,18 @@ def test_a_layout_reads_a_document_once(spark, docs, table, name):
     layout = next(run for words, run in ((w, r) for _, w, r in JOBS[table].layouts) if any(w in name for w in words))
     plan = layout(spark.read.parquet(folder))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan parquet") == 1 and "Union" not in plan
+
+
+def test_documents_are_spread_by_their_number(spark, monkeypatch):
+    """A few megabytes of a narrow table are many documents: tasks and landed files get a bounded number of them."""
+    from adit.plans import ingest
+    from adit.session import spread
+
+    rows = spark.range(0, 10_000, 1, 1)
+    assert spread(rows, 500).rdd.getNumPartitions() == 20
+    assert spread(rows).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(ingest, "DOCS_A_FILE", 10)
+    docs = spark.range(200).select(F.lit("I").alias("incident_id"), F.concat(F.lit("gas_measurements_"), "id", F.lit(".txt")).alias("source_file"), F.lit("x").alias("text"))
+    landed = ingest.land_routed(docs)
+    files = landed.groupBy(F.input_file_name()).count().collect()
+    assert sum(f["count"] for f in files) == 200 and max(f["count"] for f in files) <= 10
