@@ -185,8 +185,10 @@ def json_features(spark, sf):
 def feature_files(spark, sf):
     """Feature collections of up to 500 events, a file each, read as files."""
     folder = scratch_path(spark, "features")
-    made = event_features(spark, sf).groupBy(F.floor(F.col("doc") / 500).alias("part")).agg(F.to_json(F.struct(F.collect_list("feature").alias("features"))).alias("value"))
-    made.write.partitionBy("part").text(folder)
+    part = F.floor(F.col("doc") / 500)
+    made = event_features(spark, sf).select(part.alias("part"), "feature")
+    made = made.repartition(tasks_for(made, 500 * FILES_A_TASK), "part").groupBy("part").agg(F.to_json(F.struct(F.collect_list("feature").alias("features"))).alias("value"))
+    write_each(made.select("value"), folder)
     return events.read_feature_json(spark, folder).drop("energy_class", "source_file")
 
 

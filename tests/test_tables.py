@@ -276,3 +276,22 @@ def test_governed_sql_of_two_roles_at_once(spark, governed):
     assert rows(one) == [("A",)] and rows(two) == [("B",)] == rows(catalog.run_governed(spark, governed, text, "EXPERT", grants))
     assert rows(catalog.run_governed(spark, governed, "DESCRIBE incident_description", "EXPERT", ["A"]))[:1] != []
     assert rows(spark.table("open_view")) == [("A", "2024-01-01"), ("B", "2024-02-02")]
+
+
+@pytest.mark.parametrize(("name", "table", "files"), [("registry_files", "supplier", 300), ("feature_files", "events", 300)])
+def test_many_files_are_written_by_many_tasks_into_one_folder(spark, tmp_path, monkeypatch, name, table, files):
+    import os
+
+    from suite import storage
+    from suite.base import QUERIES
+
+    def rows():
+        if table == "supplier":
+            return spark.range(files).select(F.col("id").alias("s_suppkey"), F.concat(F.lit("S"), "id").alias("s_name"), F.lit(1).alias("s_nationkey"))
+        return spark.range(files * 500).select(F.col("id").alias("event_id"), F.col("id").alias("user_id"), F.lit("click").alias("event_type"), F.lit(1.0).alias("value"), F.timestamp_seconds("id").alias("ts"))
+
+    rows().write.parquet(f"{tmp_path}/{table}.parquet")
+    monkeypatch.setattr(storage, "scratch_path", lambda spark, name: f"{tmp_path}/out")
+    assert QUERIES[name].run(spark, str(tmp_path)).count() == (files if table == "supplier" else files * 500)
+    written = [f for f in os.listdir(f"{tmp_path}/out") if f.endswith(".txt")]
+    assert len(written) == files and len({f.split("-")[1] for f in written}) >= spark.sparkContext.defaultParallelism
