@@ -177,16 +177,12 @@ def pipe_table(docs: DataFrame, layout: TableLayout, keep: list[str] | None = No
         "_rows",
         *[F.nullif(F.array_position("_names", n), F.lit(0)).cast("int").alias(f"_at_{n}") for n in layout.names],
     )
-    rows = placed.select(
-        *cols, "table_no", *[f"_at_{n}" for n in layout.names], F.posexplode_outer("_rows").alias("row_no", "_line")
-    ).where("_line is not null")
-    cells = rows.withColumn("_cells", tx.table_cells(F.col("_line"))).where(F.size("_cells") >= layout.min_cells)
-    return cells.select(
-        *cols,
-        "table_no",
-        "row_no",
-        *[tx.blank_to_null(F.try_element_at("_cells", F.col(f"_at_{n}"))).alias(n) for n in layout.names],
-    )
+    # Cells are cut before the rows are exploded: a filter on a value moves down to the explosion, and would cut the line anew for each use.
+    cells = F.transform("_rows", lambda x: F.transform(tx.table_cells(x), tx.strip))
+    value = lambda c, n: F.nullif(F.try_element_at(c, F.col(f"_at_{n}")), F.lit("")).alias(n)
+    values = F.transform(cells, lambda c: F.struct(F.size(c).alias("_size"), *[value(c, n) for n in layout.names]))
+    rows = placed.select(*cols, "table_no", F.posexplode_outer(values).alias("row_no", "_row")).where(F.col("_row._size") >= layout.min_cells)
+    return rows.select(*cols, "table_no", "row_no", *[F.col(f"_row.{n}").alias(n) for n in layout.names])
 
 
 def labelled_fields(docs: DataFrame, patterns: dict[str, list[str]], keep: list[str] | None = None) -> DataFrame:
