@@ -152,3 +152,11 @@ def test_known_names_go_where_they_should(docs):
 def test_table_plan_needs_no_shuffle(docs):
     plan = X.pipe_table(docs(("f", "x")), LAYOUT, ["source_file"])._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Window" not in plan
+
+
+def test_a_filter_on_a_table_value_does_not_cut_the_line_again(spark, docs):
+    layout = X.TableLayout(header_words=("Место", "CO"), columns=(("place", ("место",)), ("co", ("co",))))
+    rows = X.pipe_table(docs(("a.txt", "| Место | CO |\n|---|---|\n|  лава\t| 1 |\n| | 2 |\nодна\n| x")), layout).where("place is not null and not place rlike '^[0-9]+$'")
+    assert [(r["row_no"], r["place"], r["co"]) for r in rows.collect()] == [(0, "лава", "1")]
+    filters = [line for line in rows._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Filter" in line]
+    assert filters and not any("split(" in line for line in filters)
