@@ -23,7 +23,6 @@ import json
 import os
 import uuid
 import zlib
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,6 +38,8 @@ SLICE_BYTES = 4 << 20
 SHARD_BYTES = 128 << 20
 #: Distinct words whose ids a worker remembers at most. It bounds memory and changes no result.
 REMEMBERED = 3 << 18
+#: New words that one call of the tokenizer gets, as one text: a call costs as much as some words do.
+TOGETHER = 1000
 PRINT_SEED, LEVEL_SEED = np.uint64(0x2545F4914F6CDD1D), 0x9E3779B97F4A7C15
 MANIFEST = "part int, seq int, path string, n_docs long, n_tokens long, min_key long, max_key long"
 
@@ -63,15 +64,27 @@ class Encoder:
         self.end = np.array([end_id], self.kind).tobytes()
         self.known: dict[str, bytes] = {}
 
+    def encoded(self, words: list[str]) -> list[bytes]:
+        """Ids of each word, from one text of all; an id belongs to the word that its characters end in."""
+        found = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
+        flat, spans = np.array(found.ids, self.kind).tobytes(), found.offsets
+        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
+        word = np.searchsorted(ends, np.fromiter((end for _, end in spans), np.int64, len(spans)))
+        cuts = [0, *(np.cumsum(np.bincount(word, minlength=len(words))) * self.kind.itemsize).tolist()]
+        return [flat[a:b] for a, b in zip(cuts, cuts[1:])]
+
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, each text closed by the end id, and the number of ids up to each text's end."""
         words, known = split(texts), self.known
         if len(known) > REMEMBERED:
             known.clear()
-        new, code = [w for w in words.vocabulary if w not in known], "H" if self.kind.itemsize == 2 else "I"
-        for w, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-            known[w] = array(code, e.ids).tobytes()
-        pieces = [known[w] for w in words.vocabulary] + [self.end]
+        pieces = [*map(known.get, words.vocabulary), self.end]
+        new = [k for k, piece in enumerate(pieces) if piece is None]
+        for first in range(0, len(new), TOGETHER):
+            places = new[first : first + TOGETHER]
+            some = [words.vocabulary[k] for k in places]
+            for k, w, piece in zip(places, some, self.encoded(some), strict=True):
+                known[w] = pieces[k] = piece
         flat = np.frombuffer(b"".join(pieces), self.kind)
         size = np.fromiter(map(len, pieces), np.int64, len(pieces)) // self.kind.itemsize
         before = np.cumsum(size) - size

@@ -53,7 +53,7 @@ def split(texts: pa.Array, table: bytes = SAME) -> Words:
     kept = pc.not_equal(flat, "").to_numpy(zero_copy_only=False)
     coded = flat.filter(pa.array(kept)).dictionary_encode()
     before = np.concatenate([[0], np.cumsum(kept)])
-    return Words(coded.indices.to_numpy(zero_copy_only=False).astype(np.int32), coded.dictionary.to_pylist(), before[offsets])
+    return Words(coded.indices.to_numpy(zero_copy_only=False).astype(np.int32), coded.dictionary.to_numpy(zero_copy_only=False).tolist(), before[offsets])
 
 
 def release() -> None:
