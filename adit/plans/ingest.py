@@ -143,7 +143,7 @@ def load_table(spark: SparkSession, root: str, table: str, routed: DataFrame, op
     read = mine.select(*DOC, *["path"] * by_path).distinct().join(counts, DOC, "left")
     files = (named(read) if by_path else read).select(*DOC, *["path"] * by_path, F.lit(table).alias("table_name"), F.coalesce("records", F.lit(0)).alias("records"))
     if ledger:
-        files.coalesce(1).write.mode("overwrite").parquet(ledger)
+        files.write.mode("overwrite").parquet(ledger)  # a batch of files may hold millions of documents: no task has them all
         files = spark.read.schema(files.schema).parquet(ledger)
     store.append(rows, operation)
     return files

@@ -242,3 +242,25 @@ def test_documents_are_spread_by_their_number(spark, monkeypatch):
     landed = ingest.land_routed(docs)
     files = landed.groupBy(F.input_file_name()).count().collect()
     assert sum(f["count"] for f in files) == 200 and max(f["count"] for f in files) <= 10
+
+
+def test_a_batch_s_ledger_is_written_by_many_tasks(spark, tmp_path):
+    """A file may hold many documents, so that the list of a batch's documents is not one task's work; it stays whole."""
+    from adit.streaming import ingest as stream
+
+    page = "Дата: 01.02.2023\n\n| Время замера | Точка замера | Расход смеси, м³/мин | CH4, % | Примечание |\n|---|---|---|---|---|\n| 08:00 | Точка 1 | 32.5 | 0.5 | ВШ |"
+    docs = spark.range(400).select(F.lit("I").alias("incident_id"), F.concat(F.lit("gas_measurements_"), "id", F.lit(".txt")).alias("source_file"), F.lit(page).alias("text"))
+    confs = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "4", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {name: spark.conf.get(name) for name in confs}
+    try:
+        for name, value in confs.items():
+            spark.conf.set(name, value)
+        stream.load_batch(docs, 0, str(tmp_path), "in", ["gas_analysis"])
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    ledger = f"{tmp_path}/_ledger/in/gas_analysis/batch-0"
+    listed = spark.read.schema(stream.LEDGER).parquet(ledger)
+    assert len(list((tmp_path / "_ledger/in/gas_analysis/batch-0").glob("*.parquet"))) > 1
+    assert listed.count() == listed.select("source_file").distinct().count() == 400
+    assert listed.select("records").distinct().collect() == [(1,)]
