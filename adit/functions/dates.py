@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from adit.functions.text import once
+
 # Month names in the genitive, in calendar order.
 MONTHS_GENITIVE = (
     "января", "февраля", "марта", "апреля", "мая", "июня",
@@ -52,13 +54,16 @@ def _worded(c: Column, anchor: str = "") -> Column:
 
 def parse_date(c: Column) -> Column:
     """A text that starts with a date, in any of the four written forms."""
-    text = F.trim(c)
-    return F.coalesce(
-        _dotted(text, "^"),
-        _read(text, "^" + DASHED, "yyyy-M-d"),
-        _read(text, "^" + SLASHED, "d/M/yyyy"),
-        _worded(text, "^"),
-    )
+
+    def read(text: Column) -> Column:
+        return F.coalesce(
+            _dotted(text, "^"),
+            _read(text, "^" + DASHED, "yyyy-M-d"),
+            _read(text, "^" + SLASHED, "d/M/yyyy"),
+            _worded(text, "^"),
+        )
+
+    return once(F.trim(c), read)
 
 
 def iso_date(c: Column) -> Column:

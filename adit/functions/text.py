@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -68,10 +70,21 @@ def truncate(c: Column, limit: int, marker: str = "") -> Column:
     return F.when(F.length(c) > limit, F.concat(F.substring(c, 1, limit), F.lit(marker))).otherwise(c)
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use` of a value that it reads several times, the value being worked out once.
+
+    Inside a lambda the code is small as well: a generated method of more than 8000 bytes is never compiled by the JVM.
+    """
+    return F.transform(F.array(value), use)[0]
+
+
+def _hit(c: Column, pattern: str, group: int) -> Column:
+    return once(F.regexp_extract(c, pattern, group), lambda found: F.nullif(found, F.lit("")))
+
+
 def first_match(c: Column, patterns: list[str], group: int = 1) -> Column:
     """The captured group of the first pattern that hits anything."""
-    hits = [F.nullif(F.regexp_extract(c, p, group), F.lit("")) for p in patterns]
-    return strip(F.coalesce(*hits) if len(hits) > 1 else hits[0])
+    return strip(once(c, lambda x: F.coalesce(*[_hit(x, p, group) for p in patterns])))
 
 
 def all_matches(c: Column, patterns: list[str], group: int = 1) -> Column:
