@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from adit.functions import vocabulary as V
+from adit.functions.text import once
 
 
 def classify(c: Column, classes, default: Column | str | None = None, folded: bool = False) -> Column:
@@ -13,12 +14,15 @@ def classify(c: Column, classes, default: Column | str | None = None, folded: bo
 
     `folded` says that the text is in lower case already.
     """
-    text = c if folded else F.lower(c)
-    chain = None
-    for word, label in classes:
-        hit = text.contains(word.lower())
-        chain = F.when(hit, label) if chain is None else chain.when(hit, label)
-    return chain.otherwise(default if isinstance(default, Column) else F.lit(default))
+
+    def label_of(text: Column) -> Column:
+        chain = None
+        for word, label in classes:
+            hit = text.contains(word.lower())
+            chain = F.when(hit, label) if chain is None else chain.when(hit, label)
+        return chain.otherwise(default if isinstance(default, Column) else F.lit(default))
+
+    return label_of(c) if folded else once(F.lower(c), label_of)
 
 
 def classify_groups(c: Column, groups) -> Column:

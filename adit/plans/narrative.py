@@ -323,13 +323,12 @@ KNOWN_PERSONS = r"(?iu)(диспетчер|Даулет|Крайнов|Ната
 
 
 def _spoken_place(sentence: Column) -> Column:
-    section = F.nullif(F.regexp_extract(sentence, r"(?iu)секци[яи]\s+(\d{3})", 1), F.lit(""))
-    low = F.nullif(F.regexp_extract(sentence, r"(\d{3})\s*[-–]\s*(\d{3})", 1), F.lit(""))
+    hit = lambda p: T.once(F.regexp_extract(sentence, p, 1), lambda x: F.nullif(x, F.lit("")))
     high = F.regexp_extract(sentence, r"(\d{3})\s*[-–]\s*(\d{3})", 2)
     return F.coalesce(
-        F.concat(F.lit("секция "), section),
-        F.concat(F.lit("секции "), low, F.lit("-"), high),
-        *[F.nullif(F.regexp_extract(sentence, p, 1), F.lit("")) for p in SPOKEN_PLACES],
+        F.concat(F.lit("секция "), hit(r"(?iu)секци[яи]\s+(\d{3})")),
+        F.concat(F.lit("секции "), hit(r"(\d{3})\s*[-–]\s*(\d{3})"), F.lit("-"), high),
+        *[hit(p) for p in SPOKEN_PLACES],
     )
 
 

@@ -10,6 +10,7 @@ COMPILED = 8000
 
 FILES = {
     "equipment_maintenance": ("maintenance.txt",),
+    "chronology_incident": ("audio.txt",),
 }
 
 
@@ -33,3 +34,8 @@ def test_generated_methods_are_compiled(planned, table):
     stages = planned(table).debug().codegenToSeq()
     sizes = [stages.apply(k)._3().maxMethodCodeSize() for k in range(stages.size())]
     assert sizes and max(sizes) < COMPILED / 2
+
+
+def test_a_text_is_folded_once_for_all_its_classes(planned):
+    """The filter on the class and its value, whatever the number of words."""
+    assert planned("chronology_incident").executedPlan().toString().count("lower(") <= 2
