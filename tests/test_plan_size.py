@@ -10,6 +10,7 @@ COMPILED = 8000
 
 FILES = {
     "equipment_maintenance": ("maintenance.txt",),
+    "gas_analysis": ("gas_measurements.txt",),
     "chronology_incident": ("audio.txt",),
 }
 
