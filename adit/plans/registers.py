@@ -364,7 +364,7 @@ register_extractor("equipment", ("passport", (), equipment_passport))
 
 # ---- equipment_certificate ---------------------------------------------------------------------------------
 
-CERTIFICATE_START = r"(?iu)(?:СЕРТИФИКАТ(?: СООТВЕТСТВИЯ)?|ПРОТОКОЛ ИСПЫТАНИЙ|ПРОТОКОЛ) +[A-ZА-Я0-9№]"
+CERTIFICATE_START = r"(?iu)(?:СЕРТИФИКАТ(?: СООТВЕТСТВИЯ)?|ПРОТОКОЛ(?: ИСПЫТАНИЙ)?) +[A-ZА-Я0-9№]"
 # Labels of a certificate, here and in the lists below.
 CERTIFICATE_NUMBER = [
     r"(?iu)СЕРТИФИКАТ СООТВЕТСТВИЯ\s+([A-ZА-Я0-9 .-]*\d[A-ZА-Я0-9 .-]*)",

@@ -12,6 +12,7 @@ FILES = {
     "equipment_maintenance": ("maintenance.txt",),
     "gas_analysis": ("gas_measurements.txt",),
     "chronology_incident": ("audio.txt",),
+    "equipment_certificate": ("cert.txt",),
 }
 
 
