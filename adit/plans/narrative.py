@@ -210,11 +210,8 @@ FACT_PLACES = [
 def _violations(fact: Column) -> Column:
     """For each word that occurs, the first sentence holding it; at most three."""
     parts = F.transform(F.split(fact, "[.!?]", -1), T.strip)
-
-    def first_with(word: str) -> Column:
-        return F.try_element_at(F.filter(parts, lambda s: F.lower(s).contains(word)), F.lit(1))
-
-    hits = F.slice(F.array_compact(F.array(*[first_with(w) for w in V.VIOLATION_WORDS])), 1, 3)
+    said = F.filter(F.array(*[F.lit(w) for w in V.VIOLATION_WORDS]), lambda w: F.lower(fact).contains(w))
+    hits = F.slice(F.array_compact(F.transform(said, lambda w: F.try_element_at(F.filter(parts, lambda s: F.lower(s).contains(w)), F.lit(1)))), 1, 3)
     return F.nullif(F.array_join(hits, "; "), F.lit(""))
 
 
@@ -254,11 +251,16 @@ def _told(docs: DataFrame, keep: list[str], facts: Column, remarks: Column) -> D
     return docs.select(*keep, F.inline(both))
 
 
+def _dated(docs: DataFrame) -> DataFrame:
+    """Documents with the text of their date as a column, so that it is searched for once and not by each form of a date."""
+    return docs.select(*DOC, "text", _label(*ACT_DATE).alias("_dated"))
+
+
 def inspection_act(docs: DataFrame) -> DataFrame:
     team = F.regexp_extract_all(F.regexp_extract("text", INSPECTORS, 1), F.lit(INSPECTOR), F.lit(1))
-    told = docs.select(
+    told = _dated(docs).select(
         *DOC, "text",
-        D.iso_date(_label(*ACT_DATE)).alias("inspection_date"),
+        D.iso_date(F.col("_dated")).alias("inspection_date"),
         F.nullif(F.array_join(team, "; "), F.lit("")).alias("inspector_name"),
     )
     summed = _remark(position(LAST), F.concat(F.lit("ЗАКЛЮЧЕНИЕ: "), T.first_match(F.col("text"), CONCLUSION)), F.lit(None).cast("string"), F.lit("общее"))
@@ -285,9 +287,9 @@ def inspection_diary(docs: DataFrame) -> DataFrame:
 
 
 def inspection_mentions(docs: DataFrame) -> DataFrame:
-    told = docs.select(
+    told = _dated(docs).select(
         *DOC,
-        D.iso_date(_label(*ACT_DATE)).alias("inspection_date"),
+        D.iso_date(F.col("_dated")).alias("inspection_date"),
         F.nullif(F.array_join(F.regexp_extract_all(F.regexp_extract("text", INSPECTORS, 1), F.lit(INSPECTOR), F.lit(1)), "; "), F.lit("")).alias("inspector_name"),
         F.posexplode_outer(F.regexp_extract_all("text", F.lit(r"[-•]\s*([А-ЯЁ][^.\n]+[.!?]?)"), F.lit(1))).alias("pos", "_fact"),
     )

@@ -13,6 +13,7 @@ FILES = {
     "gas_analysis": ("gas_measurements.txt",),
     "chronology_incident": ("audio.txt",),
     "equipment_certificate": ("cert.txt",),
+    "inspection_description": ("inspection_act.txt", "inspection_diary.txt", "inspection.txt"),
 }
 
 
@@ -38,6 +39,11 @@ def test_generated_methods_are_compiled(planned, table):
     assert sizes and max(sizes) < COMPILED / 2
 
 
+@pytest.mark.parametrize(("table", "label", "times"), [("inspection_description", "Дата осмотра", 2)])
+def test_a_label_is_searched_for_once_a_layout(planned, table, label, times):
+    assert planned(table).executedPlan().toString().count(label) == times
+
+
 def test_a_text_is_folded_once_for_all_its_classes(planned):
     """The filter on the class and its value, whatever the number of words."""
     assert planned("chronology_incident").executedPlan().toString().count("lower(") <= 2
