@@ -102,8 +102,15 @@ def distinct_text(values: Column, limit: int | None = None, separator: str = ";
 
 def contains_any(c: Column, words: list[str] | tuple[str, ...], folded: bool = False) -> Column:
     """True when the lower-cased text holds any of the words."""
-    alternatives = "|".join(_literal(w.lower()) for w in words)
-    return (c if folded else F.lower(c)).rlike(alternatives)
+    return (c if folded else F.lower(c)).rlike(_one_of([w.lower() for w in words]))
+
+
+def _one_of(words: list[str]) -> str:
+    """A regex for any of the words; words with the same first letter share its test."""
+    rests: dict[str, list[str]] = {}
+    for w in words:
+        rests.setdefault(w[:1], []).append(w[1:])
+    return "|".join(f"{_literal(k)}(?:{'|'.join(map(_literal, r))})" if len(r) > 1 else _literal(k + r[0]) for k, r in rests.items())
 
 
 def _literal(word: str) -> str:

@@ -224,11 +224,11 @@ def bullet_facts(blocks: DataFrame, text: str = "body", min_len: int = 10, keep:
 
 def sentences_with(text: Column, words, limit: int | None = None) -> Column:
     """Sentences holding any of the words, in text order, joined with `; `."""
-    parts = F.transform(F.split(text, "[.!?]", -1), tx.strip)
-    hits = F.filter(parts, lambda s: tx.contains_any(s, words))
+    padded = any(w != w.strip(tx.SPACES) for w in words)
+    hits = F.filter(F.split(text, "[.!?]", -1), lambda s: tx.contains_any(tx.strip(s) if padded else s, words))
     if limit:
         hits = F.slice(hits, 1, limit)
-    return F.nullif(F.array_join(hits, "; "), F.lit(""))
+    return F.nullif(F.array_join(F.transform(hits, tx.strip), "; "), F.lit(""))
 
 
 def keyword_events(docs: DataFrame, words, min_len: int = 0, keep: list[str] | None = None) -> DataFrame:

@@ -629,12 +629,12 @@ def witness(docs: DataFrame) -> DataFrame:
     blocks = docs.select(*DOC, F.posexplode_outer(parts).alias("block_no", "text"))
     answers = F.regexp_extract_all("text", F.lit(ANSWER), F.lit(1))
     last = F.when(F.col("text").contains("Вопрос:"), F.regexp_replace(F.substring_index("text", "Вопрос:", -1), WITNESS_RULER, ""))
-    found = blocks.select(
+    found = blocks.withColumn("_dated", _label(r"Дата опроса:\s*(\d{2}\.\d{2}\.\d{4})")).select(
         *DOC,
         position("block_no"),
         "text",
         _label(r"Опрашиваемый:\s*([^\n]+)", r"Свидетель:\s*([^\n]+)", r"ФИО:\s*([^\n]+)").alias("witness_name"),
-        D.iso_date(_label(r"Дата опроса:\s*(\d{2}\.\d{2}\.\d{4})")).alias("_day"),
+        D.iso_date(F.col("_dated")).alias("_day"),
         _label(r"Время:\s*(\d{2}:\d{2})").alias("_time"),
         F.coalesce(F.try_element_at(answers, F.lit(1)), last).alias("_said"),
     )
